@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference has no streaming reads, writes, watermarks or stateful operators:
+every step is a batch job over Parquet. Nothing is built here on purpose; the
+batch operators are plain DataFrame transformations, so the aggregations among
+them (interaction counts, item listeners, user totals) would also accept a
+streaming DataFrame, but no streaming query is registered or claimed.
+"""
