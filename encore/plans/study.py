@@ -1,9 +1,11 @@
 """End-to-end offline evaluation over one dataset: prepare, split, model, score.
 
-``Study`` names every intermediate frame once and persists the few that many
-later steps read (interactions, the prepared set, the labelled split, the
-user ranks), so one evaluation reads the input tables once per stage instead
-of once per metric.
+``Study`` names every intermediate frame once and checkpoints the few that
+many later steps read (interactions, popular items, the prepared set, the
+labelled split, the user ranks, the top-k list) to the reliable checkpoint
+directory. That cuts the lineage -- later plans start from a short scan of
+the checkpoint instead of re-analysing the whole chain -- and a lost executor
+only costs a re-read, not a recomputation from the raw tables.
 """
 
 from __future__ import annotations
@@ -11,12 +13,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.operators import metrics, popularity, prep, ranking, split
 from encore.plans import binding
+from encore.session import ensure_checkpoint_dir
 
 U, I, N = "user_id", "item_id", "interactions"
 SEGMENTS = ("val_warm", "val_cold", "test_warm", "test_cold")
@@ -44,7 +46,8 @@ class Params:
 
 
 def _keep(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 class Study:
@@ -58,7 +61,7 @@ class Study:
 
     @cached_property
     def test(self) -> DataFrame:
-        return prep.positive_only(binding.test_interactions(self.spark, self.sf_dir, self.p.test_cut))
+        return _keep(prep.positive_only(binding.test_interactions(self.spark, self.sf_dir, self.p.test_cut)))
 
     # ------------------------------------------------------------ preparation
     @cached_property
