@@ -13,7 +13,9 @@ by k. Definitions follow Spark's RankingMetrics:
 * RR     = 1 / position of the first hit (0 without a hit)
 
 Users: those with labels and a prediction (``how='inner'``, the reference's
-join), or every labelled user with missing predictions scored 0 (``'left'``).
+join), every labelled user with missing predictions scored 0 (``'left'``),
+or every user with a prediction, users without labels scoring 0 (``'pred'``,
+as an evaluator row with an empty label list).
 """
 
 from __future__ import annotations
@@ -57,8 +59,13 @@ def per_user_metrics(labels: DataFrame, recs: DataFrame, k: int = 100,
         users = n_labels.join(pred_users.select(U).distinct(), U, "left_semi")
     elif how == "left":
         users = n_labels
+    elif how == "pred":
+        if pred_users is None:
+            pred_users = recs.select(U)
+        users = (pred_users.select(U).distinct().join(n_labels, U, "left")
+                 .select(U, F.coalesce("n_labels", F.lit(0)).cast("long").alias("n_labels")))
     else:
-        raise ValueError("how must be 'inner' or 'left'")
+        raise ValueError("how must be 'inner', 'left' or 'pred'")
     hits = _hits(labels, recs, k).join(users.select(U), U, "left_semi")
     # At most k hits per user.
     w = Window.partitionBy(U).orderBy("rank")
@@ -69,15 +76,17 @@ def per_user_metrics(labels: DataFrame, recs: DataFrame, k: int = 100,
                           F.sum(F.lit(1.0) / F.log2(F.col("rank").cast("double") + 1.0)).alias("_dcg"),
                           F.min("rank").alias("_first")))
     m = F.least(F.col("n_labels"), F.lit(k))
+    has = F.col("n_labels") > 0
     return (users.join(hit_terms, U, "left")
                  .select(U, "n_labels",
                          F.coalesce("hits", F.lit(0)).cast("long").alias("hits"),
-                         (F.coalesce("_ap_sum", F.lit(0.0)) / m.cast("double")).alias("ap"),
+                         F.when(has, F.coalesce("_ap_sum", F.lit(0.0)) / m.cast("double"))
+                          .otherwise(F.lit(0.0)).alias("ap"),
                          (F.coalesce("hits", F.lit(0)).cast("double") / F.lit(float(k))).alias("precision"),
-                         (F.coalesce("hits", F.lit(0)).cast("double") / F.col("n_labels").cast("double"))
-                         .alias("recall"),
-                         (F.coalesce("_dcg", F.lit(0.0)) / F.element_at(_ideal_dcg(k), m.cast("int")))
-                         .alias("ndcg"),
+                         F.when(has, F.coalesce("hits", F.lit(0)).cast("double") / F.col("n_labels").cast("double"))
+                          .otherwise(F.lit(0.0)).alias("recall"),
+                         F.when(has, F.coalesce("_dcg", F.lit(0.0)) / F.element_at(_ideal_dcg(k), m.cast("int")))
+                          .otherwise(F.lit(0.0)).alias("ndcg"),
                          F.coalesce(F.lit(1.0) / F.col("_first").cast("double"), F.lit(0.0)).alias("rr")))
 
 
@@ -119,14 +128,13 @@ def mrr(labels, recs, k=100, pred_users=None, how="inner") -> DataFrame:
 
 def auc_global_scores(positives: DataFrame, scores: DataFrame, score: str = "score",
                       partitions: int | None = None) -> DataFrame:
-    """Per-user AUC of one global item scoring, then (users, auc) means.
+    """(user_id, m, auc): per-user AUC of one global item scoring.
 
     Universe: the N scored items. Each item gets its ascending mid-rank
     (items scored lower + (items with the same score + 1) / 2) from a ranked
     score histogram; only the positives are joined to it, never users x items.
     AUC_u = (sum of positive mid-ranks - m(m+1)/2) / (m (N - m)) for the m
     positives of u in the universe, users with 0 < m < N.
-    Returns (per_user, summary).
     """
     hist = value_histogram_ranks(scores.select(score), score, partitions=partitions)
     n_items = hist.agg(F.sum("cnt").alias("n")).scalar()
