@@ -3,7 +3,7 @@
 ``labels``: (user_id, item_id), the relevant items of each user (unique).
 ``recs``: (user_id, item_id, rank) per user, or a global list (item_id, rank)
 shared by all users (the popularity model). Only the hits -- labels joined to
-recommendations on (user, item) -- are materialised; per-user work is bounded
+recommendations on (user, item) -- carry a rank; per-user state is bounded
 by k. Definitions follow Spark's RankingMetrics:
 
 * AP@k   = sum over hits at position p <= k of (hits up to p) / p, / min(k, |labels|)
@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.functions.ordering import value_histogram_ranks
@@ -39,55 +39,58 @@ def _ideal_dcg(k: int):
     return F.array(*vals)
 
 
-def _hits(labels: DataFrame, recs: DataFrame, k: int) -> DataFrame:
+def _with_rank(labels: DataFrame, recs: DataFrame, k: int) -> DataFrame:
+    """Label rows with the rank of the item in the user's list (NULL if absent)."""
     top = recs.where(F.col("rank") <= F.lit(k))
     if U in recs.columns:
-        return labels.select(U, I).join(top.select(U, I, "rank"), [U, I])
+        return labels.select(U, I).join(top.select(U, I, "rank"), [U, I], "left")
     # A global list has at most k rows here: broadcast by construction.
-    return labels.select(U, I).join(F.broadcast(top.select(I, "rank")), I)
+    return labels.select(U, I).join(F.broadcast(top.select(I, "rank")), I, "left")
 
 
 def per_user_metrics(labels: DataFrame, recs: DataFrame, k: int = 100,
                      pred_users: DataFrame | None = None, how: str = "inner") -> DataFrame:
-    """(user_id, n_labels, hits, ap, precision, recall, ndcg, rr) per evaluated user."""
-    n_labels = labels.groupBy(U).agg(F.count(F.lit(1)).cast("long").alias("n_labels"))
+    """(user_id, n_labels, hits, ap, precision, recall, ndcg, rr) per evaluated user.
+
+    One aggregate per user over its label rows: the label count and the
+    sorted ranks of the hits. A user has at most k hits (ranks 1..k are
+    unique), so the rank array is bounded by k whatever the label count;
+    position i (1-based) in it is the number of hits so far.
+    """
+    stats = (_with_rank(labels, recs, k).groupBy(U)
+             .agg(F.count(F.lit(1)).cast("long").alias("n_labels"),
+                  F.sort_array(F.collect_list("rank")).alias("_ranks")))
     if how == "inner":
         if pred_users is None:
             if U not in recs.columns:
                 raise ValueError("a global list needs pred_users")
             pred_users = recs.select(U)
-        users = n_labels.join(pred_users.select(U).distinct(), U, "left_semi")
+        users = stats.join(pred_users.select(U).distinct(), U, "left_semi")
     elif how == "left":
-        users = n_labels
+        users = stats
     elif how == "pred":
         if pred_users is None:
             pred_users = recs.select(U)
-        users = (pred_users.select(U).distinct().join(n_labels, U, "left")
-                 .select(U, F.coalesce("n_labels", F.lit(0)).cast("long").alias("n_labels")))
+        users = (pred_users.select(U).distinct().join(stats, U, "left")
+                 .select(U, F.coalesce("n_labels", F.lit(0)).cast("long").alias("n_labels"),
+                         F.coalesce("_ranks", F.array().cast("array<long>")).alias("_ranks")))
     else:
         raise ValueError("how must be 'inner', 'left' or 'pred'")
-    hits = _hits(labels, recs, k).join(users.select(U), U, "left_semi")
-    # At most k hits per user.
-    w = Window.partitionBy(U).orderBy("rank")
-    hit_terms = (hits.withColumn("_cnt", F.row_number().over(w))
-                     .groupBy(U)
-                     .agg(F.sum(F.col("_cnt").cast("double") / F.col("rank").cast("double")).alias("_ap_sum"),
-                          F.count(F.lit(1)).cast("long").alias("hits"),
-                          F.sum(F.lit(1.0) / F.log2(F.col("rank").cast("double") + 1.0)).alias("_dcg"),
-                          F.min("rank").alias("_first")))
+    ranks = F.col("_ranks")
+    hits = F.size(ranks).cast("long")
+    ap_sum = F.aggregate(F.transform(ranks, lambda r, i: (i + 1).cast("double") / r.cast("double")),
+                         F.lit(0.0), lambda acc, x: acc + x)
+    dcg = F.aggregate(F.transform(ranks, lambda r: F.lit(1.0) / F.log2(r.cast("double") + 1.0)),
+                      F.lit(0.0), lambda acc, x: acc + x)
     m = F.least(F.col("n_labels"), F.lit(k))
     has = F.col("n_labels") > 0
-    return (users.join(hit_terms, U, "left")
-                 .select(U, "n_labels",
-                         F.coalesce("hits", F.lit(0)).cast("long").alias("hits"),
-                         F.when(has, F.coalesce("_ap_sum", F.lit(0.0)) / m.cast("double"))
-                          .otherwise(F.lit(0.0)).alias("ap"),
-                         (F.coalesce("hits", F.lit(0)).cast("double") / F.lit(float(k))).alias("precision"),
-                         F.when(has, F.coalesce("hits", F.lit(0)).cast("double") / F.col("n_labels").cast("double"))
-                          .otherwise(F.lit(0.0)).alias("recall"),
-                         F.when(has, F.coalesce("_dcg", F.lit(0.0)) / F.element_at(_ideal_dcg(k), m.cast("int")))
-                          .otherwise(F.lit(0.0)).alias("ndcg"),
-                         F.coalesce(F.lit(1.0) / F.col("_first").cast("double"), F.lit(0.0)).alias("rr")))
+    return users.select(
+        U, "n_labels", hits.alias("hits"),
+        F.when(has, ap_sum / m.cast("double")).otherwise(F.lit(0.0)).alias("ap"),
+        (hits.cast("double") / F.lit(float(k))).alias("precision"),
+        F.when(has, hits.cast("double") / F.col("n_labels").cast("double")).otherwise(F.lit(0.0)).alias("recall"),
+        F.when(has, dcg / F.element_at(_ideal_dcg(k), m.cast("int"))).otherwise(F.lit(0.0)).alias("ndcg"),
+        F.when(hits > 0, F.lit(1.0) / F.element_at(ranks, 1).cast("double")).otherwise(F.lit(0.0)).alias("rr"))
 
 
 def summarize(per_user: DataFrame) -> DataFrame:

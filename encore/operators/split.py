@@ -6,8 +6,8 @@ and one user may hold a third of the data. Users with more than ``hot_rows``
 rows are therefore split into sub-groups by a prefix of the same hash that
 orders them: the prefix is order-preserving, so a row's position is its rank
 inside its sub-group plus the sizes of the user's earlier sub-groups (a small
-table: one row per sub-group). Every window group is at most about
-``hot_rows`` rows and the data is shuffled once.
+table: one row per sub-group, from a partial aggregate). Every window group
+is at most about ``hot_rows`` rows and the rows are shuffled once.
 """
 
 from __future__ import annotations
@@ -42,19 +42,18 @@ def label_split(ix: DataFrame, fraction: float = 0.8, seed=42, hot_rows: int = D
            .withColumn("_b", F.when(F.col("_d").isNull(), F.lit(""))
                               .otherwise(F.expr("substring(_h, 1, _d)")))
            .drop("_d"))
-    group = Window.partitionBy(user, "_b")
-    x = (x.withColumn("_r", F.row_number().over(group.orderBy("_h", item)))
-          .withColumn("_c", F.count(F.lit(1)).over(group)))
-    # One row per (user, sub-group); earlier sub-groups' sizes give the offset.
-    subgroups = x.select(user, "_b", "_c").distinct()
+    # Sizes of the sub-groups (partial aggregate, one row per (user, sub-group))
+    # and the rows of the user's earlier sub-groups as the offset.
     per_user = Window.partitionBy(user)
-    offsets = (subgroups
-               .withColumn("_off", F.coalesce(F.sum("_c").over(
-                   per_user.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .withColumn("n", F.sum("_c").over(per_user).cast("long"))
-               .drop("_c"))
-    out = (x.join(offsets, [user, "_b"])
-            .withColumn("rn", (F.col("_off") + F.col("_r")).cast("long")))
+    offsets = (x.groupBy(user, "_b").agg(F.count(F.lit(1)).alias("_c"))
+                .withColumn("_off", F.coalesce(F.sum("_c").over(
+                    per_user.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                .withColumn("n", F.sum("_c").over(per_user).cast("long"))
+                .drop("_c"))
+    # The one shuffle of the rows: by (user, sub-group); the offsets join reuses it.
+    ranked = x.withColumn("_r", F.row_number().over(Window.partitionBy(user, "_b").orderBy("_h", item)))
+    out = (ranked.join(offsets, [user, "_b"])
+                 .withColumn("rn", (F.col("_off") + F.col("_r")).cast("long")))
     out = out.withColumn("row_counts", floor_fraction("n", fraction))
     keep = [c for c in ix.columns] + ["rn", "n", "row_counts"]
     return out.select(*keep)
