@@ -165,14 +165,16 @@ def items_by_percent_rank(ix: DataFrame, pct: float = 0.15, partitions: int | No
 # ---------------------------------------------------------------- histograms
 
 def listener_histogram(ix: DataFrame) -> DataFrame:
-    """(listeners_counts, track_counts): items per listener-count bin."""
+    """(listeners_counts, track_counts): items per listener-count bin, by count."""
     return (item_listeners(ix)
             .groupBy(bucketize("listeners", LISTENER_EDGES, LISTENER_LABELS).alias("listeners_counts"))
-            .agg(F.count(F.lit(1)).alias("track_counts")))
+            .agg(F.count(F.lit(1)).alias("track_counts"))
+            .orderBy("track_counts", "listeners_counts"))
 
 
 def activity_histogram(ix: DataFrame) -> DataFrame:
-    """(track_counts, user_counts): users per activity bin."""
+    """(track_counts, user_counts): users per activity bin, by count."""
     return (user_activity(ix)
             .groupBy(bucketize("tracks", ACTIVITY_EDGES, ACTIVITY_LABELS).alias("track_counts"))
-            .agg(F.count(F.lit(1)).alias("user_counts")))
+            .agg(F.count(F.lit(1)).alias("user_counts"))
+            .orderBy("user_counts", "track_counts"))

@@ -3,6 +3,7 @@
 * plays: ``orders JOIN lineitem`` on the order key; user = o_custkey,
   item = l_partkey, strength = l_quantity, time = o_orderdate.
 * history / test: plays before / from ``TEST_CUT``.
+* a second source: ``events`` (user_id, item = the ``k`` field of ``props``).
 * users: ``customer``; item catalogue ("tracks"): ``part``, with a raw id
   (the part key as text) and a nullable canonical id (name / brand, missing
   for SMALL parts) that falls back to the raw id.
@@ -65,6 +66,13 @@ def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_partkey").alias("__index_level_0__"))
 
 
+def event_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Second interaction source: ``events`` rows as plays of item ``props.k``."""
+    ev = table(spark, sf_dir, "events").select(
+        "user_id", F.get_json_object("props", "$.k").cast("long").alias("item_id"))
+    return count_interactions(ev)
+
+
 def raw_plays(spark: SparkSession, sf_dir: str, end: str = TEST_CUT) -> DataFrame:
     """(user_id, recording_msid): one row per play, the raw-id form."""
     return plays(spark, sf_dir, end=end).select("user_id",

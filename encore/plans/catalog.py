@@ -118,6 +118,14 @@ def q_interactions(spark, d):
     return study(spark, d).ix
 
 
+def q_events_interactions(spark, d):
+    return binding.event_interactions(spark, d)
+
+
+def q_popular_items_pct15(spark, d):
+    return prep.popular_items(study(spark, d).ix, 0.15)
+
+
 def q_positive_feedback(spark, d):
     return prep.positive_only(study(spark, d).ix)
 
@@ -269,6 +277,10 @@ def q_popular_top_k(spark, d):
     return rounded(study(spark, d).top)
 
 
+def q_popular_head(spark, d):
+    return rounded(popularity.top_k(study(spark, d).pop, 5))
+
+
 def q_popular_array(spark, d):
     arr = ranking.ranked_array(study(spark, d).top, "predicted_labels")
     return arr.select(as_text("predicted_labels").alias("predicted_labels"),
@@ -437,10 +449,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rec_array_shape": q_rec_array_shape,
     # preparation
     "interactions": q_interactions,
+    "events_interactions": q_events_interactions,
     "positive_feedback": q_positive_feedback,
     "item_listeners": q_item_listeners,
     "user_activity": q_user_activity,
     "popular_items": q_popular_items,
+    "popular_items_pct15": q_popular_items_pct15,
     "restrict_items": q_restrict_items,
     "active_users": q_active_users,
     "low_activity_users": q_low_activity_users,
@@ -477,6 +491,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "true_arrays": q_true_arrays,
     "popularity_scores": q_popularity_scores,
     "popular_top_k": q_popular_top_k,
+    "popular_head": q_popular_head,
     "popular_array": q_popular_array,
     "popular_recs_per_user": _recs_for(lambda s: s.train_warm),
     "cold_recs": _recs_for(lambda s: s.part("train_cold")),

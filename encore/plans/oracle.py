@@ -241,6 +241,11 @@ UNION ALL SELECT 'test_cold', COUNT(*) FROM test_cold""",
 FROM (SELECT DISTINCT user_id FROM train_warm) u""",
     # preparation
     "interactions": _with() + "SELECT * FROM ix",
+    "events_interactions": """SELECT user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id,
+  COUNT(*) AS interactions FROM events GROUP BY 1, 2""",
+    "popular_items_pct15": _with() + """SELECT item_id, listeners FROM (
+  SELECT item_id, listeners, row_number() OVER (ORDER BY listeners DESC, item_id ASC) AS rn FROM listeners) r
+WHERE rn <= (SELECT (COUNT(*) * 3) // 20 FROM listeners)""",
     "positive_feedback": _with() + "SELECT * FROM ix WHERE interactions > 0",
     "item_listeners": _with() + "SELECT item_id, listeners FROM listeners",
     "user_activity": _with() + ("SELECT user_id, COUNT(item_id) AS tracks FROM ix "
@@ -308,6 +313,9 @@ FROM (SELECT user_id, item_id,
     "popularity_scores": _with() + ("SELECT item_id, total_listens, num_users, ROUND(score, 9) AS score "
                                     "FROM pop_scores"),
     "popular_top_k": _with() + "SELECT item_id, ROUND(score, 9) AS score, rank FROM top_list",
+    "popular_head": _with() + """SELECT item_id, ROUND(score, 9) AS score, rank FROM (
+  SELECT item_id, score, CAST(row_number() OVER (ORDER BY score DESC, item_id ASC) AS BIGINT) AS rank
+  FROM pop_scores) r WHERE rank <= 5""",
     "popular_array": _with() + ("SELECT string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY rank) AS predicted_labels, "
                                 "COUNT(*)::INTEGER AS n FROM top_list"),
     "popular_recs_per_user": _recs_text("train_warm"),
