@@ -23,21 +23,19 @@ from encore.session import ensure_checkpoint_dir
 
 _PID = "_ord_pid"
 _POS = "_ord_pos"
-_W = "_ord_w"
-
-
-def _partitions(df: DataFrame, partitions: int | None) -> int:
-    if partitions:
-        return int(partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def range_sorted_checkpoint(df: DataFrame, order: list[Column],
                             partitions: int | None = None) -> DataFrame:
-    """Range-partition on ``order``, sort each partition, checkpoint reliably."""
+    """Range-partition on ``order``, sort each partition, checkpoint reliably.
+
+    Without an explicit ``partitions`` the range shuffle uses the session's
+    shuffle partitions and AQE may merge adjacent (small) ranges, which keeps
+    them contiguous and ordered.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    staged = df.repartitionByRange(_partitions(df, partitions), *order).sortWithinPartitions(*order)
-    return staged.checkpoint(eager=True)
+    ranged = df.repartitionByRange(int(partitions), *order) if partitions else df.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*order).checkpoint(eager=True)
 
 
 def _tag(cp: DataFrame) -> DataFrame:
