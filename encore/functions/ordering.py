@@ -88,4 +88,6 @@ def value_histogram_ranks(values: DataFrame, value_col: str, descending: bool =
     """
     hist = values.groupBy(value_col).agg(F.count(F.lit(1)).alias("cnt"))
     order = [F.col(value_col).desc() if descending else F.col(value_col).asc()]
-    return exclusive_prefix_sum(hist, order, "cnt", "before", partitions)
+    # Callers read the ranked histogram several times (totals, cut-offs,
+    # joins): materialise it once rather than re-run the window and offsets.
+    return exclusive_prefix_sum(hist, order, "cnt", "before", partitions).checkpoint(eager=True)

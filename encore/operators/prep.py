@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from encore.functions.columns import (ACTIVITY_EDGES, ACTIVITY_LABELS, LISTENER_EDGES,
                                       LISTENER_LABELS, bucketize, exact_fraction)
 from encore.functions.ordering import global_row_number, value_histogram_ranks
+from encore.session import ensure_checkpoint_dir
 
 U, I, N = "user_id", "item_id", "interactions"
 
@@ -81,17 +82,19 @@ def popular_items(ix: DataFrame, fraction: float = 0.03, partitions: int | None
     exactly c (a distributed row number over that tie group only).
     Returns (item_id, listeners).
     """
-    listeners = item_listeners(ix)
+    # One row per item, read three times below (histogram, head, ties).
+    ensure_checkpoint_dir(ix.sparkSession)
+    listeners = item_listeners(ix).checkpoint(eager=True)
     hist = value_histogram_ranks(listeners, "listeners", descending=True, partitions=partitions)
     q = exact_fraction(fraction)
-    stats = hist.agg(F.sum("cnt").alias("n_items")).first()
-    total = int(stats["n_items"] or 0)
-    n = total * q.numerator // q.denominator
-    if n <= 0:
+    # n = floor(fraction * N) as a scalar subquery; one action returns the
+    # histogram row holding the n-th item: its count c and the items above it.
+    n = F.call_function("div", hist.agg(F.sum("cnt")).scalar() * F.lit(q.numerator), F.lit(q.denominator))
+    cut = (hist.where((F.col("before") < n) & (F.col("before") + F.col("cnt") >= n))
+               .select("listeners", "before", "cnt", n.alias("n")).first())
+    if cut is None:
         return listeners.limit(0)
-    cut = (hist.where((F.col("before") < F.lit(n)) & (F.col("before") + F.col("cnt") >= F.lit(n)))
-               .select("listeners", "before", "cnt").first())
-    c, above, at_c = int(cut["listeners"]), int(cut["before"]), int(cut["cnt"])
+    c, above, at_c, n = int(cut["listeners"]), int(cut["before"]), int(cut["cnt"]), int(cut["n"])
     head = listeners.where(F.col("listeners") > F.lit(c))
     ties = listeners.where(F.col("listeners") == F.lit(c))
     take = n - above
@@ -116,8 +119,16 @@ def low_activity_users(ix: DataFrame, max_items: int = 10) -> DataFrame:
 
 
 def prepare_interactions(ix: DataFrame, fraction: float = 0.03, min_items: int = 10,
-                         partitions: int | None = None) -> DataFrame:
-    """Popular items only, then users with at least ``min_items`` of them left."""
+                         partitions: int | None = None, checkpoint_input: bool = True) -> DataFrame:
+    """Popular items only, then users with at least ``min_items`` of them left.
+
+    ``ix`` is read by two passes (item ranking, then the restrictions); with
+    ``checkpoint_input`` it is checkpointed first so an expensive lineage
+    (joins of raw plays) is computed once.
+    """
+    if checkpoint_input:
+        ensure_checkpoint_dir(ix.sparkSession)
+        ix = ix.checkpoint(eager=True)
     popular = popular_items(ix, fraction, partitions)
     kept = restrict_items(ix.where(F.col(I).isNotNull()), popular)
     return restrict_users(kept, active_users(kept, min_items))

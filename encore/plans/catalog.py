@@ -189,6 +189,17 @@ def q_join_users_left(spark, d):
     return prep.count_interactions(joined)
 
 
+def q_prepare_catalogue(spark, d):
+    """The reference's preparation chain on the raw-id form: plays LEFT JOIN
+    catalogue (imputed canonical id), users LEFT JOIN plays, play counts per
+    (user, canonical item), top half of the items, users with >= 10 items."""
+    tr = impute_item_id(binding.tracks(spark, d).drop("__index_level_0__"), "recording_mbid", "recording_msid")
+    joined = prep.attach_items(binding.raw_plays(spark, d), tr, "recording_msid").select(U, "recording_mbid")
+    full = prep.attach_users(binding.users(spark, d), joined, U)
+    ix = prep.count_interactions(full, U, "recording_mbid")
+    return prep.prepare_interactions(ix, fraction=0.5, min_items=10)
+
+
 def q_union_distinct(spark, d):
     s = study(spark, d)
     return tables.union_distinct(s.train, s.val)
@@ -467,6 +478,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "join_items_left": q_join_items_left,
     "join_users_left": q_join_users_left,
     "union_distinct": q_union_distinct,
+    "prepare_catalogue": q_prepare_catalogue,
     # split and cold start
     "attach_group_size": q_attach_group_size,
     "split_train": q_split_train,

@@ -278,6 +278,22 @@ FROM customer c LEFT JOIN (
   FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
   WHERE o.o_orderdate < TIMESTAMP '1996-01-01') e ON c.c_custkey = e.user_id
 GROUP BY c.c_custkey, e.item_id""",
+    "prepare_catalogue": _with("""
+cat_plays AS (
+  SELECT o.o_custkey AS user_id, CAST(l.l_partkey AS VARCHAR) AS recording_msid
+  FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
+  WHERE o.o_orderdate < TIMESTAMP '2001-01-01')""", """
+cat_joined AS (SELECT p.user_id, t.recording_mbid FROM cat_plays p
+               LEFT JOIN tracks t ON p.recording_msid = t.recording_msid)""", """
+cat_full AS (SELECT c.c_custkey AS user_id, j.recording_mbid FROM customer c
+             LEFT JOIN cat_joined j ON c.c_custkey = j.user_id)""", """
+cat_ix AS (SELECT user_id, recording_mbid AS item_id, COUNT(*) AS interactions FROM cat_full GROUP BY 1, 2)""", """
+cat_l AS (SELECT item_id, COUNT(user_id) AS listeners FROM cat_ix WHERE item_id IS NOT NULL GROUP BY item_id)""", """
+cat_pop AS (SELECT item_id FROM (
+  SELECT item_id, row_number() OVER (ORDER BY listeners DESC, item_id ASC) AS rn FROM cat_l) r
+  WHERE rn <= (SELECT COUNT(*) // 2 FROM cat_l))""", """
+cat_pi AS (SELECT * FROM cat_ix WHERE item_id IN (SELECT item_id FROM cat_pop))""") + """SELECT * FROM cat_pi
+WHERE user_id IN (SELECT user_id FROM cat_pi GROUP BY user_id HAVING COUNT(*) >= 10)""",
     "union_distinct": _with() + "SELECT * FROM train_rows UNION SELECT * FROM val_rows",
     # split and cold start
     "attach_group_size": _with() + "SELECT user_id, item_id, interactions, rn, n, row_counts FROM labelled",

@@ -2,7 +2,8 @@
 
 ``Study`` names every intermediate frame once and checkpoints the few that
 many later steps read (interactions, popular items, the prepared set, the
-labelled split, the user ranks, the top-k list) to the reliable checkpoint
+labelled split, the user ranks, the warm training rows, the top-k list) to
+the reliable checkpoint
 directory. That cuts the lineage -- later plans start from a short scan of
 the checkpoint instead of re-analysing the whole chain -- and a lost executor
 only costs a re-read, not a recomputation from the raw tables.
@@ -114,7 +115,7 @@ class Study:
 
     @cached_property
     def train_warm(self) -> DataFrame:
-        return prep.positive_only(self.part("train_warm"))
+        return _keep(prep.positive_only(self.part("train_warm")))
 
     @cached_property
     def test_warm(self) -> DataFrame:
