@@ -6,6 +6,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from encore.operators.metrics import map_at_k
 from encore.operators.ranking import explode_recs
 from encore.session import ensure_checkpoint_dir
 
@@ -63,3 +64,27 @@ def factor_summary(model: ALSModel) -> DataFrame:
                          F.size("features").alias("dims"),
                          F.sqrt(F.aggregate("features", F.lit(0.0), lambda a, x: a + x * x)).alias("norm"))
     return side(model.userFactors, "user").unionByName(side(model.itemFactors, "item"))
+
+
+def sweep_als(train: DataFrame, labels: DataFrame, grid: list[dict], k: int = 100,
+              base: dict | None = None) -> DataFrame:
+    """(rank, reg, alpha, max_iter, users, map): one distributed fit per setting.
+
+    ``grid`` lists the settings (e.g. one parameter varied at a time); each
+    fit reads the same ``train`` (checkpoint it first) and is scored with
+    MAP@k on ``labels`` for the labelled users.
+    """
+    users = labels.select(U).distinct()
+    rows = []
+    for setting in grid:
+        cfg = dict(base or {}, **setting)
+        model = fit_als(train, **cfg)
+        m = map_at_k(labels, recommend_als(model, k, users), k)
+        rows.append(m.select(F.lit(int(cfg.get("rank", 200))).alias("rank"),
+                             F.lit(float(cfg.get("reg", 0.5))).alias("reg"),
+                             F.lit(float(cfg.get("alpha", 1.0))).alias("alpha"),
+                             F.lit(int(cfg.get("max_iter", 15))).alias("max_iter"), "users", "map"))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out

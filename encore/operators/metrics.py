@@ -78,21 +78,49 @@ def per_user_metrics(labels: DataFrame, recs: DataFrame, k: int = 100,
         raise ValueError("how must be 'inner', 'left' or 'pred'")
     ranks = F.col("_ranks")
     hits = F.size(ranks).cast("long")
-    ap_sum = F.aggregate(F.transform(ranks, lambda r, i: (i + 1).cast("double") / r.cast("double")),
-                         F.lit(0.0), lambda acc, x: acc + x)
     dcg = F.aggregate(F.transform(ranks, lambda r: F.lit(1.0) / F.log2(r.cast("double") + 1.0)),
                       F.lit(0.0), lambda acc, x: acc + x)
     m = F.least(F.col("n_labels"), F.lit(k))
     has = F.col("n_labels") > 0
     return users.select(
         U, "n_labels", hits.alias("hits"),
-        F.when(has, ap_sum / m.cast("double")).otherwise(F.lit(0.0)).alias("ap"),
+        F.when(has, _ap_of_ranks(ranks, F.col("n_labels"), k)).otherwise(F.lit(0.0)).alias("ap"),
         (hits.cast("double") / F.lit(float(k))).alias("precision"),
         F.when(has, hits.cast("double") / F.col("n_labels").cast("double")).otherwise(F.lit(0.0)).alias("recall"),
         F.when(has, dcg / F.element_at(_ideal_dcg(k), m.cast("int"))).otherwise(F.lit(0.0)).alias("ndcg"),
         F.when(hits > 0, F.lit(1.0) / F.element_at(ranks, 1).cast("double")).otherwise(F.lit(0.0)).alias("rr"))
 
 
+def _ap_of_ranks(ranks, n_labels, k: int):
+    """AP@k from the sorted hit ranks (position i = hits so far) and |labels|."""
+    ap_sum = F.aggregate(F.transform(ranks, lambda r, i: (i + 1).cast("double") / r.cast("double")),
+                         F.lit(0.0), lambda acc, x: acc + x)
+    return ap_sum / F.least(n_labels, F.lit(k)).cast("double")
+
+
+def map_per_list(labels: DataFrame, lists: DataFrame, users: DataFrame, k: int, key: str) -> DataFrame:
+    """(key, users, map): MAP@k of several global lists at once.
+
+    ``lists`` holds (key, item_id, rank), a few lists of at most k items each
+    (broadcast by construction). Hits are labels joined to all lists on the
+    item; the per-(list, user) state is the sorted hit ranks, at most k.
+    Users: labelled users that are in ``users``; users without a hit score 0.
+    """
+    n_labels = (labels.groupBy(U).agg(F.count(F.lit(1)).cast("long").alias("n_labels"))
+                      .join(users.select(U).distinct(), U, "left_semi"))
+    top = lists.where(F.col("rank") <= F.lit(k)).select(key, I, "rank")
+    hits = labels.select(U, I).join(F.broadcast(top), I)
+    ap = (hits.groupBy(key, U).agg(F.sort_array(F.collect_list("rank")).alias("_ranks"))
+              .join(n_labels, U)
+              .select(key, _ap_of_ranks(F.col("_ranks"), F.col("n_labels"), k).alias("ap")))
+    n_users = n_labels.agg(F.count(F.lit(1)).cast("long")).scalar()
+    summed = ap.groupBy(key).agg(F.sum("ap").alias("_sum"))
+    return (lists.select(key).distinct().join(summed, key, "left")
+                 .select(key, n_users.alias("users"),
+                         F.when(n_users > 0, F.coalesce(F.col("_sum"), F.lit(0.0)) / n_users.cast("double"))
+                          .otherwise(F.lit(0.0)).alias("map")))
+
+
 def summarize(per_user: DataFrame) -> DataFrame:
     """One row: users and the mean of every per-user metric."""
     return per_user.agg(F.count(F.lit(1)).cast("long").alias("users"),

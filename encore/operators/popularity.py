@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from encore.functions.columns import smoothed_mean
+from encore.operators.metrics import map_per_list
+from encore.session import ensure_checkpoint_dir
 
 U, I, N = "user_id", "item_id", "interactions"
 
@@ -65,3 +67,22 @@ def top_k_per_beta(ix: DataFrame, betas: list[float], k: int = 100) -> DataFrame
     return (expanded.withColumn("rank", F.row_number().over(w).cast("long"))
                     .where(F.col("rank") <= F.lit(k))
                     .select("beta", I, "score", "rank"))
+
+
+def sweep_popularity(train: DataFrame, segments: dict[str, tuple[DataFrame, DataFrame]],
+                     betas: list[float], k: int = 100) -> DataFrame:
+    """(beta, segment, users, map): MAP@k of the popularity list for every beta.
+
+    ``segments`` maps a name to (labels, users): the ground truth (user_id,
+    item_id) and the users asked to be scored. The lists of all betas are
+    built in one job from one item aggregation and checkpointed; each segment
+    is scored against all of them at once.
+    """
+    ensure_checkpoint_dir(train.sparkSession)
+    lists = top_k_per_beta(train, betas, k).checkpoint(eager=True)
+    rows = [map_per_list(labels, lists, users, k, "beta").withColumn("segment", F.lit(name))
+            for name, (labels, users) in segments.items()]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out.select("beta", "segment", "users", "map")

@@ -394,9 +394,7 @@ def q_coo_triples(spark, d):
 
 # ------------------------------------------------------------------ ALS (rows-only checks)
 def _als_model(s: Study):
-    if not hasattr(s, "_als_model"):
-        s._als_model = als.fit_als(s.train_warm.select(U, I, N), **s.p.als)
-    return s._als_model
+    return s.als_model
 
 
 def q_als_factors(spark, d):
@@ -424,17 +422,8 @@ def q_als_map(spark, d):
 
 def q_als_sweep(spark, d):
     s = study(spark, d)
-    labels = s.labels("val_warm")
-    users = labels.select(U).distinct()
-    rows = []
-    base = dict(s.p.als)
-    for rank, reg, alpha in ((4, 0.5, 1.0), (8, 0.1, 1.0), (8, 0.5, 10.0)):
-        cfg = dict(base, rank=rank, reg=reg, alpha=alpha)
-        model = als.fit_als(s.train_warm.select(U, I, N), **cfg)
-        m = metrics.map_at_k(labels, als.recommend_als(model, s.p.k, users), s.p.k)
-        rows.append(m.select(F.lit(rank).alias("rank"), F.lit(reg).alias("reg"),
-                             F.lit(alpha).alias("alpha"), "users", "map"))
-    return rounded(report.compare_models(rows))
+    grid = [dict(rank=4), dict(rank=8, reg=0.1), dict(rank=8, alpha=10.0)]
+    return rounded(als.sweep_als(s.train_warm.select(U, I, N), s.labels("val_warm"), grid, s.p.k, base=s.p.als))
 
 
 def q_model_report(spark, d):

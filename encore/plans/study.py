@@ -17,7 +17,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.operators import metrics, popularity, prep, ranking, split
+from encore.operators import als, metrics, popularity, prep, ranking, split
 from encore.plans import binding
 from encore.session import ensure_checkpoint_dir
 
@@ -161,33 +161,14 @@ class Study:
         return metrics.map_at_k(ranking.true_top_k(truth, self.p.k), self.top, self.p.k, users)
 
     def beta_sweep(self) -> DataFrame:
-        """(beta, segment, users, map) for the validation segments, one job per segment."""
-        tops = _keep(popularity.top_k_per_beta(self.train_warm, list(self.p.betas), self.p.k))
-        rows = []
+        """(beta, segment, users, map) on the validation segments."""
+        segments = {}
         for name in ("val_warm", "val_cold"):
             truth, users = self.segment(name)
-            labels = ranking.true_top_k(truth, self.p.k).select(U, I)
-            rows.append(_sweep_map(labels, tops, users, self.p.k).withColumn("segment", F.lit(name)))
-        return rows[0].unionByName(rows[1]).select("beta", "segment", "users", "map")
-
-
-def _sweep_map(labels: DataFrame, tops: DataFrame, users: DataFrame, k: int) -> DataFrame:
-    """MAP@k of every beta's list at once: hits = labels JOIN (beta, item, rank)
-    on item (the lists hold |betas| * k rows), grouped per (beta, user)."""
-    from pyspark.sql import Window
-    n_labels = (labels.groupBy(U).agg(F.count(F.lit(1)).cast("long").alias("n_labels"))
-                      .join(users.select(U).distinct(), U, "left_semi"))
-    betas = tops.select("beta").distinct()
-    hits = (labels.join(F.broadcast(tops), I).join(n_labels.select(U), U, "left_semi"))
-    w = Window.partitionBy("beta", U).orderBy("rank")
-    ap = (hits.withColumn("_cnt", F.row_number().over(w))
-              .groupBy("beta", U)
-              .agg(F.sum(F.col("_cnt").cast("double") / F.col("rank").cast("double")).alias("_s"))
-              .join(n_labels, U)
-              .select("beta", (F.col("_s") / F.least(F.col("n_labels"), F.lit(k)).cast("double")).alias("ap")))
-    n_users = n_labels.agg(F.count(F.lit(1)).cast("long")).scalar()
-    summed = ap.groupBy("beta").agg(F.sum("ap").alias("_sum"))
-    return (betas.join(summed, "beta", "left")
-                 .select("beta", n_users.alias("users"),
-                         F.when(n_users > 0, F.coalesce(F.col("_sum"), F.lit(0.0)) / n_users.cast("double"))
-                          .otherwise(F.lit(0.0)).alias("map")))
+            segments[name] = (ranking.true_top_k(truth, self.p.k).select(U, I), users)
+        return popularity.sweep_popularity(self.train_warm, segments, list(self.p.betas), self.p.k)
+
+    @cached_property
+    def als_model(self):
+        """Implicit ALS on the warm training rows with ``Params.als``."""
+        return als.fit_als(self.train_warm.select(U, I, N), **self.p.als)
