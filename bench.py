@@ -21,7 +21,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     from encore.session import get_session
-    conf = {"spark.driver.memory": "16g"}
+    conf = {"spark.driver.memory": "16g", "spark.sql.files.maxPartitionBytes": os.environ.get("BENCH_SPLIT", "128m")}
     if os.environ.get("BENCH_EVENT_LOG"):
         conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
     spark = get_session(f"local[{cpus}]", app="encore-bench", shuffle_partitions=int(cpus), conf=conf)

@@ -21,6 +21,10 @@ from encore.functions.ordering import value_histogram_ranks
 U, I, N = "user_id", "item_id", "interactions"
 
 DEFAULT_HOT_ROWS = 1_000_000
+# At most this many users are treated as heavy, whatever the data size: the
+# heavy-user list is broadcast (a shuffle join would hash the rows by user and
+# put a hot user back into one task), so its size is bounded by construction.
+MAX_HEAVY_USERS = 100_000
 
 
 def label_split(ix: DataFrame, fraction: float = 0.8, seed=42, hot_rows: int = DEFAULT_HOT_ROWS,
@@ -32,9 +36,12 @@ def label_split(ix: DataFrame, fraction: float = 0.8, seed=42, hot_rows: int = D
     Train rows are ``rn <= row_counts``, validation rows the rest.
     """
     sizes = ix.groupBy(user).agg(F.count(F.lit(1)).alias("_n"))
-    # Sub-group prefix length for heavy users: 16**d groups of <= hot_rows rows.
-    # Bounded broadcast: there are at most |ix| / hot_rows heavy users.
-    heavy = (sizes.where(F.col("_n") > F.lit(hot_rows))
+    # Heavy: more than max(hot_rows, |ix| / MAX_HEAVY_USERS) rows, so at most
+    # MAX_HEAVY_USERS users qualify. A heavy user's rows go to 16**d
+    # sub-groups of about hot_rows rows each.
+    total = sizes.agg(F.sum("_n")).scalar()
+    threshold = F.greatest(F.lit(float(hot_rows)), total.cast("double") / F.lit(float(MAX_HEAVY_USERS)))
+    heavy = (sizes.where(F.col("_n") > threshold)
                   .select(user, F.ceil(F.log(16.0, F.col("_n") / F.lit(float(hot_rows)))).cast("int")
                           .alias("_d")))
     x = (ix.withColumn("_h", hash_order_key(seed, user, item))
