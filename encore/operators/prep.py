@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from encore.functions.columns import (ACTIVITY_EDGES, ACTIVITY_LABELS, LISTENER_EDGES,
                                       LISTENER_LABELS, bucketize, exact_fraction)
 from encore.functions.ordering import global_row_number, value_histogram_ranks
-from encore.session import ensure_checkpoint_dir
+from encore.sources.tables import materialize
 
 U, I, N = "user_id", "item_id", "interactions"
 
@@ -83,8 +83,7 @@ def popular_items(ix: DataFrame, fraction: float = 0.03, partitions: int | None
     Returns (item_id, listeners).
     """
     # One row per item, read three times below (histogram, head, ties).
-    ensure_checkpoint_dir(ix.sparkSession)
-    listeners = item_listeners(ix).checkpoint(eager=True)
+    listeners = materialize(item_listeners(ix), "listeners")
     hist = value_histogram_ranks(listeners, "listeners", descending=True, partitions=partitions)
     q = exact_fraction(fraction)
     # n = floor(fraction * N) as a scalar subquery; one action returns the
@@ -123,12 +122,11 @@ def prepare_interactions(ix: DataFrame, fraction: float = 0.03, min_items: int =
     """Popular items only, then users with at least ``min_items`` of them left.
 
     ``ix`` is read by two passes (item ranking, then the restrictions); with
-    ``checkpoint_input`` it is checkpointed first so an expensive lineage
-    (joins of raw plays) is computed once.
+    ``checkpoint_input`` it is first written as a table in the checkpoint
+    folder, so an expensive lineage (joins of raw plays) is computed once.
     """
     if checkpoint_input:
-        ensure_checkpoint_dir(ix.sparkSession)
-        ix = ix.checkpoint(eager=True)
+        ix = materialize(ix, "interactions")
     popular = popular_items(ix, fraction, partitions)
     kept = restrict_items(ix.where(F.col(I).isNotNull()), popular)
     return restrict_users(kept, active_users(kept, min_items))

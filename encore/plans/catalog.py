@@ -19,7 +19,6 @@ from encore.functions.columns import conform, impute_item_id
 from encore.operators import als, index, metrics, popularity, prep, ranking, report, split
 from encore.plans import binding
 from encore.plans.study import Params, Study
-from encore.session import ensure_checkpoint_dir
 from encore.sources import tables
 
 U, I, N = "user_id", "item_id", "interactions"
@@ -44,11 +43,6 @@ def as_text(col: str):
     return F.array_join(F.transform(F.col(col), lambda x: x.cast("string")), ",")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the reliable checkpoint directory (shared storage)."""
-    return f"{ensure_checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
-
-
 # ------------------------------------------------------------------ sources
 def q_scan_interactions(spark, d):
     return tables.read_table(spark, f"{d}/lineitem.parquet").select("l_orderkey", "l_partkey", "l_quantity")
@@ -61,7 +55,7 @@ def q_scan_typed(spark, d):
 
 def q_scan_multi(spark, d):
     s = study(spark, d)
-    base = scratch_path(spark, "split")
+    base = tables.scratch_path(spark, "split")
     tables.write_table(s.train, f"{base}/train", mode="overwrite")
     tables.write_table(s.val, f"{base}/val", mode="overwrite")
     return tables.read_table(spark, [f"{base}/train", f"{base}/val"])
@@ -69,7 +63,7 @@ def q_scan_multi(spark, d):
 
 def q_sink_roundtrip(spark, d):
     s = study(spark, d)
-    path = scratch_path(spark, "interactions")
+    path = tables.scratch_path(spark, "interactions")
     tables.write_table(s.ix.repartition(4, U), path, mode="overwrite")
     return tables.read_table(spark, path, schema="user_id BIGINT, item_id BIGINT, interactions BIGINT")
 

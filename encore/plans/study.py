@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from encore.operators import als, metrics, popularity, prep, ranking, split
 from encore.plans import binding
-from encore.session import ensure_checkpoint_dir
+from encore.sources.tables import materialize
 
 U, I, N = "user_id", "item_id", "interactions"
 SEGMENTS = ("val_warm", "val_cold", "test_warm", "test_cold")
@@ -46,9 +46,8 @@ class Params:
                      tuple(sorted(self.als.items()))))
 
 
-def _keep(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _keep(df: DataFrame, name: str) -> DataFrame:
+    return materialize(df, name)
 
 
 class Study:
@@ -58,16 +57,16 @@ class Study:
     # ------------------------------------------------------------ inputs
     @cached_property
     def ix(self) -> DataFrame:
-        return _keep(binding.history_interactions(self.spark, self.sf_dir, self.p.test_cut))
+        return _keep(binding.history_interactions(self.spark, self.sf_dir, self.p.test_cut), "interactions")
 
     @cached_property
     def test(self) -> DataFrame:
-        return _keep(prep.positive_only(binding.test_interactions(self.spark, self.sf_dir, self.p.test_cut)))
+        return _keep(prep.positive_only(binding.test_interactions(self.spark, self.sf_dir, self.p.test_cut)), "test")
 
     # ------------------------------------------------------------ preparation
     @cached_property
     def popular(self) -> DataFrame:
-        return _keep(prep.popular_items(self.ix, self.p.fraction))
+        return _keep(prep.popular_items(self.ix, self.p.fraction), "popular")
 
     @cached_property
     def popular_ix(self) -> DataFrame:
@@ -79,12 +78,12 @@ class Study:
 
     @cached_property
     def core(self) -> DataFrame:
-        return _keep(prep.restrict_users(self.popular_ix, self.active))
+        return _keep(prep.restrict_users(self.popular_ix, self.active), "core")
 
     # ------------------------------------------------------------ split
     @cached_property
     def labelled(self) -> DataFrame:
-        return _keep(split.label_split(self.core, self.p.train_fraction, self.p.seed, self.p.hot_rows))
+        return _keep(split.label_split(self.core, self.p.train_fraction, self.p.seed, self.p.hot_rows), "labelled")
 
     @cached_property
     def train(self) -> DataFrame:
@@ -96,7 +95,7 @@ class Study:
 
     @cached_property
     def user_ranks(self) -> DataFrame:
-        return _keep(split.user_percent_rank(self.core))
+        return _keep(split.user_percent_rank(self.core), "user_ranks")
 
     @cached_property
     def cold_users(self) -> DataFrame:
@@ -115,7 +114,7 @@ class Study:
 
     @cached_property
     def train_warm(self) -> DataFrame:
-        return _keep(prep.positive_only(self.part("train_warm")))
+        return _keep(prep.positive_only(self.part("train_warm")), "train_warm")
 
     @cached_property
     def test_warm(self) -> DataFrame:
@@ -132,7 +131,7 @@ class Study:
 
     @cached_property
     def top(self) -> DataFrame:
-        return _keep(popularity.top_k(self.pop, self.p.k))
+        return _keep(popularity.top_k(self.pop, self.p.k), "top")
 
     # ------------------------------------------------------------ evaluation
     def segment(self, name: str) -> tuple[DataFrame, DataFrame]:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from encore.session import ensure_checkpoint_dir
+
 
 def _schema_fields(schema) -> list[tuple[str, str]]:
     if isinstance(schema, StructType):
@@ -44,6 +47,25 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists",
     return path
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the reliable checkpoint directory (shared storage)."""
+    return f"{ensure_checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()``, but the stage is stored columnar
+    and compressed, and later reads get column pruning, filter pushdown into
+    row groups and file-size statistics for AQE. Row order and partitioning
+    are not kept (use ``checkpoint()`` where they matter).
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def register(df: DataFrame, name: str) -> str:
     """Temp view so SQL text and DataFrame code can be mixed."""
     df.createOrReplaceTempView(name)
