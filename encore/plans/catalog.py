@@ -391,6 +391,19 @@ def _als_model(s: Study):
     return s.als_model
 
 
+def q_als_indexed_recs(spark, d):
+    """String item ids through the dictionary into ALS and back: the prepared
+    catalogue interactions are split, indexed (frequency order, unseen -> n),
+    fitted on the int indices and the top k are mapped back to the labels."""
+    s = study(spark, d)
+    ix = tables.materialize(q_prepare_catalogue(spark, d), "catalogue_core")
+    train, _ = split.train_val_split(ix, s.p.train_fraction, s.p.seed)
+    idx = index.fit_item_index(ix)
+    model = als.fit_als(index.apply_item_index(train, idx), item="item_idx", **s.p.als)
+    recs = als.recommend_als(model, s.p.k).withColumnRenamed(I, "item_idx")
+    return recs.join(idx.select("item_idx", F.col(I).alias("recording_mbid")), "item_idx").drop("item_idx")
+
+
 def q_als_factors(spark, d):
     return als.factor_summary(_als_model(study(spark, d)))
 
@@ -516,5 +529,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_recs_all": q_als_recs_all,
     "als_map": q_als_map,
     "als_sweep": q_als_sweep,
+    "als_indexed_recs": q_als_indexed_recs,
     "model_report": q_model_report,
 }

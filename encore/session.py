@@ -39,6 +39,27 @@ def get_session(master: str | None = None, app: str = "encore",
     return spark
 
 
+def cluster_conf(shuffle_bytes: float, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 << 20) -> dict:
+    """Shuffle and scan sizing for a cluster run, from the largest shuffle's size.
+
+    AQE starts from ``initialPartitionNum`` partitions and merges them towards
+    the advisory size, so the initial number is set high enough that each
+    partition of the largest shuffle is about ``target_partition_bytes`` (fits
+    an executor task's memory without spilling much), and never below two
+    waves of the cluster's cores.
+    """
+    slots = executors * cores_per_executor
+    partitions = max(2 * slots, int(shuffle_bytes // target_partition_bytes) + 1)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory of the session.
 

@@ -32,3 +32,11 @@ def test_bucketize_edges(spark):
 def test_smoothed_mean(spark):
     df = spark.createDataFrame([(30, 2)], "t long, n long")
     assert df.select(smoothed_mean("t", "n", 8)).first()[0] == 3.0
+
+
+def test_cluster_conf_sizes_partitions():
+    from encore.session import cluster_conf
+    conf = cluster_conf(100 * 2**40, executors=1000, cores_per_executor=8)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20) + 1
+    small = cluster_conf(2**30, executors=10, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80
