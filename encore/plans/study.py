@@ -1,12 +1,12 @@
 """End-to-end offline evaluation over one dataset: prepare, split, model, score.
 
-``Study`` names every intermediate frame once and checkpoints the few that
-many later steps read (interactions, popular items, the prepared set, the
-labelled split, the user ranks, the warm training rows, the top-k list) to
-the reliable checkpoint
-directory. That cuts the lineage -- later plans start from a short scan of
-the checkpoint instead of re-analysing the whole chain -- and a lost executor
-only costs a re-read, not a recomputation from the raw tables.
+``Study`` names every intermediate frame once and writes the few that many
+later steps read (interactions, popular items, the prepared set, the labelled
+split, the user ranks, the warm training rows, the test set, the top-k list)
+as Parquet tables under the reliable checkpoint directory. That cuts the
+lineage -- later plans start from a short, prunable scan instead of
+re-analysing the whole chain -- and a lost executor only costs a re-read, not
+a recomputation from the raw tables.
 """
 
 from __future__ import annotations

@@ -1,7 +1,5 @@
 """The driver contract end to end on sf0.001: every key against its DuckDB SQL."""
 
-import pytest
-
 from tests.oracle_compare import compare
 
 SF = "/root/testdata/sf0.001"
