@@ -362,6 +362,17 @@ def q_popularity_report(spark, d):
     return rounded(report.compare_models(rows))
 
 
+def q_popularity_metrics_report(spark, d):
+    """MAP, precision, recall, NDCG and MRR of the popularity list on every segment."""
+    s = study(spark, d)
+    rows = []
+    for seg in ("val_warm", "val_cold", "test_warm", "test_cold"):
+        summary = metrics.summarize(s.popularity_metrics(seg))
+        rows += [report.metric_row(summary, "popularity", seg, m, s.p.k)
+                 for m in ("map", "precision", "recall", "ndcg", "mrr")]
+    return rounded(report.compare_models(rows))
+
+
 # ------------------------------------------------------------------ dictionaries
 def q_item_index(spark, d):
     return index.fit_item_index(study(spark, d).core).select(I, "item_idx")
@@ -518,6 +529,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mrr": q_mrr,
     "auc_popularity": q_auc_popularity,
     "popularity_report": q_popularity_report,
+    "popularity_metrics_report": q_popularity_metrics_report,
     # dictionaries
     "item_index": q_item_index,
     "item_index_unseen": q_item_index_unseen,

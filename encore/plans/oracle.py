@@ -210,6 +210,18 @@ def _popularity_report() -> str:
     return _with(*ctes) + "\nUNION ALL\n".join(selects)
 
 
+def _popularity_metrics_report() -> str:
+    ctes, selects = [], []
+    for i, name in enumerate(("val_warm", "val_cold", "test_warm", "test_cold")):
+        ctes.append(_metric_ctes(name, f"_{i}"))
+        for metric, col in (("map", "ap"), ("precision", "precision"), ("recall", "recall"),
+                            ("ndcg", "ndcg"), ("mrr", "rr")):
+            selects.append(f"SELECT 'popularity' AS model, '{name}' AS segment, '{metric}' AS metric, "
+                           f"CAST({K} AS INTEGER) AS k, CAST(COUNT(*) AS BIGINT) AS users, "
+                           f"ROUND(COALESCE(AVG({col}), 0.0), 9) AS value FROM pu_{i}")
+    return _with(*ctes) + "\nUNION ALL\n".join(selects)
+
+
 ORACLE_SQL: dict[str, str] = {
     # sources / sinks
     "scan_interactions": "SELECT l_orderkey, l_partkey, l_quantity FROM lineitem",
@@ -372,6 +384,7 @@ nn AS (SELECT COUNT(*) AS n FROM pop_scores)""") + """SELECT CAST(COUNT(*) AS BI
   ROUND(COALESCE(AVG((s - CAST(m * (m + 1) AS DOUBLE) / 2.0) / (CAST(m AS DOUBLE) * CAST(n - m AS DOUBLE))), 0.0), 9)
   AS auc FROM pu, nn WHERE m > 0 AND m < n""",
     "popularity_report": _popularity_report(),
+    "popularity_metrics_report": _popularity_metrics_report(),
     # dictionaries
     "item_index": _with() + "SELECT item_id, item_idx FROM item_dict",
     "item_index_unseen": _with() + """SELECT t.user_id, t.item_id,

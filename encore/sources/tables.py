@@ -63,7 +63,8 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    # The schema is known: no footer reads to infer it again.
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def register(df: DataFrame, name: str) -> str:
