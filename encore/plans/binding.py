@@ -42,6 +42,23 @@ def plays(spark: SparkSession, sf_dir: str, start: str | None = None, end: str |
                           F.col("l_quantity").alias("quantity")))
 
 
+def interactions_by_period(spark: SparkSession, sf_dir: str, cut: str = TEST_CUT) -> DataFrame:
+    """(user_id, item_id, interactions, period): history and test from ONE join.
+
+    ``period`` is 'history' before the cut and 'test' from it; lineitem (the
+    largest table) is scanned and shuffled once for both sets.
+    """
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    period = F.when(F.col("o_orderdate") < _ts(cut), F.lit("history")).otherwise(F.lit("test"))
+    joined = (orders.where(F.col("o_orderdate").isNotNull())
+                    .join(lines, orders.o_orderkey == lines.l_orderkey)
+                    .select(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"),
+                            F.col("l_quantity").alias("quantity"), period.alias("period")))
+    return (joined.groupBy("user_id", "item_id", "period")
+                  .agg(F.sum("quantity").cast("long").alias("interactions")))
+
+
 def history_interactions(spark: SparkSession, sf_dir: str, cut: str = TEST_CUT) -> DataFrame:
     """(user_id, item_id, interactions = summed quantity) before the test cut."""
     return count_interactions(plays(spark, sf_dir, end=cut), weight="quantity")

@@ -55,13 +55,19 @@ class Study:
         self.spark, self.sf_dir, self.p = spark, sf_dir, params or Params()
 
     # ------------------------------------------------------------ inputs
+    @cached_property
+    def interactions(self) -> DataFrame:
+        """History and test interactions from one join, stored by period."""
+        return materialize(binding.interactions_by_period(self.spark, self.sf_dir, self.p.test_cut),
+                           "interactions", partition_by=["period"])
+
     @cached_property
     def ix(self) -> DataFrame:
-        return _keep(binding.history_interactions(self.spark, self.sf_dir, self.p.test_cut), "interactions")
+        return self.interactions.where(F.col("period") == "history").select(U, I, N)
 
     @cached_property
     def test(self) -> DataFrame:
-        return _keep(prep.positive_only(binding.test_interactions(self.spark, self.sf_dir, self.p.test_cut)), "test")
+        return prep.positive_only(self.interactions.where(F.col("period") == "test").select(U, I, N))
 
     # ------------------------------------------------------------ preparation
     @cached_property

@@ -52,17 +52,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
     Cuts the lineage like ``checkpoint()``, but the stage is stored columnar
     and compressed, and later reads get column pruning, filter pushdown into
-    row groups and file-size statistics for AQE. Row order and partitioning
-    are not kept (use ``checkpoint()`` where they matter).
+    row groups and file-size statistics for AQE. With ``partition_by`` the
+    table is split into directories, and a filter on those columns reads only
+    the matching ones. Row order and partitioning are not kept (use
+    ``checkpoint()`` where they matter).
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(path)
     # The schema is known: no footer reads to infer it again.
     return spark.read.schema(df.schema).parquet(path)
 
