@@ -13,6 +13,20 @@ from encore.session import ensure_checkpoint_dir
 U, I, N = "user_id", "item_id", "interactions"
 INT_MIN, INT_MAX = -(2**31), 2**31 - 1
 
+# The reference's ALS configuration and its tuning axes.
+REFERENCE_ALS = dict(rank=200, reg=0.5, alpha=1.0, max_iter=15, user_blocks=100, item_blocks=100)
+REFERENCE_AXES = {
+    "rank": [10, 50, 100, 150, 200],
+    "reg": [0.1, 0.5, 0.8, 1.0],
+    "alpha": [0.1, 0.5, 1.0, 10.0],
+    "max_iter": [10, 12, 15, 20],
+}
+
+
+def one_at_a_time_grid(axes: dict[str, list]) -> list[dict]:
+    """Settings that vary one parameter at a time (the others at the base values)."""
+    return [{name: value} for name, values in axes.items() for value in values]
+
 
 def check_int_ids(df: DataFrame, cols: list[str]) -> None:
     """Raise before fitting if an id does not fit ALS's int ids (one aggregate)."""

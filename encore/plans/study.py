@@ -36,6 +36,7 @@ class Params:
     k: int = 10                    # list length and label depth
     hot_rows: int = 1_000_000      # per-user rows above which the split salts
     test_cut: str = binding.TEST_CUT
+    # The reference's beta grid.
     betas: tuple = (1.0, 100.0, 1000.0, 5000.0, 10000.0, 20000.0, 100000.0, 1000000.0)
     als: dict = field(default_factory=lambda: dict(rank=8, reg=0.5, alpha=1.0, max_iter=5,
                                                    user_blocks=4, item_blocks=4, seed=42))
