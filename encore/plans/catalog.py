@@ -264,6 +264,10 @@ def q_small_train(spark, d):
     return tables.head_rows(study(spark, d).train, [F.col(U), F.col(I)], 1000)
 
 
+def q_small_val(spark, d):
+    return tables.head_rows(study(spark, d).val, [F.col(U), F.col(I)], 250)
+
+
 # ------------------------------------------------------------------ ranking / popularity
 def q_true_top_k(spark, d):
     return study(spark, d).labels("val_warm")
@@ -505,6 +509,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "test_cold": q_test_cold,
     "test_cold_listed": q_test_cold_listed,
     "small_train": q_small_train,
+    "small_val": q_small_val,
     # ranking and popularity
     "true_top_k": q_true_top_k,
     "true_arrays": q_true_arrays,

@@ -329,6 +329,7 @@ WHERE user_id IN (SELECT user_id FROM cat_pi GROUP BY user_id HAVING COUNT(*) >=
     "test_cold_listed": _with() + ("SELECT * FROM test_rows WHERE user_id IN (SELECT user_id FROM popular_ix "
                                    "GROUP BY user_id HAVING COUNT(*) < 10)"),
     "small_train": _with() + "SELECT * FROM train_rows ORDER BY user_id, item_id LIMIT 1000",
+    "small_val": _with() + "SELECT * FROM val_rows ORDER BY user_id, item_id LIMIT 250",
     # ranking and popularity
     "true_top_k": _with() + f"""SELECT * FROM (
   SELECT user_id, item_id, interactions, total_interactions, percent_rank,
