@@ -1,8 +1,8 @@
 """End-to-end offline evaluation over one dataset: prepare, split, model, score.
 
 ``Study`` names every intermediate frame once and writes the few that many
-later steps read (interactions, popular items, the prepared set, the labelled
-split, the user ranks, the warm training rows, the test set, the top-k list)
+later steps read (interactions by period, the prepared set, the labelled
+split, the user ranks, the warm training rows, the top-k list)
 as Parquet tables under the reliable checkpoint directory. That cuts the
 lineage -- later plans start from a short, prunable scan instead of
 re-analysing the whole chain -- and a lost executor only costs a re-read, not
@@ -73,7 +73,8 @@ class Study:
     # ------------------------------------------------------------ preparation
     @cached_property
     def popular(self) -> DataFrame:
-        return _keep(prep.popular_items(self.ix, self.p.fraction), "popular")
+        # Built from materialised pieces (listener table, ranked tie group).
+        return prep.popular_items(self.ix, self.p.fraction)
 
     @cached_property
     def popular_ix(self) -> DataFrame:

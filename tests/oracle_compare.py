@@ -89,10 +89,17 @@ def compare(spark, sf_dir: str, keys=None, con=None, verbose=True) -> dict:
 
 
 if __name__ == "__main__":
-    from encore.session import get_session
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    keys = sys.argv[2:] or None
-    spark = get_session("local[8]", shuffle_partitions=8)
+    args = [a for a in sys.argv[1:] if a != "--vanilla"]
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    keys = args[1:] or None
+    if "--vanilla" in sys.argv:
+        # A plain session, as a caller that knows nothing of encore's defaults builds it.
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+    else:
+        from encore.session import get_session
+        spark = get_session("local[8]", shuffle_partitions=8)
     res = compare(spark, sf, keys)
     bad = {k: v for k, v in res.items() if v[0] not in ("OK", "ROWS_ONLY")}
     print("SUMMARY", len(res), "keys,", len(bad), "not ok:", sorted(bad))
