@@ -28,13 +28,16 @@ def duck(sf_dir: str):
     return con
 
 
+STRICT = "--strict" in sys.argv
+
+
 def _norm(v):
     if v is None:
         return "NULL"
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return repr(round(v, 9) + 0.0)
+        return repr(v + 0.0) if STRICT else repr(round(v, 9) + 0.0)
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return repr(v)
@@ -89,7 +92,7 @@ def compare(spark, sf_dir: str, keys=None, con=None, verbose=True) -> dict:
 
 
 if __name__ == "__main__":
-    args = [a for a in sys.argv[1:] if a != "--vanilla"]
+    args = [a for a in sys.argv[1:] if a not in ("--vanilla", "--strict")]
     sf = args[0] if args else "/root/testdata/sf0.01"
     keys = args[1:] or None
     if "--vanilla" in sys.argv:
