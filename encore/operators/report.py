@@ -16,5 +16,14 @@ def metric_row(summary: DataFrame, model: str, segment: str, metric: str, k: int
                           F.col("users"), F.col(column or metric).cast("double").alias("value"))
 
 
+def metric_rows(summary: DataFrame, model: str, segment: str, k: int,
+                metrics: list[str]) -> DataFrame:
+    """All ``metrics`` of a one-row summary as rows, computing the summary once."""
+    long = summary.select("users", *[F.col(m).cast("double").alias(m) for m in metrics]).unpivot(
+        ["users"], metrics, "metric", "value")
+    return long.select(F.lit(model).alias("model"), F.lit(segment).alias("segment"), "metric",
+                       F.lit(k).cast("int").alias("k"), "users", "value")
+
+
 def compare_models(rows: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), rows)

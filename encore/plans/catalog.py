@@ -372,8 +372,8 @@ def q_popularity_metrics_report(spark, d):
     rows = []
     for seg in ("val_warm", "val_cold", "test_warm", "test_cold"):
         summary = metrics.summarize(s.popularity_metrics(seg))
-        rows += [report.metric_row(summary, "popularity", seg, m, s.p.k)
-                 for m in ("map", "precision", "recall", "ndcg", "mrr")]
+        rows.append(report.metric_rows(summary, "popularity", seg, s.p.k,
+                                       ["map", "precision", "recall", "ndcg", "mrr"]))
     return rounded(report.compare_models(rows))
 
 
