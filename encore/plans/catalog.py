@@ -449,11 +449,15 @@ def q_als_sweep(spark, d):
 
 
 def q_model_report(spark, d):
+    """Popularity vs ALS on warm validation users: all five ranking metrics."""
     s = study(spark, d)
     labels = s.labels("val_warm")
     recs = als.recommend_als(_als_model(s), s.p.k, labels.select(U).distinct())
-    rows = [report.metric_row(s.popularity_map("val_warm"), "popularity", "val_warm", "map", s.p.k),
-            report.metric_row(metrics.map_at_k(labels, recs, s.p.k), "als", "val_warm", "map", s.p.k)]
+    names = ["map", "precision", "recall", "ndcg", "mrr"]
+    rows = [report.metric_rows(metrics.summarize(s.popularity_metrics("val_warm")), "popularity", "val_warm",
+                               s.p.k, names),
+            report.metric_rows(metrics.summarize(metrics.per_user_metrics(labels, recs, s.p.k)), "als",
+                               "val_warm", s.p.k, names)]
     return rounded(report.compare_models(rows))
 
 

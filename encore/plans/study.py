@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from encore.operators import als, metrics, popularity, prep, ranking, split
 from encore.plans import binding
-from encore.sources.tables import materialize
+from encore.sources.tables import delete_path, materialize
 
 U, I, N = "user_id", "item_id", "interactions"
 SEGMENTS = ("val_warm", "val_cold", "test_warm", "test_cold")
@@ -47,20 +47,26 @@ class Params:
                      tuple(sorted(self.als.items()))))
 
 
-def _keep(df: DataFrame, name: str) -> DataFrame:
-    return materialize(df, name)
-
-
 class Study:
     def __init__(self, spark: SparkSession, sf_dir: str, params: Params | None = None):
         self.spark, self.sf_dir, self.p = spark, sf_dir, params or Params()
+        self.tables: list[str] = []
+
+    def _keep(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+        return materialize(df, name, partition_by, written=self.tables)
+
+    def release(self) -> int:
+        """Delete the stage tables this study wrote; frames built on them become invalid."""
+        deleted = sum(delete_path(self.spark, path) for path in self.tables)
+        self.tables.clear()
+        return deleted
 
     # ------------------------------------------------------------ inputs
     @cached_property
     def interactions(self) -> DataFrame:
         """History and test interactions from one join, stored by period."""
-        return materialize(binding.interactions_by_period(self.spark, self.sf_dir, self.p.test_cut),
-                           "interactions", partition_by=["period"])
+        return self._keep(binding.interactions_by_period(self.spark, self.sf_dir, self.p.test_cut),
+                          "interactions", partition_by=["period"])
 
     @cached_property
     def ix(self) -> DataFrame:
@@ -86,12 +92,12 @@ class Study:
 
     @cached_property
     def core(self) -> DataFrame:
-        return _keep(prep.restrict_users(self.popular_ix, self.active), "core")
+        return self._keep(prep.restrict_users(self.popular_ix, self.active), "core")
 
     # ------------------------------------------------------------ split
     @cached_property
     def labelled(self) -> DataFrame:
-        return _keep(split.label_split(self.core, self.p.train_fraction, self.p.seed, self.p.hot_rows), "labelled")
+        return self._keep(split.label_split(self.core, self.p.train_fraction, self.p.seed, self.p.hot_rows), "labelled")
 
     @cached_property
     def train(self) -> DataFrame:
@@ -103,7 +109,7 @@ class Study:
 
     @cached_property
     def user_ranks(self) -> DataFrame:
-        return _keep(split.user_percent_rank(self.core), "user_ranks")
+        return self._keep(split.user_percent_rank(self.core), "user_ranks")
 
     @cached_property
     def cold_users(self) -> DataFrame:
@@ -122,7 +128,7 @@ class Study:
 
     @cached_property
     def train_warm(self) -> DataFrame:
-        return _keep(prep.positive_only(self.part("train_warm")), "train_warm")
+        return self._keep(prep.positive_only(self.part("train_warm")), "train_warm")
 
     @cached_property
     def test_warm(self) -> DataFrame:
@@ -139,7 +145,7 @@ class Study:
 
     @cached_property
     def top(self) -> DataFrame:
-        return _keep(popularity.top_k(self.pop, self.p.k), "top")
+        return self._keep(popularity.top_k(self.pop, self.p.k), "top")
 
     # ------------------------------------------------------------ evaluation
     def segment(self, name: str) -> tuple[DataFrame, DataFrame]:

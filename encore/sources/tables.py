@@ -52,7 +52,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "stage", partition_by: list[str] | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", partition_by: list[str] | None = None,
+                written: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
     Cuts the lineage like ``checkpoint()``, but the stage is stored columnar
@@ -60,16 +61,27 @@ def materialize(df: DataFrame, name: str = "stage", partition_by: list[str] | No
     row groups and file-size statistics for AQE. With ``partition_by`` the
     table is split into directories, and a filter on those columns reads only
     the matching ones. Row order and partitioning are not kept (use
-    ``checkpoint()`` where they matter).
+    ``checkpoint()`` where they matter). The path is appended to ``written``
+    when given, so the owner can delete its tables later.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if written is not None:
+        written.append(path)
     writer = df.write.partitionBy(*partition_by) if partition_by else df.write
     writer.parquet(path)
     # The schema is known: no footer reads to infer it again.
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete ``path`` on its (shared) file system via Hadoop's API."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(hpath, True))
+
+
 def register(df: DataFrame, name: str) -> str:
     """Temp view so SQL text and DataFrame code can be mixed."""
     df.createOrReplaceTempView(name)

@@ -26,3 +26,15 @@ def test_catalogue_imputes_canonical_id(spark):
 def test_reference_grid_is_one_at_a_time():
     grid = one_at_a_time_grid(REFERENCE_AXES)
     assert len(grid) == 17 and all(len(g) == 1 for g in grid)
+
+
+def test_study_release_deletes_its_tables(spark, tmp_path):
+    import os
+
+    from encore.plans.study import Study
+    s = Study(spark, SF)
+    assert s.core.count() > 0
+    paths = list(s.tables)
+    assert paths and all(os.path.exists(p.replace("file:", "")) for p in paths)
+    assert s.release() == len(paths)
+    assert not any(os.path.exists(p.replace("file:", "")) for p in paths)
