@@ -98,27 +98,41 @@ def _ap_of_ranks(ranks, n_labels, k: int):
     return ap_sum / F.least(n_labels, F.lit(k)).cast("double")
 
 
-def map_per_list(labels: DataFrame, lists: DataFrame, users: DataFrame, k: int, key: str) -> DataFrame:
-    """(key, users, map): MAP@k of several global lists at once.
-
-    ``lists`` holds (key, item_id, rank), a few lists of at most k items each
-    (broadcast by construction). Hits are labels joined to all lists on the
-    item; the per-(list, user) state is the sorted hit ranks, at most k.
-    Users: labelled users that are in ``users``; users without a hit score 0.
+def map_per_list(labels: DataFrame, lists: DataFrame, users: DataFrame, k: int, key: str,
+                 keys: list) -> DataFrame:
+    """(key, users, map): MAP@k of several global lists at once, in one pass.
+
+    ``lists`` holds (key, item_id, rank) for the list keys ``keys`` (a
+    parameter list), at most k items each. The lists are grouped per item
+    (|keys| x k rows at most, broadcast), each label row is joined once, and
+    one per-user aggregate collects the user's (key, rank) hits -- at most
+    |keys| x k. AP per key comes from the hits of that key; users without a
+    hit score 0. Users: labelled users that are in ``users``.
     """
-    n_labels = (labels.groupBy(U).agg(F.count(F.lit(1)).cast("long").alias("n_labels"))
-                      .join(users.select(U).distinct(), U, "left_semi"))
-    top = lists.where(F.col("rank") <= F.lit(k)).select(key, I, "rank")
-    hits = labels.select(U, I).join(F.broadcast(top), I)
-    ap = (hits.groupBy(key, U).agg(F.sort_array(F.collect_list("rank")).alias("_ranks"))
-              .join(n_labels, U)
-              .select(key, _ap_of_ranks(F.col("_ranks"), F.col("n_labels"), k).alias("ap")))
-    n_users = n_labels.agg(F.count(F.lit(1)).cast("long")).scalar()
-    summed = ap.groupBy(key).agg(F.sum("ap").alias("_sum"))
-    return (lists.select(key).distinct().join(summed, key, "left")
-                 .select(key, n_users.alias("users"),
-                         F.when(n_users > 0, F.coalesce(F.col("_sum"), F.lit(0.0)) / n_users.cast("double"))
-                          .otherwise(F.lit(0.0)).alias("map")))
+    per_item = (lists.where(F.col("rank") <= F.lit(k))
+                     .groupBy(I).agg(F.collect_list(F.struct(F.col(key).alias("key"), F.col("rank")))
+                                     .alias("_lr")))
+    stats = (labels.select(U, I).join(F.broadcast(per_item), I, "left")
+                   .groupBy(U).agg(F.count(F.lit(1)).cast("long").alias("n_labels"),
+                                   F.flatten(F.collect_list("_lr")).alias("_hits"))
+                   .join(users.select(U).distinct(), U, "left_semi"))
+    def of_key(value):
+        # One-argument predicate: PySpark reads a second parameter as the index.
+        return lambda h: h["key"] == F.lit(value)
+
+    aps = []
+    for i, value in enumerate(keys):
+        ranks = F.array_sort(F.transform(F.filter("_hits", of_key(value)), lambda h: h["rank"]))
+        aps.append(_ap_of_ranks(ranks, F.col("n_labels"), k).alias(f"_ap{i}"))
+    sums = stats.select(*aps).agg(F.count(F.lit(1)).cast("long").alias("users"),
+                                  *[F.coalesce(F.sum(f"_ap{i}"), F.lit(0.0)).alias(f"_s{i}")
+                                    for i in range(len(keys))])
+    rows = F.array(*[F.struct(F.lit(value).alias(key), F.col(f"_s{i}").alias("_s"))
+                     for i, value in enumerate(keys)])
+    return (sums.select("users", F.explode(rows).alias("_r"))
+                .select(F.col(f"_r.{key}").alias(key), "users",
+                        F.when(F.col("users") > 0, F.col("_r._s") / F.col("users").cast("double"))
+                         .otherwise(F.lit(0.0)).alias("map")))
 
 
 def summarize(per_user: DataFrame) -> DataFrame:

@@ -76,11 +76,12 @@ def sweep_popularity(train: DataFrame, segments: dict[str, tuple[DataFrame, Data
     ``segments`` maps a name to (labels, users): the ground truth (user_id,
     item_id) and the users asked to be scored. The lists of all betas are
     built in one job from one item aggregation and checkpointed; each segment
-    is scored against all of them at once.
+    is scored against all of them in one pass over its labels.
     """
     ensure_checkpoint_dir(train.sparkSession)
     lists = top_k_per_beta(train, betas, k).checkpoint(eager=True)
-    rows = [map_per_list(labels, lists, users, k, "beta").withColumn("segment", F.lit(name))
+    keys = [float(b) for b in betas]
+    rows = [map_per_list(labels, lists, users, k, "beta", keys).withColumn("segment", F.lit(name))
             for name, (labels, users) in segments.items()]
     out = rows[0]
     for r in rows[1:]:
