@@ -64,7 +64,7 @@ def q_scan_multi(spark, d):
 def q_sink_roundtrip(spark, d):
     s = study(spark, d)
     path = tables.scratch_path(spark, "interactions")
-    tables.write_table(s.ix.repartition(4, U), path, mode="overwrite")
+    tables.write_table(s.ix, path, mode="overwrite")
     return tables.read_table(spark, path, schema="user_id BIGINT, item_id BIGINT, interactions BIGINT")
 
 
