@@ -143,7 +143,9 @@ def listener_percentile(ix: DataFrame, q: float = 0.85) -> DataFrame:
     """Exact percentile (linear interpolation) of listeners per item, one row.
 
     The value is rounded to 9 decimals so that integer results are not
-    perturbed by the interpolation arithmetic.
+    perturbed by the interpolation arithmetic. The exact percentile keeps a
+    value -> count map per task and merges the maps in one final task; its
+    size is the number of distinct listener counts, at most sqrt(2 * |ix|).
     """
     return item_listeners(ix).agg(F.round(F.percentile(F.col("listeners"), F.lit(q)), 9)
                                   .alias("listener_percentile"))
