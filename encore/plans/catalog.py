@@ -442,6 +442,15 @@ def q_als_map(spark, d):
     return rounded(metrics.map_at_k(labels, recs, s.p.k))
 
 
+def q_als_map_test(spark, d):
+    """ALS on the held-out test set: top k for all users, labels from test users
+    that have training rows."""
+    s = study(spark, d)
+    labels = s.labels("test_warm")
+    recs = als.recommend_als(_als_model(s), s.p.k)
+    return rounded(metrics.map_at_k(labels, recs, s.p.k))
+
+
 def q_als_sweep(spark, d):
     s = study(spark, d)
     grid = [dict(rank=4), dict(rank=8, reg=0.1), dict(rank=8, alpha=10.0)]
@@ -549,6 +558,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_recs_subset": q_als_recs_subset,
     "als_recs_all": q_als_recs_all,
     "als_map": q_als_map,
+    "als_map_test": q_als_map_test,
     "als_sweep": q_als_sweep,
     "als_indexed_recs": q_als_indexed_recs,
     "model_report": q_model_report,
