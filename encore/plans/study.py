@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from encore.operators import als, metrics, popularity, prep, ranking, split
 from encore.plans import binding
-from encore.sources.tables import delete_path, materialize
+from encore.sources.tables import delete_path, materialize, materialize_bucketed
 
 U, I, N = "user_id", "item_id", "interactions"
 SEGMENTS = ("val_warm", "val_cold", "test_warm", "test_cold")
@@ -35,6 +35,7 @@ class Params:
     beta: float = 5000.0           # popularity damping
     k: int = 10                    # list length and label depth
     hot_rows: int = 1_000_000      # per-user rows above which the split salts
+    buckets: int | None = None     # buckets of user-keyed stages (None: shuffle partitions)
     test_cut: str = binding.TEST_CUT
     # The reference's beta grid.
     betas: tuple = (1.0, 100.0, 1000.0, 5000.0, 10000.0, 20000.0, 100000.0, 1000000.0)
@@ -43,7 +44,7 @@ class Params:
 
     def __hash__(self):
         return hash((self.fraction, self.min_items, self.train_fraction, self.seed, self.cold_pct,
-                     self.beta, self.k, self.hot_rows, self.test_cut, self.betas,
+                     self.beta, self.k, self.hot_rows, self.buckets, self.test_cut, self.betas,
                      tuple(sorted(self.als.items()))))
 
 
@@ -51,14 +52,25 @@ class Study:
     def __init__(self, spark: SparkSession, sf_dir: str, params: Params | None = None):
         self.spark, self.sf_dir, self.p = spark, sf_dir, params or Params()
         self.tables: list[str] = []
+        self.catalog_tables: list[str] = []
 
     def _keep(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
         return materialize(df, name, partition_by, written=self.tables)
 
+    def _keep_by_user(self, df: DataFrame, name: str) -> DataFrame:
+        """User-keyed stage, bucketed by user so joins between such stages
+        (split rows x user ranks, train x warm users) need no shuffle."""
+        buckets = self.p.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return materialize_bucketed(df, name, U, buckets, written=self.tables,
+                                    catalog_names=self.catalog_tables)
+
     def release(self) -> int:
         """Delete the stage tables this study wrote; frames built on them become invalid."""
+        for name in self.catalog_tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         deleted = sum(delete_path(self.spark, path) for path in self.tables)
         self.tables.clear()
+        self.catalog_tables.clear()
         return deleted
 
     # ------------------------------------------------------------ inputs
@@ -97,7 +109,8 @@ class Study:
     # ------------------------------------------------------------ split
     @cached_property
     def labelled(self) -> DataFrame:
-        return self._keep(split.label_split(self.core, self.p.train_fraction, self.p.seed, self.p.hot_rows), "labelled")
+        return self._keep_by_user(split.label_split(self.core, self.p.train_fraction, self.p.seed,
+                                                    self.p.hot_rows), "labelled")
 
     @cached_property
     def train(self) -> DataFrame:
@@ -109,7 +122,7 @@ class Study:
 
     @cached_property
     def user_ranks(self) -> DataFrame:
-        return self._keep(split.user_percent_rank(self.core), "user_ranks")
+        return self._keep_by_user(split.user_percent_rank(self.core), "user_ranks")
 
     @cached_property
     def cold_users(self) -> DataFrame:
@@ -128,7 +141,7 @@ class Study:
 
     @cached_property
     def train_warm(self) -> DataFrame:
-        return self._keep(prep.positive_only(self.part("train_warm")), "train_warm")
+        return self._keep_by_user(prep.positive_only(self.part("train_warm")), "train_warm")
 
     @cached_property
     def test_warm(self) -> DataFrame:

@@ -74,6 +74,29 @@ def materialize(df: DataFrame, name: str = "stage", partition_by: list[str] | No
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int,
+                         written: list[str] | None = None,
+                         catalog_names: list[str] | None = None) -> DataFrame:
+    """Write ``df`` as a Parquet table bucketed (and sorted) by ``key``.
+
+    Two stages bucketed by the same key into the same number of buckets join
+    on it without shuffling either side. The rows are hash-partitioned into
+    ``buckets`` tasks first, with the same hash as the buckets, so each task
+    writes one bucket file. The table is external: its files are under the
+    shared checkpoint folder, and only its name is in the session catalog.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = f"encore_{name}_{uuid.uuid4().hex[:12]}"
+    (df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
+       .option("path", path).saveAsTable(table))
+    if written is not None:
+        written.append(path)
+    if catalog_names is not None:
+        catalog_names.append(table)
+    return spark.table(table)
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursively delete ``path`` on its (shared) file system via Hadoop's API."""
     jvm = spark.sparkContext._jvm

@@ -36,3 +36,17 @@ def test_split_broadcasts_heavy_users_and_shuffles_rows_once(spark):
 def test_date_filter_reaches_the_scan(spark):
     plan = _plan(binding.plays(spark, SF, end=binding.TEST_CUT))
     assert "PushedFilters: [IsNotNull(o_orderdate), LessThan(o_orderdate" in plan
+
+
+def test_user_keyed_stages_join_without_shuffle(spark):
+    from encore.plans.study import Study
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        s = Study(spark, SF)
+        plan = _plan(s.part("val_warm"))
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        s.release()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
