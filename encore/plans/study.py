@@ -57,12 +57,13 @@ class Study:
     def _keep(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
         return materialize(df, name, partition_by, written=self.tables)
 
-    def _keep_by_user(self, df: DataFrame, name: str) -> DataFrame:
+    def _keep_by_user(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
         """User-keyed stage, bucketed by user so joins between such stages
-        (split rows x user ranks, train x warm users) need no shuffle."""
+        (split rows x user ranks, train x warm users, test x train users)
+        need no shuffle."""
         buckets = self.p.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         return materialize_bucketed(df, name, U, buckets, written=self.tables,
-                                    catalog_names=self.catalog_tables)
+                                    catalog_names=self.catalog_tables, partition_by=partition_by)
 
     def release(self) -> int:
         """Delete the stage tables this study wrote; frames built on them become invalid."""
@@ -77,8 +78,8 @@ class Study:
     @cached_property
     def interactions(self) -> DataFrame:
         """History and test interactions from one join, stored by period."""
-        return self._keep(binding.interactions_by_period(self.spark, self.sf_dir, self.p.test_cut),
-                          "interactions", partition_by=["period"])
+        return self._keep_by_user(binding.interactions_by_period(self.spark, self.sf_dir, self.p.test_cut),
+                                  "interactions", partition_by=["period"])
 
     @cached_property
     def ix(self) -> DataFrame:

@@ -76,7 +76,8 @@ def materialize(df: DataFrame, name: str = "stage", partition_by: list[str] | No
 
 def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int,
                          written: list[str] | None = None,
-                         catalog_names: list[str] | None = None) -> DataFrame:
+                         catalog_names: list[str] | None = None,
+                         partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table bucketed (and sorted) by ``key``.
 
     Two stages bucketed by the same key into the same number of buckets join
@@ -84,12 +85,16 @@ def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int,
     ``buckets`` tasks first, with the same hash as the buckets, so each task
     writes one bucket file. The table is external: its files are under the
     shared checkpoint folder, and only its name is in the session catalog.
+    With ``partition_by`` the buckets sit inside directory partitions, and a
+    filter on those columns prunes directories.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     table = f"encore_{name}_{uuid.uuid4().hex[:12]}"
-    (df.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
-       .option("path", path).saveAsTable(table))
+    writer = df.repartition(buckets, key).write.format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
     if written is not None:
         written.append(path)
     if catalog_names is not None:
