@@ -35,7 +35,8 @@ class Params:
     beta: float = 5000.0           # popularity damping
     k: int = 10                    # list length and label depth
     hot_rows: int = 1_000_000      # per-user rows above which the split salts
-    buckets: int | None = None     # buckets of user-keyed stages (None: shuffle partitions)
+    bucket_by_user: bool = False   # write user-keyed stages bucketed by user (see _keep_by_user)
+    buckets: int | None = None     # their bucket count (None: shuffle partitions)
     test_cut: str = binding.TEST_CUT
     # The reference's beta grid.
     betas: tuple = (1.0, 100.0, 1000.0, 5000.0, 10000.0, 20000.0, 100000.0, 1000000.0)
@@ -44,7 +45,8 @@ class Params:
 
     def __hash__(self):
         return hash((self.fraction, self.min_items, self.train_fraction, self.seed, self.cold_pct,
-                     self.beta, self.k, self.hot_rows, self.buckets, self.test_cut, self.betas,
+                     self.beta, self.k, self.hot_rows, self.bucket_by_user, self.buckets,
+                     self.test_cut, self.betas,
                      tuple(sorted(self.als.items()))))
 
 
@@ -58,9 +60,18 @@ class Study:
         return materialize(df, name, partition_by, written=self.tables)
 
     def _keep_by_user(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-        """User-keyed stage, bucketed by user so joins between such stages
-        (split rows x user ranks, train x warm users, test x train users)
-        need no shuffle."""
+        """User-keyed stage.
+
+        With ``bucket_by_user`` it is written bucketed by user, and joins
+        between such stages (split rows x user ranks, train x warm users,
+        test x train users) need no shuffle. That is off by default: a bucket
+        holds all rows of its users, so a user with a third of the data makes
+        one bucket -- and one task of every later scan, aggregate and window
+        -- a third of the data, with no shuffle left for partial aggregation,
+        salting or AQE to spread it. Use it when no user is that heavy.
+        """
+        if not self.p.bucket_by_user:
+            return self._keep(df, name, partition_by)
         buckets = self.p.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         return materialize_bucketed(df, name, U, buckets, written=self.tables,
                                     catalog_names=self.catalog_tables, partition_by=partition_by)

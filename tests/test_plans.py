@@ -39,11 +39,11 @@ def test_date_filter_reaches_the_scan(spark):
 
 
 def test_user_keyed_stages_join_without_shuffle(spark):
-    from encore.plans.study import Study
+    from encore.plans.study import Params, Study
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        s = Study(spark, SF)
+        s = Study(spark, SF, Params(bucket_by_user=True))
         plan = _plan(s.part("val_warm"))
         assert "SortMergeJoin" in plan and "Exchange" not in plan
         s.release()
