@@ -38,3 +38,13 @@ def test_study_release_deletes_its_tables(spark, tmp_path):
     assert paths and all(os.path.exists(p.replace("file:", "")) for p in paths)
     assert s.release() == len(paths)
     assert not any(os.path.exists(p.replace("file:", "")) for p in paths)
+
+
+def test_user_bucketing_does_not_change_results(spark):
+    from encore.plans.study import Params, Study
+    plain = Study(spark, SF)
+    bucketed = Study(spark, SF, Params(bucket_by_user=True))
+    for name in ("train_warm", "test_warm", "test_cold"):
+        assert sorted(getattr(plain, name).collect()) == sorted(getattr(bucketed, name).collect()), name
+    plain.release()
+    bucketed.release()
