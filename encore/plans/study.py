@@ -35,7 +35,7 @@ class Params:
     beta: float = 5000.0           # popularity damping
     k: int = 10                    # list length and label depth
     hot_rows: int = 1_000_000      # per-user rows above which the split salts
-    bucket_by_user: bool = False   # write user-keyed stages bucketed by user (see _keep_by_user)
+    bucket_by_user: bool | None = None  # bucket user-keyed stages by user; None: decide from user sizes
     buckets: int | None = None     # their bucket count (None: shuffle partitions)
     test_cut: str = binding.TEST_CUT
     # The reference's beta grid.
@@ -62,20 +62,35 @@ class Study:
     def _keep_by_user(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
         """User-keyed stage.
 
-        With ``bucket_by_user`` it is written bucketed by user, and joins
-        between such stages (split rows x user ranks, train x warm users,
-        test x train users) need no shuffle. That is off by default: a bucket
-        holds all rows of its users, so a user with a third of the data makes
-        one bucket -- and one task of every later scan, aggregate and window
-        -- a third of the data, with no shuffle left for partial aggregation,
-        salting or AQE to spread it. Use it when no user is that heavy.
+        When bucketed by user, joins between such stages (split rows x user
+        ranks, train x warm users, test x train users) need no shuffle. But a
+        bucket holds all rows of its users, so a user with a third of the
+        data makes one bucket -- and one task of every later scan, aggregate
+        and window -- a third of the data, with no shuffle left for partial
+        aggregation, salting or AQE to spread it. ``bucket_by_user=None``
+        therefore buckets only when no user holds more than twice an average
+        bucket's share of the rows.
         """
-        if not self.p.bucket_by_user:
+        if not self._bucket_users:
             return self._keep(df, name, partition_by)
-        buckets = self.p.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = self._buckets
         return materialize_bucketed(df, name, U, buckets, written=self.tables,
                                     catalog_names=self.catalog_tables, partition_by=partition_by)
 
+    @cached_property
+    def _buckets(self) -> int:
+        return self.p.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+
+    @cached_property
+    def _bucket_users(self) -> bool:
+        if self.p.bucket_by_user is not None:
+            return bool(self.p.bucket_by_user)
+        # One scalar aggregate over the (already written) history interactions.
+        row = (self.ix.groupBy(U).agg(F.count(F.lit(1)).alias("_n"))
+                      .agg(F.max("_n").alias("top"), F.sum("_n").alias("total")).first())
+        top, total = row["top"], row["total"]
+        return top is not None and top * self._buckets <= 2 * total
+
     def release(self) -> int:
         """Delete the stage tables this study wrote; frames built on them become invalid."""
         for name in self.catalog_tables:
@@ -89,8 +104,9 @@ class Study:
     @cached_property
     def interactions(self) -> DataFrame:
         """History and test interactions from one join, stored by period."""
-        return self._keep_by_user(binding.interactions_by_period(self.spark, self.sf_dir, self.p.test_cut),
-                                  "interactions", partition_by=["period"])
+        # Plain (not bucketed): the bucketing decision reads this table.
+        return self._keep(binding.interactions_by_period(self.spark, self.sf_dir, self.p.test_cut),
+                          "interactions", partition_by=["period"])
 
     @cached_property
     def ix(self) -> DataFrame:

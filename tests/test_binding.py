@@ -42,8 +42,9 @@ def test_study_release_deletes_its_tables(spark, tmp_path):
 
 def test_user_bucketing_does_not_change_results(spark):
     from encore.plans.study import Params, Study
-    plain = Study(spark, SF)
+    plain = Study(spark, SF, Params(bucket_by_user=False))
     bucketed = Study(spark, SF, Params(bucket_by_user=True))
+    assert Study(spark, SF)._bucket_users  # no user dominates the test data
     for name in ("train_warm", "test_warm", "test_cold"):
         assert sorted(getattr(plain, name).collect()) == sorted(getattr(bucketed, name).collect()), name
     plain.release()
