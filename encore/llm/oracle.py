@@ -54,6 +54,37 @@ SELECT d.*, rate, copies, copy::INT AS copy, md5('11|order|' || doc_id::VARCHAR
 FROM documents d JOIN copies USING (doc_id) JOIN parts p ON d.source IS NOT DISTINCT FROM p.source, unnest(range(1, copies + 1)) AS q(copy)
 """
 
+OP3 = r"""
+WITH base AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+beside AS (
+  SELECT doc_id, text, coalesce(lead(text) OVER w, first_value(text) OVER w) AS following
+  FROM base WINDOW w AS (ORDER BY doc_id NULLS FIRST, text)),
+edits AS (
+  SELECT *, left(text, length(text) - length(text) // 2) || left(following, length(text) // 2) AS edited FROM beside),
+trees AS (
+  SELECT doc_id, text, edited,
+         list_transform([text, edited, following], lambda t: list_transform(string_split(t, chr(10)),
+           lambda p: list_transform(string_split(regexp_replace(p, '([.!?]+[ \t\r\f]+)', '\1' || chr(1), 'g'), chr(1)),
+             lambda s: {'h': md5(s), 'n': length(s)}))) AS t FROM edits),
+nodes AS (
+  SELECT doc_id, text, edited, list_transform(t, lambda x: flatten(x)) AS f,
+         list_transform([t[1], t[2]], lambda x: list_transform(list_filter(string_split(regexp_replace(
+           array_to_string(list_transform(x, lambda p: md5(array_to_string(list_transform(p, lambda s: s.h), ','))), ',') || ',',
+           '([0-3][0-9a-f]{31},)', '\1;', 'g'), ';'), lambda s: s <> ''), lambda s: md5(s))) AS sections FROM trees),
+sums AS (
+  SELECT *, list_transform(f, lambda x: list_sum(list_transform(list_distinct(x), lambda s: s.n))) AS sizes,
+         list_transform([2, 3], lambda i: coalesce(list_sum(list_transform(list_intersect(f[1], f[i]), lambda s: s.n)), 0)) AS common,
+         list_position(list_transform(range(1, greatest(len(f[1]), len(f[2])) + 1), lambda i: f[1][i] IS DISTINCT FROM f[2][i]), true) AS place
+  FROM nodes)
+SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256, sha256(array_to_string(sections[1], ',')) AS fingerprint,
+       sha256(array_to_string(sections[2], ',')) AS edited_fingerprint,
+       CASE WHEN sizes[1] + sizes[2] = 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * common[1] / (sizes[1] + sizes[2]) END AS near_edited,
+       CASE WHEN sizes[1] + sizes[3] = 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * common[2] / (sizes[1] + sizes[3]) END AS near_next,
+       len(sections[1])::INT AS n_sections,
+       CASE WHEN place > 0 THEN coalesce(list_sum(list_transform(f[1][1:place - 1], lambda s: s.n)), 0)::BIGINT END AS edit_start
+FROM sums
+"""
+
 OP5 = r"""
 WITH item_words AS (
   SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
@@ -101,6 +132,7 @@ FROM said GROUP BY conv_id
 ORACLE_SQL: dict[str, str] = {
     "op1_substring_dedup": OP1,
     "op2_mix_sources": OP2,
+    "op3_fingerprints": OP3,
     "op5_decontaminate": OP5,
     "op9_format_chats": OP9,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import chat, decontamination, language, mixing, substrings
+from encore.llm import chat, decontamination, language, merkle, mixing, near_duplicates, ngram_model, quality, substrings
 from encore.llm.common import id_remainder
 from encore.sources.tables import read_table
 
@@ -34,6 +34,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, mixing.source_rates(docs))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.fingerprints(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     found, name = decontamination.find_contamination(docs, read_table(spark, f"{sf_dir}/benchmark.parquet"))
@@ -54,6 +58,18 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("p")["rejected"].alias("rejected"))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return near_duplicates.near_duplicates(docs).withColumnRenamed("id", "doc_id")
+
+
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    held_out = id_remainder("doc_id", 10) == 0
+    scores = ngram_model.score(spark, docs, ngram_model.fit(docs.where(~held_out)))
+    return scores.withColumnRenamed("id", "doc_id").withColumn("held_out", held_out)
+
+
 def op9_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and conversation -1, whose texts hold control strings."""
     rows = read_table(spark, f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
@@ -62,10 +78,22 @@ def op9_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(rows.unionByName(extra)))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    held_out = id_remainder("doc_id", 4) == 2
+    net = quality.fit(docs.where(~held_out), read_table(spark, f"{sf_dir}/labels.parquet").where(~held_out))
+    scored = docs.select("doc_id", held_out.alias("held_out"), quality.quality_score(spark, net).alias("score"))
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.7, 1).otherwise(0))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_mix_sources": op2_mix_sources,
+    "op3_fingerprints": op3_fingerprints,
     "op5_decontaminate": op5_decontaminate,
     "op6_language_id": op6_language_id,
+    "op7_near_duplicates": op7_near_duplicates,
+    "op8_lm_score": op8_lm_score,
     "op9_format_chats": op9_format_chats,
+    "op10_quality": op10_quality,
 }
