@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import chat, decontamination, language, merkle, mixing, near_duplicates, ngram_model, quality, substrings
+from encore.llm import chat, decontamination, language, licenses, merkle, mixing, near_duplicates, ngram_model, quality, substrings
 from encore.llm.common import id_remainder
 from encore.sources.tables import read_table
 
@@ -38,6 +38,13 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprints(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _documents(spark, sf_dir).select("doc_id", licenses.scan_licenses().alias("found"))
+    matches = F.transform("found.matches", lambda m: F.concat(m["license"], F.lit(":"), m["start"], F.lit("-"), m["end"]))
+    return found.select("doc_id", "found.license", "found.coverage", F.size("found.matches").alias("n_matches"),
+                        F.array_join(matches, ",").alias("matches"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     found, name = decontamination.find_contamination(docs, read_table(spark, f"{sf_dir}/benchmark.parquet"))
@@ -90,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_mix_sources": op2_mix_sources,
     "op3_fingerprints": op3_fingerprints,
+    "op4_license_scan": op4_license_scan,
     "op5_decontaminate": op5_decontaminate,
     "op6_language_id": op6_language_id,
     "op7_near_duplicates": op7_near_duplicates,
