@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.llm.common import free_name
+from encore.sources.tables import materialize
 
 
 _END = re.compile(r"[.!?]+[ \t\n\r\f\v]+|\n+")
@@ -72,8 +73,9 @@ def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     id_type = dict(base.dtypes)["id"]
     found = base.mapInArrow(_unit_rows, f"id {id_type}, version long, unit int, high long, low long")
     place = F.struct("id", "version", "unit")
-    first = (found.groupBy("high", "low").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-             .where(F.col("n") > 1).select("high", "low", "first"))
+    # Written, so that the join below reads two plain shuffles: then AQE can split the occurrences of a hot digest.
+    first = materialize(found.groupBy("high", "low").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+                        .where(F.col("n") > 1).select("high", "low", "first"), "firsts")
     again = found.join(first, ["high", "low"]).where(place > F.col("first"))
     return again.groupBy("id", "version").agg(F.collect_set("unit").alias("units"))
 
