@@ -29,6 +29,13 @@ def floor_fraction(col: str, fraction) -> Column:
     return F.expr(f"(CAST(`{col}` AS BIGINT) * {q.numerator}) div {q.denominator}")
 
 
+def exact_long(col: Column | str) -> Column:
+    """A number that holds a whole value as bigint; a fractional value is an error, never truncated."""
+    c = F.col(col) if isinstance(col, str) else col
+    whole = F.when(c.isNull(), F.lit(None)).when(c == F.floor(c), c.cast("long"))
+    return whole.otherwise(F.raise_error(F.concat(F.lit("not a whole number: "), c.cast("string"))).cast("long"))
+
+
 def impute_item_id(df: DataFrame, primary: str, fallback: str, out: str | None = None) -> DataFrame:
     """Missing primary id replaced by the fallback id (coalesce)."""
     return df.withColumn(out or primary, F.coalesce(F.col(primary), F.col(fallback).cast("string")))

@@ -77,17 +77,45 @@ def exclusive_prefix_sum(df: DataFrame, order: list[Column], weight: str, out: s
                  .drop(_PID, _POS, "_ord_off", "_ord_lp"))
 
 
-def value_histogram_ranks(values: DataFrame, value_col: str, descending: bool = False,
-                          partitions: int | None = None) -> DataFrame:
-    """Histogram of ``value_col`` with the number of rows ordered before each value.
-
-    Returns ``(value_col, cnt, before)``: ``before`` counts rows whose value
-    comes strictly earlier (larger first when ``descending``). The histogram
-    has one row per distinct value, at most sqrt(2 * sum of values) rows for
-    counts, and it is ranked with the distributed prefix sum all the same.
+def value_positions(df: DataFrame, value_col: str, tie_break: list[str], descending: bool = False,
+                    partitions: int | None = None, before: str = "before", ties: str = "ties") -> DataFrame:
+    """Add ``before`` = rows whose value comes strictly earlier and ``ties`` = rows of the same value.
+
+    NULL is the lowest value. The rows are range-sorted on (value, tie-breaker),
+    so a value that most rows share is spread over partitions; a row's numbers
+    come from its own partition, except for a value at a partition's edge. Those
+    are corrected from a table of two rows per partition, which is broadcast.
+    No row is shuffled or joined on the value alone.
+    """
+    first = F.col(value_col).desc_nulls_last() if descending else F.col(value_col).asc_nulls_first()
+    tagged = _tag(range_sorted_checkpoint(df, [first, *[F.col(c).asc() for c in tie_break]], partitions))
+    offsets = _partition_offsets(tagged, F.lit(1))
+    groups = (tagged.groupBy(_PID, value_col).agg(F.count(F.lit(1)).alias("_ord_n"), F.min(_POS).alias("_ord_at"))
+                    .join(F.broadcast(offsets), _PID)
+                    .withColumn("_ord_start", F.col("_ord_off") + F.col("_ord_at")))
+    edge = F.struct("_ord_at", F.col(value_col).alias("v"), "_ord_n", "_ord_start")
+    edges = (groups.groupBy(_PID).agg(F.array_distinct(F.array(F.min(edge), F.max(edge))).alias("_ord_e"))
+                   .select(F.explode("_ord_e").alias("e"))
+                   .groupBy(F.col("e.v").alias("_ord_v"))
+                   .agg(F.min("e._ord_start").alias("_ord_start"), F.sum("e._ord_n").alias("_ord_ties")))
+    # One partition's rows of a value, at most; the groups of a partition share its hash only by chance.
+    local = tagged.join(F.broadcast(offsets), _PID)
+    same = Window.partitionBy(_PID, value_col)
+    local = (local.withColumn("_ord_first", F.col("_ord_off") + F.min(_POS).over(same))
+                  .withColumn("_ord_count", F.count(F.lit(1)).over(same)))
+    joined = local.join(F.broadcast(edges), F.col(value_col).eqNullSafe(F.col("_ord_v")), "left")
+    return joined.select(*df.columns,
+                         F.coalesce("_ord_start", "_ord_first").cast("long").alias(before),
+                         F.coalesce("_ord_ties", "_ord_count").cast("long").alias(ties))
+
+
+def histogram_ranks(values: DataFrame, value_col: str, descending: bool = False) -> DataFrame:
+    """``(value_col, cnt, before)``: rows per value, and rows ordered before the value.
+
+    For counts (listeners of an item, say) the histogram has at most sqrt(2 * rows
+    counted) rows, so one window task ranks it.
     """
     hist = values.groupBy(value_col).agg(F.count(F.lit(1)).alias("cnt"))
-    order = [F.col(value_col).desc() if descending else F.col(value_col).asc()]
-    # Callers read the ranked histogram several times (totals, cut-offs,
-    # joins): materialise it once rather than re-run the window and offsets.
-    return exclusive_prefix_sum(hist, order, "cnt", "before", partitions).checkpoint(eager=True)
+    order = F.col(value_col).desc() if descending else F.col(value_col).asc()
+    before = F.sum("cnt").over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    return hist.withColumn("before", F.coalesce(before, F.lit(0)).cast("long"))

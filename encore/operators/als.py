@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import product
+
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.operators.metrics import map_at_k
-from encore.operators.ranking import explode_recs
+from encore.operators.ranking import exclude_seen, explode_recs
 from encore.session import ensure_checkpoint_dir
+from encore.sources.tables import materialize
 
 U, I, N = "user_id", "item_id", "interactions"
 INT_MIN, INT_MAX = -(2**31), 2**31 - 1
@@ -21,6 +25,8 @@ REFERENCE_AXES = {
     "alpha": [0.1, 0.5, 1.0, 10.0],
     "max_iter": [10, 12, 15, 20],
 }
+# The reference's rank x reg table.
+REFERENCE_PRODUCT = {"rank": [100, 150, 200], "reg": [0.1, 0.5, 0.8, 1.0]}
 
 
 def one_at_a_time_grid(axes: dict[str, list]) -> list[dict]:
@@ -28,6 +34,11 @@ def one_at_a_time_grid(axes: dict[str, list]) -> list[dict]:
     return [{name: value} for name, values in axes.items() for value in values]
 
 
+def product_grid(**axes: list) -> list[dict]:
+    """All combinations of the values (e.g. rank x reg)."""
+    return [dict(zip(axes, values)) for values in product(*axes.values())]
+
+
 def check_int_ids(df: DataFrame, cols: list[str]) -> None:
     """Raise before fitting if an id does not fit ALS's int ids (one aggregate)."""
     aggs = []
@@ -71,6 +82,29 @@ def recommend_als(model: ALSModel, k: int = 100, users: DataFrame | None = None)
     return explode_recs(recs.withColumnRenamed(user_col, U), field=item_col)
 
 
+def known_users(model: ALSModel) -> DataFrame:
+    """(user_id) of the users the model has factors for."""
+    return model.userFactors.select(F.col("id").cast("long").alias(U))
+
+
+def recommend_unseen_als(model: ALSModel, users: DataFrame, seen: DataFrame, k: int = 100) -> DataFrame:
+    """(user_id, item_id, rank, score): each user's k best items among those the user has not seen.
+
+    A user with s seen items gets the k + s best first, of which at least k are
+    unseen. Users are grouped by s rounded up to a power of two, so there is one
+    recommendation for each of some twenty sizes, not one for each user.
+    """
+    sizes = (users.select(U).distinct().join(seen.select(U, I).distinct().groupBy(U).agg(F.count(F.lit(1)).alias("s")), U, "left")
+                  .select(U, F.when(F.coalesce("s", F.lit(0)) > 0, F.ceil(F.log2("s"))).otherwise(-1).cast("int").alias("step")))
+    sizes = materialize(sizes, "seen_sizes")
+    steps = [r["step"] for r in sizes.select("step").distinct().orderBy("step").collect()]
+    parts = [recommend_als(model, k + (1 << step if step >= 0 else 0), sizes.where(F.col("step") == step)) for step in steps]
+    if not parts:
+        return recommend_als(model, k, users).limit(0)
+    best = exclude_seen(reduce(lambda a, b: a.unionByName(b), parts), seen)
+    return best.where(F.col("rank") <= k)
+
+
 def factor_summary(model: ALSModel) -> DataFrame:
     """(side, id, dims, norm): one row per user and per item factor vector."""
     def side(df, name):
@@ -80,25 +114,35 @@ def factor_summary(model: ALSModel) -> DataFrame:
     return side(model.userFactors, "user").unionByName(side(model.itemFactors, "item"))
 
 
+def score_als(model: ALSModel, labels: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """(recommendations for the labelled users, their users): made once and written, so metrics read a table."""
+    users = labels.select(U).distinct().join(known_users(model), U, "left_semi")
+    recs = materialize(recommend_als(model, k, users), "recs")
+    return recs, recs.select(U)
+
+
+def release_als(model: ALSModel) -> None:
+    """Free the factors."""
+    for factors in (model._java_obj.userFactors(), model._java_obj.itemFactors()):
+        factors.unpersist()
+
+
 def sweep_als(train: DataFrame, labels: DataFrame, grid: list[dict], k: int = 100,
               base: dict | None = None) -> DataFrame:
     """(rank, reg, alpha, max_iter, users, map): one distributed fit per setting.
 
     ``grid`` lists the settings (e.g. one parameter varied at a time); each
-    fit reads the same ``train`` (checkpoint it first) and is scored with
-    MAP@k on ``labels`` for the labelled users.
+    fit reads the same ``train`` (write it first) and is scored with MAP@k on
+    ``labels`` for the labelled users. A model is scored to one row and freed
+    before the next one is fitted.
     """
-    users = labels.select(U).distinct()
     rows = []
     for setting in grid:
         cfg = dict(base or {}, **setting)
         model = fit_als(train, **cfg)
-        m = map_at_k(labels, recommend_als(model, k, users), k)
-        rows.append(m.select(F.lit(int(cfg.get("rank", 200))).alias("rank"),
-                             F.lit(float(cfg.get("reg", 0.5))).alias("reg"),
-                             F.lit(float(cfg.get("alpha", 1.0))).alias("alpha"),
-                             F.lit(int(cfg.get("max_iter", 15))).alias("max_iter"), "users", "map"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+        recs, users = score_als(model, labels, k)
+        m = map_at_k(labels, recs, k, users).first()
+        rows.append((int(cfg.get("rank", 200)), float(cfg.get("reg", 0.5)), float(cfg.get("alpha", 1.0)),
+                     int(cfg.get("max_iter", 15)), int(m["users"]), float(m["map"])))
+        release_als(model)
+    return train.sparkSession.createDataFrame(rows, "rank int, reg double, alpha double, max_iter int, users long, map double")

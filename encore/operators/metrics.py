@@ -25,7 +25,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from encore.functions.ordering import value_histogram_ranks
+from encore.functions.ordering import value_positions
 
 U, I = "user_id", "item_id"
 
@@ -145,6 +145,14 @@ def summarize(per_user: DataFrame) -> DataFrame:
                         F.coalesce(F.avg("rr"), F.lit(0.0)).alias("mrr"))
 
 
+def ranking_summary(top_labels: DataFrame, labels: DataFrame, recs: DataFrame, k: int,
+                    pred_users: DataFrame | None = None) -> DataFrame:
+    """One row: users; map and ndcg against ``top_labels`` (the truth cut to k), precision, recall and mrr against ``labels``."""
+    cut = summarize(per_user_metrics(top_labels, recs, k, pred_users)).select("users", "map", "ndcg")
+    whole = summarize(per_user_metrics(labels, recs, k, pred_users)).select(F.struct("precision", "recall", "mrr").alias("m"))
+    return cut.withColumn("m", whole.scalar()).select("users", "map", "m.precision", "m.recall", "ndcg", "m.mrr")
+
+
 def _mean(per_user: DataFrame, column: str, out: str) -> DataFrame:
     return per_user.agg(F.count(F.lit(1)).cast("long").alias("users"),
                         F.coalesce(F.avg(column), F.lit(0.0)).alias(out))
@@ -171,28 +179,29 @@ def mrr(labels, recs, k=100, pred_users=None, how="inner") -> DataFrame:
     return _mean(per_user_metrics(labels, recs, k, pred_users, how), "rr", "mrr")
 
 
-def auc_global_scores(positives: DataFrame, scores: DataFrame, score: str = "score",
+def auc_global_scores(positives: DataFrame, scores: DataFrame, score: str = "score", universe: DataFrame | None = None,
                       partitions: int | None = None) -> DataFrame:
     """(user_id, m, auc): per-user AUC of one global item scoring.
 
-    Universe: the N scored items. Each item gets its ascending mid-rank
-    (items scored lower + (items with the same score + 1) / 2) from a ranked
-    score histogram; only the positives are joined to it, never users x items.
+    ``universe`` (item_id) is the dictionary of items, by default the scored
+    ones; items of it without a score share the lowest mid-rank. An item's
+    ascending mid-rank is (items scored lower) + (items with the same score +
+    1) / 2; the items are range-sorted for it, and only the positives are joined
+    to them, never users x items.
     AUC_u = (sum of positive mid-ranks - m(m+1)/2) / (m (N - m)) for the m
-    positives of u in the universe, users with 0 < m < N.
+    positives of u in the universe of N items, users with 0 < m < N.
     """
-    hist = value_histogram_ranks(scores.select(score), score, partitions=partitions)
-    n_items = hist.agg(F.sum("cnt").alias("n")).scalar()
-    mid = hist.select(score, (F.col("before").cast("double") + (F.col("cnt").cast("double") + 1.0) / 2.0)
-                      .alias("_mid"))
-    item_mid = scores.select(I, score).join(mid, score).select(I, "_mid")
-    pos = positives.select(U, I).distinct().join(item_mid, I)
-    per_user = (pos.groupBy(U).agg(F.count(F.lit(1)).cast("long").alias("m"), F.sum("_mid").alias("_s"))
-                   .where((F.col("m") > 0) & (F.col("m") < n_items))
-                   .select(U, "m", ((F.col("_s") - F.col("m") * (F.col("m") + 1) / 2.0)
-                                    / (F.col("m").cast("double") * (n_items - F.col("m")).cast("double")))
-                           .alias("auc")))
-    return per_user
+    items = scores.select(I, score)
+    if universe is not None:
+        items = universe.select(I).distinct().join(items, I, "left")
+    ranked = value_positions(items, score, [I], partitions=partitions)
+    n_items = ranked.agg(F.count(F.lit(1))).scalar()
+    mid = ranked.select(I, (F.col("before").cast("double") + (F.col("ties").cast("double") + 1.0) / 2.0).alias("_mid"))
+    pos = positives.select(U, I).distinct().join(mid, I)
+    return (pos.groupBy(U).agg(F.count(F.lit(1)).cast("long").alias("m"), F.sum("_mid").alias("_s"))
+               .where((F.col("m") > 0) & (F.col("m") < n_items))
+               .select(U, "m", ((F.col("_s") - F.col("m") * (F.col("m") + 1) / 2.0)
+                                / (F.col("m").cast("double") * (n_items - F.col("m")).cast("double"))).alias("auc")))
 
 
 def auc_summary(per_user: DataFrame) -> DataFrame:

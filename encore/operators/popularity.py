@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from encore.functions.columns import smoothed_mean
+from encore.functions.ordering import global_row_number
 from encore.operators.metrics import map_per_list
 from encore.session import ensure_checkpoint_dir
+from encore.sources.tables import materialize
 
 U, I, N = "user_id", "item_id", "interactions"
 
@@ -20,7 +22,7 @@ U, I, N = "user_id", "item_id", "interactions"
 def item_aggregates(ix: DataFrame) -> DataFrame:
     """(item_id, total_listens, num_users) over positive interactions."""
     return (ix.where(F.col(N) > 0).groupBy(I)
-              .agg(F.sum(N).cast("long").alias("total_listens"),
+              .agg(F.sum(N).alias("total_listens"),
                    F.count(U).cast("long").alias("num_users")))
 
 
@@ -52,6 +54,41 @@ def recommend_popular(top: DataFrame, users: DataFrame, out: str = "recommendati
     return users.select(U).distinct().select(U, arr.scalar().alias(out))
 
 
+def recommend_unseen(pop: DataFrame, users: DataFrame, seen: DataFrame, k: int = 100, score: str = "score",
+                     width: int = 1000) -> DataFrame:
+    """(user_id, item_id, rank): each user's k best items among those the user has not seen.
+
+    The items are ranked once. The unseen ranks of a user are all ranks but
+    those of the user's own items, so only these are looked at, never users x
+    items: they are counted in stretches of ``width`` ranks, the stretches up to
+    the k-th unseen rank are kept, and the gaps between the seen ranks there
+    give the ranks that fill the k places. A user gets fewer than k items only
+    where fewer unseen ones exist.
+    """
+    ranked = materialize(global_row_number(pop.select(I, score), [F.col(score).desc(), F.col(I).asc()], out="g").select(I, "g"), "ranking")
+    n_items = ranked.agg(F.count(F.lit(1))).first()[0]
+    own = seen.select(U, I).distinct().join(ranked, I).select(U, "g", F.floor((F.col("g") - 1) / width).alias("s"))
+    own = materialize(own.join(users.select(U).distinct(), U, "left_semi"), "seen_ranks")
+    counts = own.groupBy(U, "s").agg(F.count(F.lit(1)).alias("c"))
+    # Ranks in the stretches before, less the seen ones: a stretch in which k unseen ones have gone before is not needed.
+    before = F.coalesce(F.sum("c").over(Window.partitionBy(U).orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    needed = counts.withColumn("seen_before", before).where(F.col("s") * width - F.col("seen_before") < k).select(U, "s")
+    places = Window.partitionBy(U).orderBy("g")
+    near = (own.join(needed, [U, "s"], "left_semi")
+               .withColumn("j", F.row_number().over(places))
+               .where(F.col("g") - F.col("j") < k)
+               .withColumn("next", F.lead("g").over(places)))
+    head = near.where("j = 1").select(U, F.lit(0).cast("long").alias("g"), F.lit(0).alias("j"), F.col("g").alias("next"))
+    fresh = users.select(U).distinct().join(near.select(U).distinct(), U, "left_anti").select(
+        U, F.lit(0).cast("long").alias("g"), F.lit(0).alias("j"), F.lit(None).cast("long").alias("next"))
+    gaps = near.select(U, "g", "j", "next").unionByName(head).unionByName(fresh)
+    # After seen rank g, the j-th: g - j unseen ranks have gone before; the gap gives at most k - (g - j) more.
+    last = F.least(F.coalesce("next", F.lit(n_items + 1)) - 1, F.col("g") + k - (F.col("g") - F.col("j")), F.lit(n_items))
+    filled = (gaps.where(last > F.col("g")).select(U, "j", F.explode(F.sequence(F.col("g") + 1, last)).alias("g")))
+    return (filled.select(U, "g", (F.col("g") - F.col("j")).cast("long").alias("rank")).where(F.col("rank") <= k)
+                  .join(ranked, "g").select(U, I, "rank"))
+
+
 def top_k_per_beta(ix: DataFrame, betas: list[float], k: int = 100) -> DataFrame:
     """(beta, item_id, score, rank): top k for every beta in one job.
 

@@ -7,12 +7,12 @@ partial step, so a hot user or item is combined before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from encore.functions.columns import (ACTIVITY_EDGES, ACTIVITY_LABELS, LISTENER_EDGES,
                                       LISTENER_LABELS, bucketize, exact_fraction)
-from encore.functions.ordering import global_row_number, value_histogram_ranks
+from encore.functions.ordering import global_row_number, histogram_ranks
 from encore.sources.tables import materialize
 
 U, I, N = "user_id", "item_id", "interactions"
@@ -44,12 +44,12 @@ def restrict_users(ix: DataFrame, users: DataFrame, user: str = U) -> DataFrame:
 
 def count_interactions(plays: DataFrame, user: str = U, item: str = I,
                        weight: str | None = None) -> DataFrame:
-    """One row per (user, item): number of plays, or the summed ``weight`` as bigint.
+    """One row per (user, item): number of plays, or the summed ``weight`` in the weight's own type.
 
     NULL users / items form their own group, as in SQL GROUP BY; they are
     removed later by the semi-joins and before any ranking.
     """
-    strength = F.count(F.lit(1)) if weight is None else F.sum(weight).cast("long")
+    strength = F.count(F.lit(1)) if weight is None else F.sum(weight)
     return plays.groupBy(F.col(user).alias(U), F.col(item).alias(I)).agg(strength.alias(N))
 
 
@@ -84,13 +84,13 @@ def popular_items(ix: DataFrame, fraction: float = 0.03, partitions: int | None
     """
     # One row per item, read three times below (histogram, head, ties).
     listeners = materialize(item_listeners(ix), "listeners")
-    hist = value_histogram_ranks(listeners, "listeners", descending=True, partitions=partitions)
     q = exact_fraction(fraction)
-    # n = floor(fraction * N) as a scalar subquery; one action returns the
-    # histogram row holding the n-th item: its count c and the items above it.
-    n = F.call_function("div", hist.agg(F.sum("cnt")).scalar() * F.lit(q.numerator), F.lit(q.denominator))
-    cut = (hist.where((F.col("before") < n) & (F.col("before") + F.col("cnt") >= n))
-               .select("listeners", "before", "cnt", n.alias("n")).first())
+    # One action returns the histogram row that holds the n-th item, n =
+    # floor(fraction * N): its count c and the number of items above it.
+    hist = histogram_ranks(listeners, "listeners", descending=True)
+    n = F.call_function("div", F.sum("cnt").over(Window.partitionBy()) * F.lit(q.numerator), F.lit(q.denominator))
+    cut = (hist.withColumn("n", n).where((F.col("before") < F.col("n")) & (F.col("before") + F.col("cnt") >= F.col("n")))
+               .select("listeners", "before", "cnt", "n").first())
     if cut is None:
         return listeners.limit(0)
     c, above, at_c, n = int(cut["listeners"]), int(cut["before"]), int(cut["cnt"]), int(cut["n"])
@@ -147,45 +147,53 @@ def listener_percentile(ix: DataFrame, q: float = 0.85) -> DataFrame:
     value -> count map per task and merges the maps in one final task; its
     size is the number of distinct listener counts, at most sqrt(2 * |ix|).
     """
-    return item_listeners(ix).agg(F.round(F.percentile(F.col("listeners"), F.lit(q)), 9)
-                                  .alias("listener_percentile"))
+    return _percentile(item_listeners(ix), q)
+
+
+def _percentile(listeners: DataFrame, q: float) -> DataFrame:
+    return listeners.agg(F.round(F.percentile(F.col("listeners"), F.lit(q)), 9).alias("listener_percentile"))
 
 
 def items_by_percentile(ix: DataFrame, q: float = 0.85) -> DataFrame:
-    """Items whose listener count is at least the exact ``q`` percentile."""
-    threshold = listener_percentile(ix, q)
-    return item_listeners(ix).where(F.col("listeners") >= threshold.scalar())
+    """Items whose listener count is at least the exact ``q`` percentile; listeners are aggregated once."""
+    listeners = materialize(item_listeners(ix), "listeners")
+    threshold = _percentile(listeners, q)
+    return listeners.where(F.col("listeners") >= threshold.scalar())
 
 
-def items_by_percent_rank(ix: DataFrame, pct: float = 0.15, partitions: int | None = None) -> DataFrame:
+def items_by_percent_rank(ix: DataFrame, pct: float = 0.15) -> DataFrame:
     """Items with percent_rank <= pct, ranking by listeners descending.
 
-    percent_rank = (items with more listeners) / (N - 1), 0 when N = 1, from
-    the ranked listener histogram joined back on the listener count.
+    percent_rank = (items with more listeners) / (N - 1), 0 when N = 1. The
+    listener histogram (at most sqrt(2 * |ix|) rows, ranked in one task) gives
+    the lowest count that is kept; only items at or above it are ranked, by a
+    broadcast of the kept histogram rows, so the many items with few listeners
+    are dropped by a filter and never shuffled on their count.
     """
-    listeners = item_listeners(ix)
-    hist = value_histogram_ranks(listeners, "listeners", descending=True, partitions=partitions)
-    n_items = hist.agg(F.sum("cnt").alias("n")).scalar()
-    ranked = hist.select("listeners", F.when(n_items <= 1, F.lit(0.0))
-                         .otherwise(F.col("before").cast("double") / (n_items - 1).cast("double"))
-                         .alias("percent_rank"))
-    kept = ranked.where(F.col("percent_rank") <= F.lit(float(pct)))
-    return listeners.join(kept, "listeners").select(I, "listeners", "percent_rank")
+    listeners = materialize(item_listeners(ix), "listeners")
+    hist = histogram_ranks(listeners, "listeners", descending=True)
+    n_items = F.sum("cnt").over(Window.partitionBy())
+    rank = F.when(n_items <= 1, F.lit(0.0)).otherwise(F.col("before").cast("double") / (n_items - 1).cast("double"))
+    kept = hist.withColumn("percent_rank", rank).where(F.col("percent_rank") <= F.lit(float(pct)))
+    kept = kept.select("listeners", "percent_rank").checkpoint()
+    least = kept.agg(F.min("listeners")).scalar()
+    return (listeners.where(F.col("listeners") >= least)
+                     .join(F.broadcast(kept), "listeners").select(I, "listeners", "percent_rank"))
 
 
 # ---------------------------------------------------------------- histograms
 
-def listener_histogram(ix: DataFrame) -> DataFrame:
-    """(listeners_counts, track_counts): items per listener-count bin, by count."""
-    return (item_listeners(ix)
-            .groupBy(bucketize("listeners", LISTENER_EDGES, LISTENER_LABELS).alias("listeners_counts"))
+def listener_histogram(ix: DataFrame, edges: list | None = None, labels: list[str] | None = None) -> DataFrame:
+    """(listeners_counts, track_counts): items per listener-count bin (ten by default), by count."""
+    bins = bucketize("listeners", edges or LISTENER_EDGES, labels or LISTENER_LABELS)
+    return (item_listeners(ix).groupBy(bins.alias("listeners_counts"))
             .agg(F.count(F.lit(1)).alias("track_counts"))
             .orderBy("track_counts", "listeners_counts"))
 
 
-def activity_histogram(ix: DataFrame) -> DataFrame:
-    """(track_counts, user_counts): users per activity bin, by count."""
-    return (user_activity(ix)
-            .groupBy(bucketize("tracks", ACTIVITY_EDGES, ACTIVITY_LABELS).alias("track_counts"))
+def activity_histogram(ix: DataFrame, edges: list | None = None, labels: list[str] | None = None) -> DataFrame:
+    """(track_counts, user_counts): users per activity bin (nine by default), by count."""
+    bins = bucketize("tracks", edges or ACTIVITY_EDGES, labels or ACTIVITY_LABELS)
+    return (user_activity(ix).groupBy(bins.alias("track_counts"))
             .agg(F.count(F.lit(1)).alias("user_counts"))
             .orderBy("user_counts", "track_counts"))

@@ -2,12 +2,11 @@
 
 The per-user split numbers each user's rows in a seeded hash order. A plain
 ``row_number() OVER (PARTITION BY user)`` sends all rows of a user to one task,
-and one user may hold a third of the data. Users with more than ``hot_rows``
-rows are therefore split into sub-groups by a prefix of the same hash that
-orders them: the prefix is order-preserving, so a row's position is its rank
-inside its sub-group plus the sizes of the user's earlier sub-groups (a small
-table: one row per sub-group, from a partial aggregate). Every window group
-is at most about ``hot_rows`` rows and the rows are shuffled once.
+and one user may hold a third of the data. Here the rows are range-sorted on
+(user, hash, item) into partitions, so a large user spans several; rows are
+numbered inside (partition, user), and a user that crosses a partition's edge
+gets the rows of its earlier partitions as an offset, from a table of at most
+two rows per partition. One path for all users, whatever their size.
 """
 
 from __future__ import annotations
@@ -16,61 +15,51 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from encore.functions.columns import floor_fraction, hash_order_key
-from encore.functions.ordering import value_histogram_ranks
+from encore.functions.ordering import _PID, _POS, _tag, range_sorted_checkpoint, value_positions
 
 U, I, N = "user_id", "item_id", "interactions"
 
-DEFAULT_HOT_ROWS = 1_000_000
-# At most this many users are treated as heavy, whatever the data size: the
-# heavy-user list is broadcast (a shuffle join would hash the rows by user and
-# put a hot user back into one task), so its size is bounded by construction.
-MAX_HEAVY_USERS = 100_000
+#: Range partitions for each shuffle partition: the pieces of a large user are then small beside a task's share.
+PIECES = 4
 
 
-def label_split(ix: DataFrame, fraction: float = 0.8, seed=42, hot_rows: int = DEFAULT_HOT_ROWS,
-                user: str = U, item: str = I) -> DataFrame:
+def label_split(ix: DataFrame, fraction: float = 0.8, seed=42, user: str = U, item: str = I,
+                partitions: int | None = None) -> DataFrame:
     """Rows of ``ix`` with ``rn`` (1-based position in the user's seeded order),
     ``n`` (rows of the user) and ``row_counts`` = floor(fraction * n).
 
     Order: md5('seed|user|item') then item id, the same in Spark and DuckDB.
-    Train rows are ``rn <= row_counts``, validation rows the rest.
+    Train rows are ``rn <= row_counts``, validation rows the rest. Rows with a
+    NULL user are split as one user.
     """
-    sizes = ix.groupBy(user).agg(F.count(F.lit(1)).alias("_n"))
-    # Heavy: more than max(hot_rows, |ix| / MAX_HEAVY_USERS) rows, so at most
-    # MAX_HEAVY_USERS users qualify. A heavy user's rows go to 16**d
-    # sub-groups of about hot_rows rows each.
-    total = sizes.agg(F.sum("_n")).scalar()
-    threshold = F.greatest(F.lit(float(hot_rows)), total.cast("double") / F.lit(float(MAX_HEAVY_USERS)))
-    heavy = (sizes.where(F.col("_n") > threshold)
-                  .select(user, F.ceil(F.log(16.0, F.col("_n") / F.lit(float(hot_rows)))).cast("int")
-                          .alias("_d")))
-    x = (ix.withColumn("_h", hash_order_key(seed, user, item))
-           .join(F.broadcast(heavy), user, "left")
-           .withColumn("_b", F.when(F.col("_d").isNull(), F.lit(""))
-                              .otherwise(F.expr("substring(_h, 1, _d)")))
-           .drop("_d"))
-    # Sizes of the sub-groups (partial aggregate, one row per (user, sub-group))
-    # and the rows of the user's earlier sub-groups as the offset.
-    per_user = Window.partitionBy(user)
-    offsets = (x.groupBy(user, "_b").agg(F.count(F.lit(1)).alias("_c"))
-                .withColumn("_off", F.coalesce(F.sum("_c").over(
-                    per_user.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                .withColumn("n", F.sum("_c").over(per_user).cast("long"))
-                .drop("_c"))
-    # The one shuffle of the rows: by (user, sub-group); the offsets join reuses it.
-    ranked = x.withColumn("_r", F.row_number().over(Window.partitionBy(user, "_b").orderBy("_h", item)))
-    out = (ranked.join(offsets, [user, "_b"])
-                 .withColumn("rn", (F.col("_off") + F.col("_r")).cast("long")))
-    out = out.withColumn("row_counts", floor_fraction("n", fraction))
-    keep = [c for c in ix.columns] + ["rn", "n", "row_counts"]
-    return out.select(*keep)
-
-
-def train_val_split(ix: DataFrame, fraction: float = 0.8, seed=42,
-                    hot_rows: int = DEFAULT_HOT_ROWS) -> tuple[DataFrame, DataFrame]:
+    partitions = partitions or PIECES * int(ix.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hashed = ix.withColumn("_h", hash_order_key(seed, user, item))
+    order = [F.col(user).asc_nulls_first(), F.col("_h").asc(), F.col(item).asc()]
+    tagged = _tag(range_sorted_checkpoint(hashed, order, partitions)).drop("_h")
+    # First and last user of every partition, with their rows there: at most two rows a partition.
+    counts = tagged.groupBy(_PID, user).agg(F.count(F.lit(1)).alias("_c"))
+    edge = F.struct(F.col(user).alias("u"), "_c")
+    edges = (counts.groupBy(_PID).agg(F.array_distinct(F.array(F.min(edge), F.max(edge))).alias("_e"))
+                   .select(_PID, F.explode("_e").alias("_e")).select(_PID, F.col("_e.u").alias("_u"), "_e._c"))
+    of_user = Window.partitionBy("_u")
+    edges = (edges.withColumn("_off", F.coalesce(F.sum("_c").over(
+                      of_user.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                  .withColumn("_n", F.sum("_c").over(of_user))
+                  .select(F.col(_PID).alias("_p"), "_u", "_off", "_n"))
+    local = Window.partitionBy(_PID, user)
+    numbered = (tagged.withColumn("_r", F.row_number().over(local.orderBy(_POS)))
+                      .withColumn("_l", F.count(F.lit(1)).over(local))
+                      .join(F.broadcast(edges), (F.col(_PID) == F.col("_p")) & F.col(user).eqNullSafe(F.col("_u")), "left"))
+    return (numbered.withColumn("rn", (F.coalesce("_off", F.lit(0)) + F.col("_r")).cast("long"))
+                    .withColumn("n", F.coalesce("_n", "_l").cast("long"))
+                    .withColumn("row_counts", floor_fraction("n", fraction))
+                    .select(*ix.columns, "rn", "n", "row_counts"))
+
+
+def train_val_split(ix: DataFrame, fraction: float = 0.8, seed=42) -> tuple[DataFrame, DataFrame]:
     """(train, val): per user the first floor(fraction * n) rows of the seeded
     order go to train, the rest to validation. Disjoint, union = ``ix``."""
-    labelled = label_split(ix, fraction, seed, hot_rows)
+    labelled = label_split(ix, fraction, seed)
     train = labelled.where(F.col("rn") <= F.col("row_counts")).select(*ix.columns)
     val = labelled.where(F.col("rn") > F.col("row_counts")).select(*ix.columns)
     return train, val
@@ -86,7 +75,7 @@ def split_sizes(ix: DataFrame, fraction: float = 0.8) -> DataFrame:
 
 def user_totals(ix: DataFrame) -> DataFrame:
     """(user_id, total_interactions)."""
-    return ix.groupBy(U).agg(F.sum(N).cast("long").alias("total_interactions"))
+    return ix.groupBy(U).agg(F.sum(N).alias("total_interactions"))
 
 
 def user_percent_rank(ix: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -94,17 +83,13 @@ def user_percent_rank(ix: DataFrame, partitions: int | None = None) -> DataFrame
     (users with a smaller total) / (users - 1), 0 for a single user; tied
     totals share the lowest value, as PERCENT_RANK() OVER (ORDER BY total).
 
-    Computed from the histogram of distinct totals (distributed prefix sum)
-    joined back on the total, so no task sees all users.
+    The users are range-sorted by total and numbered there, so no task sees
+    all users and no row is shuffled on a total that many users share.
     """
-    totals = user_totals(ix)
-    hist = value_histogram_ranks(totals, "total_interactions", partitions=partitions)
-    n_users = hist.agg(F.sum("cnt").alias("n")).scalar()
-    ranks = hist.select("total_interactions",
-                        F.when(n_users <= 1, F.lit(0.0))
-                         .otherwise(F.col("before").cast("double") / (n_users - 1).cast("double"))
-                         .alias("percent_rank"))
-    return totals.join(ranks, "total_interactions").select(U, "total_interactions", "percent_rank")
+    ranked = value_positions(user_totals(ix), "total_interactions", [U], partitions=partitions)
+    n_users = ranked.agg(F.count(F.lit(1))).scalar()
+    rank = F.when(n_users <= 1, F.lit(0.0)).otherwise(F.col("before").cast("double") / (n_users - 1).cast("double"))
+    return ranked.select(U, "total_interactions", rank.alias("percent_rank"))
 
 
 def cold_start_users(ix: DataFrame, pct: float = 0.1, partitions: int | None = None) -> DataFrame:
@@ -130,14 +115,14 @@ def distinct_users(df: DataFrame) -> DataFrame:
 
 def warm_test(test: DataFrame, train: DataFrame) -> DataFrame:
     """Test rows of users that have training rows."""
-    return test.join(train.select(U), U, "left_semi")
+    return test.join(distinct_users(train), U, "left_semi")
 
 
 def cold_test(test: DataFrame, train: DataFrame) -> DataFrame:
     """Test rows of users absent from training: the real cold-start users."""
-    return test.join(train.select(U), U, "left_anti")
+    return test.join(distinct_users(train), U, "left_anti")
 
 
 def missing_users(train: DataFrame, val: DataFrame) -> DataFrame:
     """Validation users without a training row (expected: none)."""
-    return val.select(U).distinct().join(train.select(U), U, "left_anti")
+    return distinct_users(val).join(distinct_users(train), U, "left_anti")

@@ -14,11 +14,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from encore.functions.columns import exact_long
 from encore.operators.prep import count_interactions
 from encore.sources.tables import read_table
 
 TEST_CUT = "2001-01-01"
-EARLY_CUT = "1996-01-01"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,7 +39,7 @@ def plays(spark: SparkSession, sf_dir: str, start: str | None = None, end: str |
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     return (orders.join(lines, orders.o_orderkey == lines.l_orderkey)
                   .select(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"),
-                          F.col("l_quantity").alias("quantity")))
+                          exact_long("l_quantity").alias("quantity")))
 
 
 def interactions_by_period(spark: SparkSession, sf_dir: str, cut: str = TEST_CUT) -> DataFrame:
@@ -54,19 +54,9 @@ def interactions_by_period(spark: SparkSession, sf_dir: str, cut: str = TEST_CUT
     joined = (orders.where(F.col("o_orderdate").isNotNull())
                     .join(lines, orders.o_orderkey == lines.l_orderkey)
                     .select(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item_id"),
-                            F.col("l_quantity").alias("quantity"), period.alias("period")))
+                            exact_long("l_quantity").alias("quantity"), period.alias("period")))
     return (joined.groupBy("user_id", "item_id", "period")
-                  .agg(F.sum("quantity").cast("long").alias("interactions")))
-
-
-def history_interactions(spark: SparkSession, sf_dir: str, cut: str = TEST_CUT) -> DataFrame:
-    """(user_id, item_id, interactions = summed quantity) before the test cut."""
-    return count_interactions(plays(spark, sf_dir, end=cut), weight="quantity")
-
-
-def test_interactions(spark: SparkSession, sf_dir: str, cut: str = TEST_CUT) -> DataFrame:
-    """Interactions from the test cut on: the held-out test set."""
-    return count_interactions(plays(spark, sf_dir, start=cut), weight="quantity")
+                  .agg(F.sum("quantity").alias("interactions")))
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,12 +75,16 @@ def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second interaction source: ``events`` rows as plays of item ``props.k``."""
-    ev = table(spark, sf_dir, "events").select(
+    return count_interactions(event_plays(spark, sf_dir))
+
+
+def event_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user_id, item_id): one row per event; most customers have none."""
+    return table(spark, sf_dir, "events").select(
         "user_id", F.get_json_object("props", "$.k").cast("long").alias("item_id"))
-    return count_interactions(ev)
 
 
-def raw_plays(spark: SparkSession, sf_dir: str, end: str = TEST_CUT) -> DataFrame:
+def raw_plays(spark: SparkSession, sf_dir: str, end: str | None = None) -> DataFrame:
     """(user_id, recording_msid): one row per play, the raw-id form."""
     return plays(spark, sf_dir, end=end).select("user_id",
                                                  F.col("item_id").cast("string").alias("recording_msid"))

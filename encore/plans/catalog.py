@@ -11,7 +11,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.evaluation import RankingEvaluator
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -27,13 +28,24 @@ _STUDIES: dict = {}
 
 
 def study(spark: SparkSession, sf_dir: str, params: Params | None = None) -> Study:
-    """One Study per (application, dataset, parameters): stages are shared by queries."""
+    """One Study per (application, dataset, parameters): stages are shared by queries.
+
+    The files of a dataset must not change while its study is in use; ``forget``
+    drops the studies after a change.
+    """
     key = (spark.sparkContext.applicationId, sf_dir, params or Params())
     if key not in _STUDIES:
         _STUDIES[key] = Study(spark, sf_dir, params)
     return _STUDIES[key]
 
 
+def forget(spark: SparkSession) -> int:
+    """Drop this application's studies and delete every table it wrote; the number of tables deleted."""
+    for key in [k for k in _STUDIES if k[0] == spark.sparkContext.applicationId]:
+        del _STUDIES[key]
+    return tables.release_all(spark)
+
+
 def rounded(df: DataFrame, digits: int = 9) -> DataFrame:
     return df.select(*[F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, DoubleType)
                        else F.col(f.name) for f in df.schema.fields])
@@ -64,7 +76,7 @@ def q_scan_multi(spark, d):
 def q_sink_roundtrip(spark, d):
     s = study(spark, d)
     path = tables.scratch_path(spark, "interactions")
-    tables.write_table(s.ix, path, mode="overwrite")
+    tables.write_table(s.all_ix, path, mode="overwrite")
     return tables.read_table(spark, path, schema="user_id BIGINT, item_id BIGINT, interactions BIGINT")
 
 
@@ -109,7 +121,7 @@ def q_rec_array_shape(spark, d):
 
 # ------------------------------------------------------------------ preparation
 def q_interactions(spark, d):
-    return study(spark, d).ix
+    return study(spark, d).all_ix
 
 
 def q_events_interactions(spark, d):
@@ -117,19 +129,19 @@ def q_events_interactions(spark, d):
 
 
 def q_popular_items_pct15(spark, d):
-    return prep.popular_items(study(spark, d).ix, 0.15)
+    return prep.popular_items(study(spark, d).all_ix, 0.15)
 
 
 def q_positive_feedback(spark, d):
-    return prep.positive_only(study(spark, d).ix)
+    return prep.positive_only(study(spark, d).all_ix)
 
 
 def q_item_listeners(spark, d):
-    return prep.item_listeners(study(spark, d).ix)
+    return prep.item_listeners(study(spark, d).all_ix)
 
 
 def q_user_activity(spark, d):
-    return prep.user_activity(study(spark, d).ix)
+    return prep.user_activity(study(spark, d).all_ix)
 
 
 def q_popular_items(spark, d):
@@ -153,23 +165,23 @@ def q_restrict_users(spark, d):
 
 
 def q_listener_histogram(spark, d):
-    return prep.listener_histogram(study(spark, d).ix)
+    return prep.listener_histogram(study(spark, d).all_ix)
 
 
 def q_activity_histogram(spark, d):
-    return prep.activity_histogram(study(spark, d).ix)
+    return prep.activity_histogram(study(spark, d).all_ix)
 
 
 def q_listener_percentile(spark, d):
-    return prep.listener_percentile(study(spark, d).ix, 0.85)
+    return prep.listener_percentile(study(spark, d).all_ix, 0.85)
 
 
 def q_items_by_percentile(spark, d):
-    return prep.items_by_percentile(study(spark, d).ix, 0.85)
+    return prep.items_by_percentile(study(spark, d).all_ix, 0.85)
 
 
 def q_items_by_percent_rank(spark, d):
-    return rounded(prep.items_by_percent_rank(study(spark, d).ix, 0.15))
+    return rounded(prep.items_by_percent_rank(study(spark, d).all_ix, 0.15))
 
 
 def q_join_items_left(spark, d):
@@ -178,8 +190,14 @@ def q_join_items_left(spark, d):
 
 
 def q_join_users_left(spark, d):
-    early = binding.plays(spark, d, end=binding.EARLY_CUT).select(U, I)
-    joined = prep.attach_users(binding.users(spark, d), early, U)
+    """Customers and all their plays, counted."""
+    joined = prep.attach_users(binding.users(spark, d), binding.plays(spark, d).select(U, I), U)
+    return prep.count_interactions(joined)
+
+
+def q_join_users_events_left(spark, d):
+    """Customers and all their events; most customers have none and keep one row."""
+    joined = prep.attach_users(binding.users(spark, d), binding.event_plays(spark, d), U)
     return prep.count_interactions(joined)
 
 
@@ -195,8 +213,9 @@ def q_prepare_catalogue(spark, d):
 
 
 def q_union_distinct(spark, d):
+    """The prepared rows and their training part: every training row is there twice and comes out once."""
     s = study(spark, d)
-    return tables.union_distinct(s.train, s.val)
+    return tables.union_distinct(s.core, s.train)
 
 
 # ------------------------------------------------------------------ split
@@ -319,44 +338,44 @@ def q_beta_sweep(spark, d):
 
 
 def q_recs_unseen(spark, d):
+    """k unseen items for every training user."""
     s = study(spark, d)
-    users = s.train_warm.select(U).distinct()
-    listed = s.top.agg(F.sort_array(F.collect_list(F.struct("rank", I))).alias("_l"))
-    per_user = (users.select(U, F.explode(listed.scalar()).alias("_e"))
-                     .select(U, F.col("_e.item_id").alias(I), F.col("_e.rank").alias("rank")))
-    return ranking.exclude_seen(per_user, s.train_warm)
+    return popularity.recommend_unseen(s.pop, s.train_warm, s.train_warm, s.p.k)
 
 
 # ------------------------------------------------------------------ metrics
-def _map(name):
+def _map(name, k=None):
     def q(spark, d):
-        return rounded(study(spark, d).popularity_map(name))
+        return rounded(study(spark, d).popularity_map(name, k))
     return q
 
 
 def q_ap_per_user(spark, d):
-    return rounded(study(spark, d).popularity_metrics("val_warm").select(U, "ap"))
+    s = study(spark, d)
+    per_user = metrics.per_user_metrics(s.labels("val_warm"), s.top, s.p.k, s.segment("val_warm")[1])
+    return rounded(per_user.select(U, "ap"))
 
 
-def _metric(column):
+def _metric(function, segment="val_warm"):
+    """precision, recall and reciprocal rank count all relevant items of a user, however many."""
     def q(spark, d):
-        pu = study(spark, d).popularity_metrics("val_warm")
-        return rounded(pu.agg(F.count(F.lit(1)).cast("long").alias("users"),
-                              F.coalesce(F.avg(column), F.lit(0.0)).alias(column)))
+        s = study(spark, d)
+        return rounded(function(s.relevant(segment), s.top, s.p.k, s.segment(segment)[1]))
     return q
 
 
-def q_mrr(spark, d):
-    pu = study(spark, d).popularity_metrics("val_warm")
-    return rounded(pu.agg(F.count(F.lit(1)).cast("long").alias("users"),
-                          F.coalesce(F.avg("rr"), F.lit(0.0)).alias("mrr")))
+def q_ndcg_at_k(spark, d):
+    s = study(spark, d)
+    return rounded(metrics.ndcg_at_k(s.labels("val_warm"), s.top, s.p.k, s.segment("val_warm")[1]))
 
 
-def q_auc_popularity(spark, d):
-    s = study(spark, d)
-    truth, users = s.segment("val_warm")
-    positives = truth.join(users.distinct(), U, "left_semi")
-    return rounded(metrics.auc_summary(metrics.auc_global_scores(positives, s.pop)))
+def _auc(segment):
+    def q(spark, d):
+        s = study(spark, d)
+        truth, users = s.segment(segment)
+        positives = truth.join(users.distinct(), U, "left_semi")
+        return rounded(metrics.auc_summary(metrics.auc_global_scores(positives, s.pop, universe=s.dictionary)))
+    return q
 
 
 def q_popularity_report(spark, d):
@@ -369,14 +388,14 @@ def q_popularity_report(spark, d):
 def q_popularity_metrics_report(spark, d):
     """MAP, precision, recall, NDCG and MRR of the popularity list on every segment."""
     s = study(spark, d)
-    rows = []
-    for seg in ("val_warm", "val_cold", "test_warm", "test_cold"):
-        summary = metrics.summarize(s.popularity_metrics(seg))
-        rows.append(report.metric_rows(summary, "popularity", seg, s.p.k,
-                                       ["map", "precision", "recall", "ndcg", "mrr"]))
+    rows = [report.metric_rows(s.popularity_summary(seg), "popularity", seg, s.p.k, RANKING_METRICS)
+            for seg in ("val_warm", "val_cold", "test_warm", "test_cold")]
     return rounded(report.compare_models(rows))
 
 
+RANKING_METRICS = ["map", "precision", "recall", "ndcg", "mrr"]
+
+
 # ------------------------------------------------------------------ dictionaries
 def q_item_index(spark, d):
     return index.fit_item_index(study(spark, d).core).select(I, "item_idx")
@@ -390,14 +409,14 @@ def q_item_index_unseen(spark, d):
 
 def q_user_index(spark, d):
     s = study(spark, d)
-    return index.fit_ids(tables.union_distinct(s.train, s.val), U, "u_idx")
+    return index.fit_ids(s.core, U, "u_idx")
 
 
 def q_coo_triples(spark, d):
     s = study(spark, d)
-    full = tables.union_distinct(s.train, s.val)
-    users = index.fit_ids(full, U, "u_idx")
-    items = index.fit_ids(full, I, "i_idx")
+    # Train and validation are the prepared rows, split: both dictionaries are fitted on those.
+    users = index.fit_ids(s.core, U, "u_idx")
+    items = index.fit_ids(s.core, I, "i_idx")
     return index.to_coo(s.train, users, items)
 
 
@@ -425,9 +444,7 @@ def q_als_factors(spark, d):
 
 def q_als_recs_subset(spark, d):
     s = study(spark, d)
-    _, users = s.segment("val_warm")
-    return als.recommend_als(_als_model(s), s.p.k, s.labels("val_warm").select(U).distinct()
-                             .join(users.distinct(), U, "left_semi"))
+    return s.als_recs("val_warm")
 
 
 def q_als_recs_all(spark, d):
@@ -435,41 +452,97 @@ def q_als_recs_all(spark, d):
     return als.recommend_als(_als_model(s), s.p.k)
 
 
-def q_als_map(spark, d):
-    s = study(spark, d)
-    labels = s.labels("val_warm")
-    recs = als.recommend_als(_als_model(s), s.p.k, labels.select(U).distinct())
-    return rounded(metrics.map_at_k(labels, recs, s.p.k))
+def _als_map(segment):
+    """ALS top k for the segment's users that have factors, made once."""
+    def q(spark, d):
+        s = study(spark, d)
+        recs = s.als_recs(segment)
+        return rounded(metrics.map_at_k(s.labels(segment), recs, s.p.k, recs.select(U)))
+    return q
 
 
-def q_als_map_test(spark, d):
-    """ALS on the held-out test set: top k for all users, labels from test users
-    that have training rows."""
+def q_als_sweep(spark, d):
+    """One parameter at a time, over all four axes of the reference (from this study's small base)."""
     s = study(spark, d)
-    labels = s.labels("test_warm")
-    recs = als.recommend_als(_als_model(s), s.p.k)
-    return rounded(metrics.map_at_k(labels, recs, s.p.k))
+    grid = als.one_at_a_time_grid(als.REFERENCE_AXES)
+    return rounded(als.sweep_als(s.train_warm.select(U, I, N), s.labels("val_warm"), grid, s.p.k, base=s.p.als))
 
 
-def q_als_sweep(spark, d):
+def q_als_grid(spark, d):
+    """The reference's rank x reg table."""
     s = study(spark, d)
-    grid = [dict(rank=4), dict(rank=8, reg=0.1), dict(rank=8, alpha=10.0)]
-    return rounded(als.sweep_als(s.train_warm.select(U, I, N), s.labels("val_warm"), grid, s.p.k, base=s.p.als))
+    grid = als.product_grid(**als.REFERENCE_PRODUCT)
+    return rounded(als.sweep_als(s.train_warm.select(U, I, N), s.labels("val_warm"), grid, s.p.k, base=dict(s.p.als, max_iter=2)))
 
 
 def q_model_report(spark, d):
-    """Popularity vs ALS on warm validation users: all five ranking metrics."""
+    """Popularity and ALS on warm validation and test users: five ranking metrics, and the seconds of the fit."""
     s = study(spark, d)
-    labels = s.labels("val_warm")
-    recs = als.recommend_als(_als_model(s), s.p.k, labels.select(U).distinct())
-    names = ["map", "precision", "recall", "ndcg", "mrr"]
-    rows = [report.metric_rows(metrics.summarize(s.popularity_metrics("val_warm")), "popularity", "val_warm",
-                               s.p.k, names),
-            report.metric_rows(metrics.summarize(metrics.per_user_metrics(labels, recs, s.p.k)), "als",
-                               "val_warm", s.p.k, names)]
+    rows = []
+    for seg in ("val_warm", "test_warm"):
+        recs = s.als_recs(seg)
+        of_als = metrics.ranking_summary(s.labels(seg), s.relevant(seg), recs, s.p.k, recs.select(U))
+        rows.append(report.metric_rows(s.popularity_summary(seg), "popularity", seg, s.p.k, RANKING_METRICS)
+                    .withColumn("fit_seconds", F.lit(None).cast("double")))
+        rows.append(report.metric_rows(of_als, "als", seg, s.p.k, RANKING_METRICS).withColumn("fit_seconds", F.lit(s.als_seconds)))
     return rounded(report.compare_models(rows))
 
 
+# ------------------------------------------------------------------ ALS (facts that SQL knows)
+def q_als_id_range(spark, d):
+    """Ids after the cast to ALS's int ids."""
+    train = study(spark, d).train_warm
+    als.check_int_ids(train, [U, I])
+    u, i = F.col(U).cast("int"), F.col(I).cast("int")
+    return train.agg(F.min(u).alias("min_user"), F.max(u).alias("max_user"), F.min(i).alias("min_item"), F.max(i).alias("max_item"))
+
+
+def q_als_factor_check(spark, d):
+    """Factor vectors a side: how many, of which lengths, and how many of them are not finite."""
+    f = als.factor_summary(_als_model(study(spark, d)))
+    bad = F.isnan("norm") | (F.abs("norm") == F.lit(float("inf")))
+    return f.groupBy("side").agg(F.count(F.lit(1)).alias("vectors"), F.min("dims").alias("least_dims"), F.max("dims").alias("most_dims"),
+                                 F.sum(F.when(bad, 1).otherwise(0)).alias("not_finite"))
+
+
+def _rec_facts(recs, train):
+    """users, rows, users whose ranks have gaps, rows whose score exceeds the one before, rows of unknown items."""
+    before = F.lag("score").over(Window.partitionBy(U).orderBy("rank"))
+    known = train.select(I).distinct().withColumn("known", F.lit(1))
+    per_user = (recs.withColumn("before", before).join(known, I, "left").groupBy(U)
+                    .agg(F.count(F.lit(1)).alias("rows"), F.max("rank").alias("last"), F.count_distinct("rank").alias("ranks"),
+                         F.sum(F.when(F.col("score") > F.col("before"), 1).otherwise(0)).alias("rises"),
+                         F.sum(F.when(F.col("known").isNull(), 1).otherwise(0)).alias("unknown")))
+    return per_user.agg(F.count(F.lit(1)).alias("users"), F.sum("rows").alias("rows"),
+                        F.sum(F.when((F.col("last") != F.col("rows")) | (F.col("ranks") != F.col("rows")), 1).otherwise(0)).alias("gaps"),
+                        F.sum("rises").alias("rises"), F.sum("unknown").alias("unknown"))
+
+
+def q_als_recs_check(spark, d):
+    s = study(spark, d)
+    return _rec_facts(als.recommend_als(_als_model(s), s.p.k), s.train_warm)
+
+
+def q_als_unseen_check(spark, d):
+    """ALS lists of unseen items: full wherever k unseen items exist, and without a seen one."""
+    s = study(spark, d)
+    recs = tables.materialize(als.recommend_unseen_als(_als_model(s), s.train_warm, s.train_warm, s.p.k), "unseen")
+    seen = recs.join(s.train_warm.select(U, I), [U, I], "left_semi").agg(F.count(F.lit(1)).alias("seen"))
+    return _rec_facts(recs, s.train_warm).withColumn("seen", seen.scalar())
+
+
+def q_als_map_check(spark, d):
+    """The relational MAP against Spark's own evaluator on the same lists."""
+    s = study(spark, d)
+    recs, labels = s.als_recs("val_warm"), s.labels("val_warm")
+    ours = metrics.map_at_k(labels, recs, s.p.k, recs.select(U)).first()
+    pred = ranking.ranked_array(recs, "prediction", [U], as_double=True)
+    truth = ranking.true_arrays(labels, as_double=True).withColumnRenamed("true_labels", "label")
+    theirs = RankingEvaluator(k=s.p.k, metricName="meanAveragePrecisionAtK", labelCol="label",
+                              predictionCol="prediction").evaluate(truth.join(pred, U))
+    return spark.createDataFrame([(ours["users"], round(abs(ours["map"] - theirs), 9))], "users long, difference double")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources / sinks
     "scan_interactions": q_scan_interactions,
@@ -501,6 +574,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "items_by_percent_rank": q_items_by_percent_rank,
     "join_items_left": q_join_items_left,
     "join_users_left": q_join_users_left,
+    "join_users_events_left": q_join_users_events_left,
     "union_distinct": q_union_distinct,
     "prepare_catalogue": q_prepare_catalogue,
     # split and cold start
@@ -541,11 +615,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "map_at_k_test_warm": _map("test_warm"),
     "map_at_k_test_cold": _map("test_cold"),
     "ap_per_user": q_ap_per_user,
-    "precision_at_k": _metric("precision"),
-    "recall_at_k": _metric("recall"),
-    "ndcg_at_k": _metric("ndcg"),
-    "mrr": q_mrr,
-    "auc_popularity": q_auc_popularity,
+    "map_at_100_val_warm": _map("val_warm", 100),
+    "map_at_100_val_cold": _map("val_cold", 100),
+    "map_at_100_test_warm": _map("test_warm", 100),
+    "map_at_100_test_cold": _map("test_cold", 100),
+    "precision_at_k": _metric(metrics.precision_at_k),
+    "precision_train_warm": _metric(metrics.precision_at_k, "train_warm"),
+    "recall_at_k": _metric(metrics.recall_at_k),
+    "ndcg_at_k": q_ndcg_at_k,
+    "mrr": _metric(metrics.mrr),
+    "auc_popularity": _auc("val_warm"),
+    "auc_train_warm": _auc("train_warm"),
     "popularity_report": q_popularity_report,
     "popularity_metrics_report": q_popularity_metrics_report,
     # dictionaries
@@ -557,9 +637,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_factors": q_als_factors,
     "als_recs_subset": q_als_recs_subset,
     "als_recs_all": q_als_recs_all,
-    "als_map": q_als_map,
-    "als_map_test": q_als_map_test,
+    "als_map": _als_map("val_warm"),
+    "als_map_test": _als_map("test_warm"),
+    "als_id_range": q_als_id_range,
+    "als_factor_check": q_als_factor_check,
+    "als_recs_check": q_als_recs_check,
+    "als_unseen_check": q_als_unseen_check,
+    "als_map_check": q_als_map_check,
     "als_sweep": q_als_sweep,
+    "als_grid": q_als_grid,
     "als_indexed_recs": q_als_indexed_recs,
     "model_report": q_model_report,
 }

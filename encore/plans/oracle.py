@@ -22,6 +22,11 @@ plays AS (
 ix AS (
   SELECT user_id, item_id, CAST(SUM(quantity) AS BIGINT) AS interactions
   FROM plays GROUP BY user_id, item_id),
+ix_all AS (
+  SELECT o.o_custkey AS user_id, l.l_partkey AS item_id, CAST(SUM(l.l_quantity) AS BIGINT) AS interactions
+  FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey WHERE o.o_orderdate IS NOT NULL GROUP BY 1, 2),
+listeners_all AS (
+  SELECT item_id, COUNT(user_id) AS listeners FROM ix_all WHERE item_id IS NOT NULL GROUP BY item_id),
 listeners AS (
   SELECT item_id, COUNT(user_id) AS listeners FROM ix WHERE item_id IS NOT NULL GROUP BY item_id),
 popular AS (
@@ -88,6 +93,7 @@ item_ids AS (
 """
 
 SEGMENTS = {
+    "train_warm": ("train_warm", "train_warm"),
     "val_warm": ("val_warm", "train_warm"),
     "val_cold": ("val_cold", "train_cold"),
     "test_warm": ("test_warm", "test_warm"),
@@ -100,21 +106,27 @@ def _with(*extra: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
-def _metric_ctes(segment: str, tag: str = "") -> str:
-    """lab / nl / hits / ht / ideal / pu CTEs (suffixed by ``tag``) for one segment."""
+def _metric_ctes(segment: str, tag: str = "", k: int = K, cut: bool = True) -> str:
+    """Best / lab / nl / hits / ht / ideal / pu CTEs (suffixed by ``tag``) for one segment.
+
+    ``cut``: only each user's k strongest items are labels (MAP, NDCG); else all of them.
+    """
     truth, users = SEGMENTS[segment]
     t = tag
     return f"""
+best{t} AS (
+  SELECT item_id, rank FROM (
+    SELECT item_id, row_number() OVER (ORDER BY score DESC, item_id ASC) AS rank FROM pop_scores) r WHERE rank <= {k}),
 lab{t} AS (
   SELECT user_id, item_id FROM (
     SELECT user_id, item_id,
            row_number() OVER (PARTITION BY user_id ORDER BY interactions DESC, item_id ASC) AS rank
-    FROM {truth} WHERE interactions > 0) r WHERE rank <= {K}),
+    FROM {truth} WHERE interactions > 0) r {f"WHERE rank <= {k}" if cut else ""}),
 nl{t} AS (
   SELECT user_id, COUNT(*) AS n_labels FROM lab{t}
   WHERE user_id IN (SELECT user_id FROM {users}) GROUP BY user_id),
 hits{t} AS (
-  SELECT l.user_id, t.rank FROM lab{t} l JOIN top_list t ON l.item_id = t.item_id
+  SELECT l.user_id, t.rank FROM lab{t} l JOIN best{t} t ON l.item_id = t.item_id
   WHERE l.user_id IN (SELECT user_id FROM nl{t})),
 ht{t} AS (
   SELECT user_id, SUM(CAST(cnt AS DOUBLE) / CAST(rank AS DOUBLE)) AS ap_sum, COUNT(*) AS hits,
@@ -123,20 +135,34 @@ ht{t} AS (
         FROM hits{t}) h GROUP BY user_id),
 ideal{t} AS (
   SELECT i, SUM(1.0 / log2(CAST(i AS DOUBLE) + 1.0)) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING
-         AND CURRENT ROW) AS idcg FROM range(1, {K + 1}) g(i)),
+         AND CURRENT ROW) AS idcg FROM range(1, {k + 1}) g(i)),
 pu{t} AS (
   SELECT nl.user_id, nl.n_labels, COALESCE(ht.hits, 0) AS hits,
-         COALESCE(ht.ap_sum, 0.0) / CAST(LEAST(nl.n_labels, {K}) AS DOUBLE) AS ap,
-         CAST(COALESCE(ht.hits, 0) AS DOUBLE) / CAST({K} AS DOUBLE) AS precision,
+         COALESCE(ht.ap_sum, 0.0) / CAST(LEAST(nl.n_labels, {k}) AS DOUBLE) AS ap,
+         CAST(COALESCE(ht.hits, 0) AS DOUBLE) / CAST({k} AS DOUBLE) AS precision,
          CAST(COALESCE(ht.hits, 0) AS DOUBLE) / CAST(nl.n_labels AS DOUBLE) AS recall,
          COALESCE(ht.dcg, 0.0) / ideal.idcg AS ndcg,
          COALESCE(1.0 / CAST(ht.first_rank AS DOUBLE), 0.0) AS rr
-  FROM nl{t} nl LEFT JOIN ht{t} ht USING (user_id) JOIN ideal{t} ideal ON ideal.i = LEAST(nl.n_labels, {K}))
+  FROM nl{t} nl LEFT JOIN ht{t} ht USING (user_id) JOIN ideal{t} ideal ON ideal.i = LEAST(nl.n_labels, {k}))
 """
 
 
-def _mean_sql(column: str, out: str, segment: str = "val_warm") -> str:
-    return (_with(_metric_ctes(segment)) +
+def _auc(segment: str) -> str:
+    """From the definition: over all pairs (relevant item, other item of the dictionary), wins plus half the ties."""
+    truth, users = SEGMENTS[segment]
+    return _with("""
+dict AS (SELECT d.item_id, COALESCE(s.score, -1) AS score FROM (SELECT DISTINCT item_id FROM core) d LEFT JOIN pop_scores s USING (item_id))""", f"""
+pos AS (SELECT DISTINCT t.user_id, t.item_id, d.score FROM {truth} t JOIN dict d USING (item_id)
+        WHERE t.interactions > 0 AND t.user_id IN (SELECT user_id FROM {users}))""", """
+wins AS (
+  SELECT p.user_id, avg(CASE WHEN p.score > q.score THEN 1.0 WHEN p.score = q.score THEN 0.5 ELSE 0.0 END) AS auc
+  FROM pos p CROSS JOIN dict q
+  WHERE NOT EXISTS (SELECT 1 FROM pos x WHERE x.user_id = p.user_id AND x.item_id = q.item_id) GROUP BY p.user_id)""") + (
+        "SELECT CAST(COUNT(*) AS BIGINT) AS users, ROUND(COALESCE(AVG(auc), 0.0), 9) AS auc FROM wins")
+
+
+def _mean_sql(column: str, out: str, segment: str = "val_warm", k: int = K, cut: bool = True) -> str:
+    return (_with(_metric_ctes(segment, k=k, cut=cut)) +
             f"SELECT CAST(COUNT(*) AS BIGINT) AS users, ROUND(COALESCE(AVG({column}), 0.0), 9) AS {out} FROM pu")
 
 
@@ -213,12 +239,12 @@ def _popularity_report() -> str:
 def _popularity_metrics_report() -> str:
     ctes, selects = [], []
     for i, name in enumerate(("val_warm", "val_cold", "test_warm", "test_cold")):
-        ctes.append(_metric_ctes(name, f"_{i}"))
-        for metric, col in (("map", "ap"), ("precision", "precision"), ("recall", "recall"),
-                            ("ndcg", "ndcg"), ("mrr", "rr")):
+        ctes += [_metric_ctes(name, f"_{i}"), _metric_ctes(name, f"_{i}a", cut=False)]
+        for metric, col, source in (("map", "ap", f"{i}"), ("precision", "precision", f"{i}a"), ("recall", "recall", f"{i}a"),
+                                    ("ndcg", "ndcg", f"{i}"), ("mrr", "rr", f"{i}a")):
             selects.append(f"SELECT 'popularity' AS model, '{name}' AS segment, '{metric}' AS metric, "
                            f"CAST({K} AS INTEGER) AS k, CAST(COUNT(*) AS BIGINT) AS users, "
-                           f"ROUND(COALESCE(AVG({col}), 0.0), 9) AS value FROM pu_{i}")
+                           f"ROUND(COALESCE(AVG({col}), 0.0), 9) AS value FROM pu_{source}")
     return _with(*ctes) + "\nUNION ALL\n".join(selects)
 
 
@@ -228,7 +254,7 @@ ORACLE_SQL: dict[str, str] = {
     "scan_typed": ("SELECT l_orderkey, CAST(l_partkey AS INTEGER) AS l_partkey, "
                    "CAST(l_quantity AS INTEGER) AS l_quantity FROM lineitem"),
     "scan_multi": _with() + "SELECT * FROM train_rows UNION ALL SELECT * FROM val_rows",
-    "sink_roundtrip": _with() + "SELECT * FROM ix",
+    "sink_roundtrip": _with() + "SELECT * FROM ix_all",
     "sql_view": _with() + ("SELECT user_id, COUNT(*) AS n_items, CAST(SUM(interactions) AS BIGINT) AS total "
                            "FROM core GROUP BY user_id"),
     "split_counts": _with() + """
@@ -252,15 +278,15 @@ UNION ALL SELECT 'test_cold', COUNT(*) FROM test_cold""",
   (SELECT COUNT(*)::INTEGER FROM top_list) AS n
 FROM (SELECT DISTINCT user_id FROM train_warm) u""",
     # preparation
-    "interactions": _with() + "SELECT * FROM ix",
+    "interactions": _with() + "SELECT * FROM ix_all",
     "events_interactions": """SELECT user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id,
   COUNT(*) AS interactions FROM events GROUP BY 1, 2""",
     "popular_items_pct15": _with() + """SELECT item_id, listeners FROM (
-  SELECT item_id, listeners, row_number() OVER (ORDER BY listeners DESC, item_id ASC) AS rn FROM listeners) r
-WHERE rn <= (SELECT (COUNT(*) * 3) // 20 FROM listeners)""",
-    "positive_feedback": _with() + "SELECT * FROM ix WHERE interactions > 0",
-    "item_listeners": _with() + "SELECT item_id, listeners FROM listeners",
-    "user_activity": _with() + ("SELECT user_id, COUNT(item_id) AS tracks FROM ix "
+  SELECT item_id, listeners, row_number() OVER (ORDER BY listeners DESC, item_id ASC) AS rn FROM listeners_all) r
+WHERE rn <= (SELECT (COUNT(*) * 3) // 20 FROM listeners_all)""",
+    "positive_feedback": _with() + "SELECT * FROM ix_all WHERE interactions > 0",
+    "item_listeners": _with() + "SELECT item_id, listeners FROM listeners_all",
+    "user_activity": _with() + ("SELECT user_id, COUNT(item_id) AS tracks FROM ix_all "
                                 "WHERE user_id IS NOT NULL GROUP BY user_id"),
     "popular_items": _with() + "SELECT item_id, listeners FROM popular",
     "restrict_items": _with() + "SELECT * FROM popular_ix",
@@ -268,33 +294,33 @@ WHERE rn <= (SELECT (COUNT(*) * 3) // 20 FROM listeners)""",
     "low_activity_users": _with() + "SELECT user_id FROM popular_ix GROUP BY user_id HAVING COUNT(*) < 10",
     "restrict_users": _with() + "SELECT * FROM core",
     "listener_histogram": _with() + (f"SELECT {_listener_bin('listeners')} AS listeners_counts, "
-                                     "COUNT(*) AS track_counts FROM listeners GROUP BY 1"),
+                                     "COUNT(*) AS track_counts FROM listeners_all GROUP BY 1"),
     "activity_histogram": _with() + (f"SELECT {_activity_bin('tracks')} AS track_counts, COUNT(*) AS user_counts "
-                                     "FROM (SELECT user_id, COUNT(item_id) AS tracks FROM ix GROUP BY user_id) a "
+                                     "FROM (SELECT user_id, COUNT(item_id) AS tracks FROM ix_all GROUP BY user_id) a "
                                      "GROUP BY 1"),
     "listener_percentile": _with() + ("SELECT ROUND(quantile_cont(listeners, 0.85), 9) AS listener_percentile "
-                                      "FROM listeners"),
-    "items_by_percentile": _with() + ("SELECT item_id, listeners FROM listeners WHERE listeners >= "
-                                      "(SELECT ROUND(quantile_cont(listeners, 0.85), 9) FROM listeners)"),
+                                      "FROM listeners_all"),
+    "items_by_percentile": _with() + ("SELECT item_id, listeners FROM listeners_all WHERE listeners >= "
+                                      "(SELECT ROUND(quantile_cont(listeners, 0.85), 9) FROM listeners_all)"),
     "items_by_percent_rank": _with() + """SELECT item_id, listeners, ROUND(pr, 9) AS percent_rank FROM (
-  SELECT item_id, listeners, percent_rank() OVER (ORDER BY listeners DESC) AS pr FROM listeners) r
+  SELECT item_id, listeners, percent_rank() OVER (ORDER BY listeners DESC) AS pr FROM listeners_all) r
 WHERE pr <= CAST(0.15 AS DOUBLE)""",
     "join_items_left": _with() + """SELECT p.user_id, p.recording_msid, t.recording_mbid FROM (
   SELECT o.o_custkey AS user_id, CAST(l.l_partkey AS VARCHAR) AS recording_msid
-  FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
-  WHERE o.o_orderdate < TIMESTAMP '2001-01-01') p
+  FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey) p
 LEFT JOIN tracks t ON p.recording_msid = t.recording_msid""",
     "join_users_left": """SELECT c.c_custkey AS user_id, e.item_id, COUNT(*) AS interactions
 FROM customer c LEFT JOIN (
   SELECT o.o_custkey AS user_id, l.l_partkey AS item_id
-  FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
-  WHERE o.o_orderdate < TIMESTAMP '1996-01-01') e ON c.c_custkey = e.user_id
+  FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey) e ON c.c_custkey = e.user_id
 GROUP BY c.c_custkey, e.item_id""",
+    "join_users_events_left": """SELECT c.c_custkey AS user_id, e.item_id, COUNT(*) AS interactions
+FROM customer c LEFT JOIN (SELECT user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id FROM events) e
+  ON c.c_custkey = e.user_id GROUP BY c.c_custkey, e.item_id""",
     "prepare_catalogue": _with("""
 cat_plays AS (
   SELECT o.o_custkey AS user_id, CAST(l.l_partkey AS VARCHAR) AS recording_msid
-  FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
-  WHERE o.o_orderdate < TIMESTAMP '2001-01-01')""", """
+  FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey)""", """
 cat_joined AS (SELECT p.user_id, t.recording_mbid FROM cat_plays p
                LEFT JOIN tracks t ON p.recording_msid = t.recording_msid)""", """
 cat_full AS (SELECT c.c_custkey AS user_id, j.recording_mbid FROM customer c
@@ -306,7 +332,7 @@ cat_pop AS (SELECT item_id FROM (
   WHERE rn <= (SELECT COUNT(*) // 2 FROM cat_l))""", """
 cat_pi AS (SELECT * FROM cat_ix WHERE item_id IN (SELECT item_id FROM cat_pop))""") + """SELECT * FROM cat_pi
 WHERE user_id IN (SELECT user_id FROM cat_pi GROUP BY user_id HAVING COUNT(*) >= 10)""",
-    "union_distinct": _with() + "SELECT * FROM train_rows UNION SELECT * FROM val_rows",
+    "union_distinct": _with() + "SELECT * FROM core UNION SELECT * FROM train_rows",
     # split and cold start
     "attach_group_size": _with() + "SELECT user_id, item_id, interactions, rn, n, row_counts FROM labelled",
     "split_train": _with() + "SELECT * FROM train_rows",
@@ -357,33 +383,41 @@ FROM (SELECT user_id, item_id,
 JOIN (SELECT u.user_id, (SELECT string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY rank) FROM top_list)
         AS predicted_labels FROM (SELECT DISTINCT user_id FROM train_warm) u) p ON t.user_id = p.user_id""",
     "beta_sweep": _beta_sweep(),
-    "recs_unseen": _with() + """SELECT user_id, item_id,
-  CAST(row_number() OVER (PARTITION BY user_id ORDER BY rank, item_id) AS BIGINT) AS rank
-FROM (SELECT u.user_id, t.item_id, t.rank FROM (SELECT DISTINCT user_id FROM train_warm) u CROSS JOIN top_list t) x
-WHERE NOT EXISTS (SELECT 1 FROM train_warm w WHERE w.user_id = x.user_id AND w.item_id = x.item_id)""",
+    "recs_unseen": _with() + f"""SELECT user_id, item_id, rank FROM (
+  SELECT x.user_id, x.item_id, CAST(row_number() OVER (PARTITION BY x.user_id ORDER BY x.score DESC, x.item_id ASC) AS BIGINT) AS rank
+  FROM (SELECT u.user_id, s.item_id, s.score FROM (SELECT DISTINCT user_id FROM train_warm) u CROSS JOIN pop_scores s) x
+  WHERE NOT EXISTS (SELECT 1 FROM train_warm w WHERE w.user_id = x.user_id AND w.item_id = x.item_id)) r WHERE rank <= {K}""",
     # metrics
     "map_at_k_warm": _mean_sql("ap", "map", "val_warm"),
     "map_at_k_cold": _mean_sql("ap", "map", "val_cold"),
     "map_at_k_test_warm": _mean_sql("ap", "map", "test_warm"),
     "map_at_k_test_cold": _mean_sql("ap", "map", "test_cold"),
     "ap_per_user": _with(_metric_ctes("val_warm")) + "SELECT user_id, ROUND(ap, 9) AS ap FROM pu",
-    "precision_at_k": _mean_sql("precision", "precision"),
-    "recall_at_k": _mean_sql("recall", "recall"),
+    "map_at_100_val_warm": _mean_sql("ap", "map", "val_warm", 100),
+    "map_at_100_val_cold": _mean_sql("ap", "map", "val_cold", 100),
+    "map_at_100_test_warm": _mean_sql("ap", "map", "test_warm", 100),
+    "map_at_100_test_cold": _mean_sql("ap", "map", "test_cold", 100),
+    "precision_at_k": _mean_sql("precision", "precision", cut=False),
+    "precision_train_warm": _mean_sql("precision", "precision", "train_warm", cut=False),
+    "recall_at_k": _mean_sql("recall", "recall", cut=False),
     "ndcg_at_k": _mean_sql("ndcg", "ndcg"),
-    "mrr": _mean_sql("rr", "mrr"),
-    "auc_popularity": _with("""
-sh AS (SELECT score, COUNT(*) AS cnt FROM pop_scores GROUP BY score)""", """
-shr AS (SELECT score, cnt, COALESCE(SUM(cnt) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING
-        AND 1 PRECEDING), 0) AS before FROM sh)""", """
-mid AS (SELECT s.item_id, CAST(r.before AS DOUBLE) + (CAST(r.cnt AS DOUBLE) + 1.0) / 2.0 AS mid
-        FROM pop_scores s JOIN shr r ON s.score = r.score)""", """
-pos AS (SELECT DISTINCT user_id, item_id FROM val_warm
-        WHERE interactions > 0 AND user_id IN (SELECT user_id FROM train_warm))""", """
-pu AS (SELECT p.user_id, COUNT(*) AS m, SUM(mid.mid) AS s FROM pos p JOIN mid ON p.item_id = mid.item_id
-       GROUP BY p.user_id)""", """
-nn AS (SELECT COUNT(*) AS n FROM pop_scores)""") + """SELECT CAST(COUNT(*) AS BIGINT) AS users,
-  ROUND(COALESCE(AVG((s - CAST(m * (m + 1) AS DOUBLE) / 2.0) / (CAST(m AS DOUBLE) * CAST(n - m AS DOUBLE))), 0.0), 9)
-  AS auc FROM pu, nn WHERE m > 0 AND m < n""",
+    "mrr": _mean_sql("rr", "mrr", cut=False),
+    "auc_popularity": _auc("val_warm"),
+    "auc_train_warm": _auc("train_warm"),
+    # ALS: what SQL knows of it
+    "als_id_range": _with() + """SELECT min(user_id)::INT AS min_user, max(user_id)::INT AS max_user, min(item_id)::INT AS min_item,
+  max(item_id)::INT AS max_item FROM train_warm WHERE interactions > 0""",
+    "als_factor_check": _with() + """SELECT 'user' AS side, count(DISTINCT user_id) AS vectors, 8 AS least_dims, 8 AS most_dims,
+  0::BIGINT AS not_finite FROM train_warm WHERE interactions > 0
+UNION ALL SELECT 'item', count(DISTINCT item_id), 8, 8, 0 FROM train_warm WHERE interactions > 0""",
+    "als_recs_check": _with() + f"""SELECT count(DISTINCT user_id) AS users,
+  (count(DISTINCT user_id) * least({K}, count(DISTINCT item_id)))::BIGINT AS rows, 0::BIGINT AS gaps, 0::BIGINT AS rises, 0::BIGINT AS unknown
+FROM train_warm WHERE interactions > 0""",
+    "als_unseen_check": _with() + f"""SELECT count(*) AS users, sum(least({K}, n - s))::BIGINT AS rows, 0::BIGINT AS gaps, 0::BIGINT AS rises,
+  0::BIGINT AS unknown, 0::BIGINT AS seen
+FROM (SELECT user_id, count(DISTINCT item_id) AS s FROM train_warm WHERE interactions > 0 GROUP BY user_id) u,
+     (SELECT count(DISTINCT item_id) AS n FROM train_warm WHERE interactions > 0) t WHERE n > s""",
+    "als_map_check": _with(_metric_ctes("val_warm")) + "SELECT count(*) AS users, 0.0::DOUBLE AS difference FROM nl",
     "popularity_report": _popularity_report(),
     "popularity_metrics_report": _popularity_metrics_report(),
     # dictionaries

@@ -11,6 +11,7 @@ a recomputation from the raw tables.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from encore.operators import als, metrics, popularity, prep, ranking, split
 from encore.plans import binding
-from encore.sources.tables import delete_path, materialize, materialize_bucketed
+from encore.sources.tables import delete_path, materialize
 
 U, I, N = "user_id", "item_id", "interactions"
 SEGMENTS = ("val_warm", "val_cold", "test_warm", "test_cold")
@@ -34,9 +35,6 @@ class Params:
     cold_pct: float = 0.1          # percent_rank bound of simulated cold users
     beta: float = 5000.0           # popularity damping
     k: int = 10                    # list length and label depth
-    hot_rows: int = 1_000_000      # per-user rows above which the split salts
-    bucket_by_user: bool | None = None  # bucket user-keyed stages by user; None: decide from user sizes
-    buckets: int | None = None     # their bucket count (None: shuffle partitions)
     test_cut: str = binding.TEST_CUT
     # The reference's beta grid.
     betas: tuple = (1.0, 100.0, 1000.0, 5000.0, 10000.0, 20000.0, 100000.0, 1000000.0)
@@ -45,8 +43,7 @@ class Params:
 
     def __hash__(self):
         return hash((self.fraction, self.min_items, self.train_fraction, self.seed, self.cold_pct,
-                     self.beta, self.k, self.hot_rows, self.bucket_by_user, self.buckets,
-                     self.test_cut, self.betas,
+                     self.beta, self.k, self.test_cut, self.betas,
                      tuple(sorted(self.als.items()))))
 
 
@@ -54,57 +51,22 @@ class Study:
     def __init__(self, spark: SparkSession, sf_dir: str, params: Params | None = None):
         self.spark, self.sf_dir, self.p = spark, sf_dir, params or Params()
         self.tables: list[str] = []
-        self.catalog_tables: list[str] = []
+        self.als_seconds: float | None = None
+        self._als_recs: dict[str, DataFrame] = {}
 
     def _keep(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
         return materialize(df, name, partition_by, written=self.tables)
 
-    def _keep_by_user(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-        """User-keyed stage.
-
-        When bucketed by user, joins between such stages (split rows x user
-        ranks, train x warm users, test x train users) need no shuffle. But a
-        bucket holds all rows of its users, so a user with a third of the
-        data makes one bucket -- and one task of every later scan, aggregate
-        and window -- a third of the data, with no shuffle left for partial
-        aggregation, salting or AQE to spread it. ``bucket_by_user=None``
-        therefore buckets only when no user holds more than twice an average
-        bucket's share of the rows.
-        """
-        if not self._bucket_users:
-            return self._keep(df, name, partition_by)
-        buckets = self._buckets
-        return materialize_bucketed(df, name, U, buckets, written=self.tables,
-                                    catalog_names=self.catalog_tables, partition_by=partition_by)
-
-    @cached_property
-    def _buckets(self) -> int:
-        return self.p.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-
-    @cached_property
-    def _bucket_users(self) -> bool:
-        if self.p.bucket_by_user is not None:
-            return bool(self.p.bucket_by_user)
-        # One scalar aggregate over the (already written) history interactions.
-        row = (self.ix.groupBy(U).agg(F.count(F.lit(1)).alias("_n"))
-                      .agg(F.max("_n").alias("top"), F.sum("_n").alias("total")).first())
-        top, total = row["top"], row["total"]
-        return top is not None and top * self._buckets <= 2 * total
-
     def release(self) -> int:
         """Delete the stage tables this study wrote; frames built on them become invalid."""
-        for name in self.catalog_tables:
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         deleted = sum(delete_path(self.spark, path) for path in self.tables)
         self.tables.clear()
-        self.catalog_tables.clear()
         return deleted
 
     # ------------------------------------------------------------ inputs
     @cached_property
     def interactions(self) -> DataFrame:
         """History and test interactions from one join, stored by period."""
-        # Plain (not bucketed): the bucketing decision reads this table.
         return self._keep(binding.interactions_by_period(self.spark, self.sf_dir, self.p.test_cut),
                           "interactions", partition_by=["period"])
 
@@ -112,6 +74,16 @@ class Study:
     def ix(self) -> DataFrame:
         return self.interactions.where(F.col("period") == "history").select(U, I, N)
 
+    @cached_property
+    def all_ix(self) -> DataFrame:
+        """Interactions over both periods: what counting plays, listeners and activity reads."""
+        return self._keep(self.interactions.groupBy(U, I).agg(F.sum(N).alias(N)), "all_interactions")
+
+    @cached_property
+    def dictionary(self) -> DataFrame:
+        """Items of the prepared split (train and validation)."""
+        return self.core.select(I).distinct()
+
     @cached_property
     def test(self) -> DataFrame:
         return prep.positive_only(self.interactions.where(F.col("period") == "test").select(U, I, N))
@@ -137,8 +109,7 @@ class Study:
     # ------------------------------------------------------------ split
     @cached_property
     def labelled(self) -> DataFrame:
-        return self._keep_by_user(split.label_split(self.core, self.p.train_fraction, self.p.seed,
-                                                    self.p.hot_rows), "labelled")
+        return self._keep(split.label_split(self.core, self.p.train_fraction, self.p.seed), "labelled")
 
     @cached_property
     def train(self) -> DataFrame:
@@ -150,7 +121,7 @@ class Study:
 
     @cached_property
     def user_ranks(self) -> DataFrame:
-        return self._keep_by_user(split.user_percent_rank(self.core), "user_ranks")
+        return self._keep(split.user_percent_rank(self.core), "user_ranks")
 
     @cached_property
     def cold_users(self) -> DataFrame:
@@ -169,7 +140,7 @@ class Study:
 
     @cached_property
     def train_warm(self) -> DataFrame:
-        return self._keep_by_user(prep.positive_only(self.part("train_warm")), "train_warm")
+        return self._keep(prep.positive_only(self.part("train_warm")), "train_warm")
 
     @cached_property
     def test_warm(self) -> DataFrame:
@@ -193,6 +164,8 @@ class Study:
         """(ground-truth rows, users the model is asked to score) of a segment."""
         if name == "val_warm":
             return prep.positive_only(self.part("val_warm")), self.train_warm.select(U)
+        if name == "train_warm":
+            return self.train_warm, self.train_warm.select(U)
         if name == "val_cold":
             return prep.positive_only(self.part("val_cold")), self.part("train_cold").select(U)
         if name == "test_warm":
@@ -202,17 +175,29 @@ class Study:
         raise ValueError(name)
 
     def labels(self, name: str) -> DataFrame:
+        """The truth cut to each user's k strongest items: what MAP and NDCG are scored against."""
         truth, _ = self.segment(name)
         return ranking.true_top_k(truth, self.p.k)
 
-    def popularity_metrics(self, name: str) -> DataFrame:
-        """Per-user metrics of the popularity list on a segment."""
-        truth, users = self.segment(name)
-        return metrics.per_user_metrics(ranking.true_top_k(truth, self.p.k), self.top, self.p.k, users)
+    def relevant(self, name: str) -> DataFrame:
+        """All items of the truth: what precision, recall and reciprocal rank are scored against."""
+        truth, _ = self.segment(name)
+        return truth.select(U, I)
 
-    def popularity_map(self, name: str) -> DataFrame:
+    @cached_property
+    def top_100(self) -> DataFrame:
+        return self._keep(popularity.top_k(self.pop, 100), "top_100")
+
+    def popularity_map(self, name: str, k: int | None = None) -> DataFrame:
         truth, users = self.segment(name)
-        return metrics.map_at_k(ranking.true_top_k(truth, self.p.k), self.top, self.p.k, users)
+        k = k or self.p.k
+        top = self.top if k == self.p.k else self.top_100 if k == 100 else popularity.top_k(self.pop, k)
+        return metrics.map_at_k(ranking.true_top_k(truth, k), top, k, users)
+
+    def popularity_summary(self, name: str) -> DataFrame:
+        """One row: users, map and ndcg on the cut truth, precision, recall and mrr on all of it."""
+        _, users = self.segment(name)
+        return metrics.ranking_summary(self.labels(name), self.relevant(name), self.top, self.p.k, users)
 
     def beta_sweep(self) -> DataFrame:
         """(beta, segment, users, map) on the validation segments."""
@@ -225,4 +210,14 @@ class Study:
     @cached_property
     def als_model(self):
         """Implicit ALS on the warm training rows with ``Params.als``."""
-        return als.fit_als(self.train_warm.select(U, I, N), **self.p.als)
+        data = self.train_warm.select(U, I, N)
+        began = time.time()
+        model = als.fit_als(data, **self.p.als)
+        self.als_seconds = time.time() - began
+        return model
+
+    def als_recs(self, name: str) -> DataFrame:
+        """ALS lists for the labelled users of a segment that have factors; scored once and written."""
+        if name not in self._als_recs:
+            self._als_recs[name] = als.score_als(self.als_model, self.labels(name), self.p.k)[0]
+        return self._als_recs[name]

@@ -12,6 +12,10 @@ from pyspark.sql.types import StructType
 from encore.session import ensure_checkpoint_dir
 
 
+#: Scratch folders by application.
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def _schema_fields(schema) -> list[tuple[str, str]]:
     if isinstance(schema, StructType):
         return [(f.name, f.dataType.simpleString()) for f in schema.fields]
@@ -19,7 +23,7 @@ def _schema_fields(schema) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in st.fields]
 
 
-def read_table(spark: SparkSession, path: str | list[str], schema=None) -> DataFrame:
+def read_table(spark: SparkSession, path: str | list[str], schema=None, where=None) -> DataFrame:
     """Parquet scan; a directory or a list of paths reads as one table.
 
     With ``schema`` (DDL string or StructType) the declared columns are
@@ -29,12 +33,24 @@ def read_table(spark: SparkSession, path: str | list[str], schema=None) -> DataF
     """
     paths = [path] if isinstance(path, str) else list(path)
     df = spark.read.parquet(*paths)
+    if where is not None:
+        df = df.where(where)
     if schema is None:
         return df
     missing = [name for name, _ in _schema_fields(schema) if name not in df.columns]
     if missing:
         raise ValueError(f"columns {missing} not in {paths}")
-    return df.select(*[F.col(name).cast(dtype).alias(name) for name, dtype in _schema_fields(schema)])
+    return df.select(*[_checked_cast(df, name, dtype).alias(name) for name, dtype in _schema_fields(schema)])
+
+
+def _checked_cast(df: DataFrame, name: str, dtype: str):
+    """A cast that fails on a value outside the declared type, whatever the session's ANSI setting."""
+    value = F.col(name)
+    if dict(df.dtypes)[name] == dtype:
+        return value
+    tried = value.try_cast(dtype)
+    message = F.concat(F.lit(f"{name} does not fit {dtype}: "), value.cast("string"))
+    return F.when(value.isNull() | tried.isNotNull(), tried).otherwise(F.raise_error(message).cast(dtype))
 
 
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists",
@@ -48,8 +64,10 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists",
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the reliable checkpoint directory (shared storage)."""
-    return f"{ensure_checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    """A fresh folder under the reliable checkpoint directory (shared storage), noted for ``release_all``."""
+    path = f"{ensure_checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def materialize(df: DataFrame, name: str = "stage", partition_by: list[str] | None = None,
@@ -74,32 +92,13 @@ def materialize(df: DataFrame, name: str = "stage", partition_by: list[str] | No
     return spark.read.schema(df.schema).parquet(path)
 
 
-def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int,
-                         written: list[str] | None = None,
-                         catalog_names: list[str] | None = None,
-                         partition_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` as a Parquet table bucketed (and sorted) by ``key``.
+def release_all(spark: SparkSession) -> int:
+    """Delete every table that this application wrote to its scratch folder; frames built on them become invalid.
 
-    Two stages bucketed by the same key into the same number of buckets join
-    on it without shuffling either side. The rows are hash-partitioned into
-    ``buckets`` tasks first, with the same hash as the buckets, so each task
-    writes one bucket file. The table is external: its files are under the
-    shared checkpoint folder, and only its name is in the session catalog.
-    With ``partition_by`` the buckets sit inside directory partitions, and a
-    filter on those columns prunes directories.
+    Checkpoints of frames go with the frames (the session's cleaner setting).
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    table = f"encore_{name}_{uuid.uuid4().hex[:12]}"
-    writer = df.repartition(buckets, key).write.format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
-    if written is not None:
-        written.append(path)
-    if catalog_names is not None:
-        catalog_names.append(table)
-    return spark.table(table)
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    return sum(delete_path(spark, path) for path in paths)
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:

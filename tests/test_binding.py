@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from encore.operators.als import REFERENCE_AXES, one_at_a_time_grid
+from encore.operators.prep import count_interactions
 from encore.plans import binding
 
 SF = "/root/testdata/sf0.001"
@@ -10,8 +11,8 @@ def test_one_join_equals_separate_periods(spark):
     both = binding.interactions_by_period(spark, SF)
     hist = both.where(F.col("period") == "history").drop("period")
     test = both.where(F.col("period") == "test").drop("period")
-    assert sorted(hist.collect()) == sorted(binding.history_interactions(spark, SF).collect())
-    assert sorted(test.collect()) == sorted(binding.test_interactions(spark, SF).collect())
+    assert sorted(hist.collect()) == sorted(count_interactions(binding.plays(spark, SF, end=binding.TEST_CUT), weight="quantity").collect())
+    assert sorted(test.collect()) == sorted(count_interactions(binding.plays(spark, SF, start=binding.TEST_CUT), weight="quantity").collect())
 
 
 def test_catalogue_imputes_canonical_id(spark):
@@ -40,12 +41,32 @@ def test_study_release_deletes_its_tables(spark, tmp_path):
     assert not any(os.path.exists(p.replace("file:", "")) for p in paths)
 
 
-def test_user_bucketing_does_not_change_results(spark):
-    from encore.plans.study import Params, Study
-    plain = Study(spark, SF, Params(bucket_by_user=False))
-    bucketed = Study(spark, SF, Params(bucket_by_user=True))
-    assert Study(spark, SF)._bucket_users  # no user dominates the test data
-    for name in ("train_warm", "test_warm", "test_cold"):
-        assert sorted(getattr(plain, name).collect()) == sorted(getattr(bucketed, name).collect()), name
-    plain.release()
-    bucketed.release()
+def test_forget_leaves_no_table_behind(spark, tmp_path):
+    """Every stage table of every query is noted and deleted: the folder is empty afterwards."""
+    import os
+
+    from encore.plans import catalog
+    from encore.sources import tables
+    catalog.forget(spark)
+    kept = spark.sparkContext.getCheckpointDir()
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    try:
+        for key in ("popular_items", "prepare_catalogue", "items_by_percent_rank", "scan_multi", "recs_unseen", "sink_roundtrip"):
+            assert catalog.QUERIES[key](spark, SF).count() > 0
+        folder = spark.sparkContext.getCheckpointDir().replace("file:", "") + "/tables"
+        assert len(os.listdir(folder)) > 8
+        assert catalog.forget(spark) > 8
+        assert os.listdir(folder) == []
+        assert tables.release_all(spark) == 0
+    finally:
+        spark.sparkContext.setCheckpointDir(kept)
+
+
+def test_fractional_quantities_are_refused_not_cut(spark):
+    import pytest
+
+    from encore.functions.columns import exact_long
+    df = spark.createDataFrame([(1.0,), (None,), (3.0,)], "q double")
+    assert [r[0] for r in df.select(exact_long("q")).collect()] == [1, None, 3]
+    with pytest.raises(Exception, match="not a whole number"):
+        spark.createDataFrame([(0.5,)], "q double").select(exact_long("q")).collect()

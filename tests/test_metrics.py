@@ -81,3 +81,22 @@ def test_exclude_seen_reranks(spark):
     seen = spark.createDataFrame([(1, 2)], "user_id long, item_id long")
     got = sorted((r["item_id"], r["rank"]) for r in ranking.exclude_seen(recs, seen).collect())
     assert got == [(1, 1), (3, 2)]
+
+
+def test_users_with_more_labels_than_k(spark):
+    """Precision, recall and reciprocal rank count all relevant items; MAP and NDCG the k strongest."""
+    truth = spark.createDataFrame([(1, i, 10 - i) for i in range(6)], "user_id long, item_id long, interactions long")
+    recs = spark.createDataFrame([(1, 5, 1), (1, 4, 2), (1, 0, 3)], "user_id long, item_id long, rank long")
+    k = 3
+    row = metrics.ranking_summary(ranking.true_top_k(truth, k), truth.select("user_id", "item_id"), recs, k).first()
+    assert row["precision"] == pytest.approx(1.0) and row["recall"] == pytest.approx(0.5) and row["mrr"] == 1.0
+    assert row["map"] == pytest.approx((1 / 3) / 3)  # only item 0 is among the three strongest
+
+
+def test_auc_counts_unscored_items_of_the_dictionary(spark):
+    scores = spark.createDataFrame([(1, .9), (2, .8)], "item_id long, score double")
+    universe = spark.createDataFrame([(i,) for i in range(1, 6)], "item_id long")
+    positives = spark.createDataFrame([(1, 1), (1, 4), (2, 5)], "user_id long, item_id long")
+    got = {r["user_id"]: (r["m"], r["auc"]) for r in metrics.auc_global_scores(positives, scores, universe=universe).collect()}
+    # User 1: item 1 beats 2, 3 and 5; item 4 loses to 2 and ties with 3 and 5. User 2: item 5 loses to two, ties with two.
+    assert got == {1: (2, pytest.approx((3 + 1) / 6)), 2: (1, pytest.approx(1 / 4))}

@@ -61,3 +61,21 @@ def test_histograms_sum_to_totals(spark):
     ix = _ix(spark, rows)
     assert prep.listener_histogram(ix).agg(F.sum("track_counts")).first()[0] == 60
     assert prep.activity_histogram(ix).agg(F.sum("user_counts")).first()[0] == 7
+
+
+def test_fractional_weights_are_kept(spark):
+    plays = spark.createDataFrame([(1, "a", 0.9), (1, "a", 0.9), (2, "a", 0.5)], "user_id long, item_id string, w double")
+    ix = prep.positive_only(prep.count_interactions(plays, weight="w"))
+    assert {r["user_id"]: r["interactions"] for r in ix.collect()} == {1: 1.8, 2: 0.5}
+
+
+def test_histogram_edges_are_arguments(spark):
+    rows = [(u, f"i{i}", 1) for i in range(4) for u in range(3 * i + 1)]
+    got = {r[0]: r[1] for r in prep.listener_histogram(_ix(spark, rows), [5], ["few", "many"]).collect()}
+    assert got == {"few": 2, "many": 2}
+
+
+def test_percent_rank_keeps_the_most_heard(spark):
+    rows = [(u, f"i{i}", 1) for i in range(20) for u in range(1 + i // 5)]
+    got = {r["item_id"]: r["percent_rank"] for r in prep.items_by_percent_rank(_ix(spark, rows), 0.3).collect()}
+    assert got == {**{f"i{i}": 0.0 for i in range(15, 20)}, **{f"i{i}": 5 / 19 for i in range(10, 15)}}

@@ -56,3 +56,36 @@ def test_conform_and_head(spark):
     assert conform(ix, positions=[2, 1, 0]).columns == ["interactions", "item_id", "user_id"]
     head = tables.head_rows(ix, [F.col("user_id"), F.col("item_id")], 2).collect()
     assert [(r["user_id"], r["item_id"]) for r in head] == [(1, 10), (1, 11)]
+
+
+def test_unseen_lists_are_filled_to_k(spark):
+    import random
+
+    from encore.operators import popularity
+    rnd = random.Random(1)
+    items = list(range(60))
+    pop = spark.createDataFrame([(i, float(100 - i // 2)) for i in items], "item_id long, score double")
+    ranked = sorted(items, key=lambda i: (-(100 - i // 2), i))
+    seen = {u: set(rnd.sample(items, n)) for u, n in enumerate([0, 1, 5, 30, 55, 60])}
+    seen[6], seen[7] = set(ranked[:20]), set(ranked[3:9]) | set(ranked[12:40])
+    rows = [(u, i) for u, s in seen.items() for i in s]
+    users = spark.createDataFrame([(u,) for u in seen], "user_id long")
+    history = spark.createDataFrame(rows, "user_id long, item_id long")
+    for width in (4, 1000):
+        got = {(r["user_id"], r["rank"]): r["item_id"] for r in popularity.recommend_unseen(pop, users, history, 8, width=width).collect()}
+        want = {(u, r + 1): i for u, s in seen.items() for r, i in enumerate([x for x in ranked if x not in s][:8])}
+        assert got == want
+
+
+def test_unseen_als_lists_are_filled_to_k(spark):
+    from encore.operators import als
+    rows = [(u, i, 1 + (u * i) % 3) for u in range(20) for i in range(30) if (u + i) % (2 + u % 4) == 0]
+    ix = spark.createDataFrame(rows, "user_id long, item_id long, interactions long")
+    model = als.fit_als(ix, rank=3, max_iter=2, user_blocks=2, item_blocks=2)
+    recs = als.recommend_unseen_als(model, ix, ix, 6)
+    seen = {(u, i) for u, i, _ in rows}
+    lists = {}
+    for r in recs.collect():
+        assert (r["user_id"], r["item_id"]) not in seen
+        lists.setdefault(r["user_id"], []).append(r["rank"])
+    assert all(sorted(v) == [1, 2, 3, 4, 5, 6] for v in lists.values()) and len(lists) == 20

@@ -1,7 +1,9 @@
 import random
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from encore.functions.columns import hash_order_key
 from encore.operators import split
 
 
@@ -24,12 +26,39 @@ def test_split_invariants(spark):
     assert per_user == {2: 4, 3: 4, 4: 7, 5: 8, 6: 29}
 
 
-def test_salted_split_equals_plain_split(spark):
+def _plain(ix):
+    w = Window.partitionBy("user_id").orderBy("h", "item_id")
+    rows = (ix.withColumn("h", hash_order_key(42, "user_id", "item_id")).withColumn("rn", F.row_number().over(w))
+              .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("user_id"))))
+    return {(r["user_id"], r["item_id"]): (r["rn"], r["n"]) for r in rows.collect()}
+
+
+def test_split_equals_a_plain_window(spark):
     ix = _ix(spark, {1: 300, 2: 40, 3: 7})
-    plain = {(r["user_id"], r["item_id"]): r["rn"] for r in split.label_split(ix, 0.8, 42).collect()}
-    salted = {(r["user_id"], r["item_id"]): r["rn"]
-              for r in split.label_split(ix, 0.8, 42, hot_rows=8).collect()}
-    assert plain == salted
+    for partitions in (1, 3, 16):
+        got = {(r["user_id"], r["item_id"]): (r["rn"], r["n"]) for r in split.label_split(ix, 0.8, 42, partitions=partitions).collect()}
+        assert got == _plain(ix)
+
+
+def test_rows_of_a_null_user_are_split_as_one_user(spark):
+    ix = _ix(spark, {1: 30, 2: 4}).withColumn("user_id", F.expr("if(user_id = 1, null, user_id)"))
+    rows = split.label_split(ix, 0.8, 42, partitions=5).collect()
+    assert sorted(r["rn"] for r in rows if r["user_id"] is None) == list(range(1, 31)) and {r["n"] for r in rows} == {30, 4}
+
+
+def test_a_user_with_a_third_of_the_rows_is_spread(spark):
+    ix = spark.range(0, 12000).select(F.when(F.col("id") < 4000, 0).otherwise(F.col("id") % 500).cast("long").alias("user_id"),
+                                      F.col("id").alias("item_id"), F.lit(1).alias("interactions"))
+    parts = 4
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = split.label_split(ix, 0.8, 42)
+        assert "Exchange rangepartitioning" not in out._jdf.queryExecution().executedPlan().toString()  # behind the checkpoint
+        tasks = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert sum(tasks) == 12000 and max(tasks) <= 2 * 12000 / parts
 
 
 def test_split_is_seeded_and_order_free(spark):
