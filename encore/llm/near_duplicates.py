@@ -111,8 +111,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("node").alias("a"), F.col("set").alias("sa"))
     right = sets.select(F.col("node").alias("b"), F.col("set").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
+    # Pairs are distinct already; an aggregate here would keep AQE from splitting a hot leader's pairs.
     return (pairs.join(left, "a").join(right, "b").where(100 * both >= percent * (F.size("sa") + F.size("sb") - both))
-            .select("a", "b").distinct())
+            .select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, percent: int = 75,
