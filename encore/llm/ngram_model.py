@@ -47,6 +47,8 @@ from encore.sources.tables import materialize
 
 END = np.uint64(xxhash.xxh64_intdigest(b""))
 PIECE_BYTES = 16 << 20
+#: Scoring keeps more arrays for each token, beside the filter.
+SCORE_BYTES = 4 << 20
 LEVELS = 62
 _PAIR = np.uint64(0xD6E8FEB86659FD93)
 _LEVEL = np.uint64(0xA0761D6478BD642F)
@@ -169,7 +171,7 @@ class NgramModel:
         return self.parts.select(F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("counts").alias("count"))))
 
 
-def fit(train: DataFrame, text_col: str = "text", bits: int = 12, probes: int = 5, bucket_bytes: int = 8 << 20) -> NgramModel:
+def fit(train: DataFrame, text_col: str = "text", bits: int = 10, probes: int = 5, bucket_bytes: int = 8 << 20) -> NgramModel:
     """Count ``train`` and build the filter; a bucket takes the counts of about ``bucket_bytes`` of text."""
     base = train.select(F.col(text_col).cast("string").alias("text"))
     size = base.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
@@ -187,15 +189,16 @@ def fit(train: DataFrame, text_col: str = "text", bits: int = 12, probes: int =
 class Filter:
     """A segment of the filter, in a task."""
 
-    def __init__(self, parts: list[tuple[int, int, bytes]], bucket_bits: int, probes: int):
+    def __init__(self, parts: list[tuple[int, int]], data: bytes, bucket_bits: int, probes: int):
+        """``parts``: (bucket, bits) in the order of their bytes in ``data``."""
         count = 1 << bucket_bits
         self.shift, self.probes = np.uint64(64 - bucket_bits), probes
         self.bits, self.base = np.zeros(count, np.uint64), np.zeros(count, np.uint64)
         at = 0
-        for bucket, bits, data in parts:
-            self.bits[bucket], self.base[bucket] = bits, at * 8
-            at += len(data)
-        self.data = np.frombuffer(b"".join(p[2] for p in parts), np.uint8)
+        for bucket, bits in parts:
+            self.bits[bucket], self.base[bucket] = bits, at
+            at += bits
+        self.data = np.frombuffer(data, np.uint8)
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """The highest level up to which every level is found; 0 for keys not found, or not of this segment."""
@@ -234,10 +237,10 @@ def _probe_pass(shared, bucket_bits: int, probes: int):
     """A pass over texts and stored levels that adds a segment's levels."""
 
     def probe(arrays: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        part = Filter(shared.value, bucket_bits, probes)
+        part = Filter(*shared.value, bucket_bits, probes)
         for raw, codes in arrays:
             texts, out = as_texts(raw), []
-            for start, rows in pieces(texts, PIECE_BYTES):
+            for start, rows in pieces(texts, SCORE_BYTES):
                 token, starts = tokens(texts.slice(start, rows))
                 found = _found(part, token, _earlier(codes.slice(start, rows), starts))
                 out += [found[:, a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])]
@@ -253,13 +256,13 @@ def _score_pass(shared, frequent, bucket_bits: int, probes: int, total: int, voc
     """The last segment's pass: also the scores, and the tokens whose exact count is to be joined."""
 
     def score(arrays: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        part = Filter(shared.value, bucket_bits, probes)
+        part = Filter(*shared.value, bucket_bits, probes)
         known, counts = (np.frombuffer(x, t) for x, t in zip(frequent.value, (np.uint64, np.int64)))
         word_mean, pair_mean = (np.array(m) for m in means)
         mass = total + 0.1 * (vocabulary + 1)
         for raw, codes in arrays:
             texts, done = as_texts(raw), []
-            for start, rows in pieces(texts, PIECE_BYTES):
+            for start, rows in pieces(texts, SCORE_BYTES):
                 token, starts = tokens(texts.slice(start, rows))
                 found = _found(part, token, _earlier(codes.slice(start, rows), starts))
                 history = np.concatenate([[0], found[0][:-1]])
@@ -323,7 +326,8 @@ def score(spark: SparkSession, docs: DataFrame, model: NgramModel, id_col: str =
 
     def load(segment):
         parts = model.parts.where(F.col("bucket").isin(segment)) if segment else model.parts.limit(0)
-        return context.broadcast([(r["bucket"], r["bits"], bytes(r["filter"])) for r in parts.select("bucket", "bits", "filter").toLocalIterator()])
+        rows = [(r["bucket"], r["bits"], r["filter"]) for r in parts.select("bucket", "bits", "filter").toLocalIterator()]
+        return context.broadcast(([r[:2] for r in rows], b"".join(r[2] for r in rows)))  # one buffer, which tasks read in place
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.lit(None).cast("binary").alias("codes"))
     for segment in segments[:-1]:

@@ -67,9 +67,8 @@ def test_filter_gives_back_the_level_of_every_ngram():
     table = pa.table({"bucket": pa.array([0], pa.int32()), "words": [keys[:1000].tobytes()], "word_counts": [counts[:1000].astype(np.uint32).tobytes()],
                       "pairs": [keys[1000:].tobytes()], "pair_counts": [counts[1000:].astype(np.uint32).tobytes()]})
     part = ngram_model._builder(12, 5)((pa.scalar(0, pa.int32()),), table).to_pylist()[0]
-    found = ngram_model.Filter([(0, part["bits"], part["filter"])], 1, 5)
-    found.shift = np.uint64(63)
-    found.bits[:] = part["bits"]
+    found = ngram_model.Filter([(0, part["bits"]), (1, part["bits"])], part["filter"], 1, 5)
+    found.base[:] = 0
     want = ngram_model.levels(counts)
     got = found.levels(keys)
     assert (got >= want).all() and (got > want).mean() < 0.02  # never too low, seldom too high
