@@ -25,7 +25,7 @@ def main() -> None:
     if os.environ.get("BENCH_EVENT_LOG"):
         conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]})
     spark = get_session(f"local[{cpus}]", app="encore-bench", shuffle_partitions=int(cpus), conf=conf)
-    from encore.operators import als, index, metrics
+    from encore.operators import als, index
     from encore.plans.catalog import QUERIES, study
 
     s = study(spark, sf_dir)
@@ -45,11 +45,18 @@ def main() -> None:
     step("popularity_top_k", lambda: s.top.count())
     step("popularity_report", lambda: QUERIES["popularity_report"](spark, sf_dir).collect()[0]["value"])
     step("beta_sweep", lambda: QUERIES["beta_sweep"](spark, sf_dir).count())
-    step("ranking_metrics", lambda: metrics.summarize(s.popularity_metrics("val_warm")).collect()[0]["ndcg"])
+    step("ranking_metrics", lambda: s.popularity_summary("val_warm").collect()[0]["ndcg"])
     step("auc_popularity", lambda: QUERIES["auc_popularity"](spark, sf_dir).collect()[0]["auc"])
     step("item_index", lambda: index.fit_item_index(s.core).count())
+    step("coo_triples", lambda: QUERIES["coo_triples"](spark, sf_dir).count())
+    step("prepare_catalogue", lambda: QUERIES["prepare_catalogue"](spark, sf_dir).count())
+    step("recs_unseen", lambda: QUERIES["recs_unseen"](spark, sf_dir).count())
     step("als_fit", lambda: s.als_model.rank)
     step("als_map", lambda: QUERIES["als_map"](spark, sf_dir).collect()[0]["map"])
+    step("als_indexed_recs", lambda: QUERIES["als_indexed_recs"](spark, sf_dir).count())
+    small = [dict(rank=r) for r in als.REFERENCE_AXES["rank"][:2]]
+    step("als_sweep_two_settings", lambda: als.sweep_als(s.train_warm.select("user_id", "item_id", "interactions"),
+                                                         s.labels("val_warm"), small, s.p.k, base=s.p.als).count())
     if os.environ.get("BENCH_SKIP_REFERENCE_ALS"):
         return _emit(times, sf_dir, spark)
     # The reference's ALS configuration (rank 200, reg 0.5, alpha 1, 15 iterations):
@@ -60,9 +67,11 @@ def main() -> None:
 
 
 def _emit(times: dict, sf_dir: str, spark) -> None:
+    from encore.sources.tables import release_all
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "evaluation_total", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(sf.group(1)) if sf else sf_dir}))
+    release_all(spark)
     spark.stop()
 
 

@@ -13,9 +13,10 @@ import argparse
 
 from pyspark.sql import functions as F
 
-from encore.operators import als, metrics, report
+from encore.operators import metrics, report
 from encore.plans.study import SEGMENTS, Params, Study
 from encore.session import get_session
+from encore.sources.tables import release_all
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -38,12 +39,12 @@ def main(argv: list[str] | None = None) -> None:
     s = Study(spark, args.data, params)
     rows = [report.metric_row(s.popularity_map(seg), "popularity", seg, "map", args.k) for seg in SEGMENTS]
     if not args.no_als:
-        labels = s.labels("val_warm")
-        model = als.fit_als(s.train_warm.select("user_id", "item_id", "interactions"), **params.als)
-        recs = als.recommend_als(model, args.k, labels.select("user_id").distinct())
-        rows.append(report.metric_row(metrics.map_at_k(labels, recs, args.k), "als", "val_warm", "map", args.k))
+        recs = s.als_recs("val_warm")
+        scored = metrics.map_at_k(s.labels("val_warm"), recs, args.k, recs.select("user_id"))
+        rows.append(report.metric_row(scored, "als", "val_warm", "map", args.k))
     report.compare_models(rows).show(truncate=False)
     s.beta_sweep().orderBy("segment", F.col("beta")).show(truncate=False)
+    release_all(spark)
     spark.stop()
 
 
