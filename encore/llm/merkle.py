@@ -36,42 +36,48 @@ _CUT = "\u0001"
 
 
 def leaf_lists(text: Column) -> Column:
-    """array of paragraphs, each an array of (h: digest, n: code points) of its sentences."""
+    """array of paragraphs, each an array of its sentences' leaves: digest, dash, code points."""
     def leaves(paragraph):
         sentences = F.split(F.regexp_replace(paragraph, SENTENCE_END, "$1" + _CUT), _CUT)
-        return F.transform(sentences, lambda s: F.struct(F.md5(s.cast("binary")).alias("h"), F.length(s).alias("n")))
+        return F.transform(sentences, lambda s: F.concat(F.md5(s.cast("binary")), F.lit("-"), F.length(s).cast("string")))
 
     return F.transform(F.split(text, "\n"), leaves)
 
 
 def sections(leaves: Column) -> Column:
     """The sections' digests."""
-    paragraphs = F.transform(leaves, lambda p: F.md5(F.array_join(F.transform(p, lambda s: s["h"]), ",").cast("binary")))
+    paragraphs = F.transform(leaves, lambda p: F.md5(F.array_join(p, ",").cast("binary")))
     marked = F.regexp_replace(F.concat(F.array_join(paragraphs, ","), F.lit(",")), "([0-3][0-9a-f]{31},)", "$1;")
     return F.transform(F.filter(F.split(marked, ";"), lambda s: s != ""), lambda s: F.md5(s.cast("binary")))
 
 
-def root(leaves: Column) -> Column:
-    return F.sha2(F.array_join(sections(leaves), ",").cast("binary"), 256)
+def root(section_digests: Column) -> Column:
+    return F.sha2(F.array_join(section_digests, ",").cast("binary"), 256)
 
 
-def likeness(a: Column, b: Column) -> Column:
+def leaf_size(leaf: Column) -> Column:
+    return F.substring(leaf, 34, 12).cast("int")
+
+
+def text_size(leaves: Column) -> Column:
+    """Code points of a flat array of leaves, each distinct leaf once."""
+    return F.aggregate(F.array_distinct(leaves), F.lit(0), lambda n, leaf: n + leaf_size(leaf))
+
+
+def likeness(a: Column, b: Column, size_a: Column | None = None, size_b: Column | None = None) -> Column:
     """Twice the code points in common leaves over those of both (each distinct leaf once); 1 for two texts without any.
 
-    ``a`` and ``b`` are flat arrays of leaves.
+    ``a`` and ``b`` are flat arrays of leaves; their ``text_size`` may be given.
     """
-    def size(leaves):
-        return F.aggregate(leaves, F.lit(0), lambda n, leaf: n + leaf["n"])
-
-    total = size(F.array_distinct(a)) + size(F.array_distinct(b))
-    return F.when(total == 0, F.lit(1.0)).otherwise(2.0 * size(F.array_intersect(a, b)) / total)
+    total = (text_size(a) if size_a is None else size_a) + (text_size(b) if size_b is None else size_b)
+    common = F.aggregate(F.array_intersect(a, b), F.lit(0), lambda n, leaf: n + leaf_size(leaf))
+    return F.when(total == 0, F.lit(1.0)).otherwise(2.0 * common / total)
 
 
 def edit_start(a: Column, b: Column) -> Column:
     """Code points of ``a`` (line ends not counted) before its first leaf that ``b`` has not in the same place; null if there is none."""
-    differs = F.zip_with(a, b, lambda x, y: ~x.eqNullSafe(y))
-    at = F.array_position(differs, True)
-    before = F.aggregate(F.slice(a, F.lit(1), F.greatest(at.cast("int") - 1, F.lit(0))), F.lit(0).cast("long"), lambda n, leaf: n + leaf["n"])
+    at = F.array_position(F.zip_with(a, b, lambda x, y: ~x.eqNullSafe(y)), True)
+    before = F.aggregate(F.slice(a, F.lit(1), F.greatest(at.cast("int") - 1, F.lit(0))), F.lit(0).cast("long"), lambda n, leaf: n + leaf_size(leaf))
     return F.when(at > 0, before)
 
 
@@ -113,17 +119,20 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = docs.sparkSession
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    # The leaves are made after the shuffle, so only texts are moved.
-    rows = beside_next(base, ranges).withColumn("tree", leaf_lists(F.col("text")))
+    # The trees are made after the shuffle, so only texts are moved; values that are used twice are columns of their own.
+    rows = (beside_next(base, ranges).withColumn("tree", leaf_lists(F.col("text")))
+            .withColumn("leaves", F.flatten("tree")).withColumn("sections", sections(F.col("tree")))
+            .withColumn("size", text_size(F.col("leaves"))))
     order = W.partitionBy("range").orderBy("extra", F.col("id").asc_nulls_first(), "text")
-    half = F.floor(F.length("text") / 2).cast("int")
-    following = F.lead(F.struct("text", "tree")).over(order)
+    following = F.lead(F.struct("text", "leaves", "size")).over(order)
     edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 2) as int))"),
-                      F.substring(F.col("following")["text"], F.lit(1), half))
-    flat, new, nxt = F.flatten("tree"), F.flatten("edited_tree"), F.flatten(F.col("following")["tree"])
-    return (rows.withColumn("following", following).where(F.col("extra") == 0)
+                      F.substring(F.col("following")["text"], F.lit(1), F.floor(F.length("text") / 2).cast("int")))
+    done = (rows.select("id", "text", "range", "extra", "leaves", "sections", "size").withColumn("following", following).where(F.col("extra") == 0)
             .withColumn("edited", edited).withColumn("edited_tree", leaf_lists(F.col("edited")))
-            .select("id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-                    root(F.col("tree")).alias("fingerprint"), root(F.col("edited_tree")).alias("edited_fingerprint"),
-                    likeness(flat, new).alias("near_edited"), likeness(flat, nxt).alias("near_next"),
-                    F.size(sections(F.col("tree"))).alias("n_sections"), edit_start(flat, new).alias("edit_start")))
+            .withColumn("edited_leaves", F.flatten("edited_tree")))
+    own, new, nxt = F.col("leaves"), F.col("edited_leaves"), F.col("following")
+    return done.select(
+        "id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        root(F.col("sections")).alias("fingerprint"), root(sections(F.col("edited_tree"))).alias("edited_fingerprint"),
+        likeness(own, new, F.col("size")).alias("near_edited"), likeness(own, nxt["leaves"], F.col("size"), nxt["size"]).alias("near_next"),
+        F.size("sections").alias("n_sections"), edit_start(own, new).alias("edit_start"))

@@ -65,7 +65,7 @@ trees AS (
   SELECT doc_id, text, edited,
          list_transform([text, edited, following], lambda t: list_transform(string_split(t, chr(10)),
            lambda p: list_transform(string_split(regexp_replace(p, '([.!?]+[ \t\r\f]+)', '\1' || chr(1), 'g'), chr(1)),
-             lambda s: {'h': md5(s), 'n': length(s)}))) AS t FROM edits),
+             lambda s: {'h': md5(s) || '-' || length(s), 'n': length(s)}))) AS t FROM edits),
 nodes AS (
   SELECT doc_id, text, edited, list_transform(t, lambda x: flatten(x)) AS f,
          list_transform([t[1], t[2]], lambda x: list_transform(list_filter(string_split(regexp_replace(

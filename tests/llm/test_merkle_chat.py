@@ -40,7 +40,7 @@ def test_an_edit_is_located(spark):
     r = df.select(merkle.edit_start(F.flatten("a"), F.flatten("b")).alias("at"), merkle.likeness(F.flatten("a"), F.flatten("b")).alias("near"),
                   merkle.sections(F.col("a")).alias("sa"), merkle.sections(F.col("b")).alias("sb")).first()
     assert r.at == len(text.split("Line 20")[0].replace("\n", "")) and 0.9 < r.near < 1
-    assert sum(x != y for x, y in zip(r.sa, r.sb)) <= 2  # other branches are as before
+    assert len(set(r.sa) ^ set(r.sb)) <= 4  # other branches are as before
 
 
 def test_defined_cases_of_fingerprints(odd, nothing):
