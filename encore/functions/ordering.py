@@ -46,12 +46,13 @@ def _tag(cp: DataFrame) -> DataFrame:
 
 
 def _partition_offsets(tagged: DataFrame, weight: Column) -> DataFrame:
-    """Exclusive running total of ``weight`` over partitions (one row each)."""
+    """Exclusive running total of ``weight`` over partitions (one row each), and the total of all."""
     totals = tagged.groupBy(_PID).agg(F.sum(weight).alias("_ord_pt"))
     # One row per range partition: bounded by the partition count, not the data.
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    return (totals.select(_PID, F.coalesce(F.sum("_ord_pt").over(before), F.lit(0)).cast("long")
-                          .alias("_ord_off")))
+    whole = Window.partitionBy()
+    return totals.select(_PID, F.coalesce(F.sum("_ord_pt").over(before), F.lit(0)).cast("long").alias("_ord_off"),
+                         F.sum("_ord_pt").over(whole).cast("long").alias("_ord_all"))
 
 
 def global_row_number(df: DataFrame, order: list[Column], out: str = "row_number",
@@ -61,7 +62,7 @@ def global_row_number(df: DataFrame, order: list[Column], out: str = "row_number
     offsets = _partition_offsets(tagged, F.lit(1))
     return (tagged.join(F.broadcast(offsets), _PID)
                   .withColumn(out, (F.col("_ord_off") + F.col(_POS) + 1).cast("long"))
-                  .drop(_PID, _POS, "_ord_off"))
+                  .drop(_PID, _POS, "_ord_off", "_ord_all"))
 
 
 def exclusive_prefix_sum(df: DataFrame, order: list[Column], weight: str, out: str,
@@ -74,12 +75,12 @@ def exclusive_prefix_sum(df: DataFrame, order: list[Column], weight: str, out: s
     local = tagged.withColumn("_ord_lp", F.coalesce(F.sum(weight).over(within), F.lit(0)))
     return (local.join(F.broadcast(offsets), _PID)
                  .withColumn(out, (F.col("_ord_off") + F.col("_ord_lp")).cast("long"))
-                 .drop(_PID, _POS, "_ord_off", "_ord_lp"))
+                 .drop(_PID, _POS, "_ord_off", "_ord_all", "_ord_lp"))
 
 
 def value_positions(df: DataFrame, value_col: str, tie_break: list[str], descending: bool = False,
-                    partitions: int | None = None, before: str = "before", ties: str = "ties") -> DataFrame:
-    """Add ``before`` = rows whose value comes strictly earlier and ``ties`` = rows of the same value.
+                    partitions: int | None = None, before: str = "before", ties: str = "ties", total: str = "total") -> DataFrame:
+    """Add ``before`` = rows whose value comes strictly earlier, ``ties`` = rows of the same value, ``total`` = all rows.
 
     NULL is the lowest value. The rows are range-sorted on (value, tie-breaker),
     so a value that most rows share is spread over partitions; a row's numbers
@@ -106,7 +107,7 @@ def value_positions(df: DataFrame, value_col: str, tie_break: list[str], descend
     joined = local.join(F.broadcast(edges), F.col(value_col).eqNullSafe(F.col("_ord_v")), "left")
     return joined.select(*df.columns,
                          F.coalesce("_ord_start", "_ord_first").cast("long").alias(before),
-                         F.coalesce("_ord_ties", "_ord_count").cast("long").alias(ties))
+                         F.coalesce("_ord_ties", "_ord_count").cast("long").alias(ties), F.col("_ord_all").alias(total))
 
 
 def histogram_ranks(values: DataFrame, value_col: str, descending: bool = False) -> DataFrame:

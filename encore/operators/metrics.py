@@ -195,10 +195,10 @@ def auc_global_scores(positives: DataFrame, scores: DataFrame, score: str = "sco
     if universe is not None:
         items = universe.select(I).distinct().join(items, I, "left")
     ranked = value_positions(items, score, [I], partitions=partitions)
-    n_items = ranked.agg(F.count(F.lit(1))).scalar()
-    mid = ranked.select(I, (F.col("before").cast("double") + (F.col("ties").cast("double") + 1.0) / 2.0).alias("_mid"))
+    n_items = F.col("total")
+    mid = ranked.select(I, "total", (F.col("before").cast("double") + (F.col("ties").cast("double") + 1.0) / 2.0).alias("_mid"))
     pos = positives.select(U, I).distinct().join(mid, I)
-    return (pos.groupBy(U).agg(F.count(F.lit(1)).cast("long").alias("m"), F.sum("_mid").alias("_s"))
+    return (pos.groupBy(U).agg(F.count(F.lit(1)).cast("long").alias("m"), F.sum("_mid").alias("_s"), F.max("total").alias("total"))
                .where((F.col("m") > 0) & (F.col("m") < n_items))
                .select(U, "m", ((F.col("_s") - F.col("m") * (F.col("m") + 1) / 2.0)
                                 / (F.col("m").cast("double") * (n_items - F.col("m")).cast("double"))).alias("auc")))

@@ -21,6 +21,8 @@ U, I, N = "user_id", "item_id", "interactions"
 
 #: Range partitions for each shuffle partition: the pieces of a large user are then small beside a task's share.
 PIECES = 4
+#: Rows below which a further range partition costs more than it spreads.
+PIECE_ROWS = 10_000
 
 
 def label_split(ix: DataFrame, fraction: float = 0.8, seed=42, user: str = U, item: str = I,
@@ -32,7 +34,9 @@ def label_split(ix: DataFrame, fraction: float = 0.8, seed=42, user: str = U, it
     Train rows are ``rn <= row_counts``, validation rows the rest. Rows with a
     NULL user are split as one user.
     """
-    partitions = partitions or PIECES * int(ix.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not partitions:
+        most = PIECES * int(ix.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = min(most, ix.count() // PIECE_ROWS + 1)
     hashed = ix.withColumn("_h", hash_order_key(seed, user, item))
     order = [F.col(user).asc_nulls_first(), F.col("_h").asc(), F.col(item).asc()]
     tagged = _tag(range_sorted_checkpoint(hashed, order, partitions)).drop("_h")
@@ -87,7 +91,7 @@ def user_percent_rank(ix: DataFrame, partitions: int | None = None) -> DataFrame
     all users and no row is shuffled on a total that many users share.
     """
     ranked = value_positions(user_totals(ix), "total_interactions", [U], partitions=partitions)
-    n_users = ranked.agg(F.count(F.lit(1))).scalar()
+    n_users = F.col("total")
     rank = F.when(n_users <= 1, F.lit(0.0)).otherwise(F.col("before").cast("double") / (n_users - 1).cast("double"))
     return ranked.select(U, "total_interactions", rank.alias("percent_rank"))
 

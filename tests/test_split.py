@@ -53,7 +53,7 @@ def test_a_user_with_a_third_of_the_rows_is_spread(spark):
     before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        out = split.label_split(ix, 0.8, 42)
+        out = split.label_split(ix, 0.8, 42, partitions=split.PIECES * parts)
         assert "Exchange rangepartitioning" not in out._jdf.queryExecution().executedPlan().toString()  # behind the checkpoint
         tasks = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
     finally:
