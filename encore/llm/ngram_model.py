@@ -46,9 +46,9 @@ from encore.llm.shingles import mix
 from encore.sources.tables import materialize
 
 END = np.uint64(xxhash.xxh64_intdigest(b""))
-PIECE_BYTES = 16 << 20
+PIECE_BYTES = 8 << 20
 #: Scoring keeps more arrays for each token, beside the filter.
-SCORE_BYTES = 4 << 20
+SCORE_BYTES = 1 << 20
 LEVELS = 62
 _PAIR = np.uint64(0xD6E8FEB86659FD93)
 _LEVEL = np.uint64(0xA0761D6478BD642F)
