@@ -14,9 +14,10 @@ Texts with equal sets are one class, found by a digest of the set; only class
 representatives go on. In each table bucket the members are paired with one
 leader (not with each other), and pairs are verified on the full sets. Where a
 bucket still holds several components, further rounds pair its members with
-other leaders, drawn by a hash, if their components differ. A bucket's pairs
-so grow with its members, and its hot key is one row on the leaders' side of a
-join whose other side AQE splits.
+other leaders, drawn by a hash, if their components differ; last, such buckets
+are cut up by further half keys and the pieces treated likewise. A bucket's
+pairs so grow with its members, and its hot key is a row or three on the
+leaders' side of a join whose other side AQE splits.
 
 Defined cases: null, empty and wordless texts have an empty set and are linked
 with nothing; a text of fewer than five words is one shingle; rows without an
@@ -117,7 +118,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, percent: int = 75,
-                    side: int = 10, half: int = 2, rounds: int = 3, seed: int = 5) -> DataFrame:
+                    side: int = 10, half: int = 2, rounds: int = 3, refinements: tuple[int, ...] = (2, 2, 1), seed: int = 5) -> DataFrame:
     """One row for each row of ``docs``: id, n_shingles, component_id (smallest id reachable), kept (id is that)."""
     sketch = materialize(sketches(docs, id_col, text_col, words, side, half, seed), "sketches")
     linked = sketch.where(F.col("digest").isNotNull() & F.col("id").isNotNull())
@@ -137,27 +138,45 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .where(F.col("id") != F.col("node")).select(F.col("node").alias("a"), F.col("id").alias("b")))
 
     links = materialize(ties.distinct(), "links")
-    tried = None
-    component = None
-    for turn in range(rounds):
-        rows = shared
-        if turn == 0:
-            rows = rows.withColumn("c", F.col("node")).withColumn("o", F.lit(0))
-        else:
-            labels = component.withColumnRenamed("component", "c")
-            rows = rows.join(labels, "node", "left").withColumn("c", F.coalesce("c", "node")).withColumn("o", F.xxhash64(F.lit(turn), "key", "node"))
-        leader = F.min(F.struct("o", "node", "n", "c")).alias("lead")
-        leaders = rows.groupBy("key").agg(leader, F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key", "lead")
-        apart = rows.join(leaders, "key").where(
+    tried, component, order = None, None, 0
+
+    def verify(members: DataFrame, leaders: int) -> bool:
+        """Pair the members (key, node, n, c) of each bucket with its leaders of other components; add the links found."""
+        nonlocal links, tried, order
+        order += 1
+        # The first order is the same in all buckets, so a group's members meet the same leader; later ones differ by bucket.
+        orders = [F.xxhash64(F.lit(order), F.lit(i), "key", "node") if order > 1 else F.lit(0) for i in range(leaders)]
+        lead = (members.groupBy("key").agg(F.array_distinct(F.array(*[F.min(F.struct(o.alias("o"), "node", "n", "c")) for o in orders])).alias("leads"),
+                                           F.min("c").alias("c0"), F.max("c").alias("c1"))
+                .where("c0 <> c1").select("key", F.explode("leads").alias("lead")))
+        apart = members.join(lead, "key").where(
             (F.col("c") != F.col("lead.c")) & (100 * F.least("n", F.col("lead.n")) >= percent * F.greatest("n", F.col("lead.n"))))
         pairs = apart.select(F.least("node", F.col("lead.node")).alias("a"), F.greatest("node", F.col("lead.node")).alias("b")).distinct()
         pairs = materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         found = materialize(_verified(pairs, sets, percent), "links")
         tried = pairs if tried is None else tried.union(pairs)
         links = links.union(found)
-        if component is not None and not found.limit(1).count():
+        return found.limit(1).count() > 0
+
+    def labelled() -> DataFrame:
+        return shared.join(component.withColumnRenamed("component", "c"), "node", "left").withColumn("c", F.coalesce("c", "node"))
+
+    verify(shared.withColumn("c", F.col("node")), 1)
+    component = connected_components(links)
+    for _ in range(rounds - 1):
+        if not verify(labelled(), 1):
             break
         component = connected_components(links)
+    # Buckets that still hold several components are cut up by further half keys, drawn for each bucket and round: texts that
+    # are only somewhat alike part, near ones stay together and meet as leaders of small buckets.
+    rows = labelled()
+    several_left = rows.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
+    whole = materialize(rows.join(several_left, "key", "left_semi").join(classes.select("node", "left", "right"), "node"), "open")
+    for turn, extra in enumerate(refinements):
+        chosen = [F.element_at(half_key, (F.pmod(F.xxhash64("key", F.lit(turn), F.lit(i)), F.lit(side)) + 1).cast("int"))
+                  for i in range(extra) for half_key in ("left", "right")]
+        verify(whole.select(F.xxhash64("key", *chosen).alias("key"), "node", "n", "c"), 3)
+    component = connected_components(links)
 
     label = member.join(component.withColumnRenamed("component", "c"), "node", "left").select("digest", F.coalesce("c", "node").alias("c"))
     joined = sketch.join(label, "digest", "left")
