@@ -39,7 +39,7 @@ from encore.llm.components import connected_components
 from encore.llm.shingles import SHINGLE_WORDS, mix, shingle_sets
 from encore.sources.tables import materialize
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 #: Lists of at most so many ids are broadcast; longer ones are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
