@@ -14,10 +14,16 @@ Texts with equal sets are one class, found by a digest of the set; only class
 representatives go on. In each table bucket the members are paired with one
 leader (not with each other), and pairs are verified on the full sets. Where a
 bucket still holds several components, further rounds pair its members with
-other leaders, drawn by a hash, if their components differ; last, such buckets
-are cut up by further half keys and the pieces treated likewise. A bucket's
-pairs so grow with its members, and its hot key is a row or three on the
-leaders' side of a join whose other side AQE splits.
+other leaders, drawn by a hash, if their components differ. Its hot key is a
+row on the leaders' side of a join whose other side AQE splits.
+
+The buckets that then still hold several components are finished exactly: their
+members meet by the left half key of the bucket, in blocks of about
+``BLOCK_ROWS`` texts and ``BLOCK_SHINGLES`` shingles, two blocks a task, and a
+task counts the common shingles of all its pairs on the full sets. So every two
+texts that share a table key are verified or known to be of one component. Rows
+grow with a bucket's members times its blocks, and a task is bounded; the work
+in tasks grows with the square of the members of such buckets.
 
 Defined cases: null, empty and wordless texts have an empty set and are linked
 with nothing; a text of fewer than five words is one shingle; rows without an
@@ -42,6 +48,10 @@ from encore.sources.tables import materialize
 PIECE_BYTES = 1 << 20
 #: Lists of at most so many ids are broadcast; longer ones are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: About so many texts and shingles are in a block of the exact join.
+BLOCK_ROWS, BLOCK_SHINGLES = 256, 1 << 19
+#: Shingles in fewer texts of a task are counted pair by pair, others by a matrix product of so many columns at a time.
+PAIRED, COLUMNS = 32, 2048
 
 
 def _factors(count: int, seed: int) -> np.ndarray:
@@ -117,8 +127,63 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("a", "b"))
 
 
+def common_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many values each two of the sets (of distinct values) have in common; only the upper triangle is whole."""
+    m = len(sets)
+    values = np.concatenate(sets)
+    rows = np.repeat(np.arange(m), [len(s) for s in sets])
+    order = np.argsort(values, kind="stable")  # the rows of a value stay in ascending order
+    values, rows = values[order], rows[order]
+    starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+    often = np.diff(np.append(starts, len(values)))
+    each = np.repeat(often, often)
+    out = np.zeros((m, m), np.float32)
+    few, at = (each > 1) & (each < PAIRED), 1
+    v, r = values[few], rows[few]
+    while at < PAIRED and (same := v[:-at] == v[at:]).any():
+        out += np.bincount(r[:-at][same] * m + r[at:][same], minlength=m * m).reshape(m, m)
+        at += 1
+    many = each >= PAIRED
+    column, r = np.repeat(np.arange((often >= PAIRED).sum()), often[often >= PAIRED]), rows[many]
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [low, low + COLUMNS])
+        holds = np.zeros((m, COLUMNS), np.float32)
+        holds[r[a:b], column[a:b] - low] = 1
+        out += holds @ holds.T
+    return out
+
+
+def _exact(open_rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components, one for each two in a task, among the texts (key, node, n, c) that share a key."""
+    sizes = (open_rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("w"), F.min("c").alias("c0"), F.max("c").alias("c1"))
+             .where("c0 <> c1").select("key", F.greatest(F.ceil(F.col("m") / BLOCK_ROWS), F.ceil(F.col("w") / BLOCK_SHINGLES)).cast("int").alias("blocks")))
+    block = F.pmod(F.xxhash64("key", "node"), F.col("blocks")).cast("int")
+    others = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(
+        F.array_except(F.sequence(F.lit(0), F.col("blocks") - 1), F.array(F.col("block"))))
+    dealt = (open_rows.join(sizes, "key").withColumn("block", block).withColumn("other", F.explode(others))
+             .select("key", "node", "c", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q")))
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        lists = table.column("set").chunk(0)
+        flat, at = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        alike = [flat[a:b] for a, b in zip(at, at[1:])]
+        n = np.diff(at)
+        both = common_counts(alike)
+        component = table.column("c").chunk(0).dictionary_encode().indices.to_numpy()
+        near = np.triu(100 * both >= percent * (n[:, None] + n[None, :] - both), 1) & (component[:, None] != component[None, :])
+        a, b = np.nonzero(near)
+        ends = np.sort(np.stack([component[a], component[b]], 1), axis=1)
+        one = np.unique(ends, axis=0, return_index=True)[1]
+        node = table.column("node").chunk(0)
+        return pa.table({"a": node.take(pa.array(a[one])), "b": node.take(pa.array(b[one]))})
+
+    kind = dict(open_rows.dtypes)["node"]
+    return dealt.join(sets, "node").select("key", "p", "q", "node", "c", "set").groupBy("key", "p", "q").applyInArrow(run, f"a {kind}, b {kind}")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, percent: int = 75,
-                    side: int = 10, half: int = 2, rounds: int = 3, refinements: tuple[int, ...] = (2, 2, 1), seed: int = 5) -> DataFrame:
+                    side: int = 10, half: int = 2, rounds: int = 3, seed: int = 5) -> DataFrame:
     """One row for each row of ``docs``: id, n_shingles, component_id (smallest id reachable), kept (id is that)."""
     sketch = materialize(sketches(docs, id_col, text_col, words, side, half, seed), "sketches")
     linked = sketch.where(F.col("digest").isNotNull() & F.col("id").isNotNull())
@@ -140,15 +205,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = materialize(ties.distinct(), "links")
     tried, component, order = None, None, 0
 
-    def verify(members: DataFrame, leaders: int) -> bool:
-        """Pair the members (key, node, n, c) of each bucket with its leaders of other components; add the links found."""
+    def verify(members: DataFrame) -> bool:
+        """Pair the members (key, node, n, c) of each bucket with its leader, if the components differ; add the links found."""
         nonlocal links, tried, order
         order += 1
         # The first order is the same in all buckets, so a group's members meet the same leader; later ones differ by bucket.
-        orders = [F.xxhash64(F.lit(order), F.lit(i), "key", "node") if order > 1 else F.lit(0) for i in range(leaders)]
-        lead = (members.groupBy("key").agg(F.array_distinct(F.array(*[F.min(F.struct(o.alias("o"), "node", "n", "c")) for o in orders])).alias("leads"),
-                                           F.min("c").alias("c0"), F.max("c").alias("c1"))
-                .where("c0 <> c1").select("key", F.explode("leads").alias("lead")))
+        by = F.xxhash64(F.lit(order), F.lit(0), "key", "node") if order > 1 else F.lit(0)
+        lead = (members.groupBy("key").agg(F.min(F.struct(by.alias("o"), "node", "n", "c")).alias("lead"), F.min("c").alias("c0"), F.max("c").alias("c1"))
+                .where("c0 <> c1").select("key", "lead"))
         apart = members.join(lead, "key").where(
             (F.col("c") != F.col("lead.c")) & (100 * F.least("n", F.col("lead.n")) >= percent * F.greatest("n", F.col("lead.n"))))
         pairs = apart.select(F.least("node", F.col("lead.node")).alias("a"), F.greatest("node", F.col("lead.node")).alias("b")).distinct()
@@ -161,21 +225,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def labelled() -> DataFrame:
         return shared.join(component.withColumnRenamed("component", "c"), "node", "left").withColumn("c", F.coalesce("c", "node"))
 
-    verify(shared.withColumn("c", F.col("node")), 1)
+    verify(shared.withColumn("c", F.col("node")))
     component = connected_components(links)
     for _ in range(rounds - 1):
-        if not verify(labelled(), 1):
+        if not verify(labelled()):
             break
         component = connected_components(links)
-    # Buckets that still hold several components are cut up by further half keys, drawn for each bucket and round: texts that
-    # are only somewhat alike part, near ones stay together and meet as leaders of small buckets.
+    # A bucket of two has met its only pair. The others that still hold several components are finished pair by pair.
     rows = labelled()
-    several_left = rows.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
-    whole = materialize(rows.join(several_left, "key", "left_semi").join(classes.select("node", "left", "right"), "node"), "open")
-    for turn, extra in enumerate(refinements):
-        chosen = [F.element_at(half_key, (F.pmod(F.xxhash64("key", F.lit(turn), F.lit(i)), F.lit(side)) + 1).cast("int"))
-                  for i in range(extra) for half_key in ("left", "right")]
-        verify(whole.select(F.xxhash64("key", *chosen).alias("key"), "node", "n", "c"), 3)
+    several_left = (rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("c").alias("c0"), F.max("c").alias("c1"))
+                    .where("c0 <> c1 and m > 2").select("key"))
+    whole = rows.join(several_left, "key", "left_semi").join(classes.select("node", "left", "right"), "node")
+    # The left half key of a bucket joins its members once for all buckets that share it.
+    halves = F.filter(F.transform("left", lambda x, i: F.when(
+        F.exists(F.transform("right", lambda y, j: F.xxhash64(i, j, x, y)), lambda k: k == F.col("key")), F.xxhash64(i, x))), lambda h: h.isNotNull())
+    open_rows = materialize(whole.select(F.explode(halves).alias("key"), "node", "n", "c").distinct(), "open")
+    links = links.union(materialize(_exact(open_rows, sets, percent), "links"))
     component = connected_components(links)
 
     label = member.join(component.withColumnRenamed("component", "c"), "node", "left").select("digest", F.coalesce("c", "node").alias("c"))

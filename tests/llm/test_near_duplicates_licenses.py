@@ -39,6 +39,28 @@ def test_chains_and_groups_with_much_in_common(spark):
     assert got == brute.near_duplicates(rows)
 
 
+def test_pairs_among_many_nearly_near_texts_are_found(spark):
+    """1500 texts of similarity 170/230 = 0.739, and 50 pairs of them of similarity 173/227 = 0.762."""
+    common, rows = " ".join(f"common{i}" for i in range(174)), []
+    for k in range(1500):
+        with_partner = [f"pair{k // 2}x{i}" for i in range(3)] if k < 100 else [f"own{k}y{i}" for i in range(3)]
+        rows.append((k * 7919 % 1500, " ".join([common, *with_partner, *(f"own{k}x{i}" for i in range(27))]), k // 2 if k < 100 else None))
+    got = {r.id: r.component_id for r in near_duplicates.near_duplicates(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")).collect()}
+    pairs = {}
+    for i, _, pair in rows:
+        if pair is not None:
+            pairs.setdefault(pair, []).append(i)
+    want = {i: min(pairs[pair]) if pair is not None else i for i, _, pair in rows}
+    assert got == want
+
+
+def test_common_counts():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.choice(rng.choice([20, 400, 6000]), 150)).astype(np.int64) for _ in range(90)]
+    got = near_duplicates.common_counts(sets)
+    assert all(got[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(90) for j in range(i + 1, 90))
+
+
 def test_half_keys_meet_as_often_as_they_should():
     rng = np.random.default_rng(2)
     pairs = []
