@@ -10,7 +10,10 @@ Code length of a language = compressed bytes + log2(1/share of the language in
 training)/8, the cost of naming it; the second term only breaks ties of very
 short texts. ``score`` = 1 - 2^-(bytes by which the second best is longer).
 A prediction is rejected when that margin is under ``min_margin`` of the
-second-best length.
+second-best length, or when the compressed bytes alone, without the naming
+cost, are less than ``min_bytes`` apart. ``fit`` learns ``min_margin``: half the
+0.5 % quantile of the margins that dictionaries of every other excerpt give
+the remaining excerpts, where they are named rightly.
 
 Defined cases: null, empty and letterless texts are ``und`` with score 0, and
 rejected; languages learnt from nothing do not exist, so with an empty
@@ -24,7 +27,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 import pyarrow as pa
 import zstandard
@@ -36,6 +39,8 @@ from encore.llm.common import free_name, id_text, unit_hash
 
 UNDETERMINED = "und"
 RESULT = "lang string, score double, margin double, rejected boolean"
+#: At most about so many held-out texts set the margin (four a language at least).
+CALIBRATION_TEXTS = 2000
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -53,25 +58,28 @@ class LanguageModel:
     naming_bytes: tuple[float, ...]
     piece_bytes: int = 4096
     min_margin: float = 0.0005
+    min_bytes: float = 1.0
 
 
 def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         dictionary_bytes: int = 65536, excerpts: int = 200, excerpt_chars: int = 2000,
-        max_languages: int = 512, piece_bytes: int = 4096, min_margin: float = 0.0005, seed: int = 17) -> LanguageModel:
+        max_languages: int = 512, piece_bytes: int = 4096, min_margin: float | None = None, seed: int = 17) -> LanguageModel:
     """Learn the dictionaries of ``train``'s languages.
 
     Language shares count all rows. A dictionary is the last
     ``dictionary_bytes`` of at most ``excerpts`` excerpts of ``excerpt_chars``
     characters, from rows drawn by a hash of id and text. More than
     ``max_languages`` languages are an error: the model, at most
-    ``max_languages * dictionary_bytes``, is sent to every task.
+    ``max_languages * dictionary_bytes``, is sent to every task. A
+    ``min_margin`` of None is learnt (see the module).
     """
+    default = LanguageModel.min_margin if min_margin is None else min_margin
     known = train.where(F.col(lang_col).isNotNull())
     counts = known.groupBy(F.col(lang_col).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(max_languages + 1).collect()
     if len(counts) > max_languages:
         raise ValueError(f"over {max_languages} languages; raise max_languages if the model may be that large")
     if not counts:
-        return LanguageModel((), (), (), piece_bytes, min_margin)
+        return LanguageModel((), (), (), piece_bytes, default)
     total = sum(r["count"] for r in counts)
     # About twice the wanted rows of each language pass the hash filter, so a language's rows never meet in one task.
     share = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], min(1.0, 2.0 * excerpts / r["count"]))])
@@ -85,10 +93,25 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
     joined: dict[str, list[str]] = {}
     for r in picked:
         joined.setdefault(r["lang"], []).append(normalise(r["excerpt"]))
-    return LanguageModel(
-        tuple(r["lang"] for r in counts),
-        tuple("".join(joined.get(r["lang"], [])).encode()[-dictionary_bytes:] for r in counts),
-        tuple(-math.log2(r["count"] / total) / 8 for r in counts), piece_bytes, min_margin)
+    languages = tuple(r["lang"] for r in counts)
+    naming = tuple(-math.log2(r["count"] / total) / 8 for r in counts)
+
+    def dictionaries(first: int, step: int) -> tuple[bytes, ...]:
+        return tuple("".join(joined.get(lang, [])[first::step]).encode()[-dictionary_bytes:] for lang in languages)
+
+    model = LanguageModel(languages, dictionaries(0, 1), naming, piece_bytes, default)
+    if min_margin is not None or len(languages) < 2:
+        return model
+    return replace(model, min_margin=_learnt_margin(replace(model, dictionaries=dictionaries(0, 2), min_margin=0.0),
+                                                    {lang: texts[1::2] for lang, texts in joined.items()}, default))
+
+
+def _learnt_margin(model: LanguageModel, held_out: dict[str, list[str]], default: float) -> float:
+    """Half the 0.5 % quantile of the margins of held-out texts that are named rightly and not by a tie; the default if under 20."""
+    coder, each = Coder(model), max(4, CALIBRATION_TEXTS // len(model.languages))
+    found = [(lang, coder.predict(t)) for lang, texts in held_out.items() for t in texts[:each]]
+    margins = sorted(margin for lang, (named, _, margin, rejected) in found if named == lang and not rejected)
+    return margins[len(margins) // 200] / 2 if len(margins) >= 20 else default
 
 
 class Coder:
@@ -115,11 +138,13 @@ class Coder:
             return UNDETERMINED, 0.0, 0.0, True
         data, step = plain.encode("utf-8", "surrogatepass"), self.model.piece_bytes
         pieces = [data[i:i + step] for i in range(0, len(data), step)]
-        lengths = [sum(len(c.compress(p)) for p in pieces) + n for c, n in zip(self.compressors, self.model.naming_bytes)]
+        raw = [sum(len(c.compress(p)) for p in pieces) for c in self.compressors]
+        lengths = [size + n for size, n in zip(raw, self.model.naming_bytes)]
         order = sorted(range(len(lengths)), key=lambda i: (lengths[i], i))
         best, second = lengths[order[0]], lengths[order[1]] if len(order) > 1 else 2.0 * lengths[order[0]]
         margin = (second - best) / second
-        return self.model.languages[order[0]], 1.0 - 2.0 ** -min(second - best, 1000.0), margin, margin < self.model.min_margin
+        tie = len(order) > 1 and raw[order[1]] - raw[order[0]] < self.model.min_bytes
+        return self.model.languages[order[0]], 1.0 - 2.0 ** -min(second - best, 1000.0), margin, tie or margin < self.model.min_margin
 
 
 def identify(spark: SparkSession, model: LanguageModel, text_col: str = "text") -> Column:

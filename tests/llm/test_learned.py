@@ -1,5 +1,6 @@
 """Language ID, language model and quality score: held-out accuracy, exact parts against brute force, defined cases."""
 
+import random
 import math
 
 import numpy as np
@@ -35,6 +36,16 @@ def test_language_defined_cases(spark, odd, nothing, docs):
     assert none.languages == () and docs.limit(3).select(language.identify(spark, none).alias("p")).first().p.lang == "und"
 
 
+def test_unlearnt_languages_and_random_letters_are_rejected(docs):
+    coder = language.Coder(language.fit(docs))
+    rng = random.Random(1)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for words in (5, 50, 200, 800):
+        texts = [" ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(words)) for _ in range(50)]
+        assert sum(coder.predict(t)[3] for t in texts) >= 40
+    assert all(coder.predict(t)[3] for t in ("Это короткое предложение на русском языке.", "これは短い日本語の文です。 東京に行きました"))
+
+
 def test_narrow_margins_are_rejected():
     model = language.LanguageModel(("a", "b"), (b" aaa bbb ccc ", b" aaa bbb ccc "), (0.125, 0.125))
     assert language.Coder(model).predict("aaa bbb ccc ddd")[3]
