@@ -5,6 +5,8 @@ stretch at hand) are anchors, the longest increasing subsequence of their
 places is kept, and the gaps between kept anchors are aligned in the same way.
 A gap without anchors is aligned by its equal ends, then by a longest common
 subsequence. Coverage is the share of the template's words that are aligned.
+Templates with ``REQUIRED`` names and versions match only where these stand in
+the text without other words between.
 
 Texts are scanned whole. A stretch worth aligning is found by the template's
 rarer words (those that are no everyday words): wherever they stand within
@@ -69,6 +71,51 @@ TEMPLATES: dict[str, str] = {
         "the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions "
         "of the Software."),
     "Reserved": "All rights reserved.",
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "BSD": "Released under the BSD License.",
+    "BSD-2-Clause": "Released under the BSD 2-Clause License.",
+    "BSD-3-Clause": "Released under the BSD 3-Clause License.",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-4.0-short": "Licensed under CC BY 4.0.",
+    "CC-BY-ND-4.0-short": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-ND-4.0-short": "Licensed under CC BY-NC-ND 4.0.",
+    "CC-BY-NC-SA-4.0-short": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-SA-4.0-short": "Licensed under CC BY-SA 4.0.",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "ISC": "Released under the ISC License.",
+    "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "MPL-2.0": "Released under the Mozilla Public License, version 2.0.",
+    "MPL-2.0-notice": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this "
+        "file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+}
+
+# The names and versions that a notice must hold, each as a run of words without others between.
+REQUIRED: dict[str, tuple[str, ...]] = {
+    "Apache-2.0": ("apache license", "version 2 0"),
+    "Apache-2.0-notice": ("apache license", "version 2 0"),
+    "CC-BY-4.0": ("creative commons attribution 4 0",),
+    "CC-BY-NC-4.0": ("cc by nc 4 0",),
+    "GPL-3.0": ("gnu general public license", "version 3"),
+    "GPL-3.0-notice": ("gnu general public license", "version 3"),
+    "MIT": ("mit license",),
+    "AGPL-3.0": ("gnu affero general public license", "version 3"),
+    "BSD": ("bsd license",),
+    "BSD-2-Clause": ("bsd 2 clause",),
+    "BSD-3-Clause": ("bsd 3 clause",),
+    "CC-BY-SA-4.0": ("creative commons attribution sharealike 4 0",),
+    "CC-BY-4.0-short": ("cc by 4 0",),
+    "CC-BY-ND-4.0-short": ("cc by nd 4 0",),
+    "CC-BY-NC-ND-4.0-short": ("cc by nc nd 4 0",),
+    "CC-BY-NC-SA-4.0-short": ("cc by nc sa 4 0",),
+    "CC-BY-SA-4.0-short": ("cc by sa 4 0",),
+    "GPL-2.0": ("gnu general public license", "version 2"),
+    "ISC": ("isc license",),
+    "LGPL-2.1": ("gnu lesser general public license", "version 2 1"),
+    "LGPL-3.0": ("gnu lesser general public license", "version 3"),
+    "MPL-2.0": ("mozilla public license", "version 2 0"),
+    "MPL-2.0-notice": ("mozilla public license v 2 0",),
 }
 
 # Everyday words, which alone don't make a stretch worth aligning.
@@ -141,10 +188,14 @@ def align(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _places(words: list[int], phrase: list[int]) -> list[int]:
+    return [p for p in range(len(words) - len(phrase) + 1) if words[p:p + len(phrase)] == phrase]
+
+
 class Scanner:
     """Templates as word numbers, in a task."""
 
-    def __init__(self, templates: dict[str, str], min_coverage: float, max_stretch: float):
+    def __init__(self, templates: dict[str, str], min_coverage: float, max_stretch: float, required: dict[str, tuple[str, ...]] | None = None):
         self.min_coverage, self.max_stretch = min_coverage, max_stretch
         self.names = sorted(templates)
         lists = [words_of(as_texts(pa.array([templates[n]])), ALPHANUMERIC)[0].to_pylist() for n in self.names]
@@ -152,20 +203,42 @@ class Scanner:
         code = {w: i for i, w in enumerate(self.vocabulary)}
         self.templates = [[code[w] for w in ws] for ws in lists]
         self.bags = [Counter(t) for t in self.templates]
+        self.required = [[[code[w] for w in phrase.split()] for phrase in (required or {}).get(n, ())] for n in self.names]
         self.telling = np.array([w not in EVERYDAY for w in self.vocabulary], bool)
 
     def best(self, codes: list[int], start: int, end: int):
         """The template that covers most of words start ... end: (aligned words, coverage, name, first, last) or None."""
         bag, found = Counter(codes[start:end]), None
-        for name, template, own in zip(self.names, self.templates, self.bags):
+        for name, template, own, phrases in zip(self.names, self.templates, self.bags, self.required):
             if sum(min(n, bag[w]) for w, n in own.items()) < self.min_coverage * len(template):
                 continue
-            pairs = self._together([(i + start, j) for i, j in align(codes[start:end], template)], len(template))
-            coverage = len(pairs) / len(template)
-            if coverage >= self.min_coverage and (found is None or (len(pairs), coverage) > found[:2]):
-                found = (len(pairs), coverage, name, pairs[0][0], pairs[-1][0] + 1)
+            for pairs in self._alignments(codes, start, end, template, phrases):
+                coverage = len(pairs) / len(template)
+                if coverage >= self.min_coverage and (found is None or (len(pairs), coverage) > found[:2]):
+                    found = (len(pairs), coverage, name, pairs[0][0], pairs[-1][0] + 1)
         return found
 
+    def _alignments(self, codes: list[int], start: int, end: int, template: list[int], phrases: list[list[int]]):
+        """The template's alignment; with required phrases one around each place of the first phrase, if it holds them all."""
+        if not phrases:
+            yield self._together([(i + start, j) for i, j in align(codes[start:end], template)], len(template))
+            return
+        first, reach = phrases[0], int(self.max_stretch * len(template)) + 1
+        size = len(first)
+        for at in range(start, end - size + 1):
+            if codes[at:at + size] != first:
+                continue
+            low, high = max(start, at - reach), min(end, at + size + reach)
+            for place in _places(template, first):
+                # The left side is aligned backwards, so that the words next to the phrase count first.
+                left = [(at - 1 - i, place - 1 - j) for i, j in align(codes[low:at][::-1], template[:place][::-1])]
+                right = [(at + size + i, place + size + j) for i, j in align(codes[at + size:high], template[place + size:])]
+                pairs = self._together([*sorted(left), *((at + k, place + k) for k in range(size)), *right], len(template))
+                where = {j: i for i, j in pairs}
+                if all(any(all(where.get(p + k, -1) == where.get(p, -2) + k for k in range(len(phrase))) for p in _places(template, phrase))
+                       for phrase in phrases):
+                    yield pairs
+
     def _together(self, pairs: list[tuple[int, int]], size: int) -> list[tuple[int, int]]:
         """The most aligned words that stand within ``max_stretch`` template lengths."""
         best, low = [], 0
@@ -210,9 +283,10 @@ class Scanner:
 def scan_licenses(text_col: str = "text", templates: dict[str, str] | None = None, min_coverage: float = 0.8, max_stretch: float = 1.5) -> Column:
     """A column expression: license (of the match with most words), its coverage, and all matches as ranges of code points."""
     chosen = dict(TEMPLATES if templates is None else templates)
+    required = REQUIRED if templates is None else {}
 
     def scan(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        scanner = Scanner(chosen, min_coverage, max_stretch)
+        scanner = Scanner(chosen, min_coverage, max_stretch, required)
         vocabulary = pa.array(scanner.vocabulary, pa.large_string())
         for raw in arrays:
             texts, out = as_texts(raw), []

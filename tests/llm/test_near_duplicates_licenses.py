@@ -123,3 +123,15 @@ def test_license_matches(spark, odd):
     assert (found[3].license, found[3].coverage) == ("Apache-2.0", 1.0)
     assert odd.withColumn("f", licenses.scan_licenses()).where("f.license is not null").count() == 0
     assert odd.limit(0).select(licenses.scan_licenses()).count() == 0
+
+
+def test_names_and_versions_tell_licenses_apart(spark):
+    gpl3 = licenses.TEMPLATES["GPL-3.0"]
+    cases = {"Released under the BSD License.": "BSD", gpl3.replace("3", "2"): "GPL-2.0", gpl3.replace("General", "Lesser General"): "LGPL-3.0",
+             gpl3.replace("General", "Affero General"): "AGPL-3.0", "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0-short",
+             "Released under the Foo License.": None, gpl3.replace("3", "7"): None, gpl3: "GPL-3.0",
+             "Released under the BSD License. Released under the MIT License.": "BSD,MIT"} | {v: k for k, v in licenses.TEMPLATES.items()}
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    rows = df.select("doc_id", licenses.scan_licenses().alias("f")).collect()
+    got = {r.doc_id: ",".join(sorted(m.license for m in r.f.matches)) or None for r in rows}
+    assert [got[i] for i in range(len(cases))] == list(cases.values())
