@@ -129,10 +129,51 @@ SELECT conv_id, count(*) AS n_turns,
 FROM said GROUP BY conv_id
 """
 
+_ROUND = """
+d{i} AS (
+  SELECT rid, c, list_sum(list_transform(list_zip(k.v, m.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM kept k, c{i} m),
+a{i} AS (SELECT rid, min((d, c)) AS near FROM d{i} GROUP BY rid),
+"""
+_MEAN = """
+s{i} AS (
+  SELECT c, j, sum(x)::HUGEINT AS s, count(*) AS n FROM (
+    SELECT near[2] AS c, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM a{i} JOIN kept USING (rid)) GROUP BY c, j),
+m{i} AS (SELECT c, list(((s - (((s % n) + n) % n)) // n)::BIGINT ORDER BY j) AS v FROM s{i} GROUP BY c),
+c{j} AS (SELECT c, coalesce(m.v, o.v) AS v FROM c{i} o LEFT JOIN m{i} m USING (c)),
+"""
+
+OP11 = """
+WITH finite AS (
+  SELECT row_number() OVER () AS rid, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+kept AS MATERIALIZED (SELECT rid, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM finite),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v
+  FROM (SELECT sha256('1:' || coalesce(vec_id::VARCHAR, '')) AS h, v FROM kept ORDER BY h, v LIMIT 16)),
+""" + "".join(_ROUND.format(i=i) + _MEAN.format(i=i, j=i + 1) for i in range(3)) + _ROUND.format(i=3) + """
+sums AS (SELECT near[2] AS c, sum(near[1])::BIGINT AS s FROM a3 GROUP BY c)
+SELECT k.vec_id, a.near[2]::INT AS cluster, a.near[1]::BIGINT AS distance, s.s AS cluster_inertia, (SELECT sum(s) FROM sums)::BIGINT AS inertia,
+       sha256(array_to_string(m.v, ',')) AS centroid_sha256
+FROM a3 a JOIN kept k USING (rid) JOIN sums s ON s.c = a.near[2] JOIN c3 m ON m.c = a.near[2]
+"""
+
+OP12 = """
+WITH held AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+groups AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS keeper, sha1(html) AS h FROM held)
+SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
+       list_aggregate(flatten(list_transform(range(8), lambda g: list_transform([15, 10, 5, 0], lambda s:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, (5 * g + 1)::INT, 5))::BIGINT >> s) & 31)::INT + 1, 1)))), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM keeper THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS NOT DISTINCT FROM keeper THEN NULL ELSE keeper END AS refers_to
+FROM groups
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_substring_dedup": OP1,
     "op2_mix_sources": OP2,
     "op3_fingerprints": OP3,
     "op5_decontaminate": OP5,
     "op9_format_chats": OP9,
+    "op11_centroid_clusters": OP11,
+    "op12_warc": OP12,
 }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import chat, decontamination, language, licenses, merkle, mixing, near_duplicates, ngram_model, quality, substrings
+from encore.llm import (alignment, centroids, chat, decontamination, language, licenses, merkle, mixing, near_duplicates, ngram_model, quality, substrings,
+                        warc)
 from encore.llm.common import id_remainder
 from encore.sources.tables import read_table
 
@@ -93,6 +94,26 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", F.when(F.col("score") >= 0.7, 1).otherwise(0))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every kept vector with its cluster, and its cluster's figures."""
+    found = centroids.fit(read_table(spark, f"{sf_dir}/embeddings.parquet"), "vec_id", "embedding", dims=64, k=16, rounds=3, scale=64.0, seed=1)
+    # A row a cluster: k bounds it.
+    return (centroids.assignments(found).join(F.broadcast(centroids.summary(found)), "cluster")
+            .select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages' records, written and read back."""
+    pages = read_table(spark, f"{sf_dir}/pages.parquet")
+    records = warc.read_warc(warc.write_warc(pages, "page_id", "url", "html"), payloads=False)
+    return records.select(warc.id_of(F.col("record_id")).cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+                          F.col("type").alias("record_type"), warc.id_of(F.col("refers_to")).cast("long").alias("refers_to"))
+
+
+def op13_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.summaries(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_mix_sources": op2_mix_sources,
@@ -104,4 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_score": op8_lm_score,
     "op9_format_chats": op9_format_chats,
     "op10_quality": op10_quality,
+    "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_warc": op12_warc,
+    "op13_align_tokenizers": op13_align_tokenizers,
 }
