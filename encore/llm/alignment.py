@@ -12,7 +12,7 @@ A link is a pair of overlapping token occurrences. Between two neighbouring ends
 (of either side) lies exactly one link, so a text has ends(A or B) links. Pairs of
 ids are counted over the whole corpus: by tasks, then by Spark.
 
-Tokens are made once for each distinct word of a piece of text: both tokenizers
+Tokens are made once for each distinct word that a worker meets: both tokenizers
 work on stretches that end before a space that follows a non-space, each for
 itself, which ``Pair`` checks of the vocabularies when it loads them. A text
 whose tokens' bytes differ from space + text (in either tokenization), a null and
@@ -25,9 +25,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +42,9 @@ from encore.llm.common import as_texts, pieces
 from encore.sources.tables import materialize
 
 TOKENIZERS = "/opt/tokenizers"
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
+#: A worker keeps the tokens of so many distinct stretches (some 200 bytes each) before it begins anew.
+KEPT_STRETCHES = 300_000
 #: A row of pair counts holds so many pairs at most.
 COUNTS_ROW = 1 << 14
 #: Pair counts are broadcast up to this many pairs (13 bytes each, some 50 in a hash table); beyond, they are joined by a shuffle.
@@ -89,6 +93,26 @@ class Pair:
         #: Ids in decimal with what follows them: ``,`` inside a side, ``|`` after A's side, ``;`` after the group.
         self.shown = pa.concat_arrays([text(n, ","), text(n, "|"), text(n, ";")])
         self.shown_n = n
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids = array("i"), array("i")       # of A and of B, of one known stretch after the other
+        self.ends = array("q", [0]), array("q", [0])
+        self.whole = bytearray()
+
+    def codes(self, stretches: list[str]) -> np.ndarray:
+        """Numbers of the stretches; new ones are tokenized."""
+        if len(self.known) > KEPT_STRETCHES:
+            self.forget()
+        new = [s for s in stretches if s not in self.known]
+        first, held = len(self.whole), self.encode(new)
+        self.known.update(zip(new, range(first, first + len(new))))
+        for ids, ends, own in zip(self.ids, self.ends, held):
+            ends.extend((np.cumsum(np.fromiter(map(len, own), np.int64, len(own))) + len(ids)).tolist())
+            ids.extend(chain.from_iterable(own))
+        self.whole.extend([1] * len(new) if self._all_exact(new, held) else map(self.exact, new, *held))
+        return np.fromiter(map(self.known.__getitem__, stretches), np.int64, len(stretches))
 
     def encode(self, stretches: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of A and of B for texts that begin with a space."""
@@ -97,6 +121,17 @@ class Pair:
         # The empty text alone gets no space from B.
         return a, [self.space_b if s == " " else x for s, x in zip(stretches, b)]
 
+    def _all_exact(self, stretches: list[str], held: tuple[list[list[int]], list[list[int]]]) -> bool:
+        raw = pa.array(stretches, pa.large_string())
+        sizes = pc.binary_length(raw).to_numpy()
+        joined = "".join(stretches).encode()
+        for own, known, length in zip(held, (self.bytes_a, self.bytes_b), (self.len_a, self.len_b)):
+            ids = np.fromiter(chain.from_iterable(own), np.int64)
+            ends = np.concatenate([[0], np.cumsum(length[ids])])[np.cumsum(np.fromiter(map(len, own), np.int64, len(own)))]
+            if not np.array_equal(ends, np.cumsum(sizes)) or b"".join(map(known.__getitem__, ids.tolist())) != joined:
+                return False
+        return True
+
     def exact(self, stretch: str, a: list[int], b: list[int]) -> bool:
         raw = stretch.encode()
         return b"".join(map(self.bytes_a.__getitem__, a)) == raw == b"".join(map(self.bytes_b.__getitem__, b))
@@ -118,12 +153,6 @@ class Tokens:
     starts: np.ndarray
 
 
-def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-    ids = np.fromiter((i for x in lists for i in x), np.int64, int(sizes.sum()))
-    return ids, np.concatenate([[0], np.cumsum(sizes)])
-
-
 def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The places start, start + 1, ... of each run, one run after the other."""
     before = np.concatenate([[0], np.cumsum(sizes)])[:-1]
@@ -145,17 +174,15 @@ def tokenize(pair: Pair, texts: pa.Array) -> tuple[Tokens, Tokens]:
     cuts = np.flatnonzero(begins)
     stretches = pa.Array.from_buffers(pa.large_string(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(raw.tobytes())])
     coded = stretches.dictionary_encode()
-    index = coded.indices.to_numpy().astype(np.int64)
-    distinct = coded.dictionary.to_pylist()
-    a, b = pair.encode(distinct)
-    whole = np.fromiter((pair.exact(s, x, y) for s, x, y in zip(distinct, a, b)), bool, len(distinct))
+    index = pair.codes(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+    whole = np.array(pair.whole, bool)
     first = np.searchsorted(cuts[:-1], offsets)  # each text's first stretch
     bad = np.concatenate([[0], np.cumsum(~whole[index])])
     empty = offsets[1:] - offsets[:-1] <= 1
     good = np.repeat((bad[first[1:]] == bad[first[:-1]]) & ~empty, first[1:] - first[:-1])
     out = []
-    for lists, sizes in ((a, pair.len_a), (b, pair.len_b)):
-        ids, at = _flat(lists)
+    for ids, at, sizes in zip(pair.ids, pair.ends, (pair.len_a, pair.len_b)):
+        ids, at = np.array(ids, np.int64), np.array(at, np.int64)
         n = np.where(good, (at[1:] - at[:-1])[index], 0)
         token = ids[_spread(at[:-1][index], n)]
         starts = np.concatenate([[0], np.cumsum(n)])[first]
