@@ -9,6 +9,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from encore.operators import factors
 from encore.operators.metrics import map_at_k
 from encore.operators.ranking import exclude_seen, explode_recs
 from encore.session import ensure_checkpoint_dir
@@ -82,6 +83,33 @@ def recommend_als(model: ALSModel, k: int = 100, users: DataFrame | None = None)
     return explode_recs(recs.withColumnRenamed(user_col, U), field=item_col)
 
 
+def factor_blocks(model: ALSModel, chunk_bytes: int = factors.CHUNK_BYTES) -> factors.ItemBlocks:
+    """The model's item vectors, by falling norm, in chunks."""
+    return factors.item_blocks(model.itemFactors, chunk_bytes)
+
+
+def top_k_lists(model: ALSModel, k: int, users: DataFrame | None, blocks: factors.ItemBlocks) -> DataFrame:
+    """(user_id, items, scores, scored) for ``users`` that have vectors, or for all."""
+    vectors = model.userFactors
+    if users is not None:
+        vectors = vectors.join(users.select(F.col(U).cast("int").alias("id")).distinct(), "id", "left_semi")
+    return factors.top_k(vectors, blocks, k)
+
+
+def recommend_exact(model: ALSModel, k: int = 100, users: DataFrame | None = None, chunk_bytes: int = factors.CHUNK_BYTES) -> DataFrame:
+    """``recommend_als`` by exact search with norm bounds: the same lists, without the users x items product."""
+    return factors.as_rows(top_k_lists(model, k, users, factor_blocks(model, chunk_bytes)))
+
+
+def auc_als(model: ALSModel, positives: DataFrame, sample: int | None = None, seed: int = 42) -> DataFrame:
+    """(user_id, m, auc) of the model's scores over all items, for the positives' users or a seeded sample of them."""
+    users = positives.select(U).distinct().join(known_users(model), U, "left_semi")
+    if sample is not None:
+        users = factors.sample_users(users, sample, seed)
+    vectors = model.userFactors.join(users.select(F.col(U).cast("int").alias("id")), "id", "left_semi")
+    return factors.auc_per_user(vectors, model.itemFactors, factor_blocks(model), positives.join(users, U, "left_semi"))
+
+
 def known_users(model: ALSModel) -> DataFrame:
     """(user_id) of the users the model has factors for."""
     return model.userFactors.select(F.col("id").cast("long").alias(U))
