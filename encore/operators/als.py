@@ -126,9 +126,10 @@ def recommend_unseen_als(model: ALSModel, users: DataFrame, seen: DataFrame, k:
                   .select(U, F.when(F.coalesce("s", F.lit(0)) > 0, F.ceil(F.log2("s"))).otherwise(-1).cast("int").alias("step")))
     sizes = materialize(sizes, "seen_sizes")
     steps = [r["step"] for r in sizes.select("step").distinct().orderBy("step").collect()]
-    parts = [recommend_als(model, k + (1 << step if step >= 0 else 0), sizes.where(F.col("step") == step)) for step in steps]
+    blocks = factor_blocks(model)
+    parts = [factors.as_rows(top_k_lists(model, k + (1 << step if step >= 0 else 0), sizes.where(F.col("step") == step), blocks)) for step in steps]
     if not parts:
-        return recommend_als(model, k, users).limit(0)
+        return recommend_exact(model, k, users).limit(0)
     best = exclude_seen(reduce(lambda a, b: a.unionByName(b), parts), seen)
     return best.where(F.col("rank") <= k)
 
@@ -145,7 +146,7 @@ def factor_summary(model: ALSModel) -> DataFrame:
 def score_als(model: ALSModel, labels: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
     """(recommendations for the labelled users, their users): made once and written, so metrics read a table."""
     users = labels.select(U).distinct().join(known_users(model), U, "left_semi")
-    recs = materialize(recommend_als(model, k, users), "recs")
+    recs = materialize(recommend_exact(model, k, users), "recs")
     return recs, recs.select(U)
 
 

@@ -17,6 +17,8 @@ from encore.session import ensure_checkpoint_dir
 from encore.sources.tables import materialize
 
 U, I, N = "user_id", "item_id", "interactions"
+#: So many of the best ranks are broadcast to the users that take them.
+HEAD = 20_000
 
 
 def item_aggregates(ix: DataFrame) -> DataFrame:
@@ -85,8 +87,12 @@ def recommend_unseen(pop: DataFrame, users: DataFrame, seen: DataFrame, k: int =
     # After seen rank g, the j-th: g - j unseen ranks have gone before; the gap gives at most k - (g - j) more.
     last = F.least(F.coalesce("next", F.lit(n_items + 1)) - 1, F.col("g") + k - (F.col("g") - F.col("j")), F.lit(n_items))
     filled = (gaps.where(last > F.col("g")).select(U, "j", F.explode(F.sequence(F.col("g") + 1, last)).alias("g")))
-    return (filled.select(U, "g", (F.col("g") - F.col("j")).cast("long").alias("rank")).where(F.col("rank") <= k)
-                  .join(ranked, "g").select(U, I, "rank"))
+    places = materialize(filled.select(U, "g", (F.col("g") - F.col("j")).cast("long").alias("rank")).where(F.col("rank") <= k), "unseen_ranks")
+    # Nearly every user takes its places among the first ranks: these few rows are broadcast, so no rank is a hot key.
+    first = F.col("g") <= HEAD
+    head = places.where(first).join(F.broadcast(ranked.where(first)), "g")
+    rest = places.where(~first).join(ranked.where(~first), "g")
+    return head.unionByName(rest).select(U, I, "rank")
 
 
 def top_k_per_beta(ix: DataFrame, betas: list[float], k: int = 100) -> DataFrame:

@@ -53,20 +53,21 @@ def count_interactions(plays: DataFrame, user: str = U, item: str = I,
     return plays.groupBy(F.col(user).alias(U), F.col(item).alias(I)).agg(strength.alias(N))
 
 
-def item_listeners(ix: DataFrame, distinct: bool = False) -> DataFrame:
+def item_listeners(ix: DataFrame, distinct: bool = False, rsd: float | None = None) -> DataFrame:
     """(item_id, listeners): users per non-NULL item.
 
     ``ix`` is unique on (user, item), so a plain count equals the distinct
     count and avoids the extra distinct-aggregation shuffle; ``distinct=True``
-    is for raw plays.
+    is for raw plays. With ``rsd`` the count is HyperLogLog++'s of that relative
+    standard deviation: one shuffle, whatever the number of plays.
     """
-    agg = F.count_distinct(U) if distinct else F.count(U)
+    agg = F.approx_count_distinct(U, rsd) if rsd is not None else F.count_distinct(U) if distinct else F.count(U)
     return ix.where(F.col(I).isNotNull()).groupBy(I).agg(agg.alias("listeners"))
 
 
-def user_activity(ix: DataFrame, distinct: bool = False) -> DataFrame:
-    """(user_id, tracks): items per non-NULL user."""
-    agg = F.count_distinct(I) if distinct else F.count(I)
+def user_activity(ix: DataFrame, distinct: bool = False, rsd: float | None = None) -> DataFrame:
+    """(user_id, tracks): items per non-NULL user; ``distinct`` and ``rsd`` as for ``item_listeners``."""
+    agg = F.approx_count_distinct(I, rsd) if rsd is not None else F.count_distinct(I) if distinct else F.count(I)
     return ix.where(F.col(U).isNotNull()).groupBy(U).agg(agg.alias("tracks"))
 
 
@@ -139,25 +140,29 @@ def positive_only(ix: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- percentile variants
 
-def listener_percentile(ix: DataFrame, q: float = 0.85) -> DataFrame:
+def listener_percentile(ix: DataFrame, q: float = 0.85, accuracy: int | None = None) -> DataFrame:
     """Exact percentile (linear interpolation) of listeners per item, one row.
 
     The value is rounded to 9 decimals so that integer results are not
     perturbed by the interpolation arithmetic. The exact percentile keeps a
     value -> count map per task and merges the maps in one final task; its
     size is the number of distinct listener counts, at most sqrt(2 * |ix|).
+    With ``accuracy`` it is ``percentile_approx``: a listener count whose rank is
+    within 1 / accuracy of q, from states of bounded size.
     """
-    return _percentile(item_listeners(ix), q)
+    return _percentile(item_listeners(ix), q, accuracy)
 
 
-def _percentile(listeners: DataFrame, q: float) -> DataFrame:
+def _percentile(listeners: DataFrame, q: float, accuracy: int | None = None) -> DataFrame:
+    if accuracy is not None:
+        return listeners.agg(F.percentile_approx("listeners", F.lit(q), F.lit(accuracy)).cast("double").alias("listener_percentile"))
     return listeners.agg(F.round(F.percentile(F.col("listeners"), F.lit(q)), 9).alias("listener_percentile"))
 
 
-def items_by_percentile(ix: DataFrame, q: float = 0.85) -> DataFrame:
-    """Items whose listener count is at least the exact ``q`` percentile; listeners are aggregated once."""
+def items_by_percentile(ix: DataFrame, q: float = 0.85, accuracy: int | None = None) -> DataFrame:
+    """Items whose listener count is at least the ``q`` percentile (exact, or approximate as above); listeners are aggregated once."""
     listeners = materialize(item_listeners(ix), "listeners")
-    threshold = _percentile(listeners, q)
+    threshold = _percentile(listeners, q, accuracy)
     return listeners.where(F.col("listeners") >= threshold.scalar())
 
 

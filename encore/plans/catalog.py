@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from encore.functions.columns import conform, impute_item_id
-from encore.operators import als, index, metrics, popularity, prep, ranking, report, split
+from encore.operators import als, factors, index, metrics, popularity, prep, ranking, report, sketches, split
 from encore.plans import binding
 from encore.plans.study import Params, Study
 from encore.sources import tables
@@ -176,6 +176,36 @@ def q_listener_percentile(spark, d):
     return prep.listener_percentile(study(spark, d).all_ix, 0.85)
 
 
+QUANTILES = [0.05, 0.25, 0.5, 0.75, 0.85, 0.95]
+
+
+def q_listener_percentile_sketch(spark, d):
+    """Quantiles of the listener counts from merged KLL states, one a range of items, and from percentile_approx: is the rank within the bound?"""
+    listeners = tables.materialize(prep.item_listeners(study(spark, d).all_ix), "listeners")
+    parts = listeners.withColumn("part", F.pmod(F.xxhash64(I), F.lit(16)))
+    states = tables.materialize(sketches.quantile_state(parts, "listeners", by=["part"]), "quantile_states")
+    merged = tables.materialize(sketches.quantiles(sketches.merge_quantiles(states), QUANTILES), "quantiles")
+    accuracy = 1000
+    approx = [prep._percentile(listeners, q, accuracy).select(F.lit(q).alias("q"), F.col("listener_percentile").cast("long").alias("value")) for q in QUANTILES]
+    out = []
+    # Three times the error that 99 % of quantiles keep, so that no run in a thousand is outside; percentile_approx is never.
+    for kind, found, bound in (("kll", merged, 3 * sketches.kll_error()), ("percentile_approx", tables.union_all(approx), 1 / accuracy + 1e-9)):
+        errors = sketches.rank_errors(listeners, "listeners", found, QUANTILES)
+        out.append(errors.select(F.lit(kind).alias("kind"), "q", (F.col("error") <= bound).alias("within")))
+    return tables.union_all(out)
+
+
+def q_item_listeners_sketch(spark, d):
+    """Distinct listeners of every item from states kept by period and merged, against the exact counts: items, and those off by over five standard errors."""
+    s = study(spark, d)
+    states = tables.materialize(sketches.listener_states(s.interactions, by=["period"]), "listener_states")
+    found = sketches.estimates(sketches.merge_states(states), "estimate")
+    exact = prep.item_listeners(s.all_ix)
+    off = F.abs(F.col("estimate") - F.col("listeners")) > 5 * sketches.hll_error() * F.col("listeners")
+    return exact.join(found, I, "full").agg(F.count("listeners").alias("items"), F.count("estimate").alias("estimated"),
+                                            F.sum(F.coalesce(off, F.lit(True)).cast("int")).alias("outside"))
+
+
 def q_items_by_percentile(spark, d):
     return prep.items_by_percentile(study(spark, d).all_ix, 0.85)
 
@@ -287,6 +317,15 @@ def q_small_val(spark, d):
     return tables.head_rows(study(spark, d).val, [F.col(U), F.col(I)], 250)
 
 
+def q_sample_train(spark, d):
+    """1000 training rows by hash."""
+    return tables.sample_rows(study(spark, d).train, 1000, [U, I])
+
+
+def q_sample_val(spark, d):
+    return tables.sample_rows(study(spark, d).val, 250, [U, I])
+
+
 # ------------------------------------------------------------------ ranking / popularity
 def q_true_top_k(spark, d):
     return study(spark, d).labels("val_warm")
@@ -393,6 +432,16 @@ def q_popularity_metrics_report(spark, d):
     return rounded(report.compare_models(rows))
 
 
+def q_popularity_intervals(spark, d):
+    """95 % intervals of the popularity list's per-user metrics, per segment."""
+    s = study(spark, d)
+    parts = []
+    for seg in ("val_warm", "test_warm"):
+        per_user = metrics.per_user_metrics(s.labels(seg), s.top, s.p.k, s.segment(seg)[1])
+        parts.append(report.bootstrap(per_user, ["ap", "ndcg"], replicates=100).withColumn("segment", F.lit(seg)))
+    return rounded(report.compare_models(parts))
+
+
 RANKING_METRICS = ["map", "precision", "recall", "ndcg", "mrr"]
 
 
@@ -434,7 +483,7 @@ def q_als_indexed_recs(spark, d):
     train, _ = split.train_val_split(ix, s.p.train_fraction, s.p.seed)
     idx = index.fit_item_index(ix)
     model = als.fit_als(index.apply_item_index(train, idx), item="item_idx", **s.p.als)
-    recs = als.recommend_als(model, s.p.k).withColumnRenamed(I, "item_idx")
+    recs = als.recommend_exact(model, s.p.k).withColumnRenamed(I, "item_idx")
     return recs.join(idx.select("item_idx", F.col(I).alias("recording_mbid")), "item_idx").drop("item_idx")
 
 
@@ -449,18 +498,42 @@ def q_als_recs_subset(spark, d):
 
 def q_als_recs_all(spark, d):
     s = study(spark, d)
-    return als.recommend_als(_als_model(s), s.p.k)
+    return als.recommend_exact(_als_model(s), s.p.k)
 
 
-def _als_map(segment):
+def _als_map(segment, k=None):
     """ALS top k for the segment's users that have factors, made once."""
     def q(spark, d):
         s = study(spark, d)
-        recs = s.als_recs(segment)
-        return rounded(metrics.map_at_k(s.labels(segment), recs, s.p.k, recs.select(U)))
+        recs = s.als_recs(segment, k)
+        return rounded(metrics.map_at_k(s.labels(segment, k), recs, k or s.p.k, recs.select(U)))
+    return q
+
+
+def _auc_als(segment):
+    """Mean AUC of the ALS scores of all items, over every user of the segment."""
+    def q(spark, d):
+        s = study(spark, d)
+        return rounded(metrics.auc_summary(als.auc_als(_als_model(s), s.segment(segment)[0])))
     return q
 
 
+def q_als_topk_work(spark, d):
+    """How many of the users x items scores the norm bounds made needless."""
+    model = _als_model(study(spark, d))
+    blocks = als.factor_blocks(model)
+    return rounded(factors.work(als.top_k_lists(model, study(spark, d).p.k, None, blocks), blocks))
+
+
+def q_model_interval(spark, d):
+    """ALS less popularity on warm validation users, user by user: mean difference and its 95 % interval."""
+    s = study(spark, d)
+    recs, labels = s.als_recs("val_warm"), s.labels("val_warm")
+    of_als = metrics.per_user_metrics(labels, recs, s.p.k, recs.select(U))
+    of_pop = metrics.per_user_metrics(labels, s.top, s.p.k, s.segment("val_warm")[1])
+    return rounded(report.bootstrap(report.paired_difference(of_als, of_pop, ["ap", "ndcg"]), ["ap", "ndcg"]))
+
+
 def q_als_sweep(spark, d):
     """One parameter at a time, over all four axes of the reference (from this study's small base)."""
     s = study(spark, d)
@@ -520,7 +593,41 @@ def _rec_facts(recs, train):
 
 def q_als_recs_check(spark, d):
     s = study(spark, d)
-    return _rec_facts(als.recommend_als(_als_model(s), s.p.k), s.train_warm)
+    return _rec_facts(tables.materialize(als.recommend_exact(_als_model(s), s.p.k), "recs"), s.train_warm)
+
+
+def q_als_topk_check(spark, d):
+    """The exact search against MLlib's full product, for every user: rows whose score at a rank differs."""
+    s = study(spark, d)
+    ours = als.recommend_exact(_als_model(s), s.p.k, chunk_bytes=64 << 10).select(U, "rank", F.col("score").alias("ours"))
+    theirs = tables.materialize(als.recommend_als(_als_model(s), s.p.k), "recs").select(U, "rank", "score")
+    differs = F.coalesce(F.abs(F.col("ours") - F.col("score")) > 1e-5, F.lit(True))
+    return ours.join(theirs, [U, "rank"], "full").agg(F.count_distinct(U).alias("users"), F.count(F.lit(1)).alias("rows"),
+                                                      F.sum(differs.cast("int")).alias("differing"))
+
+
+def q_auc_als_check(spark, d):
+    """Rank counts against the definition on 50 sampled users, whose items are all listed: users, and those whose AUC differs."""
+    s, n = study(spark, d), 50
+    model, truth = _als_model(s), s.segment("val_warm")[0].select(U, I).distinct()
+    counted = als.auc_als(model, truth, sample=n)
+    users = factors.sample_users(truth.join(als.known_users(model), U, "left_semi"), n)
+    blocks = als.factor_blocks(model)
+    rows = factors.as_rows(als.top_k_lists(model, blocks.items, users, blocks)).join(truth.withColumn("pos", F.lit(1)), [U, I], "left")
+    rows = rows.select(U, "score", F.coalesce("pos", F.lit(0)).alias("pos")).withColumn("neg", 1 - F.col("pos"))
+    upto = F.sum("neg").over(Window.partitionBy(U).orderBy("score").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    ties = F.sum("neg").over(Window.partitionBy(U, "score"))
+    wins = rows.withColumn("wins", F.col("pos") * (upto - ties / 2.0)).groupBy(U).agg(
+        (F.sum("wins") / (F.sum("pos") * F.sum("neg").cast("double"))).alias("plain"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    both = counted.join(wins.where("p > 0 and n > 0"), U, "full")
+    return both.agg(F.count(F.lit(1)).alias("users"),
+                    F.coalesce(F.sum(F.coalesce(F.abs(F.col("auc") - F.col("plain")) > 1e-9, F.lit(True)).cast("int")), F.lit(0)).alias("differing"))
+
+
+def q_model_report_check(spark, d):
+    """The comparison table's rows and users, and whether each value is a share."""
+    rows = q_model_report(spark, d)
+    return rows.select("model", "segment", "metric", "k", "users", F.col("value").between(0.0, 1.0).alias("is_share"))
 
 
 def q_als_unseen_check(spark, d):
@@ -531,16 +638,19 @@ def q_als_unseen_check(spark, d):
     return _rec_facts(recs, s.train_warm).withColumn("seen", seen.scalar())
 
 
-def q_als_map_check(spark, d):
+def _als_map_check(segment, k=None):
     """The relational MAP against Spark's own evaluator on the same lists."""
-    s = study(spark, d)
-    recs, labels = s.als_recs("val_warm"), s.labels("val_warm")
-    ours = metrics.map_at_k(labels, recs, s.p.k, recs.select(U)).first()
-    pred = ranking.ranked_array(recs, "prediction", [U], as_double=True)
-    truth = ranking.true_arrays(labels, as_double=True).withColumnRenamed("true_labels", "label")
-    theirs = RankingEvaluator(k=s.p.k, metricName="meanAveragePrecisionAtK", labelCol="label",
-                              predictionCol="prediction").evaluate(truth.join(pred, U))
-    return spark.createDataFrame([(ours["users"], round(abs(ours["map"] - theirs), 9))], "users long, difference double")
+    def q(spark, d):
+        s = study(spark, d)
+        depth = k or s.p.k
+        recs, labels = s.als_recs(segment, k), s.labels(segment, k)
+        ours = metrics.map_at_k(labels, recs, depth, recs.select(U)).first()
+        pred = ranking.ranked_array(recs, "prediction", [U], as_double=True)
+        truth = ranking.true_arrays(labels, as_double=True).withColumnRenamed("true_labels", "label")
+        theirs = RankingEvaluator(k=depth, metricName="meanAveragePrecisionAtK", labelCol="label",
+                                  predictionCol="prediction").evaluate(truth.join(pred, U))
+        return spark.createDataFrame([(ours["users"], round(abs(ours["map"] - theirs), 9))], "users long, difference double")
+    return q
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -570,6 +680,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "listener_histogram": q_listener_histogram,
     "activity_histogram": q_activity_histogram,
     "listener_percentile": q_listener_percentile,
+    "listener_percentile_sketch": q_listener_percentile_sketch,
+    "item_listeners_sketch": q_item_listeners_sketch,
     "items_by_percentile": q_items_by_percentile,
     "items_by_percent_rank": q_items_by_percent_rank,
     "join_items_left": q_join_items_left,
@@ -597,6 +709,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "test_cold_listed": q_test_cold_listed,
     "small_train": q_small_train,
     "small_val": q_small_val,
+    "sample_train": q_sample_train,
+    "sample_val": q_sample_val,
     # ranking and popularity
     "true_top_k": q_true_top_k,
     "true_arrays": q_true_arrays,
@@ -628,6 +742,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "auc_train_warm": _auc("train_warm"),
     "popularity_report": q_popularity_report,
     "popularity_metrics_report": q_popularity_metrics_report,
+    "popularity_intervals": q_popularity_intervals,
     # dictionaries
     "item_index": q_item_index,
     "item_index_unseen": q_item_index_unseen,
@@ -643,7 +758,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "als_factor_check": q_als_factor_check,
     "als_recs_check": q_als_recs_check,
     "als_unseen_check": q_als_unseen_check,
-    "als_map_check": q_als_map_check,
+    "als_map_check": _als_map_check("val_warm"),
+    "als_map_100": _als_map("val_warm", 100),
+    "als_map_100_test": _als_map("test_warm", 100),
+    "als_map_100_check": _als_map_check("val_warm", 100),
+    "als_map_100_test_check": _als_map_check("test_warm", 100),
+    "als_topk_check": q_als_topk_check,
+    "als_topk_work": q_als_topk_work,
+    "auc_als": _auc_als("val_warm"),
+    "auc_als_test": _auc_als("test_warm"),
+    "auc_als_check": q_auc_als_check,
+    "model_report_check": q_model_report_check,
+    "model_interval": q_model_interval,
     "als_sweep": q_als_sweep,
     "als_grid": q_als_grid,
     "als_indexed_recs": q_als_indexed_recs,

@@ -166,6 +166,33 @@ def _mean_sql(column: str, out: str, segment: str = "val_warm", k: int = K, cut:
             f"SELECT CAST(COUNT(*) AS BIGINT) AS users, ROUND(COALESCE(AVG({column}), 0.0), 9) AS {out} FROM pu")
 
 
+def _intervals() -> str:
+    """A Poisson bootstrap from the definition: every user's draw of every replicate, percentiles of the replicates' means."""
+    parts = []
+    for seg, t in (("val_warm", "_v"), ("test_warm", "_t")):
+        for m in ("ap", "ndcg"):
+            parts.append(f"""SELECT '{seg}' AS segment, '{m}' AS metric, (SELECT count(*) FROM pu{t}) AS users,
+  ROUND((SELECT avg({m}) FROM pu{t}), 9) AS value, ROUND(quantile_cont(v, 0.025), 9) AS low, ROUND(quantile_cont(v, 0.975), 9) AS high
+FROM (SELECT r, sum(w * {m}) / sum(w) AS v FROM draws{t} JOIN pu{t} USING (user_id) GROUP BY r HAVING sum(w) > 0)""")
+    draws = [f"""
+draws{t} AS (
+  SELECT user_id, r, len(list_filter((SELECT steps FROM poisson), lambda c: c <=
+    ('0x' || substr(md5('42|' || user_id::VARCHAR || '|' || r), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0)) AS w
+  FROM pu{t}, unnest(range(1, 101)) AS q(r))""" for t in ("_v", "_t")]
+    poisson = """
+poisson AS (SELECT list(c ORDER BY k) AS steps FROM (SELECT k, sum(exp(-1.0::DOUBLE) / factorial(k::INT)::DOUBLE) OVER (ORDER BY k) AS c FROM range(16) g(k)))"""
+    return _with(_metric_ctes("val_warm", "_v"), _metric_ctes("test_warm", "_t"), poisson, *draws) + "\nUNION ALL ".join(parts)
+
+
+def _model_report_check() -> str:
+    rows = []
+    for model in ("popularity", "als"):
+        for seg, t in (("val_warm", "_v"), ("test_warm", "_t")):
+            for m in ("map", "precision", "recall", "ndcg", "mrr"):
+                rows.append(f"SELECT '{model}' AS model, '{seg}' AS segment, '{m}' AS metric, {K} AS k, (SELECT count(*) FROM nl{t}) AS users, true AS is_share")
+    return _with(_metric_ctes("val_warm", "_v"), _metric_ctes("test_warm", "_t")) + "\nUNION ALL ".join(rows)
+
+
 def _listener_bin(col: str) -> str:
     return f"""CASE WHEN {col} < 5 THEN '[0, 5)' WHEN {col} < 10 THEN '[5, 10)'
   WHEN {col} < 20 THEN '[10, 20)' WHEN {col} < 30 THEN '[20, 30)' WHEN {col} < 40 THEN '[30, 40)'
@@ -354,6 +381,11 @@ WHERE user_id IN (SELECT user_id FROM cat_pi GROUP BY user_id HAVING COUNT(*) >=
     "test_cold": _with() + "SELECT * FROM test_cold",
     "test_cold_listed": _with() + ("SELECT * FROM test_rows WHERE user_id IN (SELECT user_id FROM popular_ix "
                                    "GROUP BY user_id HAVING COUNT(*) < 10)"),
+    "listener_percentile_sketch": "SELECT kind, q::DOUBLE AS q, true AS within FROM (VALUES ('kll'), ('percentile_approx')) a(kind), "
+                                  "(VALUES (0.05), (0.25), (0.5), (0.75), (0.85), (0.95)) b(q)",
+    "item_listeners_sketch": _with() + "SELECT count(*) AS items, count(*) AS estimated, 0::BIGINT AS outside FROM listeners_all",
+    "sample_train": _with() + "SELECT * FROM train_rows ORDER BY md5('42|' || user_id::VARCHAR || '|' || item_id::VARCHAR), user_id, item_id LIMIT 1000",
+    "sample_val": _with() + "SELECT * FROM val_rows ORDER BY md5('42|' || user_id::VARCHAR || '|' || item_id::VARCHAR), user_id, item_id LIMIT 250",
     "small_train": _with() + "SELECT * FROM train_rows ORDER BY user_id, item_id LIMIT 1000",
     "small_val": _with() + "SELECT * FROM val_rows ORDER BY user_id, item_id LIMIT 250",
     # ranking and popularity
@@ -418,6 +450,18 @@ FROM train_warm WHERE interactions > 0""",
 FROM (SELECT user_id, count(DISTINCT item_id) AS s FROM train_warm WHERE interactions > 0 GROUP BY user_id) u,
      (SELECT count(DISTINCT item_id) AS n FROM train_warm WHERE interactions > 0) t WHERE n > s""",
     "als_map_check": _with(_metric_ctes("val_warm")) + "SELECT count(*) AS users, 0.0::DOUBLE AS difference FROM nl",
+    "als_map_100_check": _with(_metric_ctes("val_warm", k=100)) + "SELECT count(*) AS users, 0.0::DOUBLE AS difference FROM nl",
+    "als_map_100_test_check": _with(_metric_ctes("test_warm", k=100)) + "SELECT count(*) AS users, 0.0::DOUBLE AS difference FROM nl",
+    "als_topk_check": _with() + f"""SELECT count(DISTINCT user_id) AS users,
+  (count(DISTINCT user_id) * least({K}, count(DISTINCT item_id)))::BIGINT AS rows, 0::BIGINT AS differing FROM train_warm WHERE interactions > 0""",
+    "auc_als_check": _with("""
+known AS (SELECT user_id, item_id FROM train_warm WHERE interactions > 0)""", """
+truth AS (SELECT DISTINCT user_id, item_id FROM val_warm WHERE interactions > 0 AND user_id IN (SELECT user_id FROM known))""", """
+sampled AS (SELECT user_id FROM (SELECT DISTINCT user_id FROM truth) ORDER BY md5('42|' || user_id::VARCHAR), user_id LIMIT 50)""", """
+sizes AS (SELECT user_id, count(*) AS m FROM truth WHERE user_id IN (SELECT user_id FROM sampled) AND item_id IN (SELECT item_id FROM known) GROUP BY user_id)""")
+    + "SELECT count(*) AS users, 0::BIGINT AS differing FROM sizes WHERE m < (SELECT count(DISTINCT item_id) FROM known)",
+    "model_report_check": _model_report_check(),
+    "popularity_intervals": _intervals(),
     "popularity_report": _popularity_report(),
     "popularity_metrics_report": _popularity_metrics_report(),
     # dictionaries

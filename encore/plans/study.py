@@ -52,7 +52,7 @@ class Study:
         self.spark, self.sf_dir, self.p = spark, sf_dir, params or Params()
         self.tables: list[str] = []
         self.als_seconds: float | None = None
-        self._als_recs: dict[str, DataFrame] = {}
+        self._als_recs: dict[tuple[str, int], DataFrame] = {}
 
     def _keep(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
         return materialize(df, name, partition_by, written=self.tables)
@@ -174,10 +174,10 @@ class Study:
             return self.test_cold, self.test_cold.select(U)
         raise ValueError(name)
 
-    def labels(self, name: str) -> DataFrame:
+    def labels(self, name: str, k: int | None = None) -> DataFrame:
         """The truth cut to each user's k strongest items: what MAP and NDCG are scored against."""
         truth, _ = self.segment(name)
-        return ranking.true_top_k(truth, self.p.k)
+        return ranking.true_top_k(truth, k or self.p.k)
 
     def relevant(self, name: str) -> DataFrame:
         """All items of the truth: what precision, recall and reciprocal rank are scored against."""
@@ -216,8 +216,9 @@ class Study:
         self.als_seconds = time.time() - began
         return model
 
-    def als_recs(self, name: str) -> DataFrame:
+    def als_recs(self, name: str, k: int | None = None) -> DataFrame:
         """ALS lists for the labelled users of a segment that have factors; scored once and written."""
-        if name not in self._als_recs:
-            self._als_recs[name] = als.score_als(self.als_model, self.labels(name), self.p.k)[0]
-        return self._als_recs[name]
+        key = (name, k or self.p.k)
+        if key not in self._als_recs:
+            self._als_recs[key] = als.score_als(self.als_model, self.labels(name, key[1]), key[1])[0]
+        return self._als_recs[key]

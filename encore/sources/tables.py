@@ -16,6 +16,9 @@ from encore.session import ensure_checkpoint_dir
 _SCRATCH: dict[str, list[str]] = {}
 
 
+_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+
+
 def _schema_fields(schema) -> list[tuple[str, str]]:
     if isinstance(schema, StructType):
         return [(f.name, f.dataType.simpleString()) for f in schema.fields]
@@ -27,9 +30,10 @@ def read_table(spark: SparkSession, path: str | list[str], schema=None, where=No
     """Parquet scan; a directory or a list of paths reads as one table.
 
     With ``schema`` (DDL string or StructType) the declared columns are
-    selected in the declared order and cast with ANSI checks, so an id that
-    does not fit the declared type fails the job instead of wrapping. Column
-    pruning and filter pushdown still reach the scan: the casts are projections.
+    selected in the declared order and cast with checks: a value that does not
+    fit the declared type, or has a fraction where a whole number is declared,
+    fails the job. Column pruning reaches the scan; a filter above the casts
+    does not, so ``where`` filters on the stored types.
     """
     paths = [path] if isinstance(path, str) else list(path)
     df = spark.read.parquet(*paths)
@@ -49,8 +53,11 @@ def _checked_cast(df: DataFrame, name: str, dtype: str):
     if dict(df.dtypes)[name] == dtype:
         return value
     tried = value.try_cast(dtype)
+    whole = F.lit(True)
+    if dtype in _INTEGRAL and (dict(df.dtypes)[name] in ("float", "double") or dict(df.dtypes)[name].startswith("decimal")):
+        whole = tried.cast(dict(df.dtypes)[name]) == value  # a cast would cut a fraction off
     message = F.concat(F.lit(f"{name} does not fit {dtype}: "), value.cast("string"))
-    return F.when(value.isNull() | tried.isNotNull(), tried).otherwise(F.raise_error(message).cast(dtype))
+    return F.when(value.isNull() | (tried.isNotNull() & whole), tried).otherwise(F.raise_error(message).cast(dtype))
 
 
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists",
@@ -135,6 +142,19 @@ def profile(stages: dict[str, DataFrame]) -> DataFrame:
     return union_all(parts)
 
 
+def sample_rows(df: DataFrame, n: int, key: list[str], seed: int = 42) -> DataFrame:
+    """A seeded sample of exactly ``n`` rows (all, if fewer): those of the smallest md5 of ``seed|key...``.
+
+    Whatever the partitioning, the same rows are taken, and samples of parts
+    merge into the sample of the whole: a task keeps its ``n`` smallest rows and
+    only these meet. ``key`` names columns that make a row unique; a null counts
+    as the empty text.
+    """
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key]
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
+    return df.orderBy(h, *[F.col(c).asc_nulls_first() for c in key]).limit(n)
+
+
 def head_rows(df: DataFrame, order: list, n: int) -> DataFrame:
     """Deterministic head: the first ``n`` rows of a total order."""
     return df.orderBy(*order).limit(n)

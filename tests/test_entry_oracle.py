@@ -18,7 +18,7 @@ def test_every_key_has_oracle_or_is_als():
     import __spark_entry__ as entry
     missing = set(QUERIES) - set(entry.oracle_sql())
     assert missing == {"als_factors", "als_recs_subset", "als_recs_all", "als_map", "als_map_test", "als_sweep", "als_grid",
-                       "als_indexed_recs", "model_report"}
+                       "als_indexed_recs", "model_report", "als_map_100", "als_map_100_test", "als_topk_work", "auc_als", "auc_als_test", "model_interval"}
 
 
 def test_all_keys_match_duckdb(spark):
