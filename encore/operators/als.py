@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from itertools import product
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -157,21 +159,35 @@ def release_als(model: ALSModel) -> None:
 
 
 def sweep_als(train: DataFrame, labels: DataFrame, grid: list[dict], k: int = 100,
-              base: dict | None = None) -> DataFrame:
+              base: dict | None = None, at_once: int = 1) -> DataFrame:
     """(rank, reg, alpha, max_iter, users, map): one distributed fit per setting.
 
     ``grid`` lists the settings (e.g. one parameter varied at a time); each
     fit reads the same ``train`` (write it first) and is scored with MAP@k on
     ``labels`` for the labelled users. A model is scored to one row and freed
-    before the next one is fitted.
+    before its thread fits the next one. ``at_once`` fits run side by side, each
+    in a scheduler pool of its own (fair where ``spark.scheduler.mode`` is FAIR):
+    an iteration has as many tasks as blocks, so one fit leaves cores idle.
     """
-    rows = []
-    for setting in grid:
+    sc = train.sparkSession.sparkContext
+
+    def fitted(n: int, setting: dict) -> tuple:
+        sc.setLocalProperty("spark.scheduler.pool", f"sweep-{n % at_once}")
         cfg = dict(base or {}, **setting)
         model = fit_als(train, **cfg)
-        recs, users = score_als(model, labels, k)
-        m = map_at_k(labels, recs, k, users).first()
-        rows.append((int(cfg.get("rank", 200)), float(cfg.get("reg", 0.5)), float(cfg.get("alpha", 1.0)),
-                     int(cfg.get("max_iter", 15)), int(m["users"]), float(m["map"])))
-        release_als(model)
+        try:
+            recs, users = score_als(model, labels, k)
+            m = map_at_k(labels, recs, k, users).first()
+        finally:
+            release_als(model)
+            sc.setLocalProperty("spark.scheduler.pool", None)
+        return (int(cfg.get("rank", 200)), float(cfg.get("reg", 0.5)), float(cfg.get("alpha", 1.0)),
+                int(cfg.get("max_iter", 15)), int(m["users"]), float(m["map"]))
+
+    if at_once == 1:
+        rows = [fitted(n, setting) for n, setting in enumerate(grid)]
+    else:
+        with ThreadPoolExecutor(at_once) as threads:
+            run = inheritable_thread_target(train.sparkSession)(fitted)
+            rows = list(threads.map(run, range(len(grid)), grid))  # in the grid's order; the first error is raised
     return train.sparkSession.createDataFrame(rows, "rank int, reg double, alpha double, max_iter int, users long, map double")

@@ -48,3 +48,35 @@ def to_coo(ix: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
     return (ix.join(users, U).join(items, I)
               .select("u_idx", "i_idx", F.lit(1.0).alias("value"),
                       F.col(N).cast("double").alias("weight")))
+
+
+#: Entries of a CSR block: 16 bytes each.
+BLOCK_ENTRIES = 1 << 16
+
+
+def to_csr(coo: DataFrame, entries: int = BLOCK_ENTRIES, value: str = "weight", partitions: int | None = None) -> DataFrame:
+    """(block, rows, indptr, indices, data): the sparse matrix in blocks of ``entries`` entries, the last one shorter.
+
+    Entries are numbered by (u_idx, i_idx) over the whole matrix and cut into
+    blocks of equal size, so a user with many items spans blocks and no block is
+    larger than the others. ``rows`` lists the block's users; the j-th has
+    ``indices`` and ``data`` from ``indptr[j]`` to ``indptr[j + 1]``.
+    """
+    numbered = global_row_number(coo.select("u_idx", "i_idx", F.col(value).alias("v")), [F.col("u_idx").asc(), F.col("i_idx").asc()], "_rn", partitions)
+    at = F.col("_rn") - 1
+    placed = numbered.select("u_idx", "i_idx", "v", F.floor(at / entries).alias("block"), F.pmod(at, F.lit(entries)).cast("int").alias("at"))
+    held = F.sort_array(F.collect_list(F.struct("at", "u_idx", "i_idx", "v")))  # a block's entries, in order
+    blocks = placed.groupBy("block").agg(held.alias("e"))
+    starts = F.filter(F.transform("e", lambda x, i: F.when((i == 0) | (x["u_idx"] != F.get("e", i - 1)["u_idx"]), i)), lambda i: i.isNotNull())
+    starts = blocks.select("block", "e", starts.alias("starts"))
+    return starts.select("block", F.transform("starts", lambda i: F.get("e", i)["u_idx"]).alias("rows"),
+                         F.concat("starts", F.array(F.size("e"))).alias("indptr"), F.transform("e", lambda x: x["i_idx"]).alias("indices"),
+                         F.transform("e", lambda x: x["v"]).alias("data"))
+
+
+def from_csr(blocks: DataFrame, value: str = "weight") -> DataFrame:
+    """(u_idx, i_idx, value): the entries of CSR blocks."""
+    rows = blocks.select("indptr", "indices", "data", F.posexplode("rows").alias("j", "u_idx"))
+    begin, n = F.get("indptr", F.col("j")), F.get("indptr", F.col("j") + 1) - F.get("indptr", F.col("j"))
+    own = rows.select("u_idx", F.arrays_zip(F.slice("indices", begin + 1, n).alias("i"), F.slice("data", begin + 1, n).alias("v")).alias("e"))
+    return own.select("u_idx", F.explode("e").alias("e")).select("u_idx", F.col("e")["i"].alias("i_idx"), F.col("e")["v"].alias(value))

@@ -88,12 +88,8 @@ def q_sql_view(spark, d):
 
 
 def q_split_counts(spark, d):
-    s = study(spark, d)
-    return tables.profile({
-        "interactions": s.ix, "popular_pairs": s.popular_ix, "core": s.core, "train": s.train,
-        "val": s.val, "train_warm": s.part("train_warm"), "train_cold": s.part("train_cold"),
-        "val_warm": s.part("val_warm"), "val_cold": s.part("val_cold"), "test": s.test,
-        "test_warm": s.test_warm, "test_cold": s.test_cold})
+    """Rows of every stage, counted while the stages were written."""
+    return study(spark, d).stage_counts()
 
 
 # ------------------------------------------------------------------ projections
@@ -469,6 +465,20 @@ def q_coo_triples(spark, d):
     return index.to_coo(s.train, users, items)
 
 
+def q_csr_roundtrip(spark, d):
+    """The training matrix in written CSR blocks, and back to triples."""
+    blocks = tables.materialize(index.to_csr(q_coo_triples(spark, d), entries=4096), "csr")
+    return index.from_csr(blocks)
+
+
+def q_csr_blocks(spark, d):
+    """Blocks, the entries of the largest, and all entries."""
+    blocks = index.to_csr(q_coo_triples(spark, d), entries=4096)
+    n = F.size("indices")
+    return blocks.agg(F.count(F.lit(1)).alias("blocks"), F.max(n).alias("largest"), F.sum(n).alias("entries"),
+                      F.sum((F.element_at("indptr", -1) != n).cast("int")).alias("faults"))
+
+
 # ------------------------------------------------------------------ ALS (rows-only checks)
 def _als_model(s: Study):
     return s.als_model
@@ -535,17 +545,31 @@ def q_model_interval(spark, d):
 
 
 def q_als_sweep(spark, d):
-    """One parameter at a time, over all four axes of the reference (from this study's small base)."""
-    s = study(spark, d)
-    grid = als.one_at_a_time_grid(als.REFERENCE_AXES)
-    return rounded(als.sweep_als(s.train_warm.select(U, I, N), s.labels("val_warm"), grid, s.p.k, base=s.p.als))
+    """One parameter at a time around the reference's configuration, over all four of its axes."""
+    return _tuned(study(spark, d), als.one_at_a_time_grid(als.REFERENCE_AXES))
 
 
 def q_als_grid(spark, d):
-    """The reference's rank x reg table."""
-    s = study(spark, d)
-    grid = als.product_grid(**als.REFERENCE_PRODUCT)
-    return rounded(als.sweep_als(s.train_warm.select(U, I, N), s.labels("val_warm"), grid, s.p.k, base=dict(s.p.als, max_iter=2)))
+    """The reference's rank x reg table, at its other settings."""
+    return _tuned(study(spark, d), als.product_grid(**als.REFERENCE_PRODUCT))
+
+
+def _tuned(s, grid):
+    """MAP of each setting; a setting that the study has scored before is not fitted again. The block counts are the study's."""
+    base = dict(als.REFERENCE_ALS, **{b: s.p.als[b] for b in ("user_blocks", "item_blocks", "seed")})
+    wanted = [tuple(sorted((base | g).items())) for g in grid]
+    new = [dict(w) for w in dict.fromkeys(wanted) if w not in s.tuned]
+    if new:
+        rows = als.sweep_als(s.train_warm.select(U, I, N), s.labels("val_warm"), new, s.p.k, at_once=2).collect()  # a row a setting
+        s.tuned.update({tuple(sorted(cfg.items())): tuple(r) for cfg, r in zip(new, rows)})
+    return rounded(s.spark.createDataFrame([s.tuned[w] for w in wanted], "rank int, reg double, alpha double, max_iter int, users long, map double"))
+
+
+def _tuned_check(q):
+    """A tuning table's settings and users, and whether each MAP is a share."""
+    def check(spark, d):
+        return q(spark, d).select("rank", "reg", "alpha", "max_iter", "users", F.col("map").between(0.0, 1.0).alias("is_share"))
+    return check
 
 
 def q_model_report(spark, d):
@@ -748,6 +772,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "item_index_unseen": q_item_index_unseen,
     "user_index": q_user_index,
     "coo_triples": q_coo_triples,
+    "csr_roundtrip": q_csr_roundtrip,
+    "csr_blocks": q_csr_blocks,
     # ALS
     "als_factors": q_als_factors,
     "als_recs_subset": q_als_recs_subset,
@@ -771,7 +797,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_report_check": q_model_report_check,
     "model_interval": q_model_interval,
     "als_sweep": q_als_sweep,
+    "als_sweep_check": _tuned_check(q_als_sweep),
     "als_grid": q_als_grid,
+    "als_grid_check": _tuned_check(q_als_grid),
     "als_indexed_recs": q_als_indexed_recs,
     "model_report": q_model_report,
 }

@@ -193,6 +193,11 @@ def _model_report_check() -> str:
     return _with(_metric_ctes("val_warm", "_v"), _metric_ctes("test_warm", "_t")) + "\nUNION ALL ".join(rows)
 
 
+def _tuning(settings: str) -> str:
+    return _with(_metric_ctes("val_warm")) + f"""SELECT rank::INT AS rank, reg::DOUBLE AS reg, alpha::DOUBLE AS alpha, max_iter::INT AS max_iter,
+  (SELECT count(*) FROM nl) AS users, true AS is_share FROM ({settings}) s"""
+
+
 def _listener_bin(col: str) -> str:
     return f"""CASE WHEN {col} < 5 THEN '[0, 5)' WHEN {col} < 10 THEN '[5, 10)'
   WHEN {col} < 20 THEN '[10, 20)' WHEN {col} < 30 THEN '[20, 30)' WHEN {col} < 40 THEN '[30, 40)'
@@ -460,6 +465,16 @@ truth AS (SELECT DISTINCT user_id, item_id FROM val_warm WHERE interactions > 0
 sampled AS (SELECT user_id FROM (SELECT DISTINCT user_id FROM truth) ORDER BY md5('42|' || user_id::VARCHAR), user_id LIMIT 50)""", """
 sizes AS (SELECT user_id, count(*) AS m FROM truth WHERE user_id IN (SELECT user_id FROM sampled) AND item_id IN (SELECT item_id FROM known) GROUP BY user_id)""")
     + "SELECT count(*) AS users, 0::BIGINT AS differing FROM sizes WHERE m < (SELECT count(DISTINCT item_id) FROM known)",
+    "als_sweep_check": _tuning("""
+  SELECT unnest([10, 50, 100, 150, 200]) AS rank, 0.5 AS reg, 1.0 AS alpha, 15 AS max_iter
+  UNION ALL SELECT 200, unnest([0.1, 0.5, 0.8, 1.0]), 1.0, 15
+  UNION ALL SELECT 200, 0.5, unnest([0.1, 0.5, 1.0, 10.0]), 15
+  UNION ALL SELECT 200, 0.5, 1.0, unnest([10, 12, 15, 20])"""),
+    "als_grid_check": _tuning("SELECT rank, reg, 1.0 AS alpha, 15 AS max_iter FROM (SELECT unnest([100, 150, 200]) AS rank) a, (SELECT unnest([0.1, 0.5, 0.8, 1.0]) AS reg) b"),
+    "csr_roundtrip": _with() + """SELECT u.u_idx, i.i_idx, CAST(t.interactions AS DOUBLE) AS weight
+FROM train_rows t JOIN user_dict u ON t.user_id = u.user_id JOIN item_ids i ON t.item_id = i.item_id""",
+    "csr_blocks": _with() + """SELECT CAST(ceil(count(*) / 4096.0) AS BIGINT) AS blocks, least(count(*), 4096)::INT AS largest, count(*) AS entries,
+  0::BIGINT AS faults FROM train_rows""",
     "model_report_check": _model_report_check(),
     "popularity_intervals": _intervals(),
     "popularity_report": _popularity_report(),

@@ -15,12 +15,12 @@ import time
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from encore.operators import als, metrics, popularity, prep, ranking, split
 from encore.plans import binding
-from encore.sources.tables import delete_path, materialize
+from encore.sources.tables import delete_path, materialize, materialize_counted
 
 U, I, N = "user_id", "item_id", "interactions"
 SEGMENTS = ("val_warm", "val_cold", "test_warm", "test_cold")
@@ -51,9 +51,23 @@ class Study:
     def __init__(self, spark: SparkSession, sf_dir: str, params: Params | None = None):
         self.spark, self.sf_dir, self.p = spark, sf_dir, params or Params()
         self.tables: list[str] = []
+        self._counts: dict[str, int] = {}
         self.als_seconds: float | None = None
+        #: Tuning rows by setting: what a sweep and a grid share is fitted once.
+        self.tuned: dict[tuple, tuple] = {}
         self._als_recs: dict[tuple[str, int], DataFrame] = {}
 
+    def _keep_counted(self, df: DataFrame, name: str, counts: dict, partition_by: list[str] | None = None) -> DataFrame:
+        table, found = materialize_counted(df, name, counts, partition_by, written=self.tables)
+        self._counts.update(found)
+        return table
+
+    def stage_counts(self) -> DataFrame:
+        """(stage, rows) of every stage, counted while the stages were written."""
+        for stage in (self.interactions, self.core, self.parts, self.test_parts):
+            assert stage is not None
+        return self.spark.createDataFrame(sorted(self._counts.items()), "stage string, rows long")
+
     def _keep(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
         return materialize(df, name, partition_by, written=self.tables)
 
@@ -67,8 +81,9 @@ class Study:
     @cached_property
     def interactions(self) -> DataFrame:
         """History and test interactions from one join, stored by period."""
-        return self._keep(binding.interactions_by_period(self.spark, self.sf_dir, self.p.test_cut),
-                          "interactions", partition_by=["period"])
+        return self._keep_counted(binding.interactions_by_period(self.spark, self.sf_dir, self.p.test_cut), "interactions",
+                                  {"interactions": F.col("period") == "history", "test": (F.col("period") == "test") & (F.col(N) > 0)},
+                                  partition_by=["period"])
 
     @cached_property
     def ix(self) -> DataFrame:
@@ -104,12 +119,17 @@ class Study:
 
     @cached_property
     def core(self) -> DataFrame:
-        return self._keep(prep.restrict_users(self.popular_ix, self.active), "core")
+        popular = Observation("popular_pairs")
+        kept = prep.restrict_users(self.popular_ix.observe(popular, F.count(F.lit(1)).alias("rows")), self.active)
+        table = self._keep_counted(kept, "core", {"core": F.lit(True)})
+        self._counts["popular_pairs"] = int(popular.get["rows"])
+        return table
 
     # ------------------------------------------------------------ split
     @cached_property
     def labelled(self) -> DataFrame:
-        return self._keep(split.label_split(self.core, self.p.train_fraction, self.p.seed), "labelled")
+        train = F.col("rn") <= F.col("row_counts")
+        return self._keep_counted(split.label_split(self.core, self.p.train_fraction, self.p.seed), "labelled", {"train": train, "val": ~train})
 
     @cached_property
     def train(self) -> DataFrame:
@@ -131,24 +151,39 @@ class Study:
     def warm_users(self) -> DataFrame:
         return self.user_ranks.where(F.col("percent_rank") > F.lit(float(self.p.cold_pct)))
 
+    @cached_property
+    def parts(self) -> DataFrame:
+        """The split's rows with their users' attributes, joined once and stored by side and group."""
+        side = F.when(F.col("rn") <= F.col("row_counts"), "train").otherwise("val")
+        group = F.when(F.col("percent_rank") <= F.lit(float(self.p.cold_pct)), "cold").otherwise("warm")
+        rows = split.split_by_users(self.labelled, self.user_ranks).select(
+            U, I, N, "total_interactions", "percent_rank", side.alias("side"), group.alias("user_group"))
+        counts = {f"{s}_{g}": (F.col("side") == s) & (F.col("user_group") == g) for s in ("train", "val") for g in ("warm", "cold")}
+        return self._keep_counted(rows, "parts", counts, partition_by=["side", "user_group"])
+
     def part(self, which: str) -> DataFrame:
         """train_warm, train_cold, val_warm, val_cold: rows with user attributes."""
         side, group = which.split("_")
-        frame = self.train if side == "train" else self.val
-        users = self.warm_users if group == "warm" else self.cold_users
-        return split.split_by_users(frame, users)
+        return self.parts.where((F.col("side") == side) & (F.col("user_group") == group)).drop("side", "user_group")
 
     @cached_property
     def train_warm(self) -> DataFrame:
-        return self._keep(prep.positive_only(self.part("train_warm")), "train_warm")
+        return prep.positive_only(self.part("train_warm"))
+
+    @cached_property
+    def test_parts(self) -> DataFrame:
+        """The test rows, stored by whether their user has warm training rows."""
+        rows = (split.warm_test(self.test, self.train_warm).withColumn("known", F.lit(1))
+                .unionByName(split.cold_test(self.test, self.train_warm).withColumn("known", F.lit(0))))
+        return self._keep_counted(rows, "test_parts", {"test_warm": F.col("known") == 1, "test_cold": F.col("known") == 0}, partition_by=["known"])
 
     @cached_property
     def test_warm(self) -> DataFrame:
-        return split.warm_test(self.test, self.train_warm)
+        return self.test_parts.where("known = 1").drop("known")
 
     @cached_property
     def test_cold(self) -> DataFrame:
-        return split.cold_test(self.test, self.train_warm)
+        return self.test_parts.where("known = 0").drop("known")
 
     # ------------------------------------------------------------ popularity model
     @cached_property

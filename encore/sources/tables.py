@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -99,6 +99,15 @@ def materialize(df: DataFrame, name: str = "stage", partition_by: list[str] | No
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_counted(df: DataFrame, name: str, counts: dict[str, Column], partition_by: list[str] | None = None,
+                        written: list[str] | None = None) -> tuple[DataFrame, dict[str, int]]:
+    """``materialize``, and how many of the rows fulfil each condition: taken while they are written, so nothing is read again."""
+    observed = Observation(f"{name}-{uuid.uuid4().hex}")
+    seen = df.observe(observed, *[F.count(F.when(condition, 1)).alias(key) for key, condition in counts.items()])
+    table = materialize(seen, name, partition_by, written)
+    return table, {key: int(observed.get[key]) for key in counts}
+
+
 def release_all(spark: SparkSession) -> int:
     """Delete every table that this application wrote to its scratch folder; frames built on them become invalid.
 

@@ -22,6 +22,7 @@ def test_every_key_has_oracle_or_is_als():
 
 
 def test_all_keys_match_duckdb(spark):
-    results = compare(spark, SF, [k for k in QUERIES if k != "als_grid"], verbose=False)
+    # The tuning tables take minutes at the reference's settings; test_sweeps covers the operator.
+    results = compare(spark, SF, [k for k in QUERIES if not k.startswith(("als_grid", "als_sweep"))], verbose=False)
     bad = {k: v for k, v in results.items() if v[0] not in ("OK", "ROWS_ONLY")}
     assert not bad, bad

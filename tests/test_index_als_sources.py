@@ -23,6 +23,32 @@ def test_fit_ids_and_coo(spark):
     assert coo == [(0, 0, 1.0, 1.0), (1, 0, 1.0, 2.0), (1, 1, 1.0, 4.0)]
 
 
+def test_csr_blocks_hold_the_triples(spark):
+    rows = sorted((u, i, float(u + i)) for u, i in {(u * u % 13, (7 * u + 3 * i) % 50) for u in range(20) for i in range(20)})
+    rows += [(99, i, 0.5) for i in range(100)]  # a user that spans blocks
+    coo = spark.createDataFrame(rows, "u_idx long, i_idx long, weight double")
+    for entries in (1, 7, 64, 10_000):
+        blocks = index.to_csr(coo.repartition(3), entries, partitions=3).orderBy("block").collect()
+        assert [len(b["indices"]) for b in blocks[:-1]] == [entries] * (len(blocks) - 1) and len(blocks) == -(-len(rows) // entries)
+        out = []
+        for b in blocks:
+            assert b["indptr"][0] == 0 and b["indptr"][-1] == len(b["indices"]) == len(b["data"]) and len(b["indptr"]) == len(b["rows"]) + 1
+            for j, u in enumerate(b["rows"]):
+                out += [(u, b["indices"][n], b["data"][n]) for n in range(b["indptr"][j], b["indptr"][j + 1])]
+        assert out == sorted(rows)
+        back = index.from_csr(index.to_csr(coo, entries))
+        assert sorted(tuple(r) for r in back.collect()) == sorted(rows)
+    assert index.to_csr(coo.limit(0)).count() == 0
+
+
+def test_counts_taken_while_a_stage_is_written(spark):
+    df = spark.range(100).select("id", (F.col("id") % 3).alias("x"))
+    table, counts = tables.materialize_counted(df, "counted", {"rows": F.lit(True), "zeros": F.col("x") == 0, "none": F.lit(None).cast("boolean")}, partition_by=["x"])
+    assert counts == {"rows": 100, "zeros": 34, "none": 0} and table.where("x = 0").count() == 34
+    empty, counts = tables.materialize_counted(df.limit(0), "counted", {"rows": F.lit(True)})
+    assert counts == {"rows": 0} and empty.count() == 0
+
+
 def _als_data(spark):
     rows = [(u, i, 1 + (u * i) % 3) for u in range(1, 30) for i in range(1, 25) if (u + i) % 3 != 0]
     return spark.createDataFrame(rows, "user_id long, item_id long, interactions long")

@@ -20,7 +20,7 @@ def _ix(spark):
 def test_no_cartesian_or_nested_loop_join(spark):
     """MLlib's product of factor blocks is only made to be compared with, and written."""
     for key, q in QUERIES.items():
-        if key in ("als_sweep", "als_grid"):
+        if key.startswith(("als_sweep", "als_grid")):
             continue
         plan = _plan(q(spark, SF))
         assert "CartesianProduct" not in plan, key

@@ -26,6 +26,16 @@ def test_beta_sweep_equals_one_list_at_a_time(spark):
         assert sweep[b][1] == pytest.approx(row["map"], abs=1e-12)
 
 
+def test_sweep_side_by_side_equals_one_by_one(spark):
+    train, labels = _data(spark)
+    grid = [dict(rank=2), dict(rank=3, reg=0.1), dict(alpha=2.0), dict(max_iter=1)]
+    base = dict(rank=2, max_iter=2, user_blocks=2, item_blocks=2)
+    one = als.sweep_als(train, labels, grid, 5, base=base).collect()
+    assert als.sweep_als(train, labels, grid, 5, base=base, at_once=3).collect() == one
+    with pytest.raises(Exception):
+        als.sweep_als(train, labels, [dict(rank=2), dict(rank=-1)], 5, base=base, at_once=2)
+
+
 def test_als_sweep_one_row_per_setting(spark):
     train, labels = _data(spark)
     grid = [dict(rank=2), dict(rank=3, reg=0.1)]
