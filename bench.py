@@ -53,6 +53,11 @@ def main() -> None:
     step("recs_unseen", lambda: QUERIES["recs_unseen"](spark, sf_dir).count())
     step("als_fit", lambda: s.als_model.rank)
     step("als_map", lambda: QUERIES["als_map"](spark, sf_dir).collect()[0]["map"])
+    step("als_topk_product", lambda: als.recommend_als(s.als_model, s.p.k).count())
+    step("als_topk_exact", lambda: als.recommend_exact(s.als_model, s.p.k).count())
+    step("auc_als", lambda: QUERIES["auc_als"](spark, sf_dir).collect()[0]["auc"])
+    step("popularity_intervals", lambda: QUERIES["popularity_intervals"](spark, sf_dir).count())
+    step("csr_roundtrip", lambda: QUERIES["csr_roundtrip"](spark, sf_dir).count())
     step("als_indexed_recs", lambda: QUERIES["als_indexed_recs"](spark, sf_dir).count())
     small = [dict(rank=r) for r in als.REFERENCE_AXES["rank"][:2]]
     step("als_sweep_two_settings", lambda: als.sweep_als(s.train_warm.select("user_id", "item_id", "interactions"),
