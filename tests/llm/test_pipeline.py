@@ -14,7 +14,7 @@ from tests.oracle_compare import compare
 
 
 def test_one_query_for_each_operator():
-    assert [int(k[2:].split("_")[0]) for k in QUERIES] == list(range(1, 11)) and set(ORACLE_SQL) <= set(QUERIES)
+    assert [int(k[2:].split("_")[0]) for k in QUERIES] == list(range(1, 14)) and set(ORACLE_SQL) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("key", sorted(ORACLE_SQL))
