@@ -5,33 +5,54 @@ from __future__ import annotations
 from encore.llm.mixing import PART_RATE, TABLE
 
 OP1 = r"""
-WITH cut AS (
-  SELECT doc_id, text, string_split(regexp_replace(text, '([.!?]+[ \t\n\r\f\v]+|\n+)', '\1' || chr(1), 'g'), chr(1)) AS u
-  FROM documents WHERE length(text) > 0),
-listed AS (SELECT doc_id, text, unnest(u) AS unit, generate_subscripts(u, 1) AS k FROM cut),
-placed AS (
-  SELECT doc_id, text, k, unit,
-         trim(regexp_replace(lower(unit), '[ \t\n\r\f\v]+', ' ', 'g')) AS norm,
-         coalesce(sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a,
-         sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY k) AS b
-  FROM listed WHERE unit <> ''),
-firsts AS (SELECT norm, min((doc_id, k)) AS first FROM placed WHERE norm <> '' GROUP BY norm),
-marked AS (
-  SELECT p.*, p.norm = '' AS blank, p.norm <> '' AND (p.doc_id, p.k) > f.first AS again,
-         CASE WHEN p.norm = '' THEN 0 ELSE len(string_split(p.norm, ' ')) END AS words
-  FROM placed p LEFT JOIN firsts f ON p.norm = f.norm),
+WITH toks AS (
+  SELECT doc_id, unnest(t) AS tok, generate_subscripts(t, 1) AS p FROM (
+    SELECT doc_id, regexp_extract_all(text, '[ \t\n\r\f\v]*[^ \t\n\r\f\v]+[ \t\n\r\f\v]*') AS t FROM documents WHERE length(text) > 0)),
+words AS (
+  SELECT *, lower(regexp_replace(tok, '[ \t\n\r\f\v]+', '', 'g')) AS w, regexp_matches(tok, '([.!?][ \t\n\r\f\v]+|\n[ \t\n\r\f\v]*)$') AS ends FROM toks),
+sentences AS (
+  SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM words),
+numbered AS (
+  SELECT *, count(*) OVER (PARTITION BY doc_id, k) AS m, row_number() OVER (PARTITION BY doc_id, k ORDER BY p) AS q FROM sentences),
+picked AS (
+  SELECT doc_id, m, q, min(substr(md5(w), 1, 16) || lpad((999999999 - p)::VARCHAR, 9, '0'))
+           OVER (PARTITION BY doc_id, k ORDER BY p ROWS BETWEEN CURRENT ROW AND 11 FOLLOWING) AS least
+  FROM numbered WHERE m > 12),
+anchors AS (SELECT DISTINCT doc_id, 999999999 - right(least, 9)::BIGINT AS p FROM picked WHERE q <= m - 11),
+cut AS (
+  SELECT n.doc_id, n.p, tok, w,
+         coalesce(sum((ends OR a.p IS NOT NULL)::INT) OVER (PARTITION BY n.doc_id ORDER BY n.p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS u
+  FROM numbered n LEFT JOIN anchors a ON n.doc_id = a.doc_id AND n.p = a.p),
+listed AS (
+  SELECT doc_id, u, string_agg(w, ' ' ORDER BY p) AS norm, string_agg(tok, '' ORDER BY p) AS raw, count(*) AS n FROM cut GROUP BY doc_id, u),
+units AS (
+  SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY u) AS after, sum(length(raw)) OVER (PARTITION BY doc_id ORDER BY u) AS b FROM listed),
+wholes AS (SELECT doc_id, list(norm ORDER BY u) AS norms, sum(n) AS n, max(u) AS last FROM units GROUP BY doc_id),
+near AS (
+  SELECT x.doc_id, x.u AS i, y.u AS j
+  FROM (SELECT *, unnest(range(25)) AS d FROM units) x JOIN units y ON x.doc_id = y.doc_id AND y.u = x.u + x.d
+  WHERE y.after - (x.after - x.n) >= 25),
+stretches AS (
+  SELECT doc_id, i, min(j) AS j FROM near GROUP BY doc_id, i
+  UNION SELECT doc_id, max(i) AS i, j FROM near GROUP BY doc_id, j
+  UNION SELECT doc_id, 0, last FROM wholes WHERE n < 25),
+texts AS (
+  SELECT s.doc_id, i, j, array_to_string(norms[i::BIGINT + 1:j::BIGINT + 1], ' ') AS content FROM stretches s JOIN wholes USING (doc_id)),
+firsts AS (SELECT content, min((doc_id, i)) AS first FROM texts GROUP BY content),
+again AS (SELECT doc_id, i, j FROM texts JOIN firsts USING (content) WHERE (doc_id, i) > first),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i::BIGINT, j::BIGINT + 1)) AS u FROM again),
 runs AS (
-  SELECT *, sum(CASE WHEN blank OR again THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY k) AS run FROM marked),
-spans AS (
-  SELECT doc_id, run, min(a) AS a, max(b) AS b FROM runs WHERE again GROUP BY doc_id, run HAVING sum(words) >= 25),
-pieces AS (
-  SELECT p.doc_id, string_agg(p.unit, '' ORDER BY p.k) AS text
-  FROM placed p LEFT JOIN spans s ON p.doc_id = s.doc_id AND p.a >= s.a AND p.b <= s.b WHERE s.doc_id IS NULL GROUP BY p.doc_id),
+  SELECT g.doc_id, b - length(raw) AS a, b, g.u - row_number() OVER (PARTITION BY g.doc_id ORDER BY g.u) AS run
+  FROM gone g JOIN units t ON g.doc_id = t.doc_id AND g.u = t.u),
+spans AS (SELECT doc_id, min(a) AS a, max(b) AS b FROM runs GROUP BY doc_id, run),
 totals AS (
-  SELECT doc_id, sum(b - a) AS n, string_agg(a::BIGINT || '-' || b::BIGINT, ',' ORDER BY a) AS removed FROM spans GROUP BY doc_id)
+  SELECT doc_id, sum(b - a) AS n, string_agg(a::BIGINT || '-' || b::BIGINT, ',' ORDER BY a) AS removed FROM spans GROUP BY doc_id),
+pieces AS (
+  SELECT t.doc_id, string_agg(raw, '' ORDER BY t.u) AS text
+  FROM units t LEFT JOIN gone g ON t.doc_id = g.doc_id AND t.u = g.u WHERE g.u IS NULL GROUP BY t.doc_id)
 SELECT d.doc_id, coalesce(length(d.text), 0)::BIGINT AS n_chars, coalesce(t.n, 0)::BIGINT AS n_removed, coalesce(t.removed, '') AS removed,
-       CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(p.text, '') END AS text
-FROM documents d LEFT JOIN totals t USING (doc_id) LEFT JOIN pieces p USING (doc_id)
+       CASE WHEN t.doc_id IS NULL THEN d.text ELSE coalesce(p.text, '') END AS text
+FROM documents d LEFT JOIN totals t ON d.doc_id = t.doc_id LEFT JOIN pieces p ON d.doc_id = p.doc_id
 """
 
 OP2 = f"""

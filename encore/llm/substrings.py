@@ -1,30 +1,47 @@
 """Removal of text that repeats across (or within) documents.
 
 Units are lines, cut further at the ends of sentences, because shared passages
-often sit inside a line. A unit is normalised (lower case, white space runs as
-one space, ends stripped) and hashed to 128 bits. Digests are grouped globally,
-and of equal units the earliest in the order (id, hash of the text, position)
-stays. A repeated unit is removed if the run of repeated units around it, in
-its document, has at least ``min_words`` words; so chance repeats of a short
-sentence leave a document alone. Removed ranges are returned with the offsets
-of the original text, in code points.
+often sit inside a line; a sentence of more than ``span`` words (half of
+``min_words``) is cut again after its anchors: of every ``span`` consecutive words
+the one with the smallest hash, the last of equal ones. So a cut depends on the
+words near it alone, and a passage is cut alike wherever it stands but for at
+most ``span`` words at each end.
+
+What is compared are stretches of whole units: the shortest of at least
+``min_words`` words from each unit on, and up to each unit; a text of fewer words
+is one stretch. A stretch is normalised (lower case, white space runs as one
+space, ends stripped) and hashed to 128 bits. Digests are grouped globally, and
+of equal stretches the earliest in the order (id, hash of the text, position)
+stays. The others are removed, so what goes is covered by stretches that
+occur word for word before: short sentences that repeat by chance leave a
+document alone at any size of the corpus, every removed unit has an equal one
+that stays, and no run of ``min_words + 2 * span`` or more words stays twice.
+Removed ranges are returned with the offsets of the original text, in code
+points.
 
 Per digest only one row (its earliest occurrence) is formed, by partial
 aggregation before the shuffle; the occurrences are joined with that row, and
 AQE splits the occurrences of a hot digest. No digest's occurrences are
 gathered.
 
-Defined cases: null and empty texts have no units and stay as they are; a null
-id ranks before others; rows with equal id and text are one document and get
-the same result; white-space-only units are never repeated units; an empty
-table stays empty; other columns are kept as they are, whatever their names.
+Defined cases: null and empty texts have no units and stay as they are, and so do
+white-space-only ones; white space belongs to the unit before it, at the start of
+a text to the first; a null id ranks before others; rows with equal id and text
+are one document and get the same result; a text of fewer words than
+``min_words`` goes as a copy of a whole text only; an empty table stays empty;
+other columns are kept as they are, whatever their names.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
+from hashlib import md5
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -34,89 +51,140 @@ from encore.llm.common import free_name
 from encore.sources.tables import materialize
 
 
-_END = re.compile(r"[.!?]+[ \t\n\r\f\v]+|\n+")
-SPANS = "array<struct<start:long,end:long>>"
+_END = re.compile(r"(?<=[.!?])[ \t\n\r\f\v]+|\n[ \t\n\r\f\v]*")
+_WORD = re.compile(r"[^ \t\n\r\f\v]+[ \t\n\r\f\v]*")
+SPANS = "array<struct<start:int,end:int>>"
 
 
-def units(text: str) -> list[tuple[int, int]]:
-    """Offsets (start, end) of the units; together they cover the text."""
+@lru_cache(1 << 18)
+def _rank(word: bytes) -> int:
+    return int.from_bytes(md5(word).digest()[:8], "big")
+
+
+def anchors(words: list[bytes], span: int) -> list[int]:
+    """Places of the smallest hashes of every ``span`` consecutive words, the last of equal ones."""
+    ranks = [_rank(w) for w in words]
+    out, at = [], -1
+    for last in range(span - 1, len(words)):
+        if at <= last - span:
+            at = min(range(last - span + 1, last + 1), key=lambda i: (ranks[i], -i))
+        elif ranks[last] <= ranks[at]:
+            at = last
+        if not out or out[-1] != at:
+            out.append(at)
+    return out
+
+
+def units(text: str, span: int) -> list[tuple[int, int, list[bytes]]]:
+    """(start, end, normalised words) of the units; together they cover a text that has words."""
     ends = [m.end() for m in _END.finditer(text)]
     if not ends or ends[-1] < len(text):
         ends.append(len(text))
-    return list(zip([0, *ends], ends))
-
-
-def _unit_rows(batches):
-    for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            part = batch.slice(at, 512)
-            rows, index, high, low = [], [], [], []
-            for row, text in enumerate(part.column("text").to_pylist()):
-                for i, (a, b) in enumerate(units(text)):
-                    words = text[a:b].lower().split()
-                    if words:
-                        d = xxhash.xxh3_128_digest(" ".join(words).encode("utf-8", "surrogatepass"))
+    out, begin = [], 0
+    for end in ends:
+        words = text[begin:end].lower().encode("utf-8", "surrogatepass").split()
+        if not words:  # white space at the start belongs to the first unit
+            continue
+        if len(words) > span:
+            stops, done = [m.end() for m in _WORD.finditer(text, begin, end)], 0
+            for cut in anchors(words, span):
+                if cut + 1 < len(words):
+                    out.append((begin, stops[cut], words[done:cut + 1]))
+                    begin, done = stops[cut], cut + 1
+            words = words[done:]
+        out.append((begin, end, words))
+        begin = end
+    return out
+
+
+def stretches(sizes: list[int], min_words: int) -> list[tuple[int, int]]:
+    """Ranges of units [i, j): the shortest of at least ``min_words`` words from and up to each; all units if they have fewer."""
+    before = [0, *accumulate(sizes)]
+    n = len(sizes)
+    if before[-1] < min_words:
+        return [(0, n)] if n else []
+    found = set()
+    for i in range(n):
+        j = bisect_left(before, before[i] + min_words)
+        if j <= n:
+            found.add((i, j))
+        i0 = bisect_right(before, before[i + 1] - min_words) - 1
+        if i0 >= 0:
+            found.add((i0, i + 1))
+    return sorted(found)
+
+
+def _stretch_rows(min_words: int):
+    span = max(1, min_words // 2)
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                rows, start, end, digests = [], [], [], []
+                for row, text in enumerate(part.column("text").to_pylist()):
+                    cut = units(text, span)
+                    joined = [b" ".join(words) for _, _, words in cut]
+                    for i, j in stretches([len(words) for _, _, words in cut], min_words):
                         rows.append(row)
-                        index.append(i)
-                        high.append(int.from_bytes(d[:8], "big", signed=True))
-                        low.append(int.from_bytes(d[8:], "big", signed=True))
-            take = pa.array(rows, pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [part.column("id").take(take), part.column("version").take(take), pa.array(index, pa.int32()),
-                 pa.array(high, pa.int64()), pa.array(low, pa.int64())], names=["id", "version", "unit", "high", "low"])
+                        start.append(cut[i][0])
+                        end.append(cut[j - 1][1])
+                        digests.append(xxhash.xxh3_128_digest(b" ".join(joined[i:j])))
+                take = pa.array(rows, pa.int32())
+                halves = np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id").take(take), part.column("version").take(take), pa.array(start, pa.int32()),
+                     pa.array(end, pa.int32()), pa.array(halves[:, 0]), pa.array(halves[:, 1])],
+                    names=["id", "version", "start", "end", "high", "low"])
+
+    return run
 
 
-def repeated_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row a document that has units which repeat earlier ones: id, version (hash of the text), units."""
+def repeated_stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 25) -> DataFrame:
+    """One row a document that has stretches which repeat earlier ones: id, version (hash of the text), stretches."""
     base = docs.where(F.length(text_col) > 0).select(
         F.col(id_col).alias("id"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text"))
     id_type = dict(base.dtypes)["id"]
-    found = base.mapInArrow(_unit_rows, f"id {id_type}, version long, unit int, high long, low long")
-    place = F.struct("id", "version", "unit")
+    found = base.mapInArrow(_stretch_rows(min_words), f"id {id_type}, version long, start int, end int, high long, low long")
+    place = F.struct("id", "version", "start")
     # Written, so that the join below reads two plain shuffles: then AQE can split the occurrences of a hot digest.
     first = materialize(found.groupBy("high", "low").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
                         .where(F.col("n") > 1).select("high", "low", "first"), "firsts")
     again = found.join(first, ["high", "low"]).where(place > F.col("first"))
-    return again.groupBy("id", "version").agg(F.collect_set("unit").alias("units"))
-
-
-def repeated_ranges(text: str, repeated: set[int], min_words: int) -> list[tuple[int, int]]:
-    """Ranges of the runs of repeated units that have at least ``min_words`` words; blank units may lie between."""
-    out, run, words = [], [], 0
-    for i, (a, b) in enumerate([*units(text), (len(text), len(text))]):
-        blank = not text[a:b].strip()
-        if i in repeated:
-            run.append((a, b))
-            words += len(text[a:b].split())
-        elif not (blank and a < b and run):
-            if run and words >= min_words:
-                out.append((run[0][0], run[-1][1]))
-            run, words = [], 0
-    return out
+    return again.groupBy("id", "version").agg(F.collect_set(F.struct("start", "end")).alias("stretches"))
+
 
+def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The union of the ranges, as ranges that do not touch."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(ranges):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
 
-def _cut(min_words: int):
-    def cut(arrays: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for texts, lists in arrays:
-            kept, spans = [], []
-            for text, repeated in zip(texts.to_pylist(), lists.to_pylist()):
-                gone = repeated_ranges(text, set(repeated), min_words) if text and repeated else []
-                spans.append([{"start": a, "end": b} for a, b in gone])
-                for a, b in reversed(gone):
-                    text = text[:a] + text[b:]
-                kept.append(text)
-            span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.StructArray.from_arrays([pa.array(kept, pa.string()), pa.array(spans, span)], names=["text", "spans"])
 
-    return F.arrow_udf(cut, f"text string, spans {SPANS}").asNondeterministic()
+def _cut(arrays: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for texts, lists in arrays:
+        kept, spans = [], []
+        for text, found in zip(texts.to_pylist(), lists.to_pylist()):
+            gone = merged([(s["start"], s["end"]) for s in found]) if text and found else []
+            spans.append([{"start": a, "end": b} for a, b in gone])
+            for a, b in reversed(gone):
+                text = text[:a] + text[b:]
+            kept.append(text)
+        span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+        yield pa.StructArray.from_arrays([pa.array(kept, pa.string()), pa.array(spans, span)], names=["text", "spans"])
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 25) -> tuple[DataFrame, str]:
     """``docs`` and a struct column (its name is returned): text, what stays; spans, the removed ranges of the original."""
-    listed = repeated_units(docs, id_col, text_col)
+    listed = repeated_stretches(docs, id_col, text_col, min_words)
     name = free_name(docs, "repeats")
+    cut = F.arrow_udf(_cut, f"text string, spans {SPANS}").asNondeterministic()
     joined = docs.join(listed, F.col(id_col).eqNullSafe(listed["id"]) & (F.xxhash64(text_col) == listed["version"]), "left")
-    return joined.select(*[docs[c] for c in docs.columns], _cut(min_words)(docs[text_col], listed["units"]).alias(name)), name
+    return joined.select(*[docs[c] for c in docs.columns], cut(docs[text_col], listed["stretches"]).alias(name)), name
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 25,

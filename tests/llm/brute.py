@@ -49,38 +49,45 @@ def near_duplicates(rows):
     return {i: (len(sets[i]), label[i]) for i in ids}
 
 
-def units(text):
-    out, last = [], 0
-    for m in re.finditer(r"[.!?]+[ \t\n\r\f\v]+|\n+", text):
-        out.append((last, m.end()))
-        last = m.end()
-    if last < len(text):
-        out.append((last, len(text)))
+def units(text, span=12):
+    """[(start, end, words)]: from the token list, sentence by sentence."""
+    tokens = [m for m in re.finditer(r"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+[ \t\n\r\f\v]*", text)]
+    words = [m.group().strip(" \t\n\r\f\v").lower() for m in tokens]
+    hashes = [hashlib.md5(w.encode()).hexdigest()[:16] for w in words]
+    ends = [k for k, m in enumerate(tokens) if re.search(r"([.!?][ \t\n\r\f\v]+|\n[ \t\n\r\f\v]*)\Z", m.group())]
+    cuts, begin = set(ends), 0
+    for stop in [*(e + 1 for e in ends), len(tokens)]:
+        if stop - begin > span:
+            for i in range(begin, stop - span + 1):
+                least = min(hashes[i:i + span])
+                cuts.add(max(k for k in range(i, i + span) if hashes[k] == least))
+        begin = stop
+    out, begin = [], 0
+    for stop in sorted({c + 1 for c in cuts} | {len(tokens)} - {0}):
+        out.append((tokens[begin].start(), tokens[stop - 1].end(), words[begin:stop]))
+        begin = stop
     return out
 
 
 def without_repeats(rows, min_words=25):
     """[(id, text, spans)] for rows (id, text), in their order."""
-    first = {}
-    norm = lambda u: " ".join(u.lower().split())
+    first, found = {}, {}
     for i, t in sorted((r for r in rows if r[1]), key=lambda r: r[0]):
-        for k, (a, b) in enumerate(units(t)):
-            first.setdefault(norm(t[a:b]), (i, k))
+        u = units(t, min_words // 2)
+        size = lambda a, b: sum(len(x[2]) for x in u[a:b])
+        parts = {(a, b) for a in range(len(u)) for b in range(a + 1, min(len(u), a + min_words) + 1) if size(a, b) >= min_words
+                 and (size(a, b - 1) < min_words or size(a + 1, b) < min_words)}
+        # From a unit on the first, up to a unit the last: one of the two ends can't be left out.
+        for a, b in sorted(parts or ({(0, len(u))} if u else ())):
+            content = tuple(w for x in u[a:b] for w in x[2])
+            first.setdefault(content, (i, a))
+            if first[content] != (i, a):
+                found.setdefault(i, []).append((u[a][0], u[b - 1][1]))
     out = []
     for i, t in rows:
-        spans, run = [], []
-        for k, (a, b) in enumerate([*units(t or ""), (len(t or ""), len(t or ""))]):
-            u = norm((t or "")[a:b])
-            if u and first[u] != (i, k):
-                run.append((a, b, len(u.split())))
-            elif not (a < b and not u and run):
-                if sum(x[2] for x in run) >= min_words and run:
-                    spans.append((run[0][0], run[-1][1]))
-                run = []
-        kept = t
-        for a, b in reversed(spans):
-            kept = kept[:a] + kept[b:]
-        out.append((i, kept, spans))
+        gone = {p for a, b in found.get(i, []) for p in range(a, b)}
+        spans = [(p, min(q for q in range(p, len(t) + 1) if q not in gone)) for p in sorted(gone) if p - 1 not in gone]
+        out.append((i, "".join(c for p, c in enumerate(t) if p not in gone) if t else t, spans))
     return out
 
 

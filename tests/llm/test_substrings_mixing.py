@@ -1,6 +1,7 @@
 """Substring dedup and source mixing against plain Python, and their defined cases."""
 
 import math
+import random
 from collections import Counter
 
 from encore.llm import mixing, substrings
@@ -24,6 +25,29 @@ def test_passage_inside_a_line_goes_and_clean_text_stays(spark):
     assert out == {1: rows[1][1], 2: rows[2][1], 3: "Own start here. Own end three."}
 
 
+def test_no_long_run_and_no_copy_stays(spark):
+    rng = random.Random(4)
+    word = lambda: rng.choice("abcdefgh") + str(rng.randint(0, 60)) + rng.choice(["", "", "", "", "", "", ".", ","])
+    shared = [[word() for _ in range(rng.randint(50, 90))] for _ in range(12)]
+    rows = []
+    for i in range(160):
+        own = [word() for _ in range(rng.randint(0, 60))]
+        k = rng.randint(0, len(own))
+        rows.append((i, rng.choice([" ", "  "]).join(own[:k] + (rng.choice(shared) if i % 3 else []) + own[k:])))
+    rows += [(200, "A short note. "), (201, "a short  note."), (202, "A short note. And more.")]
+    out = substrings.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    seen, left = set(), {r.doc_id: r.text for r in out}
+    for i in sorted(left):
+        w = left[i].lower().split()
+        runs = {tuple(w[k:k + 50]) for k in range(len(w) - 49)}
+        assert not runs & seen
+        seen |= runs
+    assert 200 in left and 201 not in left and left[202] == rows[-1][1]
+    assert all(left.get(i, t) == t for i, t in rows if not i % 3)  # nothing of a document without a shared passage goes
+    assert substrings.units(" \n ", 12) == []
+    assert [(a, b) for a, b, _ in substrings.units(" \n a. b \n\n c", 12)] == [(0, 6), (6, 11), (11, 12)]
+
+
 def test_defined_cases_of_repeats(odd, nothing):
     out = substrings.without_repeats(odd, min_words=3, length_col="n_chars")
     assert out.columns == odd.columns
