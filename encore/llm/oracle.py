@@ -20,21 +20,22 @@ picked AS (
   FROM numbered WHERE m > 12),
 anchors AS (SELECT DISTINCT doc_id, 999999999 - right(least, 9)::BIGINT AS p FROM picked WHERE q <= m - 11),
 cut AS (
-  SELECT n.doc_id, n.p, tok, w,
+  SELECT n.doc_id, n.p, tok, w, ends,
          coalesce(sum((ends OR a.p IS NOT NULL)::INT) OVER (PARTITION BY n.doc_id ORDER BY n.p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS u
   FROM numbered n LEFT JOIN anchors a ON n.doc_id = a.doc_id AND n.p = a.p),
 listed AS (
-  SELECT doc_id, u, string_agg(w, ' ' ORDER BY p) AS norm, string_agg(tok, '' ORDER BY p) AS raw, count(*) AS n FROM cut GROUP BY doc_id, u),
+  SELECT doc_id, u, string_agg(w, ' ' ORDER BY p) AS norm, string_agg(tok, '' ORDER BY p) AS raw, count(*) AS n, bool_or(ends) AS ends
+  FROM cut GROUP BY doc_id, u),
 units AS (
   SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY u) AS after, sum(length(raw)) OVER (PARTITION BY doc_id ORDER BY u) AS b FROM listed),
 wholes AS (SELECT doc_id, list(norm ORDER BY u) AS norms, sum(n) AS n, max(u) AS last FROM units GROUP BY doc_id),
 near AS (
-  SELECT x.doc_id, x.u AS i, y.u AS j
+  SELECT x.doc_id, x.u AS i, y.u AS j, y.ends OR y.u = max(y.u) OVER (PARTITION BY x.doc_id) AS ends
   FROM (SELECT *, unnest(range(25)) AS d FROM units) x JOIN units y ON x.doc_id = y.doc_id AND y.u = x.u + x.d
   WHERE y.after - (x.after - x.n) >= 25),
 stretches AS (
   SELECT doc_id, i, min(j) AS j FROM near GROUP BY doc_id, i
-  UNION SELECT doc_id, max(i) AS i, j FROM near GROUP BY doc_id, j
+  UNION SELECT doc_id, max(i) AS i, j FROM near WHERE ends GROUP BY doc_id, j
   UNION SELECT doc_id, 0, last FROM wholes WHERE n < 25),
 texts AS (
   SELECT s.doc_id, i, j, array_to_string(norms[i::BIGINT + 1:j::BIGINT + 1], ' ') AS content FROM stretches s JOIN wholes USING (doc_id)),

@@ -8,9 +8,9 @@ words near it alone, and a passage is cut alike wherever it stands but for at
 most ``span`` words at each end.
 
 What is compared are stretches of whole units: the shortest of at least
-``min_words`` words from each unit on, and up to each unit; a text of fewer words
-is one stretch. A stretch is normalised (lower case, white space runs as one
-space, ends stripped) and hashed to 128 bits. Digests are grouped globally, and
+``min_words`` words from each unit on, and up to each end of a sentence; a text of
+fewer words is one stretch. A stretch is normalised (lower case, no white space but
+between words) and hashed to 128 bits, two polynomials of its words' digests. Digests are grouped globally, and
 of equal stretches the earliest in the order (id, hash of the text, position)
 stays. The others are removed, so what goes is covered by stretches that
 occur word for word before: short sentences that repeat by chance leave a
@@ -34,107 +34,124 @@ other columns are kept as they are, whatever their names.
 
 from __future__ import annotations
 
-import re
-from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import md5
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from encore.llm.common import free_name
+from encore.llm.common import as_texts, free_name, pieces
 from encore.sources.tables import materialize
 
 
-_END = re.compile(r"(?<=[.!?])[ \t\n\r\f\v]+|\n[ \t\n\r\f\v]*")
-_WORD = re.compile(r"[^ \t\n\r\f\v]+[ \t\n\r\f\v]*")
+#: A task's tables at once: about so many bytes of text, or one text.
+PIECE_BYTES = 1 << 20
 SPANS = "array<struct<start:int,end:int>>"
+_BASES = (0x9E3779B97F4A7C15 | 7, 0xC2B2AE3D27D4EB4F | 5)
 
 
 @lru_cache(1 << 18)
-def _rank(word: bytes) -> int:
-    return int.from_bytes(md5(word).digest()[:8], "big")
-
-
-def anchors(words: list[bytes], span: int) -> list[int]:
-    """Places of the smallest hashes of every ``span`` consecutive words, the last of equal ones."""
-    ranks = [_rank(w) for w in words]
-    out, at = [], -1
-    for last in range(span - 1, len(words)):
-        if at <= last - span:
-            at = min(range(last - span + 1, last + 1), key=lambda i: (ranks[i], -i))
-        elif ranks[last] <= ranks[at]:
-            at = last
-        if not out or out[-1] != at:
-            out.append(at)
-    return out
-
-
-def units(text: str, span: int) -> list[tuple[int, int, list[bytes]]]:
-    """(start, end, normalised words) of the units; together they cover a text that has words."""
-    ends = [m.end() for m in _END.finditer(text)]
-    if not ends or ends[-1] < len(text):
-        ends.append(len(text))
-    out, begin = [], 0
-    for end in ends:
-        words = text[begin:end].lower().encode("utf-8", "surrogatepass").split()
-        if not words:  # white space at the start belongs to the first unit
-            continue
-        if len(words) > span:
-            stops, done = [m.end() for m in _WORD.finditer(text, begin, end)], 0
-            for cut in anchors(words, span):
-                if cut + 1 < len(words):
-                    out.append((begin, stops[cut], words[done:cut + 1]))
-                    begin, done = stops[cut], cut + 1
-            words = words[done:]
-        out.append((begin, end, words))
-        begin = end
-    return out
-
-
-def stretches(sizes: list[int], min_words: int) -> list[tuple[int, int]]:
-    """Ranges of units [i, j): the shortest of at least ``min_words`` words from and up to each; all units if they have fewer."""
-    before = [0, *accumulate(sizes)]
-    n = len(sizes)
-    if before[-1] < min_words:
-        return [(0, n)] if n else []
-    found = set()
-    for i in range(n):
-        j = bisect_left(before, before[i] + min_words)
-        if j <= n:
-            found.add((i, j))
-        i0 = bisect_right(before, before[i + 1] - min_words) - 1
-        if i0 >= 0:
-            found.add((i0, i + 1))
-    return sorted(found)
+def _digest(word: str) -> bytes:
+    return md5(word.lower().encode("utf-8", "surrogatepass")).digest()
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    factors = np.full(n, base, np.uint64)
+    factors[:1] = 1
+    return np.cumprod(factors)
+
+
+def _least(values: np.ndarray, width: int) -> np.ndarray:
+    """The least of every ``width`` consecutive values."""
+    size = 1
+    while 2 * size <= width:
+        values = np.minimum(values[:-size], values[size:])
+        size *= 2
+    return np.minimum(values[:len(values) - (width - size)], values[width - size:])
+
+
+def _words(texts: pa.Array):
+    """The words of all texts: row, start, end (bytes), end of the white space after; number and digests of the distinct ones."""
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    raw = np.frombuffer(data if data is not None else b"", np.uint8)[offsets[0]:offsets[-1]]
+    bounds = offsets - offsets[0]
+    solid = ~((raw == 32) | ((raw >= 9) & (raw <= 13)))
+    edge = np.zeros(len(raw) + 1, bool)
+    edge[bounds] = True
+    start = np.flatnonzero(solid & ~(np.concatenate([[False], solid[:-1]]) & ~edge[:-1]))
+    end = np.flatnonzero(solid & ~(np.concatenate([solid[1:], [False]]) & ~edge[1:])) + 1
+    row = np.searchsorted(bounds, start, side="right") - 1
+    last = np.append(row[1:] != row[:-1], True)
+    stop = np.where(last, bounds[row + 1], np.append(start[1:], 0))
+    joined = pa.Array.from_buffers(pa.large_string(), len(start), [
+        None, pa.py_buffer(np.concatenate([[0], np.cumsum(end - start)])), pa.py_buffer(raw[solid])]).dictionary_encode()
+    digests = np.frombuffer(b"".join(map(_digest, joined.dictionary.to_pylist())), ">u8").astype(np.uint64).reshape(-1, 2)
+    return raw, bounds, row, start, end, stop, last, joined.indices.to_numpy(zero_copy_only=False), digests
+
+
+def stretches(texts: pa.Array, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, end, digest) of all stretches; offsets in code points, digests as two numbers."""
+    if not pc.sum(pc.binary_length(texts)).as_py() or not min_words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 2), np.int64)
+    span = max(1, min_words // 2)
+    raw, bounds, row, start, end, stop, last, codes, digests = _words(texts)
+    n = len(row)
+    lines = np.flatnonzero(raw == 10)
+    ends = last | ((stop > end) & np.isin(raw[end - 1], np.frombuffer(b".!?", np.uint8))) | (
+        np.searchsorted(lines, stop) > np.searchsorted(lines, end))
+    cut = ends.copy()
+    if n >= span:
+        sentence = np.concatenate([[0], np.cumsum(ends)[:-1]])
+        size = np.bincount(sentence)[sentence]
+        _, order = np.unique(digests[:, 0], return_inverse=True)
+        key = (order.astype(np.int64)[codes] << 32) | (0xFFFFFFFF - np.arange(n))  # smallest hash, then last place
+        inside = (sentence[:n - span + 1] == sentence[span - 1:]) & (size[:n - span + 1] > span)
+        cut[0xFFFFFFFF - (_least(key, span)[inside] & 0xFFFFFFFF)] = True
+    # Units: number of the last word, of the first; stretches [i, j] of units.
+    final = np.flatnonzero(cut)
+    first = np.concatenate([[0], final[:-1] + 1])[:len(final)]
+    of, count = row[final], len(final)
+    from_each = np.searchsorted(final, first + min_words - 1)
+    i = np.flatnonzero(from_each < count)
+    forward = i[of[from_each[i]] == of[i]]
+    j = np.flatnonzero(ends[final])
+    back = np.searchsorted(first, final[j] + 1 - min_words, side="right") - 1
+    fits = (back >= 0) & (of[back] == of[j])
+    heads = np.flatnonzero(np.append(True, of[1:] != of[:-1])[:count])
+    tails = np.append(heads[1:] - 1, count - 1)[:len(heads)]
+    short = final[tails] + 1 - first[heads] < min_words
+    pairs = np.unique(np.concatenate([
+        forward * count + from_each[forward], back[fits] * count + j[fits], heads[short] * count + tails[short]]))
+    i, j = pairs // max(count, 1), pairs % max(count, 1)
+    # A stretch's digest: its words' digests as a polynomial's coefficients, from sums over all words.
+    found = np.empty((len(pairs), 2), np.uint64)
+    for half, base in enumerate(_BASES):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(digests[codes, half] * _powers(base, n))])
+        found[:, half] = (sums[final[j] + 1] - sums[first[i]]) * _powers(pow(base, -1, 1 << 64), n)[first[i]]
+    head = np.zeros(count, bool)
+    head[heads] = True
+    begin = np.where(head, bounds[of], stop[np.maximum(first - 1, 0)])[i]
+    tails_of = stop[final[j]]
+    inner = np.flatnonzero((raw & 0xC0) == 0x80)  # bytes that begin no code point
+    base = bounds[of[i]] - np.searchsorted(inner, bounds[of[i]])
+    return of[i], begin - np.searchsorted(inner, begin) - base, tails_of - np.searchsorted(inner, tails_of) - base, found.astype(np.int64)
 
 
 def _stretch_rows(min_words: int):
-    span = max(1, min_words // 2)
-
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                rows, start, end, digests = [], [], [], []
-                for row, text in enumerate(part.column("text").to_pylist()):
-                    cut = units(text, span)
-                    joined = [b" ".join(words) for _, _, words in cut]
-                    for i, j in stretches([len(words) for _, _, words in cut], min_words):
-                        rows.append(row)
-                        start.append(cut[i][0])
-                        end.append(cut[j - 1][1])
-                        digests.append(xxhash.xxh3_128_digest(b" ".join(joined[i:j])))
-                take = pa.array(rows, pa.int32())
-                halves = np.frombuffer(b"".join(digests), ">i8").astype(np.int64).reshape(-1, 2)
+            texts = as_texts(batch.column("text"))
+            for at, rows in pieces(texts, PIECE_BYTES):
+                row, start, end, digest = stretches(texts.slice(at, rows), min_words)
+                take = pa.array(row + at)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id").take(take), part.column("version").take(take), pa.array(start, pa.int32()),
-                     pa.array(end, pa.int32()), pa.array(halves[:, 0]), pa.array(halves[:, 1])],
+                    [batch.column("id").take(take), batch.column("version").take(take), pa.array(start, pa.int32()),
+                     pa.array(end, pa.int32()), pa.array(digest[:, 0]), pa.array(digest[:, 1])],
                     names=["id", "version", "start", "end", "high", "low"])
 
     return run

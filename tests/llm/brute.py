@@ -50,7 +50,7 @@ def near_duplicates(rows):
 
 
 def units(text, span=12):
-    """[(start, end, words)]: from the token list, sentence by sentence."""
+    """[(start, end, words, whether a sentence ends)]: from the token list, sentence by sentence."""
     tokens = [m for m in re.finditer(r"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+[ \t\n\r\f\v]*", text)]
     words = [m.group().strip(" \t\n\r\f\v").lower() for m in tokens]
     hashes = [hashlib.md5(w.encode()).hexdigest()[:16] for w in words]
@@ -64,7 +64,7 @@ def units(text, span=12):
         begin = stop
     out, begin = [], 0
     for stop in sorted({c + 1 for c in cuts} | {len(tokens)} - {0}):
-        out.append((tokens[begin].start(), tokens[stop - 1].end(), words[begin:stop]))
+        out.append((tokens[begin].start(), tokens[stop - 1].end(), words[begin:stop], stop - 1 in ends or stop == len(tokens)))
         begin = stop
     return out
 
@@ -76,8 +76,8 @@ def without_repeats(rows, min_words=25):
         u = units(t, min_words // 2)
         size = lambda a, b: sum(len(x[2]) for x in u[a:b])
         parts = {(a, b) for a in range(len(u)) for b in range(a + 1, min(len(u), a + min_words) + 1) if size(a, b) >= min_words
-                 and (size(a, b - 1) < min_words or size(a + 1, b) < min_words)}
-        # From a unit on the first, up to a unit the last: one of the two ends can't be left out.
+                 and (size(a, b - 1) < min_words or u[b - 1][3] and size(a + 1, b) < min_words)}
+        # The first from a unit on, the last up to the end of a sentence.
         for a, b in sorted(parts or ({(0, len(u))} if u else ())):
             content = tuple(w for x in u[a:b] for w in x[2])
             first.setdefault(content, (i, a))

@@ -4,6 +4,8 @@ import math
 import random
 from collections import Counter
 
+import pyarrow as pa
+
 from encore.llm import mixing, substrings
 from tests.llm import brute
 
@@ -44,8 +46,16 @@ def test_no_long_run_and_no_copy_stays(spark):
         seen |= runs
     assert 200 in left and 201 not in left and left[202] == rows[-1][1]
     assert all(left.get(i, t) == t for i, t in rows if not i % 3)  # nothing of a document without a shared passage goes
-    assert substrings.units(" \n ", 12) == []
-    assert [(a, b) for a, b, _ in substrings.units(" \n a. b \n\n c", 12)] == [(0, 6), (6, 11), (11, 12)]
+    want = {i: t for i, t, _ in brute.without_repeats(rows)}
+    assert left == {i: t for i, t in want.items() if t.strip() or not dict(rows)[i]}  # an empty text stays
+
+
+def test_stretches_cover_the_text():
+    texts = pa.array(["", " \n ", " \n a. é\u00a0B \n\n c", "x", "A. É\u00a0b c"], pa.large_string())
+    row, start, end, digest = substrings.stretches(texts, 25)
+    assert list(zip(row, start, end)) == [(2, 0, 14), (3, 0, 1), (4, 0, 8)]
+    assert digest[0].tolist() == digest[2].tolist() != digest[1].tolist()
+    assert len(substrings.stretches(texts.slice(0, 2), 25)[0]) == 0
 
 
 def test_defined_cases_of_repeats(odd, nothing):
