@@ -15,7 +15,7 @@ sentences AS (
 numbered AS (
   SELECT *, count(*) OVER (PARTITION BY doc_id, k) AS m, row_number() OVER (PARTITION BY doc_id, k ORDER BY p) AS q FROM sentences),
 picked AS (
-  SELECT doc_id, m, q, min(substr(md5(w), 1, 16) || lpad((999999999 - p)::VARCHAR, 9, '0'))
+  SELECT doc_id, m, q, min(lpad((999999999 - strlen(w))::VARCHAR, 9, '0') || w || lpad((999999999 - p)::VARCHAR, 9, '0'))
            OVER (PARTITION BY doc_id, k ORDER BY p ROWS BETWEEN CURRENT ROW AND 11 FOLLOWING) AS least
   FROM numbered WHERE m > 12),
 anchors AS (SELECT DISTINCT doc_id, 999999999 - right(least, 9)::BIGINT AS p FROM picked WHERE q <= m - 11),

@@ -3,7 +3,8 @@
 Units are lines, cut further at the ends of sentences, because shared passages
 often sit inside a line; a sentence of more than ``span`` words (half of
 ``min_words``) is cut again after its anchors: of every ``span`` consecutive words
-the one with the smallest hash, the last of equal ones. So a cut depends on the
+the longest (in bytes), of equally long ones the first in byte order, of equal
+ones the last. So a cut depends on the
 words near it alone, and a passage is cut alike wherever it stands but for at
 most ``span`` words at each end.
 
@@ -35,12 +36,11 @@ other columns are kept as they are, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
-from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,14 +51,10 @@ from encore.sources.tables import materialize
 #: A task's tables at once: about so many bytes of text, or one text.
 PIECE_BYTES = 1 << 20
 SPANS = "array<struct<start:int,end:int>>"
+_SOLID = ~np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _BASES = (0x9E3779B97F4A7C15 | 7, 0xC2B2AE3D27D4EB4F | 5)
 
 
-@lru_cache(1 << 18)
-def _digest(word: str) -> bytes:
-    return md5(word.lower().encode("utf-8", "surrogatepass")).digest()
-
-
 def _powers(base: int, n: int) -> np.ndarray:
     factors = np.full(n, base, np.uint64)
     factors[:1] = 1
@@ -75,23 +71,27 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def _words(texts: pa.Array):
-    """The words of all texts: row, start, end (bytes), end of the white space after; number and digests of the distinct ones."""
+    """The words of all texts: row, start, end (bytes), end of the white space after; number; rank and digest of the distinct ones."""
     _, offsets, data = texts.buffers()
     offsets = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
     raw = np.frombuffer(data if data is not None else b"", np.uint8)[offsets[0]:offsets[-1]]
     bounds = offsets - offsets[0]
-    solid = ~((raw == 32) | ((raw >= 9) & (raw <= 13)))
+    solid = _SOLID[raw]
     edge = np.zeros(len(raw) + 1, bool)
     edge[bounds] = True
     start = np.flatnonzero(solid & ~(np.concatenate([[False], solid[:-1]]) & ~edge[:-1]))
     end = np.flatnonzero(solid & ~(np.concatenate([solid[1:], [False]]) & ~edge[1:])) + 1
-    row = np.searchsorted(bounds, start, side="right") - 1
+    row = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(start, bounds)))
     last = np.append(row[1:] != row[:-1], True)
     stop = np.where(last, bounds[row + 1], np.append(start[1:], 0))
     joined = pa.Array.from_buffers(pa.large_string(), len(start), [
         None, pa.py_buffer(np.concatenate([[0], np.cumsum(end - start)])), pa.py_buffer(raw[solid])]).dictionary_encode()
-    digests = np.frombuffer(b"".join(map(_digest, joined.dictionary.to_pylist())), ">u8").astype(np.uint64).reshape(-1, 2)
-    return raw, bounds, row, start, end, stop, last, joined.indices.to_numpy(zero_copy_only=False), digests
+    lower = pc.utf8_lower(joined.dictionary)
+    digests = np.frombuffer(b"".join([xxhash.xxh3_128_digest(w) for w in lower.cast(pa.large_binary()).to_pylist()]), ">u8")
+    # Rank of each: the longest first, equally long ones in byte order.
+    size, place = pc.binary_length(lower).to_numpy(zero_copy_only=False), pc.rank(lower, tiebreaker="dense").to_numpy(zero_copy_only=False)
+    order = np.unique((size.max(initial=0) - size) * (len(lower) + 1) + place.astype(np.int64), return_inverse=True)[1].astype(np.int64)
+    return raw, bounds, row, start, end, stop, last, joined.indices.to_numpy(zero_copy_only=False), order, digests.astype(np.uint64).reshape(-1, 2)
 
 
 def stretches(texts: pa.Array, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -99,7 +99,7 @@ def stretches(texts: pa.Array, min_words: int) -> tuple[np.ndarray, np.ndarray,
     if not pc.sum(pc.binary_length(texts)).as_py() or not min_words:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 2), np.int64)
     span = max(1, min_words // 2)
-    raw, bounds, row, start, end, stop, last, codes, digests = _words(texts)
+    raw, bounds, row, start, end, stop, last, codes, order, digests = _words(texts)
     n = len(row)
     lines = np.flatnonzero(raw == 10)
     ends = last | ((stop > end) & np.isin(raw[end - 1], np.frombuffer(b".!?", np.uint8))) | (
@@ -108,8 +108,7 @@ def stretches(texts: pa.Array, min_words: int) -> tuple[np.ndarray, np.ndarray,
     if n >= span:
         sentence = np.concatenate([[0], np.cumsum(ends)[:-1]])
         size = np.bincount(sentence)[sentence]
-        _, order = np.unique(digests[:, 0], return_inverse=True)
-        key = (order.astype(np.int64)[codes] << 32) | (0xFFFFFFFF - np.arange(n))  # smallest hash, then last place
+        key = (order[codes] << 32) | (0xFFFFFFFF - np.arange(n))  # the longest word's last place is the least
         inside = (sentence[:n - span + 1] == sentence[span - 1:]) & (size[:n - span + 1] > span)
         cut[0xFFFFFFFF - (_least(key, span)[inside] & 0xFFFFFFFF)] = True
     # Units: number of the last word, of the first; stretches [i, j] of units.

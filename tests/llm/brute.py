@@ -53,14 +53,14 @@ def units(text, span=12):
     """[(start, end, words, whether a sentence ends)]: from the token list, sentence by sentence."""
     tokens = [m for m in re.finditer(r"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+[ \t\n\r\f\v]*", text)]
     words = [m.group().strip(" \t\n\r\f\v").lower() for m in tokens]
-    hashes = [hashlib.md5(w.encode()).hexdigest()[:16] for w in words]
+    ranks = [(-len(w.encode()), w.encode()) for w in words]
     ends = [k for k, m in enumerate(tokens) if re.search(r"([.!?][ \t\n\r\f\v]+|\n[ \t\n\r\f\v]*)\Z", m.group())]
     cuts, begin = set(ends), 0
     for stop in [*(e + 1 for e in ends), len(tokens)]:
         if stop - begin > span:
             for i in range(begin, stop - span + 1):
-                least = min(hashes[i:i + span])
-                cuts.add(max(k for k in range(i, i + span) if hashes[k] == least))
+                least = min(ranks[i:i + span])
+                cuts.add(max(k for k in range(i, i + span) if ranks[k] == least))
         begin = stop
     out, begin = [], 0
     for stop in sorted({c + 1 for c in cuts} | {len(tokens)} - {0}):
