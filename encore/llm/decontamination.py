@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.llm.common import ALPHANUMERIC, as_texts, free_name, pieces, words_of
-from encore.sources.tables import materialize
+from encore.sources.tables import delete_path, materialize
 
 WINDOW_WORDS = 13
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -255,7 +255,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
                        shard_bytes: int = 8 << 20) -> tuple[DataFrame, str]:
     """``docs`` and a struct column (its name is returned): n_words, n_hit, spans (of words, to remove), items.
 
-    One pass over the corpus for each block of about ``block_bytes`` of windows.
+    One pass over the corpus for each block of about ``block_bytes`` of windows. All but the last are written
+    with their findings, and then the block's phrases and the table before are deleted: one block is alive at a time.
     """
     spark = docs.sparkSession
     table = materialize(windows(benchmark, item_id_col, item_text_col, window_words), "windows")
@@ -264,9 +265,16 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     name = free_name(docs, "contamination")
     found = docs.withColumn(name, F.lit(None).cast(
         "struct<n_words:long,n_hit:long,spans:array<struct<start:long,end:long>>,items:array<string>>"))
+    written: list[str] = []
     for block in range(blocks):
         rows = [(r["window"], r["item"]) for r in table.where(F.pmod(F.xxhash64("window"), F.lit(blocks)) == block).collect()]
-        found = found.withColumn(name, _searcher(spark.sparkContext.broadcast(rows), shard_bytes)(F.col(text_col), F.col(name)))
+        sent = spark.sparkContext.broadcast(rows)
+        found = found.withColumn(name, _searcher(sent, shard_bytes)(F.col(text_col), F.col(name)))
+        if block + 1 < blocks:
+            found = materialize(found, "findings", written=written)
+            sent.destroy()
+            while len(written) > 1:  # read for the last time
+                delete_path(spark, written.pop(0))
     return found, name
 
 

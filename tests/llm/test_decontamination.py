@@ -39,6 +39,7 @@ def test_matches_brute_force_in_blocks(spark, docs):
         found, name = d.find_contamination(docs, bench, block_bytes=block_bytes, shard_bytes=shard_bytes)
         got = {r.doc_id: (r[name].n_words, r[name].n_hit, list(r[name]["items"])) for r in found.collect()}
         assert got == want
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("search(") == 1  # a block a plan
 
 
 def test_defined_cases(spark, odd, nothing):
