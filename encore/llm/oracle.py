@@ -79,32 +79,51 @@ FROM documents d JOIN copies USING (doc_id) JOIN parts p ON d.source IS NOT DIST
 OP3 = r"""
 WITH base AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 beside AS (
-  SELECT doc_id, text, coalesce(lead(text) OVER w, first_value(text) OVER w) AS following
+  SELECT row_number() OVER w AS k, doc_id, text, coalesce(lead(text) OVER w, first_value(text) OVER w) AS following
   FROM base WINDOW w AS (ORDER BY doc_id NULLS FIRST, text)),
 edits AS (
   SELECT *, left(text, length(text) - length(text) // 2) || left(following, length(text) // 2) AS edited FROM beside),
-trees AS (
-  SELECT doc_id, text, edited,
-         list_transform([text, edited, following], lambda t: list_transform(string_split(t, chr(10)),
-           lambda p: list_transform(string_split(regexp_replace(p, '([.!?]+[ \t\r\f]+)', '\1' || chr(1), 'g'), chr(1)),
-             lambda s: {'h': md5(s) || '-' || length(s), 'n': length(s)}))) AS t FROM edits),
-nodes AS (
-  SELECT doc_id, text, edited, list_transform(t, lambda x: flatten(x)) AS f,
-         list_transform([t[1], t[2]], lambda x: list_transform(list_filter(string_split(regexp_replace(
-           array_to_string(list_transform(x, lambda p: md5(array_to_string(list_transform(p, lambda s: s.h), ','))), ',') || ',',
-           '([0-3][0-9a-f]{31},)', '\1;', 'g'), ';'), lambda s: s <> ''), lambda s: md5(s))) AS sections FROM trees),
-sums AS (
-  SELECT *, list_transform(f, lambda x: list_sum(list_transform(list_distinct(x), lambda s: s.n))) AS sizes,
-         list_transform([2, 3], lambda i: coalesce(list_sum(list_transform(list_intersect(f[1], f[i]), lambda s: s.n)), 0)) AS common,
-         list_position(list_transform(range(1, greatest(len(f[1]), len(f[2])) + 1), lambda i: f[1][i] IS DISTINCT FROM f[2][i]), true) AS place
-  FROM nodes)
-SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256, sha256(array_to_string(sections[1], ',')) AS fingerprint,
-       sha256(array_to_string(sections[2], ',')) AS edited_fingerprint,
-       CASE WHEN sizes[1] + sizes[2] = 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * common[1] / (sizes[1] + sizes[2]) END AS near_edited,
-       CASE WHEN sizes[1] + sizes[3] = 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * common[2] / (sizes[1] + sizes[3]) END AS near_next,
-       len(sections[1])::INT AS n_sections,
-       CASE WHEN place > 0 THEN coalesce(list_sum(list_transform(f[1][1:place - 1], lambda s: s.n)), 0)::BIGINT END AS edit_start
-FROM sums
+texts AS (
+  SELECT k, 1 AS v, text AS t FROM edits UNION ALL SELECT k, 2, edited FROM edits UNION ALL SELECT k, 3, following FROM edits),
+paragraphs AS (
+  SELECT k, v, unnest(string_split(t, chr(10))) AS p, generate_subscripts(string_split(t, chr(10)), 1) AS i, len(string_split(t, chr(10))) AS m FROM texts),
+cuts AS (
+  SELECT k, v, i, m, string_split(regexp_replace(regexp_replace(p, '([.!?]+[ \t\r\f]+|[^ \t\r\f]{10}[ \t\r\f]+)', '\1' || chr(1), 'g'),
+                                  '([^\x01]{256})', '\1' || chr(1), 'g'), chr(1)) AS s FROM paragraphs),
+leaves AS (
+  SELECT k, v, i, j, md5(s[j]) || '-' || length(s[j]) AS h, length(s[j]) + CASE WHEN j = len(s) AND i < m THEN 1 ELSE 0 END AS n
+  FROM cuts, unnest(range(1, len(s) + 1)) AS r(j)),
+digests AS (SELECT k, v, i, md5(string_agg(h, ',' ORDER BY j)) AS d FROM leaves GROUP BY k, v, i),
+numbered AS (
+  SELECT *, coalesce(sum(CASE WHEN d < '4' THEN 1 ELSE 0 END) OVER (PARTITION BY k, v ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s
+  FROM digests),
+sections AS (SELECT k, v, s, md5(string_agg(d || ',', '' ORDER BY i)) AS d FROM numbered GROUP BY k, v, s),
+roots AS (SELECT k, v, sha256(string_agg(d, ',' ORDER BY s)) AS fingerprint, count(*) AS n FROM sections GROUP BY k, v),
+pairs AS (SELECT * FROM (VALUES (1, 2), (2, 1), (1, 3), (3, 1)) AS t(v, o)),
+opened AS (
+  SELECT l.k, l.v, p.o, l.j, l.i, l.h, l.n FROM leaves l JOIN digests g USING (k, v, i) JOIN pairs p USING (v)
+  WHERE NOT EXISTS (SELECT 1 FROM digests x WHERE x.k = l.k AND x.v = p.o AND x.d = g.d)),
+changed AS (
+  SELECT k, v, o, i, j, h, n FROM opened a
+  WHERE NOT EXISTS (SELECT 1 FROM opened b WHERE b.k = a.k AND b.v = a.o AND b.o = a.v AND b.h = a.h)),
+amounts AS (SELECT k, v, o, sum(h[34:]::INT) AS n FROM (SELECT DISTINCT k, v, o, h FROM changed) GROUP BY k, v, o),
+sizes AS (SELECT k, v, sum(h[34:]::INT) AS n FROM (SELECT DISTINCT k, v, h FROM leaves) GROUP BY k, v),
+places AS (
+  SELECT k, v, i, j, n, sum(n) OVER w AS stop, row_number() OVER w AS r FROM leaves WHERE n > 0 WINDOW w AS (PARTITION BY k, v ORDER BY i, j)),
+islands AS (
+  SELECT k, v, o, stop - n AS start, stop, r - row_number() OVER (PARTITION BY k, v, o ORDER BY r) AS island
+  FROM changed JOIN places USING (k, v, i, j, n) WHERE o + v = 3),
+spans AS (SELECT k, v, min(start) AS start, max(stop) AS stop FROM islands GROUP BY k, v, island),
+lists AS (SELECT k, v, string_agg(start::BIGINT || '-' || stop::BIGINT, ',' ORDER BY start) AS spans FROM spans GROUP BY k, v)
+SELECT doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256, f.fingerprint, g.fingerprint AS edited_fingerprint,
+       CASE WHEN s.n + t.n = 0 THEN 1.0::DOUBLE ELSE 1.0::DOUBLE - (coalesce(a.n, 0) + coalesce(b.n, 0))::DOUBLE / (s.n + t.n) END AS near_edited,
+       CASE WHEN s.n + u.n = 0 THEN 1.0::DOUBLE ELSE 1.0::DOUBLE - (coalesce(c.n, 0) + coalesce(d.n, 0))::DOUBLE / (s.n + u.n) END AS near_next,
+       f.n::INT AS n_sections, coalesce(x.spans, '') AS removed, coalesce(y.spans, '') AS added
+FROM edits e JOIN roots f ON f.k = e.k AND f.v = 1 JOIN roots g ON g.k = e.k AND g.v = 2
+JOIN sizes s ON s.k = e.k AND s.v = 1 JOIN sizes t ON t.k = e.k AND t.v = 2 JOIN sizes u ON u.k = e.k AND u.v = 3
+LEFT JOIN amounts a ON a.k = e.k AND a.v = 1 AND a.o = 2 LEFT JOIN amounts b ON b.k = e.k AND b.v = 2 AND b.o = 1
+LEFT JOIN amounts c ON c.k = e.k AND c.v = 1 AND c.o = 3 LEFT JOIN amounts d ON d.k = e.k AND d.v = 3 AND d.o = 1
+LEFT JOIN lists x ON x.k = e.k AND x.v = 1 LEFT JOIN lists y ON y.k = e.k AND y.v = 2
 """
 
 OP5 = r"""

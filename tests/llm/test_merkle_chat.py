@@ -1,6 +1,7 @@
 """Fingerprints and chat formatting."""
 
 import hashlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -24,23 +25,81 @@ def test_contract_columns(docs):
         assert r.n_chars == len(t) and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
         assert marks.setdefault(t, r.fingerprint) == r.fingerprint
         assert (r.fingerprint == r.edited_fingerprint) == (t == edited)
-        assert 0 <= r.near_next <= 1 and 0 <= r.near_edited <= 1 and (r.edit_start is None or r.edit_start <= len(t))
+        assert 0 <= r.near_next <= 1 and 0 <= r.near_edited <= 1
+        removed, added = ([tuple(map(int, x.split("-"))) for x in c.split(",") if x] for c in (r.removed, r.added))
+        assert all(a < b for x in (removed, added) for a, b in x) and all(x[1] < y[0] for z in (removed, added) for x, y in zip(z, z[1:]))
+        assert all(b <= len(t) for _, b in removed) and all(b <= len(edited) for _, b in added)
         if t == edited:
-            assert r.near_edited == 1.0
+            assert not removed and not added and r.near_edited == 1.0
+        lost = sum(b - a for a, b in removed + added)
+        assert lost <= len(t) + len(edited) and (not lost) == (r.near_edited == 1.0)
     assert len(set(marks.values())) == len(marks)
     mean = [sum(getattr(r, c) for r in got.values()) / len(got) for c in ("near_edited", "near_next")]
     assert 0.3 < mean[0] < 0.7 and mean[1] < 0.2
 
 
-def test_an_edit_is_located(spark):
+def walk(spark, a, b):
+    """(ranges of a, ranges of b, likeness, sections of a, of b) of two texts."""
+    df = spark.createDataFrame([(a, b)], "a string, b string")
+    for c in ("a", "b"):
+        df = merkle.with_tree(df, c, c)
+        df = df.withColumn(f"{c}_size", merkle.leaves_size(F.array_distinct(F.flatten(f"{c}_tree"))))
+    df = merkle.walk(df, "a", "b", "w")
+    r = df.select(merkle.ranges_of(merkle.marks("a", "w_open", "w_lost")).alias("x"),
+                  merkle.ranges_of(merkle.marks("b", "w_other_open", "w_other_lost")).alias("y"), "a_sections", "b_sections",
+                  merkle.likeness(F.col("a_size"), F.col("b_size"), F.col("w_lost"), F.col("w_other_lost")).alias("near")).first()
+    spans = [[tuple(map(int, z.split("-"))) for z in x.split(",") if z] for x in (r.x, r.y)]
+    return *spans, r.near, r.a_sections, r.b_sections
+
+
+def test_edits_are_located(spark):
     text = "\n".join(f"Line {i} is here. It has two sentences." for i in range(40))
-    other = text.replace("Line 20 is", "Line twenty is")
-    df = spark.createDataFrame([(text, other)], "a string, b string").select(
-        *[merkle.leaf_lists(F.col(c)).alias(c) for c in ("a", "b")])
-    r = df.select(merkle.edit_start(F.flatten("a"), F.flatten("b")).alias("at"), merkle.likeness(F.flatten("a"), F.flatten("b")).alias("near"),
-                  merkle.sections(F.col("a")).alias("sa"), merkle.sections(F.col("b")).alias("sb")).first()
-    assert r.at == len(text.split("Line 20")[0].replace("\n", "")) and 0.9 < r.near < 1
-    assert len(set(r.sa) ^ set(r.sb)) <= 4  # other branches are as before
+    other = text.replace("Line 20 is", "Line twenty is").replace("Line 31 is here. ", "")
+    x, y, near, sa, sb = walk(spark, text, other)
+    assert [text[s:e] for s, e in x] == ["Line 20 is here. ", "Line 31 is here. "] and [other[s:e] for s, e in y] == ["Line twenty is here. "]
+    assert 0.9 < near < 1 and len(set(sa) ^ set(sb)) <= 8  # other branches are as before
+    assert walk(spark, text, text)[:3] == ([], [], 1.0) and walk(spark, "", "")[:3] == ([], [], 1.0)
+    assert walk(spark, "", "a b")[:3] == ([], [(0, 3)], 0.0)
+    # A line that moves is no edit, though the roots differ.
+    assert walk(spark, "one\ntwo\nthree", "two\none\nthree")[:3] == ([], [], 1.0)
+
+
+def test_an_edit_inside_a_long_sentence(spark):
+    words = [f"w{i}" if i % 4 else f"longerword{i}" for i in range(400)]
+    edited = [*words[:200], "new", *words[201:]]
+    x, y, near, *_ = walk(spark, " ".join(words), " ".join(edited))
+    assert len(x) == len(y) == 1 and x[0][1] - x[0][0] < 60 and near > 0.97
+    # Without any white space: what stands before the edit is kept.
+    x, _, near, *_ = walk(spark, "x" * 3000 + "yz" * 1500, "x" * 3000 + "q" + "yz" * 1500)
+    assert near > 0.45 and x[0][0] >= 2700
+
+
+def test_ranges_against_a_plain_walk(spark):
+    import random
+    rng = random.Random(8)
+    said = [f"{w} it was. " for w in ("Ant", "Bee", "Cat", "Dog", "Elk", "Fox")]
+    pairs = []
+    for _ in range(40):
+        lines = ["".join(rng.choice(said) for _ in range(rng.randrange(4))) for _ in range(rng.randrange(1, 12))]
+        changed = [ln if rng.random() < 0.7 else "".join(rng.choice(said) for _ in range(rng.randrange(4))) for ln in lines]
+        pairs.append(("\n".join(lines), "\n".join(changed)))
+
+    def plain(a, b):
+        rows, others = a.split("\n"), b.split("\n")
+        cut = lambda line: [*re.findall(r".*?\. ", line), ""]
+        theirs = {s for ln in others if ln not in rows for s in cut(ln)}
+        gone, at = set(), 0
+        for k, ln in enumerate(rows):
+            for j, s in enumerate(cut(ln)):
+                n = len(s) + (j == len(cut(ln)) - 1 and k < len(rows) - 1)
+                if ln not in others and s not in theirs:
+                    gone.update(range(at, at + n))
+                at += n
+        return gone
+
+    for a, b in pairs[:6]:
+        x, y, *_ = walk(spark, a, b)
+        assert {p for s, e in x for p in range(s, e)} == plain(a, b) and {p for s, e in y for p in range(s, e)} == plain(b, a)
 
 
 def test_defined_cases_of_fingerprints(odd, nothing):
