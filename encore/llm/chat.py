@@ -32,7 +32,6 @@ Message = dict[str, str]
 Template = Callable[[list[Message]], str]
 
 START, END = "<|im_start|>", "<|im_end|>"
-MARKER = "marker"
 SPAN = "struct<turn:int,role:string,start:long,end:long,content_start:long,content_end:long,loss:boolean>"
 _TURN = re.compile(re.escape(START) + r"([^\n]*)\n(.*?)" + re.escape(END) + r"\n", re.DOTALL)
 _ESCAPED = re.compile(r"\\(.)", re.DOTALL)
@@ -57,17 +56,25 @@ def parse_chatml(formatted: str) -> list[tuple[str, str]]:
     return [(unescape(role), unescape(text)) for role, text in _TURN.findall(formatted)]
 
 
-def _content(template: Template, messages: list[Message], k: int, output: str, begin: int) -> tuple[int, int]:
+def marker_for(messages: list[Message], output: str) -> str:
+    """A text that neither the messages nor their output hold: private-use characters around a word and a number."""
+    said, n = [output, *(x for m in messages for x in m.values())], 0
+    while any(f"\ue000marker{n}\ue001" in x for x in said):
+        n += 1
+    return f"\ue000marker{n}\ue001"
+
+
+def _content(template: Template, messages: list[Message], k: int, output: str, begin: int, marker: str) -> tuple[int, int]:
     """Where turn k's text lies in ``output``; (-1, -1) if it can't be told.
 
     The probe has the marker in place of the text. What stands before and after
     the marker must stand before and after the text in the output.
     """
-    probe = template([*messages[:k], {**messages[k], "text": MARKER}, *messages[k + 1:]])
-    at = probe.find(MARKER, begin)
-    tail = len(probe) - at - len(MARKER)
+    probe = template([*messages[:k], {**messages[k], "text": marker}, *messages[k + 1:]])
+    at = probe.find(marker, begin)
+    tail = len(probe) - at - len(marker)
     end = len(output) - tail
-    if at < 0 or end < at or output[:at] != probe[:at] or output[end:] != probe[at + len(MARKER):]:
+    if at < 0 or end < at or output[:at] != probe[:at] or output[end:] != probe[at + len(marker):]:
         return -1, -1
     return at, end
 
@@ -80,11 +87,12 @@ def render(messages: list[Message], template: Template = chatml, loss_roles: Ite
     doesn't show it.
     """
     before, spans, rewrites = template([]), [], []
+    marker = marker_for(messages, template(messages))
     for k in range(len(messages)):
         output = template(messages[:k + 1])
         begin = len(before)
         if output.startswith(before):
-            start, end = _content(template, messages[:k + 1], k, output, begin)
+            start, end = _content(template, messages[:k + 1], k, output, begin, marker)
             spans.append((begin, len(output), start, end))
         else:
             rewrites.append(k)
@@ -93,7 +101,7 @@ def render(messages: list[Message], template: Template = chatml, loss_roles: Ite
     if rewrites:  # earlier spans no longer hold: look for every turn in the final output
         spans = []
         for k in range(len(messages)):
-            start, end = _content(template, messages, k, before, 0)
+            start, end = _content(template, messages, k, before, 0, marker)
             spans.append((start, end, start, end))
     wanted = set(loss_roles)
     return before, [(k, m["role"], *s, m["role"] in wanted and s[2] >= 0) for k, (m, s) in enumerate(zip(messages, spans))], rewrites

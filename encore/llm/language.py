@@ -17,7 +17,9 @@ the remaining excerpts, where they are named rightly.
 
 Defined cases: null, empty and letterless texts are ``und`` with score 0, and
 rejected; languages learnt from nothing do not exist, so with an empty
-training table every text is ``und``; a null language teaches nothing;
+training table every text is ``und``; a single learnt language is compared with
+a compressor without a dictionary, and where that is as good the text is
+rejected; a null language teaches nothing;
 repeated rows count as often as they occur; other columns are untouched, also
 where their names clash with the result's.
 """
@@ -100,7 +102,7 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
         return tuple("".join(joined.get(lang, [])[first::step]).encode()[-dictionary_bytes:] for lang in languages)
 
     model = LanguageModel(languages, dictionaries(0, 1), naming, piece_bytes, default)
-    if min_margin is not None or len(languages) < 2:
+    if min_margin is not None:
         return model
     return replace(model, min_margin=_learnt_margin(replace(model, dictionaries=dictionaries(0, 2), min_margin=0.0),
                                                     {lang: texts[1::2] for lang, texts in joined.items()}, default))
@@ -120,7 +122,10 @@ class Coder:
     def __init__(self, model: LanguageModel):
         self.model = model
         self.compressors = []
-        for content in model.dictionaries:
+        # A single language is held against none: a compressor without a dictionary, which is never named.
+        rival = (b"",) if len(model.languages) == 1 else ()
+        self.naming = model.naming_bytes + (0.0,) * len(rival)
+        for content in model.dictionaries + rival:
             # Greedy search for matches from 3 bytes on: word pieces of a few letters tell languages apart.
             params = zstandard.ZstdCompressionParameters(
                 strategy=zstandard.STRATEGY_GREEDY, min_match=3, window_log=17, hash_log=16, chain_log=16, search_log=4,
@@ -139,11 +144,13 @@ class Coder:
         data, step = plain.encode("utf-8", "surrogatepass"), self.model.piece_bytes
         pieces = [data[i:i + step] for i in range(0, len(data), step)]
         raw = [sum(len(c.compress(p)) for p in pieces) for c in self.compressors]
-        lengths = [size + n for size, n in zip(raw, self.model.naming_bytes)]
+        lengths = [size + n for size, n in zip(raw, self.naming)]
         order = sorted(range(len(lengths)), key=lambda i: (lengths[i], i))
-        best, second = lengths[order[0]], lengths[order[1]] if len(order) > 1 else 2.0 * lengths[order[0]]
+        best, second = lengths[order[0]], lengths[order[1]]
         margin = (second - best) / second
-        tie = len(order) > 1 and raw[order[1]] - raw[order[0]] < self.model.min_bytes
+        if order[0] == len(self.model.languages):
+            return self.model.languages[0], 0.0, -margin, True
+        tie = raw[order[1]] - raw[order[0]] < self.model.min_bytes
         return self.model.languages[order[0]], 1.0 - 2.0 ** -min(second - best, 1000.0), margin, tie or margin < self.model.min_margin
 
 

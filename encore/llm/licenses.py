@@ -8,12 +8,15 @@ subsequence. Coverage is the share of the template's words that are aligned.
 Templates with ``REQUIRED`` names and versions match only where these stand in
 the text without other words between.
 
-Texts are scanned whole. A stretch worth aligning is found by the template's
-rarer words (those that are no everyday words): wherever they stand within
-``MAX_GAP`` words of each other. A stretch is aligned with a template only if
-its words could cover it at all (counted with multiplicity, a bound that loses
-nothing); a matched place is cut out and both sides are looked at again, so
-repeated notices are all found.
+Texts are scanned whole, for each template whose words they hold in sufficient
+number (counted with multiplicity, a bound that loses nothing). A stretch worth
+aligning is where the template's rarer words (those that are no everyday words)
+stand within ``max_stretch`` template lengths of each other, the most that a
+match may span, so no match is split; it is aligned in windows of twice that
+length, half overlapping, if the window's words could cover the template at all.
+A matched place is cut out and both sides are looked at again, so repeated
+notices are all found. Short notices and headings are ``REQUIRED`` names and
+versions for the most part, so a foreign word inside is no match.
 
 Defined cases: null, empty and wordless texts have no license; of several
 templates that cover the same words the one with more aligned words counts,
@@ -37,7 +40,6 @@ from encore.llm.common import ALPHANUMERIC, as_texts, pieces, words_of
 from encore.llm.decontamination import char_spans
 
 RESULT = "license string, coverage double, matches array<struct<license:string,start:long,end:long,coverage:double>>"
-MAX_GAP = 20
 PIECE_BYTES = 4 << 20
 
 # Public license texts and notices.
@@ -89,6 +91,41 @@ TEMPLATES: dict[str, str] = {
     "MPL-2.0-notice": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this "
         "file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    "Apache-2.0-heading": "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/",
+    "Apache-2.0-short": "Licensed under Apache 2.0.",
+    "AGPL-3.0-heading": "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+    "GPL-2.0-heading": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+    "GPL-3.0-heading": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "LGPL-2.1-heading": "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+    "LGPL-3.0-heading": "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "MIT-heading": "The MIT License (MIT)",
+    "MIT-copyright": "MIT License Copyright (c)",
+    "ISC-copyright": "ISC License Copyright (c)",
+    "MPL-2.0-heading": "Mozilla Public License Version 2.0 1. Definitions",
+    "MIT-warranty": (
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY "
+        "CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+        "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    "ISC-text": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the "
+        "above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL "
+        "WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE "
+        "LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+        "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF "
+        "THIS SOFTWARE."),
+    "BSD-2-Clause-conditions": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions "
+        "are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+        "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following "
+        "disclaimer in the documentation and/or other materials provided with the distribution."),
+    "BSD-disclaimer": (
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT "
+        "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT "
+        "HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT "
+        "LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON "
+        "ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE "
+        "USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."),
 }
 
 # The names and versions that a notice must hold, each as a run of words without others between.
@@ -116,8 +153,28 @@ REQUIRED: dict[str, tuple[str, ...]] = {
     "LGPL-3.0": ("gnu lesser general public license", "version 3"),
     "MPL-2.0": ("mozilla public license", "version 2 0"),
     "MPL-2.0-notice": ("mozilla public license v 2 0",),
+    "Reserved": ("all rights reserved",),
+    "Apache-2.0-heading": ("apache license version 2 0",),
+    "Apache-2.0-short": ("apache 2 0",),
+    "AGPL-3.0-heading": ("gnu affero general public license version 3",),
+    "GPL-2.0-heading": ("gnu general public license version 2",),
+    "GPL-3.0-heading": ("gnu general public license version 3",),
+    "LGPL-2.1-heading": ("gnu lesser general public license version 2 1",),
+    "LGPL-3.0-heading": ("gnu lesser general public license version 3",),
+    "MIT-heading": ("the mit license mit",),
+    "MIT-copyright": ("mit license copyright",),
+    "ISC-copyright": ("isc license copyright",),
+    "MPL-2.0-heading": ("mozilla public license version 2 0",),
+    "ISC-text": ("permission to use",),
 }
 
+# License identifiers of SPDX lines.
+SPDX = ("0BSD AGPL-3.0-only AGPL-3.0-or-later Apache-2.0 Artistic-2.0 BSD-2-Clause BSD-3-Clause BSL-1.0 CC-BY-4.0 CC-BY-SA-4.0 CC0-1.0 EPL-2.0 GPL-2.0-only "
+        "GPL-2.0-or-later GPL-3.0-only GPL-3.0-or-later ISC LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later MIT MPL-2.0 Unlicense Zlib").split()
+for _id in SPDX:
+    TEMPLATES[f"{_id}-spdx"] = f"SPDX-License-Identifier: {_id}"
+    REQUIRED[f"{_id}-spdx"] = (f"SPDX-License-Identifier: {_id}".lower().replace("-", " ").replace(".", " ").replace(":", ""),)
+
 # Everyday words, which alone don't make a stretch worth aligning.
 EVERYDAY = frozenset("a all an and any are at be but by can do following for free in included is it later may name not of on or out see so "
                      "that the these this to use version will with without work you your 0 1 2 3 4".split())
@@ -203,19 +260,20 @@ class Scanner:
         code = {w: i for i, w in enumerate(self.vocabulary)}
         self.templates = [[code[w] for w in ws] for ws in lists]
         self.bags = [Counter(t) for t in self.templates]
+        self.sizes = np.array([len(t) for t in self.templates])
+        self.counts = np.array([np.bincount(t, minlength=len(self.vocabulary)) for t in self.templates])
         self.required = [[[code[w] for w in phrase.split()] for phrase in (required or {}).get(n, ())] for n in self.names]
-        self.telling = np.array([w not in EVERYDAY for w in self.vocabulary], bool)
+        telling = np.array([w not in EVERYDAY for w in self.vocabulary], bool)
+        self.telling = [np.append((own > 0) & (telling if (telling & (own > 0)).any() else True), False) for own in self.counts]  # the last is -1's
 
-    def best(self, codes: list[int], start: int, end: int):
-        """The template that covers most of words start ... end: (aligned words, coverage, name, first, last) or None."""
-        bag, found = Counter(codes[start:end]), None
-        for name, template, own, phrases in zip(self.names, self.templates, self.bags, self.required):
-            if sum(min(n, bag[w]) for w, n in own.items()) < self.min_coverage * len(template):
-                continue
-            for pairs in self._alignments(codes, start, end, template, phrases):
-                coverage = len(pairs) / len(template)
-                if coverage >= self.min_coverage and (found is None or (len(pairs), coverage) > found[:2]):
-                    found = (len(pairs), coverage, name, pairs[0][0], pairs[-1][0] + 1)
+    def best(self, codes: list[int], start: int, end: int, t: int):
+        """Template t's alignment of most words among words start ... end: (aligned words, first, last) or None."""
+        bag, template, found = Counter(codes[start:end]), self.templates[t], None
+        if sum(min(n, bag[w]) for w, n in self.bags[t].items()) < self.min_coverage * len(template):
+            return None
+        for pairs in self._alignments(codes, start, end, template, self.required[t]):
+            if len(pairs) >= self.min_coverage * len(template) and (found is None or len(pairs) > found[0]):
+                found = (len(pairs), pairs[0][0], pairs[-1][0] + 1)
         return found
 
     def _alignments(self, codes: list[int], start: int, end: int, template: list[int], phrases: list[list[int]]):
@@ -251,33 +309,34 @@ class Scanner:
 
     def scan(self, codes: np.ndarray) -> list[tuple[str, int, int, float]]:
         """(license, first word, word after the last, coverage) in a text; -1 are words of no template."""
-        places = np.flatnonzero((codes >= 0) & self.telling[codes])
-        if not len(places):
-            return []
-        groups = np.split(places, np.flatnonzero(np.diff(places) > MAX_GAP) + 1)
-        # Windows of twice a match's greatest length, half overlapping: each match lies in one, and work stays in proportion.
-        half = int(self.max_stretch * max(map(len, self.templates))) + 1
+        counts = np.bincount(codes[codes >= 0], minlength=len(self.vocabulary))
+        likely = np.flatnonzero(np.minimum(counts, self.counts).sum(1) >= self.min_coverage * self.sizes)
+        listed = codes.tolist() if len(likely) else []
+        # Neighbouring windows may both see a match, or a part of it, and templates share words: the one with more aligned words stays.
+        firsts: list[int] = []
+        kept: list[tuple[str, int, int, float]] = []
+        for match in sorted({m for t in likely for m in self._matches(codes, listed, int(t))}, key=lambda m: (-m[0], -m[4], m[1], m[2])):
+            at = bisect_left(firsts, match[2])
+            if (at == 0 or kept[at - 1][2] <= match[2]) and (at == len(kept) or match[3] <= kept[at][1]):
+                firsts.insert(at, match[2])
+                kept.insert(at, match[1:])
+        return kept
+
+    def _matches(self, codes: np.ndarray, listed: list[int], t: int) -> Iterator[tuple[int, str, int, int, float]]:
+        """(aligned words, license, first word, word after the last, coverage) of template t in a text."""
+        places = np.flatnonzero(self.telling[t][codes])
+        half = int(self.max_stretch * self.sizes[t]) + 1
         todo = []
-        for g in groups:
-            start, end = max(0, int(g[0]) - MAX_GAP), min(len(codes), int(g[-1]) + MAX_GAP + 1)
+        for g in np.split(places, np.flatnonzero(np.diff(places) > half) + 1) if len(places) else []:
+            start, end = max(0, int(g[0]) - half), min(len(codes), int(g[-1]) + half + 1)
             todo += [(a, min(a + 2 * half, end)) for a in range(start, max(start + 1, end - half), half)]
-        listed, out = codes.tolist(), []
         while todo:
             start, end = todo.pop()
-            found = self.best(listed, start, end)
+            found = self.best(listed, start, end, t)
             if found:
-                _, coverage, name, first, last = found
-                out.append((name, first, last, coverage))
+                aligned, first, last = found
+                yield aligned, self.names[t], first, last, aligned / int(self.sizes[t])
                 todo += [(start, first), (last, end)]
-        # Neighbouring windows may both see a match, or a part of it: the longer stays.
-        firsts: list[int] = []
-        kept: list[tuple[str, int, int, float]] = []
-        for match in sorted(set(out), key=lambda m: (m[1] - m[2], m[0], m[1])):
-            at = bisect_left(firsts, match[1])
-            if (at == 0 or kept[at - 1][2] <= match[1]) and (at == len(kept) or match[2] <= kept[at][1]):
-                firsts.insert(at, match[1])
-                kept.insert(at, match)
-        return kept
 
 
 def scan_licenses(text_col: str = "text", templates: dict[str, str] | None = None, min_coverage: float = 0.8, max_stretch: float = 1.5) -> Column:

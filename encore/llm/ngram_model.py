@@ -138,7 +138,9 @@ def _builder(bits_each: int, probes: int):
         words, n = gathered("words", "word_counts")
         pairs, m = gathered("pairs", "pair_counts")
         by_word, by_pair = levels(n), levels(m)
-        size = min((1 << 32) - 8, -(-max(64, bits_each * int(by_word.sum() + by_pair.sum())) // 8) * 8)
+        size = -(-max(64, bits_each * int(by_word.sum() + by_pair.sum())) // 8) * 8
+        if size >= 1 << 32:
+            raise ValueError("a filter part of 2^32 bits; lower bucket_bytes")
         field = np.zeros(size, np.uint8)
         insert(field, words, by_word)
         insert(field, pairs, by_pair)

@@ -46,6 +46,17 @@ def test_unlearnt_languages_and_random_letters_are_rejected(docs):
     assert all(coder.predict(t)[3] for t in ("Это короткое предложение на русском языке.", "これは短い日本語の文です。 東京に行きました"))
 
 
+def test_a_single_language_and_rows_without_one(docs):
+    english = docs.where("lang = 'en'").unionByName(docs.where("lang = 'de'").withColumn("lang", F.lit(None).cast("string")))
+    model = language.fit(english)
+    coder = language.Coder(model)
+    assert model.languages == ("en",)  # rows without a language teach nothing
+    texts = [r.text for r in docs.where("lang = 'en' and length(text) > 200").limit(40).collect()]
+    found = [coder.predict(t) for t in texts]
+    assert sum(not f[3] for f in found) >= 38 and all(f[0] == "en" and 0 <= f[1] <= 1 for f in found)
+    assert coder.predict("Съешь ещё этих мягких французских булок, да выпей чаю. " * 3)[3]
+
+
 def test_narrow_margins_are_rejected():
     model = language.LanguageModel(("a", "b"), (b" aaa bbb ccc ", b" aaa bbb ccc "), (0.125, 0.125))
     assert language.Coder(model).predict("aaa bbb ccc ddd")[3]
@@ -70,6 +81,33 @@ def test_base_scores_are_exact_with_few_broadcast_words(spark):
         assert abs(first[i].score - second[i].score) < 1e-6 * len(w)
 
 
+def test_scores_against_exact_counts(spark):
+    """With 40 bits and 10 probes an insertion a false positive has probability 3e-7: levels are those of the exact counts."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    held_out = id_remainder("doc_id", 10) == 0
+    rows = {r.doc_id: (r.text, r.h) for r in docs.withColumn("h", held_out).collect()}
+    one, two = brute.ngram_counts([t for t, h in rows.values() if not h])
+    total, size, prior = sum(one.values()), len(one), 200.0
+    level = {c: c.bit_length() for c in {*one.values(), *two.values()}}
+
+    def means(counts):
+        of = {}
+        for c in counts.values():
+            of.setdefault(level[c], []).append(c)
+        return {0: 0.0} | {k: sum(v) / len(v) for k, v in of.items()}
+
+    word, pair = means(one), means(two)
+    model = ngram_model.fit(docs.where(~held_out), bits=40, probes=10, bucket_bytes=50_000)
+    got = {r.id: r.score for r in ngram_model.score(spark, docs, model, segment_bytes=100_000).collect()}
+    for i, (t, _) in rows.items():
+        w, want = [*brute.spaced(t), 0], 0.0
+        for u, v in zip([0, *w], w):
+            single = (word[level.get(one[v], 0)] + 0.1) / (total + 0.1 * (size + 1))
+            past = word[level.get(one[u], 0)]
+            want += math.log10((min(pair[level.get(two.get((u, v), 0), 0)], past) + prior * single) / (past + prior))
+        assert abs(got[i] - want) < 1e-6 * len(w)
+
+
 def test_filter_gives_back_the_level_of_every_ngram():
     rng = np.random.default_rng(1)
     keys = rng.integers(0, 1 << 63, 4000, dtype=np.uint64)

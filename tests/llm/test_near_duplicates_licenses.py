@@ -110,6 +110,42 @@ def test_patience_alignment():
     assert len(licenses.align(same, same)) == 50
 
 
+def common_length(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b):
+            last, row[j + 1] = row[j + 1], last + 1 if x == y else max(row[j + 1], row[j])
+    return row[-1]
+
+
+def test_alignment_against_the_longest_common_subsequence():
+    rng = random.Random(5)
+    for _ in range(200):  # words unique on either side: all that both hold are anchors
+        a, b = ([f"w{x}" for x in rng.sample(range(60), rng.randint(0, 40))] for _ in range(2))
+        assert len(licenses.align(a, b)) == common_length(a, b)
+
+
+def test_scan_against_every_window():
+    """Notices of unique words, damaged and interrupted: found if and only if some window of the greatest length covers them."""
+    rng = random.Random(6)
+    notice = [f"n{i}" for i in range(30)]
+    scanner = licenses.Scanner({"N": " ".join(notice)}, 0.8, 1.5)
+    code, seen = {w: i for i, w in enumerate(scanner.vocabulary)}, set()
+    for _ in range(150):
+        damaged = [w for w in notice if rng.random() > 0.12]
+        at, extra = rng.randrange(len(damaged)), rng.randrange(28)
+        damaged[at:at] = ["x"] * extra
+        text = ["y"] * rng.randrange(60) + damaged + ["y"] * rng.randrange(60)
+        want = any(common_length(text[p:p + 45], notice) >= 24 for p in range(len(text)))
+        found = scanner.scan(np.array([code.get(w, -1) for w in text]))
+        assert (len(found) == 1) == want
+        if found:
+            assert common_length(text[found[0][1]:found[0][2]], notice) == round(found[0][3] * 30)
+        seen.add((want, extra > 20))
+    assert len(seen) >= 3  # also notices interrupted by over 20 words
+
+
 def test_license_matches(spark, odd):
     mit = licenses.TEMPLATES["MIT-text"]
     changed = mit.replace("free of charge", "at no cost").replace("without restriction", "freely")
@@ -129,6 +165,8 @@ def test_names_and_versions_tell_licenses_apart(spark):
     gpl3 = licenses.TEMPLATES["GPL-3.0"]
     cases = {"Released under the BSD License.": "BSD", gpl3.replace("3", "2"): "GPL-2.0", gpl3.replace("General", "Lesser General"): "LGPL-3.0",
              gpl3.replace("General", "Affero General"): "AGPL-3.0", "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0-short",
+             "All your rights reserved": None, "MIT License\n\nCopyright (c) 2020 Ann": "MIT-copyright", "SPDX-License-Identifier: GPL-2.0": None,
+             licenses.TEMPLATES["Apache-2.0-notice"].replace("of the License at", "of it " + "foreign " * 21 + "of the License at"): "Apache-2.0-notice",
              "Released under the Foo License.": None, gpl3.replace("3", "7"): None, gpl3: "GPL-3.0",
              "Released under the BSD License. Released under the MIT License.": "BSD,MIT"} | {v: k for k, v in licenses.TEMPLATES.items()}
     df = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
