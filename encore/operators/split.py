@@ -21,8 +21,15 @@ U, I, N = "user_id", "item_id", "interactions"
 
 #: Range partitions for each shuffle partition: the pieces of a large user are then small beside a task's share.
 PIECES = 4
-#: Rows below which a further range partition costs more than it spreads.
-PIECE_ROWS = 10_000
+#: Rows below which a further range partition costs more than it spreads: each writes a file a shuffle partition, twice.
+PIECE_ROWS = 250_000
+#: The same while cores would be idle.
+LEAST_ROWS = 10_000
+
+
+def _pieces(rows: int, most: int, cores: int) -> int:
+    """Range partitions for so many rows: one a PIECE_ROWS, or one a core where that is more and a core gets LEAST_ROWS."""
+    return min(most, max(rows // PIECE_ROWS, min(cores, rows // LEAST_ROWS)) + 1)
 
 
 def label_split(ix: DataFrame, fraction: float = 0.8, seed=42, user: str = U, item: str = I,
@@ -35,8 +42,8 @@ def label_split(ix: DataFrame, fraction: float = 0.8, seed=42, user: str = U, it
     NULL user are split as one user.
     """
     if not partitions:
-        most = PIECES * int(ix.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        partitions = min(most, ix.count() // PIECE_ROWS + 1)
+        spark = ix.sparkSession
+        partitions = _pieces(ix.count(), PIECES * int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     hashed = ix.withColumn("_h", hash_order_key(seed, user, item))
     order = [F.col(user).asc_nulls_first(), F.col("_h").asc(), F.col(item).asc()]
     tagged = _tag(range_sorted_checkpoint(hashed, order, partitions)).drop("_h")

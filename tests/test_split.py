@@ -95,3 +95,10 @@ def test_coverage_and_test_restrictions(spark):
     assert [r[0] for r in split.warm_test(val, train).collect()] == [1]
     assert [r[0] for r in split.cold_test(val, train).collect()] == [2]
     assert split.split_sizes(val).where(F.col("user_id") == 2).first()["row_counts"] == 0
+
+
+def test_split_pieces_grow_with_rows_not_with_files(spark):
+    """Every piece writes a file a shuffle partition, twice: 3.1 million rows do not need 308 pieces."""
+    assert split._pieces(3_080_530, 800, 8) == 13
+    assert split._pieces(110_000_000, 800, 12) == 441 and split._pieces(10**9, 800, 12) == 800
+    assert split._pieces(100_000, 800, 12) == 11 and split._pieces(0, 800, 12) == 1  # cores are kept busy, small tables in one
