@@ -1,6 +1,7 @@
 """Blocked factor scoring against the plain product."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from encore.operators import als, factors
@@ -90,3 +91,20 @@ def test_same_lists_as_the_full_product(spark):
     assert full.keys() == ours.keys() and all(abs(full[x] - ours[x]) < 1e-5 for x in full)
     some = spark.createDataFrame([(1,), (2,), (2,), (999,)], "user_id long")
     assert {r["user_id"] for r in als.recommend_exact(model, 3, some).collect()} == {1, 2}
+
+
+def test_few_positives_need_no_sorted_scores(spark, monkeypatch):
+    """Up to FEW positives of a user are compared with the scores, more are looked up among the sorted ones: the same counts."""
+    u, _ = _vectors(spark, 9, 4, 8)
+    v, _ = _vectors(spark, 9000, 4, 9)  # more than one block
+    v[100:140] = v[8500]
+    scores = [(u[i].astype(float) @ v[100:101 + 3 * i].astype(float).T).astype(np.float32).tolist() for i in range(9)]
+    batch = pa.record_batch({"user_id": pa.array(range(9)), "scores": pa.array(scores, pa.list_(pa.float32())),
+                             "features": pa.array(u.tolist(), pa.list_(pa.float32()))})
+    out = [next(factors._counts(v.astype(float))(iter([batch])))]
+    monkeypatch.setattr(factors, "FEW", 0)
+    out.append(next(factors._counts(v.astype(float))(iter([batch]))))
+    assert out[0].equals(out[1]) and out[0]["equal"][0].as_py() == 41
+    monkeypatch.setattr(factors, "FEW", 10**6)
+    monkeypatch.setattr(np, "searchsorted", None)  # nothing is sorted or looked up
+    assert next(factors._counts(v.astype(float))(iter([batch]))).equals(out[0])
