@@ -93,6 +93,23 @@ def test_same_lists_as_the_full_product(spark):
     assert {r["user_id"] for r in als.recommend_exact(model, 3, some).collect()} == {1, 2}
 
 
+def test_long_lists_are_filled_in_one_step(spark, monkeypatch):
+    """A list of all items is merged once a chunk, not once a block: merging block by block grows with the items' square."""
+    u, _ = _vectors(spark, 7, 4, 10)
+    v, _ = _vectors(spark, 5000, 4, 11)
+    v = v[np.argsort(-(v.astype(float) ** 2).sum(1), kind="stable")].astype(float)
+    merges, best = [], factors._best
+    monkeypatch.setattr(factors, "_best", lambda *a: merges.append(1) or best(*a))
+    empty = lambda t: pa.array([[]] * 7, pa.list_(t))
+    batch = pa.record_batch({"user_id": pa.array(range(7)), "features": pa.array(u.tolist(), pa.list_(pa.float32())), "items": empty(pa.int64()),
+                             "scores": empty(pa.float32()), "scored": pa.array([0] * 7, pa.int64()), "open": pa.array([1] * 7, pa.int32())})
+    for k in (5000, 2000, 10):
+        merges.clear()
+        out = next(factors._search(np.arange(5000), v, k, None)(iter([batch])))
+        assert [list(zip(a, b)) for a, b in zip(out["items"].to_pylist(), out["scores"].to_pylist())] == _plain(u, v, k)
+        assert len(merges) <= {5000: 1, 2000: 4, 10: 5}[k]
+
+
 def test_few_positives_need_no_sorted_scores(spark, monkeypatch):
     """Up to FEW positives of a user are compared with the scores, more are looked up among the sorted ones: the same counts."""
     u, _ = _vectors(spark, 9, 4, 8)
