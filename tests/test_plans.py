@@ -82,3 +82,12 @@ def test_filter_on_the_stored_type_reaches_the_scan(spark):
     from encore.sources.tables import read_table
     df = read_table(spark, f"{SF}/lineitem.parquet", "l_partkey INT", where=F.col("l_partkey") == 5)
     assert "EqualTo(l_partkey,5)" in _plan(df)
+
+
+def test_many_plays_are_counted_in_tasks_of_bounded_rows(spark):
+    """AQE's 64 MB a task are two gigabytes of catalogue names: beyond a core's share the number of tasks follows the rows."""
+    from encore.plans import catalog
+    plays = spark.range(10).selectExpr("id % 3 as user_id", "'x' as recording_mbid")
+    many = catalog._in_tasks(plays, 10**7)
+    assert "REPARTITION_BY_NUM" in _plan(many) and many.rdd.getNumPartitions() == 10**7 // catalog.PLAYS_TASK + 1
+    assert "Exchange" not in _plan(catalog._in_tasks(plays, 10**5))
