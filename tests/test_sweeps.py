@@ -42,3 +42,13 @@ def test_als_sweep_one_row_per_setting(spark):
     rows = als.sweep_als(train, labels, grid, 5, base=dict(max_iter=2, user_blocks=2, item_blocks=2)).collect()
     assert [(r["rank"], r["reg"]) for r in rows] == [(2, 0.5), (3, 0.1)]
     assert all(r["users"] == 30 and 0.0 <= r["map"] <= 1.0 for r in rows)
+
+
+def test_as_many_fits_side_by_side_as_the_cores_hold(spark):
+    blocks = dict(user_blocks=4, item_blocks=4)
+    assert als.side_by_side([blocks], 12) == 3 and als.side_by_side([blocks], 8) == 2 and als.side_by_side([blocks], 1) == 2
+    assert als.side_by_side([{}], 200) == 2 and als.side_by_side([], 4) == 2
+    train, labels = _data(spark)
+    grid = [dict(rank=2), dict(rank=3), dict(rank=2, max_iter=3)]  # the second begins first; rows keep the grid's order
+    rows = als.sweep_als(train, labels, grid, 5, base=dict(max_iter=1, user_blocks=2, item_blocks=2), at_once=None).collect()
+    assert [(r["rank"], r["max_iter"]) for r in rows] == [(2, 1), (3, 1), (2, 3)]
