@@ -125,3 +125,15 @@ def test_few_positives_need_no_sorted_scores(spark, monkeypatch):
     monkeypatch.setattr(factors, "FEW", 10**6)
     monkeypatch.setattr(np, "searchsorted", None)  # nothing is sorted or looked up
     assert next(factors._counts(v.astype(float))(iter([batch]))).equals(out[0])
+
+
+def test_products_blocks_and_checked_chunks_grow_with_the_items(spark):
+    """The product gives each user k candidates a block of items, and a chunk of the search is a job: neither may grow with the items alone."""
+    from encore.plans import catalog
+    assert catalog._checked_chunk(1000, 8) == 64 << 10
+    assert -(-600_000 * 80 // catalog._checked_chunk(600_000, 8)) <= 13
+    assert catalog._checked_chunk(10**9, 8) == factors.CHUNK_BYTES
+    rows = [(a, b, 1) for a in range(12) for b in range(9) if (a + b) % 3]
+    model = als.fit_als(spark.createDataFrame(rows, "user_id long, item_id long, interactions long"), rank=4, max_iter=1, user_blocks=2, item_blocks=2)
+    assert als.recommend_als(model, 3).count() == 36
+    assert model.getBlockSize() == als.PRODUCT_BYTES // 16
