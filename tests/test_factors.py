@@ -137,3 +137,12 @@ def test_products_blocks_and_checked_chunks_grow_with_the_items(spark):
     model = als.fit_als(spark.createDataFrame(rows, "user_id long, item_id long, interactions long"), rank=4, max_iter=1, user_blocks=2, item_blocks=2)
     assert als.recommend_als(model, 3).count() == 36
     assert model.getBlockSize() == als.PRODUCT_BYTES // 16
+
+
+def test_users_in_one_partition_are_dealt_to_all_cores(spark, monkeypatch):
+    _, users = _vectors(spark, 80, 3, 12)
+    _, items = _vectors(spark, 20, 3, 13)
+    tasks, write = [], factors.materialize
+    monkeypatch.setattr(factors, "materialize", lambda df, name, **a: (tasks.append(df.rdd.getNumPartitions()) if name == "top_k" else None) or write(df, name, **a))
+    assert factors.top_k(users.coalesce(1), factors.item_blocks(items), 4).count() == 80
+    assert tasks == [spark.sparkContext.defaultParallelism]
