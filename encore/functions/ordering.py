@@ -26,8 +26,8 @@ _POS = "_ord_pos"
 
 
 def range_sorted_checkpoint(df: DataFrame, order: list[Column],
-                            partitions: int | None = None) -> DataFrame:
-    """Range-partition on ``order``, sort each partition, checkpoint reliably.
+                            partitions: int | None = None, drop: list[str] | None = None) -> DataFrame:
+    """Range-partition on ``order``, sort each partition, checkpoint reliably, without the columns to ``drop``.
 
     Without an explicit ``partitions`` the range shuffle uses the session's
     shuffle partitions and AQE may merge adjacent (small) ranges, which keeps
@@ -35,7 +35,7 @@ def range_sorted_checkpoint(df: DataFrame, order: list[Column],
     """
     ensure_checkpoint_dir(df.sparkSession)
     ranged = df.repartitionByRange(int(partitions), *order) if partitions else df.repartitionByRange(*order)
-    return ranged.sortWithinPartitions(*order).checkpoint(eager=True)
+    return ranged.sortWithinPartitions(*order).drop(*drop or []).checkpoint(eager=True)
 
 
 def _tag(cp: DataFrame) -> DataFrame:

@@ -151,9 +151,9 @@ def factor_summary(model: ALSModel) -> DataFrame:
 
 
 def score_als(model: ALSModel, labels: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
-    """(recommendations for the labelled users, their users): made once and written, so metrics read a table."""
+    """(recommendations for the labelled users, their users): the search writes its lists, so metrics read a table."""
     users = labels.select(U).distinct().join(known_users(model), U, "left_semi")
-    recs = materialize(recommend_exact(model, k, users), "recs")
+    recs = recommend_exact(model, k, users)
     return recs, recs.select(U)
 
 

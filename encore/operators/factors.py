@@ -1,12 +1,14 @@
 """Scoring with factor vectors in blocks: exact top-k lists and rank counts without the users x items product.
 
 Item vectors are numbered by falling norm and written in chunks of bounded bytes.
-One chunk at a time is sent to the tasks, which hold user vectors; a task never
-holds more of the items than a chunk, and no row a (user, item) pair is made.
+The tasks hold user vectors and get the items by chunks, never more than
+``PASS_BYTES`` of them at once; no row a (user, item) pair is made.
 
 * ``top_k``: |u| |v| bounds a score, so once it falls under a user's k-th score no
-  later item can enter the list. Users that are done leave after each chunk, and
-  inside a chunk blocks of items are skipped by the same bound. Lists are exact.
+  later item can enter the list. Blocks of items are skipped by that bound, and
+  users that are done leave after each pass. Lists are exact. A pass goes through
+  as many chunks as a task may hold, so the users' lists are written once for
+  that many items, not once a chunk.
 * ``auc_per_user``: for each positive the items scored lower and equal are counted;
   two sums a user and chunk leave a task.
 
@@ -16,12 +18,13 @@ then give the same score. Equal scores are ordered by item id.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +32,10 @@ from encore.functions.ordering import global_row_number
 from encore.sources.tables import materialize
 
 U, I = "user_id", "item_id"
-#: What is sent to every task at once.
+#: Items that the driver holds at once, at 8 bytes a component.
 CHUNK_BYTES = 32 << 20
+#: Items that a task holds at once, at 4 bytes a component: 6.7 million of rank 8, 332,000 of rank 200.
+PASS_BYTES = 256 << 20
 #: Items scored, and users held, at once: a block of scores stays within a few megabytes.
 BLOCK, USERS = 1024, 512
 #: Lists longer than a block are held for fewer users: so many entries.
@@ -54,7 +59,11 @@ class ItemBlocks:
         """(ids, vectors) of a chunk, by falling norm; its bytes are bounded."""
         held = self.table.where(F.col("chunk") == chunk).select("place", "id", "features").toArrow().combine_chunks()
         order = np.argsort(held["place"].to_numpy())
-        return held["id"].to_numpy()[order], _matrix(held["features"].combine_chunks(), len(order))[order]
+        return held["id"].to_numpy()[order], _matrix(held["features"].combine_chunks(), len(order))[order].astype(np.float32)
+
+
+def _norm(vector: np.ndarray) -> float:
+    return float(np.sqrt((vector.astype(np.float64) ** 2).sum()))
 
 
 def _matrix(lists: pa.Array, rows: int) -> np.ndarray:
@@ -82,36 +91,41 @@ def _best(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], rows: int, k:
     return item[kept].reshape(rows, -1), score[kept].reshape(rows, -1)
 
 
-def _search(ids: np.ndarray, vectors: np.ndarray, k: int, next_norm: float | None):
-    norms = np.sqrt((vectors * vectors).sum(1))
+def _search(ids: np.ndarray, vectors: np.ndarray, k: int, next_norm: float | None, more: Sequence[Broadcast] = ()):
+    """A pass over a chunk and the ``more`` that follow it; ``next_norm`` is the largest norm after them, None after the last."""
+    def chunks() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        yield ids, vectors
+        for sent in more:
+            yield sent.value
 
     def block(u: np.ndarray, items: np.ndarray, scores: np.ndarray, scored: np.ndarray):
         size = np.sqrt((u * u).sum(1)) * SLACK
-        a = b = 0
-        while b < len(ids):
-            # All items enter a list that is not full: long lists are filled in one step, not merged block by block.
-            a, b = b, min(len(ids), b + max(BLOCK, k - scores.shape[1], k // 4))
-            if scores.shape[1] == k:
-                at = np.flatnonzero(size * norms[a] >= scores[:, -1])
-            else:
-                at = np.arange(len(u))
-            if not len(at):
-                break
-            s = (u[at] @ vectors[a:b].T).astype(np.float32)
-            scored[at] += s.shape[1]
-            # Only scores that can be among a row's k best go on.
-            least = np.full(len(at), -np.inf, np.float32)
-            if s.shape[1] > k:
-                least = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
-            if scores.shape[1] == k:
-                least = np.maximum(least, scores[at, -1])
-            row, column = np.nonzero(s >= least[:, None])
-            held = np.repeat(np.arange(len(at)), scores.shape[1])
-            best = _best([(held, items[at].ravel(), scores[at].ravel()), (row, ids[a + column], s[row, column])], len(at), k)
-            if scores.shape[1] < best[0].shape[1]:  # every row grows alike until it has k
-                items, scores = best
-            else:
-                items[at], scores[at] = best
+        for i, v in chunks():
+            a = b = 0
+            while b < len(i):
+                # All items enter a list that is not full: long lists are filled in one step, not merged block by block.
+                a, b = b, min(len(i), b + max(BLOCK, k - scores.shape[1], k // 4))
+                if scores.shape[1] == k:
+                    at = np.flatnonzero(size * _norm(v[a]) >= scores[:, -1])
+                else:
+                    at = np.arange(len(u))
+                if not len(at):  # nor for any later item
+                    return items, scores, scored, np.zeros(len(u), np.int32)
+                s = (u[at] @ v[a:b].astype(np.float64).T).astype(np.float32)
+                scored[at] += s.shape[1]
+                # Only scores that can be among a row's k best go on.
+                least = np.full(len(at), -np.inf, np.float32)
+                if s.shape[1] > k:
+                    least = np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k]
+                if scores.shape[1] == k:
+                    least = np.maximum(least, scores[at, -1])
+                row, column = np.nonzero(s >= least[:, None])
+                held = np.repeat(np.arange(len(at)), scores.shape[1])
+                best = _best([(held, items[at].ravel(), scores[at].ravel()), (row, i[a + column], s[row, column])], len(at), k)
+                if scores.shape[1] < best[0].shape[1]:  # every row grows alike until it has k
+                    items, scores = best
+                else:
+                    items[at], scores[at] = best
         still = next_norm is not None and np.ones(len(u), bool)
         if next_norm is not None and scores.shape[1] == k:
             still = size * next_norm >= scores[:, -1]
@@ -128,7 +142,9 @@ def _search(ids: np.ndarray, vectors: np.ndarray, k: int, next_norm: float | Non
                     part.column("scores").flatten().to_numpy(zero_copy_only=False).reshape(n, -1).astype(np.float32),
                     part.column("scored").to_numpy().copy())
                 lists = lambda x: pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
-                yield pa.record_batch({"user_id": part.column("user_id"), "features": part.column("features"), "items": lists(items),
+                # After the last pass nobody's vector is read again.
+                features = part.column("features") if next_norm is not None else pa.nulls(n, pa.list_(pa.float32()))
+                yield pa.record_batch({"user_id": part.column("user_id"), "features": features, "items": lists(items),
                                        "scores": lists(scores), "scored": pa.array(scored), "open": pa.array(still)})
     return run
 
@@ -140,24 +156,31 @@ def _user_vectors(factors: DataFrame) -> DataFrame:
 def top_k(users: DataFrame, items: ItemBlocks, k: int) -> DataFrame:
     """(user_id, items, scores, scored): each user's k best items (all, if there are fewer), and how many items were scored.
 
-    ``users`` is (id, features). A chunk of items is one job over the users that
-    are still open; their state is written, so a lost executor costs one chunk.
+    ``users`` is (id, features). A pass over the chunks that a task may hold is one
+    job over the users that are still open; their state is written, so a lost
+    executor costs one pass.
     """
     empty = [F.array().cast("array<long>").alias("items"), F.array().cast("array<float>").alias("scores"), F.lit(0).cast("long").alias("scored")]
+    sc = users.sparkSession.sparkContext
     # A model's vectors come in as many partitions as it has blocks: fewer than there are cores.
-    spread = _user_vectors(users).repartition(users.sparkSession.sparkContext.defaultParallelism)
+    spread = _user_vectors(users).repartition(sc.defaultParallelism)
     state = spread.select("*", *empty, F.lit(1).alias("open"))
-    done = []
-    ids, vectors = items.load(0) if items.chunks else (np.zeros(0, np.int64), np.zeros((0, 1)))
-    for chunk in range(items.chunks):
-        ahead = items.load(chunk + 1) if chunk + 1 < items.chunks else None
-        next_norm = float(np.sqrt((ahead[1][0] ** 2).sum())) if ahead else None
-        state = materialize(state.mapInArrow(_search(ids, vectors, k, next_norm), STATE), "top_k", partition_by=["open"])
+    done, chunk = [], 0
+    ahead = items.load(0) if items.chunks else None
+    while ahead is not None:
+        ids, vectors = ahead
+        after = min(items.chunks, chunk + max(1, PASS_BYTES // (ids.nbytes + vectors.nbytes)))
+        more = [sc.broadcast(items.load(c)) for c in range(chunk + 1, after)]
+        ahead = items.load(after) if after < items.chunks else None
+        next_norm = None if ahead is None else _norm(ahead[1][0])
+        state = materialize(state.mapInArrow(_search(ids, vectors, k, next_norm, more), STATE), "top_k", partition_by=["open"])
+        for sent in more:
+            sent.destroy()
         done.append(state.where("open = 0"))
         state = state.where("open = 1")
         if ahead is None or not state.limit(1).count():
             break
-        ids, vectors = ahead
+        chunk = after
     parts = done or [state.limit(0)]
     return reduce(lambda a, b: a.unionByName(b), parts).select(U, "items", "scores", "scored")
 
@@ -193,7 +216,7 @@ def _counts(vectors: np.ndarray):
             lower, equal = np.zeros(len(batch), np.int64), np.zeros(len(batch), np.int64)
             own = [np.asarray(s.values.to_numpy(zero_copy_only=False), np.float32) for s in batch.column("scores")]
             for a in range(0, len(vectors), 1 << 13):
-                v = np.ascontiguousarray(vectors[a:a + (1 << 13)].T)
+                v = np.ascontiguousarray(vectors[a:a + (1 << 13)].T, np.float64)
                 found = np.empty(v.shape[1], bool)
                 for start in range(0, len(u), 64):
                     s = (u[start:start + 64] @ v).astype(np.float32)

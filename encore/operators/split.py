@@ -44,9 +44,10 @@ def label_split(ix: DataFrame, fraction: float = 0.8, seed=42, user: str = U, it
     if not partitions:
         spark = ix.sparkSession
         partitions = _pieces(ix.count(), PIECES * int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    hashed = ix.withColumn("_h", hash_order_key(seed, user, item))
+    # 16 bytes in the order of the digest's text, used up by the sort: neither shuffled as text nor written.
+    hashed = ix.withColumn("_h", F.unhex(hash_order_key(seed, user, item)))
     order = [F.col(user).asc_nulls_first(), F.col("_h").asc(), F.col(item).asc()]
-    tagged = _tag(range_sorted_checkpoint(hashed, order, partitions)).drop("_h")
+    tagged = _tag(range_sorted_checkpoint(hashed, order, partitions, drop=["_h"]))
     # First and last user of every partition, with their rows there: at most two rows a partition.
     counts = tagged.groupBy(_PID, user).agg(F.count(F.lit(1)).alias("_c"))
     edge = F.struct(F.col(user).alias("u"), "_c")

@@ -635,7 +635,7 @@ def q_als_recs_check(spark, d):
 
 
 def _checked_chunk(items: int, rank: int) -> int:
-    """Chunks small enough that the search goes through several, a dozen at most while they fit: each is a job."""
+    """Chunks small enough that the search goes through several, a dozen at most while they fit: each is loaded by a job."""
     return min(factors.CHUNK_BYTES, max(64 << 10, items * (8 * rank + 16) // 12))
 
 

@@ -146,3 +146,28 @@ def test_users_in_one_partition_are_dealt_to_all_cores(spark, monkeypatch):
     monkeypatch.setattr(factors, "materialize", lambda df, name, **a: (tasks.append(df.rdd.getNumPartitions()) if name == "top_k" else None) or write(df, name, **a))
     assert factors.top_k(users.coalesce(1), factors.item_blocks(items), 4).count() == 80
     assert tasks == [spark.sparkContext.defaultParallelism]
+
+
+def test_lists_are_written_once_a_pass_not_once_a_chunk(spark, monkeypatch):
+    """Users x chunks would be written else: both grow with the tables. Passes of any size give the same lists."""
+    u, users = _vectors(spark, 30, 4, 14)
+    v, items = _vectors(spark, 120, 4, 15)
+    blocks = factors.item_blocks(items, 10 * 48)
+    assert blocks.chunks == 12
+    written, write = [], factors.materialize
+    monkeypatch.setattr(factors, "materialize", lambda df, name, **a: written.append(name) or write(df, name, **a))
+    want = dict(enumerate(_plain(u, v, 7)))
+    for most, passes in ((factors.PASS_BYTES, 1), (10 * 24 * 5, 3), (1, 12)):
+        monkeypatch.setattr(factors, "PASS_BYTES", most)
+        written.clear()
+        got = {r["user_id"]: list(zip(r["items"], r["scores"])) for r in factors.top_k(users, blocks, 7).collect()}
+        assert got == want and 1 <= len(written) <= passes and set(written) == {"top_k"}
+
+
+def test_scored_lists_are_written_once(spark, monkeypatch):
+    rows = [(a, b, 1 + (a * b) % 3) for a in range(20) for b in range(15) if (a + b) % 3]
+    ix = spark.createDataFrame(rows, "user_id long, item_id long, interactions long")
+    model = als.fit_als(ix, rank=3, max_iter=1, user_blocks=2, item_blocks=2)
+    monkeypatch.setattr(als, "materialize", None)  # the search has written its lists
+    recs, users = als.score_als(model, ix, 4)
+    assert recs.count() == 80 and users.distinct().count() == 20

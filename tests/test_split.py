@@ -102,3 +102,19 @@ def test_split_pieces_grow_with_rows_not_with_files(spark):
     assert split._pieces(3_080_530, 800, 8) == 13
     assert split._pieces(110_000_000, 800, 12) == 441 and split._pieces(10**9, 800, 12) == 800
     assert split._pieces(100_000, 800, 12) == 11 and split._pieces(0, 800, 12) == 1  # cores are kept busy, small tables in one
+
+
+def test_split_checkpoints_no_hash(spark, monkeypatch):
+    """The hash orders the rows; it is 16 bytes wide on the way and is not written with them."""
+    import hashlib
+    ix = spark.createDataFrame([(u, i, 1) for u in range(9) for i in range(20)] + [(None, 3, 1), (2, None, 1)], "user_id long, item_id long, interactions long")
+    kept, frame = [], type(ix)
+    checkpoint = frame.checkpoint
+    monkeypatch.setattr(frame, "checkpoint", lambda df, *a, **b: kept.append(df) or checkpoint(df, *a, **b))
+    rows = split.label_split(ix, 0.8, 42, partitions=3).collect()
+    key = lambda u, i: hashlib.md5("|".join(["42", *[str(x) for x in (u, i) if x is not None]]).encode()).hexdigest()
+    for user in {r["user_id"] for r in rows}:
+        own = sorted((r for r in rows if r["user_id"] == user), key=lambda r: r["rn"])
+        assert [r["rn"] for r in own] == list(range(1, len(own) + 1))
+        assert [r["item_id"] for r in own] == [i for _, i in sorted((key(user, r["item_id"]), r["item_id"]) for r in own)]
+    assert kept and all(df.columns == ix.columns for df in kept)
