@@ -171,3 +171,50 @@ def test_scored_lists_are_written_once(spark, monkeypatch):
     monkeypatch.setattr(als, "materialize", None)  # the search has written its lists
     recs, users = als.score_als(model, ix, 4)
     assert recs.count() == 80 and users.distinct().count() == 20
+
+
+def test_positives_of_many_users_are_compared_at_once(monkeypatch):
+    """The comparisons' calls grow with the blocks, not with users x blocks; scores closer than a float product's error are told apart."""
+    rnd = np.random.default_rng(16)
+    u, v = rnd.normal(size=(40, 8)).astype(np.float32), rnd.normal(size=(20_000, 8)).astype(np.float32)
+    v[1:3000] = v[0] * (1 + rnd.normal(size=(2999, 1)).astype(np.float32) * 2e-7)  # nearly and exactly tied
+    plain = (u.astype(float) @ v.astype(float).T).astype(np.float32)
+    own = [sorted({*range(i % 5 + 1), *rnd.choice(20_000, i % 7).tolist()}) if i % 9 else [] for i in range(40)]
+    own[11] = list(range(2990, 3020))  # more than FEW
+    u[13] = 0
+    plain[13] = 0
+    batch = pa.record_batch({"user_id": pa.array(range(40)), "features": pa.array(u.tolist(), pa.list_(pa.float32())),
+                             "scores": pa.array([[float(plain[i, p]) for p in x] for i, x in enumerate(own)], pa.list_(pa.float32()))})
+    calls, less = [], np.less
+    monkeypatch.setattr(np, "less", lambda *a, **b: calls.append(1) or less(*a, **b))
+    out = next(factors._counts(v)(iter([batch])))
+    assert out["lower"].to_pylist() == [sum(int((plain[i] < plain[i, p]).sum()) for p in x) for i, x in enumerate(own)]
+    assert out["equal"].to_pylist() == [sum(int((plain[i] == plain[i, p]).sum()) for p in x) for i, x in enumerate(own)]
+    assert len(calls) <= 3 * max(len(x) for i, x in enumerate(own) if i != 11)  # three blocks of items
+
+
+def test_positives_are_dealt_to_all_cores(spark, monkeypatch):
+    _, users = _vectors(spark, 30, 3, 17)
+    _, items = _vectors(spark, 20, 3, 18)
+    parts, write = [], factors.materialize
+    monkeypatch.setattr(factors, "materialize", lambda df, name, **a: (parts.append(df.rdd.getNumPartitions()) if name == "positive_scores" else None) or write(df, name, **a))
+    pos = spark.createDataFrame([(a, a % 20) for a in range(30)], "user_id long, item_id long").coalesce(1)
+    assert factors.auc_per_user(users, items, factors.item_blocks(items), pos).count() == 30
+    assert parts == [spark.sparkContext.defaultParallelism]
+
+
+def test_full_lists_take_what_exceeds_their_last_score(monkeypatch):
+    """No block is partitioned once the lists are full; near ties at the last place are settled in doubles."""
+    rnd = np.random.default_rng(19)
+    u, v = rnd.normal(size=(30, 6)).astype(np.float32), rnd.normal(size=(6000, 6)).astype(np.float32)
+    v[:3000] = v[0] * (1 + rnd.normal(size=(3000, 1)).astype(np.float32) * 2e-7)
+    u[4] = 0
+    v = v[np.argsort(-(v.astype(float) ** 2).sum(1), kind="stable")]
+    empty = lambda t: pa.array([[]] * 30, pa.list_(t))
+    batch = pa.record_batch({"user_id": pa.array(range(30)), "items": empty(pa.int64()), "scores": empty(pa.float32()), "features": pa.array(u.tolist(), pa.list_(pa.float32())),
+                             "scored": pa.array([0] * 30, pa.int64()), "open": pa.array([1] * 30, pa.int32())})
+    calls, partition = [], np.partition
+    monkeypatch.setattr(np, "partition", lambda *a, **b: calls.append(1) or partition(*a, **b))
+    out = next(factors._search(np.arange(6000), v, 10, None)(iter([batch])))
+    assert [list(zip(a, b)) for a, b in zip(out["items"].to_pylist(), out["scores"].to_pylist())] == _plain(u, v, 10)
+    assert len(calls) == 1
